@@ -8,11 +8,13 @@ concentration bounds.
 
 Documents with equal shingle sets form one class; only one document of each
 class goes on. Classes that agree on a whole band of coordinates meet in a
-bucket. A bucket does not emit its pairs: in each round some of its members are
-compared with the others, verified links join components, and a bucket is done
-when its members are all in one component or have all been compared with those
-outside the largest one. So no link between different components is missed,
-and large groups cost a few rows per member.
+bucket. A bucket does not emit its pairs: first all its members are compared
+with one of them, and verified links join components. Where members of a bucket
+are still in different components, small buckets compare the pairs left; large
+ones that overlap form a cluster, whose members are dealt into blocks of bounded
+size. A task compares two blocks, only members of different components, and
+gives links that join them, at most one per member. So no link between
+components is missed, and large groups make few rows.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ PERCENT = 80
 WIDTH = 5
 #: Coordinates of a sketch, and coordinates in a band: a pair at the threshold meets in some band but for 3e-6.
 COORDINATES, BAND = 96, 4
+#: Buckets with more members left than this go to clusters.
+SMALL = 8
+#: Bytes of shingle sets in a block of a cluster, about.
+BLOCK_BYTES = 2 << 20
 #: Pairs whose sketches agree on fewer coordinates are not verified: five standard deviations below the threshold.
 LEAST_AGREEING = 57
 
@@ -123,6 +129,60 @@ def _verified(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int
     return materialise(p.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b"), "near-links")
 
 
+def _compare(percent: int):
+    """Links between members of different components in two blocks (or within one): enough of them to join what they join."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        node, root, side = pdf["node"].to_numpy(), pdf["root"].to_numpy(), pdf["side"].to_numpy()
+        names, at = np.unique(root, return_inverse=True)
+        parent = list(range(len(names)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        coordinates = np.frombuffer(b"".join(pdf["coordinates"]), np.uint16).reshape(len(pdf), -1)
+        sets = [np.asarray(x) for x in pdf["shingles"]]
+        n = np.array([len(x) for x in sets])
+        most = np.bincount(at).argmax()
+        same = len(np.unique(side)) == 1
+        links = []
+        for x in np.flatnonzero(at != most):  # those in the largest component need no comparison with each other
+            other = np.flatnonzero((same | (side != side[x])) & (at != at[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])))
+            other = other[(coordinates[other] == coordinates[x]).sum(1) >= LEAST_AGREEING]
+            own = find(at[x])
+            joined = np.array([find(k) for k in np.unique(at[other])], int) if len(other) else np.zeros(0, int)
+            other = other[(joined != own)[np.searchsorted(np.unique(at[other]), at[other])]] if len(other) else other
+            if not len(other):
+                continue
+            flat = np.concatenate([sets[k] for k in other])
+            hit = np.searchsorted(sets[x], flat)
+            hit = sets[x][np.minimum(hit, n[x] - 1)] == flat
+            common = np.add.reduceat(hit, np.concatenate(([0], np.cumsum(n[other])[:-1])))
+            for k in other[100 * common >= percent * (n[x] + n[other] - common)]:
+                a, b = find(at[x]), find(at[k])
+                if a != b:
+                    parent[a] = b
+                    links.append((node[x], node[k]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _cluster_links(rest: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components among the members of large buckets."""
+    cluster = components(rest.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    inside = rest.select("node", "root").distinct().join(cluster.withColumnRenamed("root", "cluster"), "node")
+    inside = materialise(inside.join(sketch.select("node", "n", "coordinates"), "node"), "near-clusters")
+    blocks = inside.groupBy("cluster").agg(F.ceil(F.sum(F.col("n") * 8) / BLOCK_BYTES).cast("int").alias("blocks"))
+    x = inside.join(blocks, "cluster").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    x = x.select("cluster", "node", "root", "coordinates", "shingles", F.col("own").alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    x = x.withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")}).drop("other")
+    return materialise(x.groupBy("cluster", "low", "high").applyInPandas(_compare(percent), "a long, b long"), "near-cluster-links")
+
+
 def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept, for every row of documents.
 
@@ -145,32 +205,21 @@ def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
     texts = base.withColumnRenamed("doc_id", "node").join(checked_broadcast(involved, most=1_000_000), "node", "left_semi")
     sets = materialise(texts.mapInPandas(_set_maker(width), "node long, shingles array<long>"), "near-sets")
 
-    roots, links, done = None, None, 0
-    open_ = members.select("bucket", "node", F.col("node").alias("root"))
-    while True:
-        # members outside the largest component of their bucket may lead, in the order of a hash
-        per = open_.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-        largest = per.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("top"), F.count("*").alias("parts"))
-        live = open_.join(largest.where("parts > 1").select("bucket", F.col("top.root").alias("top")), "bucket")
-        live = materialise(live, "near-live")
-        if live.isEmpty():
-            break
-        slots = 4**done
-        # one leader of each slot: a hash deals a bucket's members over the slots, so leaders need no sort of the bucket
-        lead = live.where("root <> top") if done else live
-        lead = lead.groupBy("bucket", F.pmod(F.xxhash64("node", "bucket"), F.lit(slots)).alias("slot")).agg(F.min("node").alias("leader"), F.min_by("root", "node").alias("leader_root"))
-        pairs = live.join(lead.drop("slot"), "bucket").where("root <> leader_root")
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        found = _verified(pairs, sketch, sets, percent)
-        links = found if links is None else links.union(found)
-        roots = materialise(components(links), "near-roots")
-        done += 1
-        led = lead.select("bucket", F.col("leader").alias("node"))
-        rest = live.drop("root", "top").join(led, ["bucket", "node"], "left_anti")
-        open_ = rest.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-        open_ = materialise(open_, "near-open")
-    named = classes.select("digest", "node") if roots is None else classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
-    named = named if roots is not None else named.withColumnRenamed("node", "root")
+    star = members.groupBy("bucket").agg(F.min("node").alias("leader"))
+    star = materialise(members.join(star, "bucket"), "near-stars")
+    links = _verified(star.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sketch, sets, percent)
+    roots = materialise(components(links), "near-roots")
+
+    # each bucket's members without the one that all were compared with
+    rest = star.where("node <> leader").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    open_ = rest.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("first")).where("low <> high")
+    rest = materialise(rest.join(open_.select("bucket", "size", "first"), "bucket"), "near-rest")
+    few = rest.where(F.col("size") <= SMALL)
+    pairs = few.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra")).join(few.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb")), "bucket")
+    links = links.union(_verified(pairs.where("a < b AND ra <> rb").select("a", "b").distinct(), sketch, sets, percent))
+    links = links.union(_cluster_links(rest.where(F.col("size") > SMALL), sketch, sets, percent))
+    roots = components(links)
+    named = classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     out = all_.select("doc_id", "n", "digest").join(named, "digest", "left")
     root = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), root.alias("component_id"), (F.col("doc_id") == root).alias("kept"))
