@@ -1,15 +1,15 @@
 """Language-model scores by deleted interpolation of word n-grams.
 
-Documents are dealt to parts by a hash of their id. Every batch of rows counts
-the distinct words and word pairs of each part in it; counts meet by key range,
-and a part is told the counts of those of its keys that other parts have too.
-Then the documents meet what their part was told. So no n-gram table is
-broadcast or joined row by row: what crosses the network are blocks of distinct
-64-bit keys, and the texts once.
+Documents are read in parts, runs of rows of one file. Each part counts its
+distinct words and word pairs; counts meet by key range, and a part is told the
+counts of its keys, in their order. Then the documents meet what their part was
+told. So no n-gram table is broadcast or joined row by row:
+what crosses the network are blocks of distinct 64-bit keys, and the texts once.
 
 P(w | v) = a c(v,w)/c(v) + b c(w)/N + d /(V+1), with weights (a, b, d) by the
-bucket of c(v), learnt by expectation-maximisation on the pairs of held-out
-parts, whose own counts are left out while the weights are learnt.
+bucket of c(v), learnt by expectation-maximisation on the pairs of one training
+document in DELETED, all of whose counts are left out while weights are learnt.
+The result does not depend on how rows are split into parts.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +27,8 @@ from llm._text import mix64, slices, word_hashes
 
 FOLDS, HELD_OUT = 10, 0
 #: Bytes of text in a part, about.
-PART_BYTES = 12 << 20
-#: One part in so many is kept out of the counts while weights are learnt.
+PART_BYTES = 4 << 20
+#: One training document in so many is kept out of the counts while weights are learnt.
 DELETED = 10
 ALPHA = 0.1
 #: Context-frequency buckets: by the power of two of c(v), up to this one.
@@ -61,58 +62,60 @@ def _unigram_key(words: np.ndarray) -> np.ndarray:
     return mix64(words) & ~np.uint64(1)  # pairs have the lowest bit set
 
 
-def pack(keys: np.ndarray) -> bytes:
-    """Sorted keys by byte planes, high bytes first: Spark's shuffle compression then finds the runs."""
-    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+def pack(values: np.ndarray) -> bytes:
+    """Unsigned integers by byte planes, high bytes first: Spark's own compression then takes out the empty planes."""
+    return np.ascontiguousarray(values.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
 def unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view(">u8").reshape(-1).astype(np.uint64)
 
 
-def dealt(documents: DataFrame, parts: int) -> DataFrame:
+def dealt(documents: DataFrame, part_rows: int) -> DataFrame:
+    """doc_id, text, train, part: runs of part_rows rows of a file; odd parts hold the documents left out for the weights."""
     train = in_fold("doc_id", FOLDS) != HELD_OUT
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(parts)).cast("int")
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), train.alias("train"), part.alias("part"))
+    run = F.xxhash64(F.regexp_extract("_metadata.file_path", "[^/]*$", 0), F.floor(F.col("_metadata.row_index") / part_rows))
+    left_out = train & (F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(DELETED)) == 0)
+    part = F.pmod(run, F.lit(1 << 30)) * 2 + left_out.cast("int")
+    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), train.alias("train"), part.cast("int").alias("part"))
 
 
-def _keys_of(texts, train: np.ndarray):
-    """Per token: its word key and pair key, the key of the word before, whether it trains; bounds by text."""
+def _counted(texts, train: np.ndarray):
+    """keys (sorted, distinct), n (how often training texts have them), index (of word, pair and first-context keys), bounds by text.
+
+    The start mark before each text counts as a word that is no token.
+    """
     toks, bounds = tokens(texts)
     before, pairs = with_context(toks, bounds)
-    return _unigram_key(toks), pairs, _unigram_key(before), np.repeat(train, np.diff(bounds)), bounds
-
-
-def _own_counts(uni, pairs, ctx, train, bounds):
-    """Distinct keys of these texts and how often they occur in the training ones; start marks count as words."""
     first = bounds[:-1]
-    keys, where = np.unique(np.concatenate((uni, pairs, ctx[first])), return_inverse=True)
-    n = np.bincount(where, np.concatenate((train, train, train[first])), len(keys)).astype(np.int64)
-    return keys, n
+    keys, index = np.unique(np.concatenate((_unigram_key(toks), pairs, _unigram_key(before[first]))), return_inverse=True)
+    of = np.repeat(train, np.diff(bounds))
+    n = np.bincount(index, np.concatenate((of, of, train)), len(keys)).astype(np.int64)
+    return keys, n, index, bounds
 
 
-def _counter(parts: int):
+def _counter(ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in slices(batches, 24 << 20):
+        for b in slices(batches, 12 << 20):
             rows = []
             for part, own in b.groupby("part", sort=False):
-                keys, n = _own_counts(*_keys_of(own["text"], own["train"].to_numpy(bool)))
-                of = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-                cut = np.searchsorted(of, np.arange(parts + 1, dtype=np.uint64))
+                keys, n, _, _ = _counted(own["text"], own["train"].to_numpy(bool))
+                of = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+                cut = np.searchsorted(of, np.arange(ranges + 1, dtype=np.uint64))
                 for r in np.flatnonzero(np.diff(cut)):
                     at = slice(cut[r], cut[r + 1])
-                    rows.append((int(r), int(part), pack(keys[at]), n[at].astype(np.int32)))
+                    rows.append((int(r), int(part), pack(np.diff(keys[at], prepend=np.uint64(0))), pack(n[at])))
             yield pd.DataFrame(rows, columns=["range", "part", "keys", "n"])
 
     return run
 
 
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Adds up one key range. A part is told the counts of its keys that other parts trained on; part -1 gets the totals."""
-    blocks = [unpack(k) for k in pdf["keys"]]
+    """Adds up one key range. Each part is told the counts of its keys, in their order; part -1 gets the totals."""
+    blocks = [np.cumsum(unpack(k), dtype=np.uint64) for k in pdf["keys"]]
     keys = np.concatenate(blocks)
     part = np.repeat(pdf["part"].to_numpy(np.int64), [len(k) for k in blocks])
-    n = np.concatenate(pdf["n"].to_list()).astype(np.int64)
+    n = np.concatenate([unpack(x) for x in pdf["n"]]).astype(np.int64)
     del blocks
     order = np.lexsort((part, keys))
     keys, part, n = keys[order], part[order], n[order]
@@ -123,31 +126,37 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     start = np.flatnonzero(new_key)
     of = np.cumsum(new_key) - 1
     total = np.add.reduceat(n, start)
-    deleted = np.add.reduceat(n * (part % DELETED == 0), start)
+    deleted = np.add.reduceat(n * (part % 2), start)
     word = (keys[start] & np.uint64(1)) == 0
     word &= keys[start] != _unigram_key(np.array([_START], np.uint64))[0]
     kept = total - deleted
     sums = np.array([np.count_nonzero(word & (total > 0)), total[word].sum(), np.count_nonzero(word & (kept > 0)), kept[word].sum()], np.int64)
-    rows = [(-1, b"", sums, np.zeros(0, np.int64))]
-    tell = np.flatnonzero(total[of] > n)
-    tell = tell[np.argsort(part[tell], kind="stable")]
-    cut = np.flatnonzero(np.concatenate(([True], part[tell][1:] != part[tell][:-1], [True]))) if len(tell) else np.zeros(1, int)
+    r = int(pdf["range"].iloc[0])
+    rows = [(-1, r, pack(sums), b"")]
+    by_part = np.argsort(part, kind="stable")  # keys stay in order within a part
+    cut = np.flatnonzero(np.concatenate(([True], part[by_part][1:] != part[by_part][:-1], [True])))
     for a, e in zip(cut[:-1], cut[1:]):
-        at, p = tell[a:e], int(part[tell[a]])
-        rows.append((p, pack(keys[at]), total[of[at]], deleted[of[at]] if p % DELETED == 0 else np.zeros(0, np.int64)))
-    return pd.DataFrame(rows, columns=["part", "keys", "total", "deleted"])
+        at, p = of[by_part[a:e]], int(part[by_part[a]])
+        rows.append((p, r, pack(total[at]), pack(kept[at]) if p % 2 else b""))
+    return pd.DataFrame(rows, columns=["part", "range", "total", "kept"])
+
+
+def _totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame([unpack(x).astype(np.int64) for x in b["total"]], columns=["v", "n", "v_kept", "n_kept"])
 
 
-def _probabilities(docs: pd.DataFrame, told: pd.DataFrame, without_deleted: bool):
-    """c(w), c(v,w), c(v) per token and the bounds by text, with the counts of all training texts (or of those not deleted)."""
-    of = _keys_of(docs["text"], docs["train"].to_numpy(bool))
-    keys, n = _own_counts(*of)
-    if without_deleted:
-        n = np.zeros_like(n)
-    for packed, total, deleted in zip(told["keys"], told["total"], told["deleted"]):
-        n[np.searchsorted(keys, unpack(packed))] = total - deleted if without_deleted else total
-    uni, pairs, ctx, _, bounds = of
-    return [n[np.searchsorted(keys, k)] for k in (uni, pairs, ctx)] + [bounds]
+def _looked_up(docs: pd.DataFrame, told: pd.DataFrame, column: str):
+    """c(w), c(v,w), c(v) per token, and the bounds by text."""
+    keys, _, index, bounds = _counted(docs["text"], docs["train"].to_numpy(bool))
+    n = np.concatenate([unpack(x) for x in told.sort_values("range")[column]]).astype(np.int64)
+    assert len(n) == len(keys), "a part's rows changed between the passes"
+    size = bounds[-1]
+    c1, c2 = n[index[:size]], n[index[size : 2 * size]]
+    cv = np.empty_like(c1)
+    cv[1:] = c1[:-1]
+    cv[bounds[:-1]] = n[index[2 * size :]]
+    return c1, c2, cv, bounds
 
 
 def bucket(context: np.ndarray) -> np.ndarray:
@@ -163,10 +172,9 @@ def _bins(p: np.ndarray) -> np.ndarray:
 def _tally(n_kept: int):
     def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         out = pd.DataFrame({"bucket": [], "p2": [], "p1": [], "n": []}).astype("int64")
-        if not docs["train"].any():
+        if docs.empty:
             return out
-        docs = docs[docs["train"]]
-        c1, c2, cv, _ = _probabilities(docs, told, True)
+        c1, c2, cv, _ = _looked_up(docs, told, "kept")
         p2, p1 = _bins(c2 / np.maximum(cv, 1)), _bins(c1 / max(n_kept, 1))
         code, n = np.unique((bucket(cv) * BINS + p2) * BINS + p1, return_counts=True)
         return pd.DataFrame({"bucket": code // (BINS * BINS), "p2": code // BINS % BINS, "p1": code % BINS, "n": n})
@@ -191,16 +199,16 @@ def learn_weights(tally: pd.DataFrame, uniform: float, rounds: int = 60) -> np.n
 
 def _scorer(v: int, n_all: int, weights: np.ndarray):
     def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.reset_index(drop=True)
-        size = docs["text"].str.len().to_numpy()
-        c1, c2, cv, bounds = _probabilities(docs, told, False)
+        if docs.empty:
+            return pd.DataFrame()
+        c1, c2, cv, bounds = _looked_up(docs, told, "total")
         w = weights[bucket(cv)]
         p = w[:, 0] * c2 / np.maximum(cv, 1) + w[:, 1] * c1 / max(n_all, 1) + w[:, 2] / (v + 1)
         base = np.log10((c1 + ALPHA) / (n_all + ALPHA * (v + 1)))
         at = bounds[:-1]
         return pd.DataFrame({
-            "doc_id": docs["doc_id"], "held_out": ~docs["train"].to_numpy(bool), "n_tokens": np.diff(bounds),
-            "n_known": np.add.reduceat((c1 > 0).astype(np.int64), at), "train_tokens": np.full(len(size), n_all, np.int64),
+            "doc_id": docs["doc_id"].to_numpy(), "held_out": ~docs["train"].to_numpy(bool), "n_tokens": np.diff(bounds),
+            "n_known": np.add.reduceat((c1 > 0).astype(np.int64), at), "train_tokens": np.full(len(docs), n_all, np.int64),
             "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(np.log10(p), at),
         })
 
@@ -214,16 +222,20 @@ def score(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     are scored each by itself; an empty table gives no rows; other columns are
     ignored. Sums over tokens are in text order.
     """
-    size = documents.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(DELETED, -(-size // part_bytes))
-    docs = dealt(documents, parts)
-    blocks = docs.mapInPandas(_counter(parts), "range int, part int, keys binary, n array<int>")
-    told = blocks.groupBy("range").applyInPandas(_meet, "part int, keys binary, total array<long>, deleted array<long>")
+    try:
+        documents.select("_metadata.row_index").schema
+    except AnalysisException:  # not read from files: written once, so that rows have a place
+        documents = materialise(documents.select("doc_id", "text"), "lm-documents")
+    rows, size = documents.select(F.count("*"), F.sum(F.octet_length("text"))).first()
+    ranges = max(1, -(-(size or 0) // part_bytes))
+    docs = dealt(documents, max(1, rows // ranges))
+    blocks = docs.mapInPandas(_counter(ranges), "range int, part int, keys binary, n binary")
+    told = blocks.groupBy("range").applyInPandas(_meet, "part int, range int, total binary, kept binary")
     told = materialise(told, "lm-told")
-    at = [F.sum(F.get("total", F.lit(i))) for i in range(4)]
-    v, n_all, v_kept, n_kept = (int(x or 0) for x in told.where("part = -1").agg(*at).first())
+    sums = told.where("part = -1").mapInPandas(_totals, "v long, n long, v_kept long, n_kept long")
+    v, n_all, v_kept, n_kept = (int(x or 0) for x in sums.agg(*[F.sum(c) for c in sums.columns]).first())
     told = told.where("part >= 0")
-    chosen = F.col("part") % DELETED == 0
+    chosen = F.col("part") % 2 == 1
     tally = docs.where(chosen).groupBy("part").cogroup(told.where(chosen).groupBy("part")).applyInPandas(_tally(n_kept), "bucket long, p2 long, p1 long, n long")
     tally = tally.groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS x BINS x BINS rows at most
     weights = learn_weights(tally, 1 / (v_kept + 1))
