@@ -1,0 +1,51 @@
+"""Order checks and snapshot attachment on a stream: one state per shard."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupState
+
+OUTPUT = "shard int, arrival bigint, kind string, seqno bigint, snap_start bigint, snap_end bigint, violation string, unreached boolean"
+STATE = "snap_start bigint, snap_end bigint, last bigint, stopped boolean"
+
+
+def fold(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+    """The order rules over one shard's rows, sorted by arrival: the form that the window form in operators.order is tested against."""
+    start, end, last, stopped = state
+    out = []
+    for arrival, kind, seqno, s, e in rows[["arrival", "kind", "seqno", "snap_start", "snap_end"]].itertuples(index=False):
+        violation, seqno = None, None if pd.isna(seqno) else int(seqno)
+        was = stopped
+        if kind == "snapshot_marker":
+            start, end = int(s), int(e)
+            violation = "marker_behind" if end < last else None
+        elif seqno is not None:
+            if end is None:
+                violation = "no_snapshot"
+            elif not start <= seqno <= end:
+                violation = "outside"
+            elif seqno <= last:
+                violation = "non_monotonic"
+            last = max(last, seqno)
+        out.append((arrival, kind, seqno, start, end, violation, was))
+        stopped = stopped or violation is not None or kind == "stream_end"
+    return (start, end, last, stopped), pd.DataFrame(out, columns=["arrival", "kind", "seqno", "snap_start", "snap_end", "violation", "unreached"])
+
+
+def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    rows = pd.concat(list(batches)).sort_values("arrival")
+    before = state.get if state.exists else (None, None, 0, False)
+    after, out = fold(before, rows)
+    state.update(after)
+    out.insert(0, "shard", key[0])
+    for c in ("seqno", "snap_start", "snap_end"):
+        out[c] = out[c].astype("Int64")
+    yield out
+
+
+def check_order(stream: DataFrame) -> DataFrame:
+    """stream (shard, arrival, kind, seqno, snap_start, snap_end) labelled as it comes; a micro-batch of one shard is sorted by arrival."""
+    return stream.groupBy("shard").applyInPandasWithState(_step, OUTPUT, STATE, "append", "NoTimeout")
