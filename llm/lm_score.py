@@ -77,7 +77,7 @@ def dealt(documents: DataFrame, part_rows: int) -> DataFrame:
     run = F.xxhash64(F.regexp_extract("_metadata.file_path", "[^/]*$", 0), F.floor(F.col("_metadata.row_index") / part_rows))
     left_out = train & (F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(DELETED)) == 0)
     part = F.pmod(run, F.lit(1 << 30)) * 2 + left_out.cast("int")
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), train.alias("train"), part.cast("int").alias("part"))
+    return documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), train.alias("train"), part.cast("int").alias("part"))
 
 
 def _counted(texts, train: np.ndarray):
@@ -239,5 +239,6 @@ def score(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     tally = docs.where(chosen).groupBy("part").cogroup(told.where(chosen).groupBy("part")).applyInPandas(_tally(n_kept), "bucket long, p2 long, p1 long, n long")
     tally = tally.groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS x BINS x BINS rows at most
     weights = learn_weights(tally, 1 / (v_kept + 1))
-    schema = f"doc_id {dict(documents.dtypes)['doc_id']}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return docs.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(_scorer(v, n_all, weights), schema)
+    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    scored = docs.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(_scorer(v, n_all, weights), schema)
+    return scored.withColumn("doc_id", F.col("doc_id").cast(dict(documents.dtypes)["doc_id"]))

@@ -12,7 +12,6 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
-from html import escape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -145,14 +144,14 @@ def sequence(html: str | None) -> list[dict]:
 
 def parse(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """key, position, kind (text or media), text, ref, caption: a row per item of each page's HTML."""
-    dtype = dict(pages.dtypes)[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = [(k, i, x["kind"], x["text"], x["ref"], x["caption"]) for k, h in zip(b[key], b["html"]) for i, x in enumerate(sequence(h))]
             yield pd.DataFrame(rows, columns=[key, "position", "kind", "text", "ref", "caption"])
 
-    return pages.select(key, "html").mapInPandas(run, f"`{key}` {dtype}, position int, kind string, text string, ref string, caption string")
+    items = pages.select(F.col(key).cast("string").alias(key), "html").mapInPandas(run, f"`{key}` string, position int, kind string, text string, ref string, caption string")
+    return items.withColumn(key, F.col(key).cast(dict(pages.dtypes)[key]))
 
 
 def resolve(items: DataFrame, described: DataFrame) -> DataFrame:
