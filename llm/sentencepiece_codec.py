@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,10 +28,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm._text import range_hashes
+from llm._text import range_hashes, slices
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
+#: A space run and what follows it.
+_UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
+#: Distinct units whose ids are kept for later texts.
+MOST_KNOWN = 400_000
+#: Bytes of text encoded together, about.
+SLICE_BYTES = 4 << 20
 #: Units of more characters are merged one by one with a heap.
 LONG = 96
 #: Below the worst piece by so much is a character that is no piece.
@@ -76,6 +83,7 @@ class Vocabulary:
         self.hashes, self.ids, self.scores = hashes[order], np.array(normal, np.int32)[order], scores[order]
         assert len(np.unique(self.hashes)) == len(self.hashes), "two pieces share a hash"
         self.raw = [bytes([int(pieces[i][3:5], 16)]) if is_byte[i] else pieces[i].replace(SPACE, " ").encode("utf-8", "surrogatepass") if i in ordinary else b"" for i in range(n)]
+        self.known, self.flat, self.start = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
         if kind == "bpe":
             self._index_merges(dict(zip((pieces[i] for i in normal), zip(normal, scores.tolist()))))
 
@@ -108,6 +116,7 @@ class Vocabulary:
         self.chain = int(np.diff(self.slot_at).max())
         points = {ord(p): known[p][0] for p in known if len(p) == 1}
         self.of_point = np.full(max(points) + 2, -1, np.int32)
+        self.of_point[:128] = self.bytes_at[:128]  # an ASCII character without a piece is its one byte piece, which no merge has
         self.of_point[list(points)] = list(points.values())
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
@@ -125,20 +134,20 @@ class Vocabulary:
             found[hit] = here[hit]
         return np.where((left >= 0) & (right >= 0), found, -1)
 
-    def merge(self, units: list[str]) -> list[np.ndarray]:
-        """Piece ids of each unit under a BPE model: the best-ranked, leftmost merge first, until none is left."""
+    def merge(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All units' piece ids in a row, and how many each has, under a BPE model: the best-ranked, leftmost merge first, until none is left."""
         lengths = np.array([len(u) for u in units])
         codes = _code_points("".join(units)).astype(np.int64)
         ends = np.cumsum(lengths)
         ids = self.of_point[np.minimum(codes, len(self.of_point) - 1)]
         ids = np.where(ids >= 0, ids, (-1 - codes).astype(np.int32))  # a character without a piece is kept as such
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(units)
+        made: list[tuple[np.ndarray, np.ndarray]] = []  # units and their ids, a row each, by length
         order = np.argsort(-lengths, kind="stable")
         rows, owner, last = np.zeros((0, 0), np.int32), np.zeros(0, np.int64), len(self.merge_keys)
         at = 0
         while at < len(order) and lengths[order[at]] > LONG:
             u = order[at]
-            out[u] = self._spelt(self._merge_long(ids[ends[u] - lengths[u] : ends[u]]))
+            made.append((np.array([u]), self._spelt(self._merge_long(ids[ends[u] - lengths[u] : ends[u]]))[None, :]))
             at += 1
         length = int(lengths[order[at]]) if at < len(order) else 0
         while length:
@@ -162,8 +171,9 @@ class Vocabulary:
                     ends_here = np.ones(len(rows), bool)
                 done = rows[ends_here]
                 plain = (done >= 0).all(1)
-                for u, row, is_plain in zip(owner[ends_here].tolist(), done, plain.tolist()):
-                    out[u] = row if is_plain else self._spelt(row)
+                whose = owner[ends_here]
+                made.append((whose[plain], done[plain]))
+                made.extend((whose[i : i + 1], self._spelt(done[i])[None, :]) for i in np.flatnonzero(~plain))
                 go = np.flatnonzero(~ends_here)
                 if len(go):
                     p = p[go]
@@ -175,7 +185,14 @@ class Vocabulary:
                     rows = np.zeros((0, 0), np.int32)
                 owner = owner[go]
             length = length - 1 if len(rows) else (int(lengths[order[at]]) if at < len(order) else 0)
-        return out
+        size = np.zeros(len(units), np.int64)
+        for whose, ids in made:
+            size[whose] = ids.shape[1]
+        start = np.cumsum(size) - size
+        flat = np.zeros(int(size.sum()), np.int32)
+        for whose, ids in made:
+            flat[start[whose][:, None] + np.arange(ids.shape[1])] = ids
+        return flat, size
 
     def _merge_long(self, ids: np.ndarray) -> np.ndarray:
         """merge() for one long unit: a heap of merges over linked symbols."""
@@ -273,19 +290,27 @@ class Vocabulary:
         return np.array(whole, np.int32)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Piece ids of each whole text; none for null and empty texts."""
-        known: dict[str, int] = {}
-        lines = []
-        for t in texts:
-            if not t:
-                lines.append([])
-                continue
-            marked = SPACE + t.replace(SPACE, _FREE).replace(" ", SPACE)
-            lines.append([known.setdefault(u, len(known)) for u in _units(marked)])
-        if not known:
-            return [np.zeros(0, np.int32) for _ in texts]
-        found = (self.merge if self.kind == "bpe" else self.segment)(list(known))
-        return [np.concatenate([found[i] for i in line]) if line else np.zeros(0, np.int32) for line in lines]
+        """Piece ids of each whole text; none for null and empty texts. Units seen before are looked up."""
+        lines = [_UNIT.findall(SPACE + t.replace(SPACE, _FREE).replace(" ", SPACE)) if t else [] for t in texts]
+        if len(self.known) > MOST_KNOWN:
+            self.known, self.flat, self.start = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
+        if new := list({u for line in lines for u in line} - self.known.keys()):
+            if self.kind == "bpe":
+                flat, size = self.merge(new)
+            else:
+                found = self.segment(new)
+                flat, size = np.concatenate(found), np.array([len(x) for x in found])
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.flat = np.concatenate((self.flat, flat))
+            self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(size)))
+        out = []
+        for line in lines:
+            unit = np.fromiter(map(self.known.__getitem__, line), np.int64, len(line))
+            begin = self.start[unit]
+            size = self.start[unit + 1] - begin
+            total = np.cumsum(size)
+            out.append(self.flat[np.repeat(begin - total + size, size) + np.arange(total[-1])] if line else np.zeros(0, np.int32))
+        return out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """The texts of id sequences: encode() undone."""
@@ -297,35 +322,23 @@ class Vocabulary:
         return out
 
 
-def _units(marked: str) -> list[str]:
-    """Cuts before every run of space marks: each unit is such a run and what follows it."""
-    out, bare = [], marked.split(SPACE)
-    run = ""
-    for word in bare[1:]:
-        run += SPACE
-        if word:
-            out.append(run + word)
-            run = ""
-    if run:
-        out.append(run)
-    return out
-
-
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary.load(path)
 
 
-def encode_column(path: str):
-    """A column expression factory: texts to arrays of piece ids."""
-
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _encoded(documents: DataFrame, path: str, check: bool) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocabulary(path)
-        for s in batches:
-            yield pd.Series(v.encode(s.tolist()))
+        for b in slices(batches, SLICE_BYTES):
+            texts = ["" if t is None else t for t in b["text"]]
+            ids = v.encode(texts)
+            out = {"doc_id": b["doc_id"], "n_tokens": [len(x) for x in ids], "token_ids": ids}
+            yield pd.DataFrame(out | ({"restored": [x == t for x, t in zip(v.decode(ids), texts)]} if check else {}))
 
-    return run
+    schema = "doc_id string, n_tokens long, token_ids array<int>" + ", restored boolean" * check
+    x = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, schema)
+    return x.withColumn("doc_id", F.col("doc_id").cast(dict(documents.dtypes)["doc_id"]))
 
 
 def decode_column(path: str):
@@ -347,8 +360,7 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
     itself; an empty table gives no rows; other columns are ignored. The file
     must be at `path` on every executor.
     """
-    ids = documents.select("doc_id", encode_column(path or model_path())("text").alias("token_ids"))
-    return ids.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
+    return _encoded(documents, path or model_path(), False)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -358,15 +370,4 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def round_trip(documents: DataFrame, path: str | None = None) -> DataFrame:
     """encode(), with `restored`: whether decoding the ids gives the whole text again."""
-    path = path or model_path()
-
-    @F.pandas_udf("struct<token_ids: array<int>, restored: boolean>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        v = vocabulary(path)
-        for s in batches:
-            texts = ["" if t is None else t for t in s]
-            ids = v.encode(texts)
-            yield pd.DataFrame({"token_ids": ids, "restored": [a == b for a, b in zip(v.decode(ids), texts)]})
-
-    x = documents.select("doc_id", run("text").alias("x"))
-    return x.select("doc_id", F.size("x.token_ids").cast("long").alias("n_tokens"), "x.token_ids", "x.restored")
+    return _encoded(documents, path or model_path(), True)
