@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
-from llm._common import checked_broadcast, materialise
+from llm._common import bounded_batches, checked_broadcast, materialise
 from llm._graph import components
 from llm._text import mix64, shingle_sets, slices
 
@@ -41,6 +41,8 @@ COORDINATES, BAND = 96, 4
 SMALL = 8
 #: Bytes of shingle sets in a block of a cluster, about.
 BLOCK_BYTES = 2 << 20
+#: Characters of text sketched together, about.
+SLICE_BYTES = 2 << 20
 #: Pairs whose sketches agree on fewer coordinates are not verified: five standard deviations below the threshold.
 LEAST_AGREEING = 57
 
@@ -73,7 +75,7 @@ def bands(coordinates: np.ndarray, rows: int = BAND) -> np.ndarray:
 
 def _sketcher(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in slices(batches):
+        for b in slices(batches, SLICE_BYTES):
             sets, bounds = shingle_sets(b["text"], width)
             sketch = sketches(sets, bounds)
             raw = sets.tobytes()
@@ -95,7 +97,7 @@ def _bander(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _set_maker(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in slices(batches):
+        for b in slices(batches, SLICE_BYTES):
             sets, bounds = shingle_sets(b["text"], width)
             yield pd.DataFrame({"node": b["node"], "shingles": [sets[s:e].view(np.int64) for s, e in zip(bounds[:-1], bounds[1:])]})
 
@@ -144,7 +146,7 @@ def _compare(percent: int):
             return x
 
         coordinates = np.frombuffer(b"".join(pdf["coordinates"]), np.uint16).reshape(len(pdf), -1)
-        sets = [np.asarray(x) for x in pdf["shingles"]]
+        sets = [np.asarray(x).view(np.uint64) for x in pdf["shingles"]]  # sorted as unsigned
         n = np.array([len(x) for x in sets])
         most = np.bincount(at).argmax()
         same = len(np.unique(side)) == 1
@@ -192,6 +194,7 @@ def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
     texts. An empty table gives no rows; other columns are ignored. doc_id is an
     integer; null ids are left out.
     """
+    bounded_batches(documents.sparkSession)
     base = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n long, digest binary, coordinates binary"
     all_ = materialise(base.mapInPandas(_sketcher(width), schema), "near-sketches")
