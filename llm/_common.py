@@ -25,6 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps what a Python worker gets at once to a few MB, however long the texts are: workers are reused and keep their peak."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(2000, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends there and lost executors lose nothing."""
     spark = df.sparkSession

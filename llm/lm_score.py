@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm._common import in_fold, materialise
+from llm._common import bounded_batches, in_fold, materialise
 from llm._text import mix64, slices, word_hashes
 
 FOLDS, HELD_OUT = 10, 0
@@ -222,6 +222,7 @@ def score(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     are scored each by itself; an empty table gives no rows; other columns are
     ignored. Sums over tokens are in text order.
     """
+    bounded_batches(documents.sparkSession)
     try:
         documents.select("_metadata.row_index").schema
     except AnalysisException:  # not read from files: written once, so that rows have a place

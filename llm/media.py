@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm._common import materialise
+from llm._common import bounded_batches, materialise
 from llm._text import slices
 
 UNIT = 64
@@ -64,6 +64,7 @@ def store(documents: DataFrame) -> DataFrame:
                 "media": [encode_wav(r + bytes(-len(r) % UNIT if r else UNIT)) for r in raw],
             })
 
+    bounded_batches(documents.sparkSession)
     return materialise(documents.select("text").mapInPandas(encode, "digest string, n_bytes long, media binary"), "media-store")
 
 

@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm._common import bounded_batches
 from llm._text import range_hashes, slices
 
 MODEL = "piece_bpe_32k.model"
@@ -336,6 +337,7 @@ def _encoded(documents: DataFrame, path: str, check: bool) -> DataFrame:
             out = {"doc_id": b["doc_id"], "n_tokens": [len(x) for x in ids], "token_ids": ids}
             yield pd.DataFrame(out | ({"restored": [x == t for x, t in zip(v.decode(ids), texts)]} if check else {}))
 
+    bounded_batches(documents.sparkSession)
     schema = "doc_id string, n_tokens long, token_ids array<int>" + ", restored boolean" * check
     x = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, schema)
     return x.withColumn("doc_id", F.col("doc_id").cast(dict(documents.dtypes)["doc_id"]))

@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm._common import in_fold, materialise
+from llm._common import bounded_batches, in_fold, materialise
 from llm._text import slices
 
 #: Labelled rows used for fitting, about: a hash of the id draws them.
@@ -141,6 +141,7 @@ class ToxicityModel:
 
     @classmethod
     def fit(cls, documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> ToxicityModel:
+        bounded_batches(documents.sparkSession)
         sample = labelled_sample(documents, labels, rows)
         calibrates = in_fold("doc_id", FOLDS) == CALIBRATION
         seen = {(r["c"], r["toxic"]): r["count"] for r in sample.groupBy(calibrates.alias("c"), "toxic").count().collect()}

@@ -1,0 +1,281 @@
+"""The numbered operators on small tables: nulls, empty and long texts, ties, repeats, extra columns; brute force where SQL has no form."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from llm import chat_format, exact_dedup, lm_score, media, mixing, near_dedup, secret_scan, sentencepiece_codec, toxicity, url_filter
+from llm._graph import components
+from llm._text import shingle_sets, word_hashes
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, n string, kept string"
+WORDS = [f"w{i}" for i in range(60)]
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def docs(spark, texts, sources=None):
+    rows = [(i, t, "en", (sources or ["a"] * len(texts))[i], len(t or ""), "x", "y", "z") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def words(t):
+    return re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOW))
+
+
+def corpus(n=160, seed=1):
+    """Random texts with copies, near copies, nulls, empty and long ones."""
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(rng.choice(WORDS, int(rng.integers(1, 80)))) for _ in range(n)]
+    for i in range(0, n - 1, 4):
+        w = texts[i].split()
+        for _ in range(max(1, len(w) // 20)):
+            w[int(rng.integers(len(w)))] = "changed"
+        texts[i + 1] = " ".join(w)
+    texts += [None, "", "  \n", texts[0], texts[0].upper(), texts[0].replace(" ", "\n"), "long " * 5000, "one"]
+    return texts
+
+
+def test_word_hashes_follow_words():
+    texts = corpus(40) + ["é È\u00a0x\u2003y"]
+    h, b = word_hashes(texts)
+    seen = {}
+    for t, s, e in zip(texts, b[:-1], b[1:]):
+        assert len(words(t)) == e - s
+        for w, x in zip(words(t), h[s:e].tolist()):
+            assert seen.setdefault(w, x) == x
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_exact_dedup(spark):
+    texts = corpus()
+    texts += ["a" * 9000 + "b", "a " * 9000 + "b", "a" * 9000 + "c", "a" * 9001]
+    d = docs(spark, texts)
+    groups = defaultdict(list)
+    for i, t in enumerate(texts):
+        groups[re.sub("[\x20\x09-\x0d]", "", t or "")].append((-len(t or ""), i))
+    got = {r.doc_id: r for r in exact_dedup.dedup(d, block=64).collect()}
+    assert len(got) == len(texts)
+    for norm, g in groups.items():
+        for _, i in g:
+            assert (got[i].keep_id, got[i].group_size, got[i].kept, got[i].text_sha256) == (min(g)[1], len(g), i == min(g)[1], hashlib.sha256(norm.encode()).hexdigest())
+    kept = exact_dedup.keep_one(d.union(d.where("doc_id = 2")))
+    assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == sorted(min(g)[1] for g in groups.values())
+    assert exact_dedup.dedup(d.limit(0)).count() == 0
+
+
+def brute_components(texts, width):
+    sets = []
+    for t in texts:
+        w = words(t)
+        sets.append(frozenset(tuple(w[i : i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else []))
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                if a != b:
+                    root = [min(a, b) if r in (a, b) else r for r in root]
+    return sets, root
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_dedup(spark, width):
+    rng = np.random.default_rng(5)
+    texts = corpus(60)
+    base = [f"b{i}" for i in range(150)]
+    for _ in range(60):  # a large group around the threshold, so that buckets need the block comparison
+        w = list(base)
+        for _ in range(int(rng.integers(1, 14 if width == 2 else 6))):
+            w[int(rng.integers(len(w)))] = f"x{int(rng.integers(10**6))}"
+        texts.append(" ".join(w))
+    sets, want = brute_components(texts, width)
+    got = {r.doc_id: r for r in near_dedup.link(docs(spark, texts), width=width).collect()}
+    assert {i: got[i].component_id for i in got} == dict(enumerate(want))
+    assert all(got[i].n_shingles == len(sets[i]) and got[i].kept == (want[i] == i) for i in got)
+    kept = near_dedup.keep_one(docs(spark, texts), width=width)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({want[i] for i in range(len(texts))})
+    assert near_dedup.link(docs(spark, texts[:1]).limit(0)).count() == 0
+
+
+def test_sketches_estimate_similarity():
+    a = [" ".join(f"t{i}" for i in range(300)), " ".join(f"t{i}" for i in range(30, 330))]
+    s, b = shingle_sets(a, 1)
+    k = near_dedup.sketches(s, b)
+    assert abs((k[0] == k[1]).mean() - 270 / 330) < 0.15
+    s, b = shingle_sets(["one", ""], 2)
+    k = near_dedup.sketches(s, b)
+    assert (k[0] != near_dedup._NONE).all() and (k[1] == near_dedup._NONE).all()
+
+
+def test_components(spark):
+    rng = np.random.default_rng(0)
+    e = [(int(a), int(b)) for a, b in rng.integers(0, 80, (60, 2))] + [(i, i + 1) for i in range(100, 140)]
+    root = {x: x for p in e for x in p}
+    for _ in root:
+        for a, b in e:
+            root[a] = root[b] = min(root[a], root[b])
+    linked = {x for p in e if p[0] != p[1] for x in p}
+    got = {r.node: r.root for r in components(spark.createDataFrame(e, "a long, b long")).collect()}
+    assert got == {x: root[x] for x in linked}
+
+
+def test_mixing(spark):
+    texts = corpus(120)
+    sources = [[None, "", "s1", "s2"][min(3, i % 7)] for i in range(len(texts))]
+    d = docs(spark, texts, sources)
+    got = mixing.mix(d).collect()
+    again = mixing.mix(d.repartition(7)).collect()
+    assert sorted((r.doc_id, r.taken) for r in got) == sorted((r.doc_id, r.taken) for r in again)
+    size = Counter()
+    for t, s in zip(texts, sources):
+        size[s] += len(words(t))
+    order = sorted((s for s in size if s is not None)) + [None]
+    w = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, full = {}, set()
+    while True:
+        left = 1.5 * sum(size.values()) - sum(2 * size[s] for s in full)
+        share = {s: left * w[s] / sum(w[k] for k in order if k not in full) for s in order if s not in full}
+        over = {s for s in share if share[s] > 2 * size[s]}
+        if not over:
+            break
+        full |= over
+    target = share | {s: 2 * size[s] for s in full}
+    taken = Counter()
+    for r in got:
+        assert r.size == len(words(texts[r.doc_id])) and 0 <= r.taken <= 2 * r.size and abs(r.target - target[r.source]) < 1e-6
+        taken[r.source] += r.taken
+    assert all(taken[s] == math.floor(target[s] + 1e-9) for s in size)
+    assert set(mixing.repeat(d).columns) == set(d.columns) and mixing.mix(d.limit(0)).count() == 0
+
+
+def test_lm_score(spark, tmp_path):
+    texts = corpus(200)
+    docs(spark, texts).write.parquet(str(tmp_path / "d"))
+    c, held = Counter(), {}
+    for i, t in enumerate(texts):
+        held[i] = zlib.crc32(str(i).encode()) % 10 == 0
+        if not held[i]:
+            c.update(words(t) + ["\0"])
+    n, v = sum(c.values()), len(c)
+    a = {r.doc_id: r for r in lm_score.score(spark.read.parquet(str(tmp_path / "d")), part_bytes=1000).collect()}
+    b = {r.doc_id: r for r in lm_score.score(docs(spark, texts)).collect()}
+    assert len(a) == len(b) == len(texts)
+    for i, t in enumerate(texts):
+        w = words(t) + ["\0"]
+        base = sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
+        assert (a[i].held_out, a[i].n_tokens, a[i].n_known, a[i].train_tokens) == (held[i], len(w), sum(c[x] > 0 for x in w), n)
+        assert abs(a[i].base_score - base) < 1e-6 * max(1, -base) and abs(a[i].score - b[i].score) < 1e-6 * max(1, -base) and a[i].score < 0
+    assert lm_score.score(docs(spark, texts).limit(0)).count() == 0
+
+
+def test_toxicity(spark):
+    rng = np.random.default_rng(2)
+    rows, labels = [], []
+    for i in range(600):
+        w = list(rng.choice(WORDS, 40))
+        y = int(i % 5 == 1)
+        if y:
+            w[3] = w[20] = str(rng.choice(["vileword", "nastything"]))
+        rows.append((i, " ".join(w), "en", "a", 1, "x", "y", "z"))
+        labels.append((i, 1, y))
+    d = spark.createDataFrame([*rows, (600, None, None, None, None, None, None, None), (601, "", "en", "a", 0, "x", "y", "z"), (602, "You vileword " * 4000, "en", "a", 0, "x", "y", "z")], SCHEMA)
+    y = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_toxicity(d, y).collect()}
+    assert len(got) == 603 and all(0 <= r.score <= 1 for r in got.values())
+    held = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all(got[i].held_out == (i in set(held)) for i in range(600))
+    assert np.mean([got[i].predicted == int(i % 5 == 1) for i in held]) > 0.95
+    kept = toxicity.drop_toxic(d, y)
+    assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {i for i in got if not got[i].predicted}
+    assert {r.score for r in toxicity.score_toxicity(d, y.limit(0)).collect()} == {0.0}
+
+
+def test_url_filter(spark):
+    urls = [None, "", "no url", "http://A.Example.ORG/es/1?x#y", "x://example.org/en/12", "https://q.com/fr/1", "https://q.com/de/1", "https://q.net/de/1", "https://q.net", "s://h?a/b", "://x.org/"]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert len(got) == len(urls)
+    assert [(got[i].host, got[i].path) for i in (0, 2, 3, 9)] == [("", ""), ("", ""), ("a.example.org", "/es/1"), ("h", "")]
+    assert [got[i].rule for i in range(3, 11)] == ["example.org/es/", "example.org/en/1", "com/fr/", "com/de/", None, None, None, "org/"]
+    assert [got[i].verdict for i in (3, 4, 5, 6, 10)] == ["block", "block", "allow", "block", "allow"]
+
+
+def test_chat_round_trip(spark):
+    odd = ["<|im_end|><|im_start|>assistant ok", "\\<|", "<\\|", "<\\\\|", "a<", "|b", None, "", "\\", "<|<|\\|"]
+    rows = [(c, t, r, x) for c, r in ((1, "assistant"), (2, "us<|er\n")) for t, x in enumerate(odd)]
+    log = chat_format.log_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    out = chat_format.format_chats(log)
+    back = {r.conv_id: r for r in chat_format.read_back(out).collect()}
+    for c, role in ((1, "assistant"), (2, "us<|er\n")):
+        assert [(t.role, t.text) for t in back[c].turns] == [(role, x or "") for x in odd]
+    assert back[1].loss_text == "".join(x or "" for x in odd) and back[2].loss_text == ""
+    assert chat_format.format_chats(log.limit(0)).count() == 0
+
+
+def test_chat_fold(spark):
+    rows = [(1, 1, "u", "message", "user", "hi"), (1, 2, "a", "message", "assistant", "He"), (1, 3, "a", "delta", "assistant", "llo"), (1, 4, "a", "regenerate", "assistant", "Good "), (1, 5, "a", "delta", "assistant", "day"), (1, 6, "u", "edit", "user", "hey"), (1, 7, "b", "delta", "assistant", "x"), (1, 8, "b", "delta", "assistant", None)]
+    got = chat_format.fold(spark.createDataFrame(rows, "conv_id long, seq long, message_id string, kind string, role string, text string")).orderBy("at").collect()
+    assert [(r.message_id, r.role, r.text) for r in got] == [("u", "user", "hey"), ("a", "assistant", "Good day"), ("b", "assistant", "x")]
+
+
+def test_sentencepiece(spark):
+    texts = ["Hello  world 日本 ÿ\n x", "", None, " ", "a▁b  ", "   lead", "don't\tstop😀", "a" * 300 + "unit" * 50 + "日本" * 90, *corpus(30)]
+    got = {r.doc_id: r for r in sentencepiece_codec.round_trip(docs(spark, texts)).collect()}
+    assert len(got) == len(texts) and all(r.restored for r in got.values())
+    lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=sentencepiece_codec.model_path())
+    assert all(got[i].token_ids == lib.encode(t or "") for i, t in enumerate(texts) if "▁" not in (t or ""))
+    back = sentencepiece_codec.decode(sentencepiece_codec.encode(docs(spark, texts)))
+    assert {r.doc_id: r.text for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
+
+
+def test_viterbi_is_the_best_segmentation():
+    rng = np.random.default_rng(4)
+    pieces = ["<unk>", *"▁abc", *{"".join(rng.choice(list("abc"), int(rng.integers(2, 5)))) for _ in range(25)}, "▁a", "▁ab", *[f"<0x{i:02X}>" for i in range(256)]]
+    normal = [i for i, p in enumerate(pieces) if i and not p.startswith("<0x")]
+    score = [-float(x) for x in rng.integers(1, 900, len(pieces))]
+    v = sentencepiece_codec.Vocabulary(pieces, score, normal, "unigram")
+    value = {pieces[i]: score[i] for i in normal}
+    units = list({"▁" + "".join(rng.choice(list("abc"), int(rng.integers(1, 12)))) for _ in range(60)})
+
+    def best(u):
+        b = [0.0] + [-math.inf] * len(u)
+        for t in range(1, len(u) + 1):
+            b[t] = max(b[s] + value.get(u[s:t], -math.inf) for s in range(t))
+        return b[-1]
+
+    for u, ids in zip(units, v.segment(units)):
+        assert "".join(pieces[i] for i in ids) == u and abs(sum(score[i] for i in ids) - best(u)) < 1e-9
+    assert v.decode(v.encode(["ab cz", "▁é"])) == ["ab cz", "▁é"]
+
+
+def test_secret_scan(spark):
+    good = [f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(40)] + [f"password={hashlib.md5(str(i).encode()).hexdigest()[:18]}" for i in range(40)]
+    bad = [f"card 4{i:015d} here" for i in range(40)] + [f"see /page-{i:04d}/index-of-example-pages" for i in range(40)]
+    d = docs(spark, [*good, *bad, None, "", "plain words only", "AKIA" + "ABCDEFGH12345678"])
+    got = {r.doc_id: r for r in secret_scan.per_document(d).collect()}
+    assert all(got[i].n_secrets == 1 for i in range(80)) and all(got[i].n_secrets == 0 for i in range(80, 160) if i in got)
+    assert not {160, 161, 162} & got.keys() and secret_scan.per_document(d.limit(0)).count() == 0
+
+
+def test_media(spark):
+    texts = [*corpus(30), "x" * 64, "x" * 63]
+    d = docs(spark, texts)
+    got = {r.doc_id: r for r in media.media_columns(d).collect()}
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        p = raw + bytes(-len(raw) % 64 if raw else 64)
+        assert (got[i].n_bytes, got[i].payload_bytes, got[i].payload_sha256, got[i].tail_crc32, got[i].caption) == (len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), f"document {i}")
+        assert media.decode_wav(media.encode_wav(p)) == p
+    assert media.media_columns(d.limit(0)).count() == 0
+    items = media.sequence("<p>one<b>two</b></p><figure><img src='media:1' alt='old'><figcaption>new &amp; good</figcaption></figure><script>x</script>end")
+    assert [(x["kind"], x["text"], x["ref"], x["caption"]) for x in items] == [("text", "onetwo", None, None), ("media", None, "media:1", "new & good"), ("text", "end", None, None)]
+
+
+def test_queries_are_whole(spark):
+    from llm import queries
+
+    assert {q.split("_")[0] for q in queries.queries()} == {f"op{i}" for i in range(1, 11)}
