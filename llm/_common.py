@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a narrow table (ids, digests) that may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
+#: A key is hot if it holds more than one row in so many; so there are fewer hot keys than this.
+HOT_KEYS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,19 @@ def checked_broadcast(df: DataFrame, rows: int | None = None, most: int = BROADC
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
 
 
+def hot_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str) -> DataFrame:
+    """Inner join of rows with groups (materialised, one row per key), where `size` is a key's number of rows.
+
+    Hot keys are fewer than HOT_KEYS, so their groups are broadcast and their rows
+    stay where they are; all others are shuffled as usual. The columns are those of
+    rows.join(groups, on).
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = groups.where(F.col(size) * HOT_KEYS > total)
+    few = rows.join(F.broadcast(hot), on)
+    return few.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(groups.where(F.col(size) * HOT_KEYS <= total), on))
+
+
 def lower_ascii(col):
     """A-Z lower-cased, all else as it is."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm._common import checked_broadcast, materialise
+from llm._common import checked_broadcast, hot_join, materialise
 
 #: Characters in a block.
 BLOCK = 4096
@@ -78,8 +78,8 @@ def dedup(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     named = materialise(identities(documents, block), "dedup-identities")
     best = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("null"), "doc_id", "rid"))
-    groups = named.groupBy("level", "name").agg(F.count("*").alias("group_size"), best.alias("best"))
-    return named.join(groups, ["level", "name"]).select(
+    groups = materialise(named.groupBy("level", "name").agg(F.count("*").alias("group_size"), best.alias("best")), "dedup-groups")
+    return hot_join(named, groups, ["level", "name"], "group_size").select(
         "rid", "doc_id", "n_points", "text_sha256", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("best.rid")).alias("kept")
     )
 
