@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
-from llm._common import bounded_batches, checked_broadcast, materialise
+from llm._common import bounded_batches, checked_broadcast, hot_join, materialise
 from llm._graph import components
 from llm._text import mix64, shingle_sets, slices
 
@@ -198,34 +198,33 @@ def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
     base = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n long, digest binary, coordinates binary"
     all_ = materialise(base.mapInPandas(_sketcher(width), schema), "near-sketches")
-    first = all_.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "n", "coordinates")).alias("r")).select("digest", "r.*")
+    first = all_.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "n", "coordinates")).alias("r"), F.count("*").alias("copies")).select("digest", "copies", "r.*")
     classes = materialise(first.withColumnRenamed("doc_id", "node"), "near-classes")
     members = materialise(classes.select("node", "coordinates").mapInPandas(_bander, "bucket long, node long"), "near-bands")
-    sizes = members.groupBy("bucket").count().where("count > 1")
-    members = materialise(members.join(sizes.select("bucket"), "bucket"), "near-buckets")
-    involved = materialise(members.select("node").distinct(), "near-involved")
+    buckets = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
+    star = materialise(hot_join(members, materialise(buckets, "near-buckets"), ["bucket"], "size").drop("size"), "near-stars")
+    involved = materialise(star.select("node").distinct(), "near-involved")
     sketch = materialise(classes.select("node", "n", "coordinates").join(involved, "node"), "near-coordinates")
     texts = base.withColumnRenamed("doc_id", "node").join(checked_broadcast(involved, most=1_000_000), "node", "left_semi")
     sets = materialise(texts.mapInPandas(_set_maker(width), "node long, shingles array<long>"), "near-sets")
 
-    star = members.groupBy("bucket").agg(F.min("node").alias("leader"))
-    star = materialise(members.join(star, "bucket"), "near-stars")
     links = _verified(star.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sketch, sets, percent)
     roots = materialise(components(links), "near-roots")
 
     # each bucket's members without the one that all were compared with
     rest = star.where("node <> leader").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     open_ = rest.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("first")).where("low <> high")
-    rest = materialise(rest.join(open_.select("bucket", "size", "first"), "bucket"), "near-rest")
+    open_ = materialise(open_.select("bucket", "size", "first"), "near-open")
+    rest = materialise(hot_join(materialise(rest, "near-followers"), open_, ["bucket"], "size"), "near-rest")
     few = rest.where(F.col("size") <= SMALL)
     pairs = few.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra")).join(few.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb")), "bucket")
     links = links.union(_verified(pairs.where("a < b AND ra <> rb").select("a", "b").distinct(), sketch, sets, percent))
     links = links.union(_cluster_links(rest.where(F.col("size") > SMALL), sketch, sets, percent))
     roots = components(links)
-    named = classes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
-    out = all_.select("doc_id", "n", "digest").join(named, "digest", "left")
-    root = F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), root.alias("component_id"), (F.col("doc_id") == root).alias("kept"))
+    named = classes.select("digest", "copies", "node").join(roots, "node", "left").select("digest", "copies", F.coalesce("root", "node").alias("root"))
+    out = hot_join(all_.where("n > 0").select("doc_id", "n", "digest"), materialise(named, "near-named"), ["digest"], "copies").select("doc_id", "n", "root")
+    out = out.union(all_.where("n = 0").select("doc_id", "n", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), (F.col("doc_id") == F.col("root")).alias("kept"))
 
 
 def keep_one(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
