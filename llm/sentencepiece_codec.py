@@ -36,9 +36,9 @@ SPACE = "▁"
 #: A space run and what follows it.
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Distinct units whose ids are kept for later texts.
-MOST_KNOWN = 400_000
+MOST_KNOWN = 150_000
 #: Bytes of text encoded together, about.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Units of more characters are merged one by one with a heap.
 LONG = 96
 #: Below the worst piece by so much is a character that is no piece.
