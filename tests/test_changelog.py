@@ -1,5 +1,6 @@
 """Worked cases: routing, order, acknowledgement, gate, rollback, names, wire, stores, configuration."""
 
+import decimal
 import json
 import struct
 
@@ -219,3 +220,39 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(got) == [(0, 1), (0, 2), (0, 3), (1, 1)]
     assert engine.store.load("u", [0, 1])[0]["seqno"] == 2
     assert files.scan(spark, str(tmp_path / "log"), shards=[1], schema=schema).count() == 3
+
+
+def test_progress_stops_where_delivery_does(spark, tmp_path):
+    full = ROW + ", cas bigint, collection_id bigint"
+    rows = [(*marker(1, 1, 9, s), None, None) for s in range(3)] + [(*event(i + 1, i, s), 5 * 10**9 if i == 1 else 10**18, 8 + (s == 1 and i == 3)) for s in range(3) for i in range(1, 6)]
+    marks = spark.createDataFrame([(0, 3), (1, 9), (2, 0)], "shard int, watermark bigint")
+    dim = collections.parse_manifest(spark.createDataFrame([(json.dumps({"uid": "1", "scopes": [{"uid": "8", "name": "s", "collections": [{"uid": "8", "name": "c"}]}]}),)], "json string"))
+    store, got = checkpoints.FileStore(str(tmp_path / "c.json")), []
+    Engine(spark, Config("b", bucket_uuid="u", skip_until_ns=6 * 10**9), store).run_batch(spark.createDataFrame(rows, full), lambda df: got.extend((r.shard, r.seqno) for r in df.collect() if r.seqno), marks, dim)
+    assert sorted(got) == [(0, 2), (0, 3), (1, 2)]
+    assert {k: c["seqno"] for k, c in store.load("u", [0, 1, 2]).items()} == {0: 3, 1: 2}
+
+
+def test_stream_skips_and_keeps_columns(spark, tmp_path):
+    full = ROW + ", cas decimal(20,0), key binary, rev_seqno bigint"
+    rows = [(*marker(1, 1, 9), None, None, None), (*event(2, 1), 5 * 10**9, bytearray(b"a"), 2**60 + 1), (*event(3, 2), 2**63 + 1, bytearray(b"b"), 2**60 + 3), (*event(4, 3), 5 * 10**9, bytearray(b"c"), 1)]
+    files.write_log(spark.createDataFrame([(r[0], r[1], r[2], r[3], r[4], r[5], None if r[6] is None else decimal.Decimal(r[6]), *r[7:]) for r in rows], full), str(tmp_path / "log"))
+    engine, got = Engine(spark, Config("b", mode="finite", bucket_uuid="u", skip_until_ns=6 * 10**9), checkpoints.FileStore(str(tmp_path / "c.json"))), []
+    sub = engine.subscribe(files.stream(spark, str(tmp_path / "log"), schema=full), lambda df, _: got.extend(df.collect()), str(tmp_path / "ck"))
+    sub.query.awaitTermination(120)
+    sub.close()
+    assert [(r.kind, r.seqno, r.cas and int(r.cas), r.key and bytes(r.key), r.rev_seqno) for r in sorted(got, key=lambda r: r.arrival)] == [("snapshot_marker", None, None, None, None), ("mutation", 2, 2**63 + 1, b"b", 2**60 + 3)]
+    assert engine.store.load("u", [0])[0]["seqno"] == 3
+
+
+def test_delegated_rollback(spark, tmp_path):
+    store = checkpoints.FileStore(str(tmp_path / "c.json"))
+    store.save([{"bucket_uuid": "u", "shard": 0, "branch": 10, "seqno": 101, "snap_start": 100, "snap_end": 110, "manifest_uid": 23}])
+    highs, config = spark.createDataFrame([(0, 99)], "shard int, high_seqno bigint"), Config("b", bucket_uuid="u", start_from="checkpoint", rollback_policy="delegate")
+    log, seen = spark.createDataFrame([(0, 0, 20, 50), (0, 1, 10, 0)], "shard int, pos int, branch bigint, seqno bigint"), []
+    with pytest.raises(InvalidConfiguration):
+        Engine(spark, config, store)
+    with pytest.raises(RollbackRequired):
+        Engine(spark, config, store, lambda *case: seen.append(case) or "stop_and_report").starts([0], highs, log)
+    assert seen == [(0, 101, 99, [(20, 50), (10, 0)])]
+    assert Engine(spark, config, store, lambda *case: "rewind_and_replay").starts([0], highs, log).first().start_seqno == 99

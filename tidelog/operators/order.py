@@ -45,7 +45,11 @@ def check_order(log: DataFrame, start_seqno=None, stream_end=None) -> DataFrame:
         .when(event & ((F.col("seqno") < F.col("snap_start")) | (F.col("seqno") > F.col("snap_end")) | F.coalesce(F.col("seqno") > F.col("_end"), F.lit(False))), "outside")
         .when(event & (F.col("seqno") <= F.col("_prev")), "non_monotonic")
     )
-    x = x.withColumn("violation", violation)
+    return stop_after(x.withColumn("violation", violation)).drop("_prev", "_end")
+
+
+def stop_after(x: DataFrame) -> DataFrame:
+    """x with `unreached`: rows after a shard's first violation or after its stream end."""
     stopped = F.col("violation").isNotNull() | (F.col("kind") == "stream_end")
     before = F.coalesce(F.max(stopped.cast("int")).over(_spec(_BEFORE)), F.lit(0))
-    return x.withColumn("unreached", before == 1).drop("_prev", "_end")
+    return x.withColumn("unreached", before == 1)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import Config
-from tidelog.errors import RollbackRequired, StreamError
-from tidelog.operators import collections, filters, gate, order, rollback
+from tidelog.errors import InvalidConfiguration, RollbackRequired, StreamError
+from tidelog.functions.columns import before_cutoff
+from tidelog.operators import collections, gate, order, rollback
 from tidelog.sources import checkpoints as stores
 
 
@@ -18,25 +19,32 @@ def stages(log: DataFrame, config: Config, marks: DataFrame | None = None, dim:
     """order -> gate -> cutoff -> names -> manifest; rows carry violation, unreached, delivered and acked.
 
     The order of the stages is part of the meaning: a held row is not filtered,
-    and a skipped row needs no known collection.
+    and a skipped row needs no known collection. acked: passed over by the cutoff.
+    A row is delivered or acked only if all rows before it in its shard are.
     """
     x = order.check_order(log)
     held = F.lit(True)
     if marks is not None and config.mitigation.enabled:
         x = gate.hold_unsafe(x, marks).withColumnRenamed("delivered", "_safe")
         held = F.col("_safe")
-    if config.skip_until_ns is not None:
-        x = filters.skip_until(x, config.skip_until_ns)
-    else:
-        x = x.withColumns({"delivered": F.lit(True), "acked": F.lit(False)})
-    x = x.withColumn("delivered", F.col("delivered") & held & ~F.col("unreached") & F.col("violation").isNull())
+    passed = held & ~F.col("unreached") & F.col("violation").isNull()
+    x = x.withColumns({"delivered": passed & ~_skipped(config), "acked": passed & _skipped(config)})
     if dim is not None:
         x = collections.decorate(x, dim, strict=False)
         lost = F.col("delivered") & F.col("collection_id").isNotNull() & F.col("collection_name").isNull() & F.col("kind").isin("mutation", "deletion", "expiration")
-        x = x.withColumn("violation", F.coalesce("violation", F.when(lost, "unmapped_collection")))
+        x = order.stop_after(x.withColumn("violation", F.coalesce("violation", F.when(lost, "unmapped_collection"))))
+        reached = ~F.col("unreached") & F.col("violation").isNull()
+        x = x.withColumns({"delivered": F.col("delivered") & reached, "acked": F.col("acked") & reached})
     return x.drop("_safe")
 
 
+def _skipped(config: Config) -> Column:
+    """Whether the cutoff passes over a row; a document without a time is not skipped."""
+    if config.skip_until_ns is None:
+        return F.lit(False)
+    return F.coalesce(before_cutoff(F.col("kind"), F.col("cas"), config.skip_until_ns), F.lit(False))
+
+
 class Subscription:
     """A running stream and its progress."""
 
@@ -62,7 +70,12 @@ class Subscription:
 
 
 class Engine:
-    def __init__(self, spark: SparkSession, config: Config, store: stores.CheckpointStore | None = None):
+    """handler(shard, requested, rollback, failover log) answers stop_and_report or rewind_and_replay; only the policy `delegate` asks it."""
+
+    def __init__(self, spark: SparkSession, config: Config, store: stores.CheckpointStore | None = None, handler: Callable[[int, int, int, list], str] | None = None):
+        if config.rollback_policy == "delegate" and handler is None:
+            raise InvalidConfiguration("the rollback policy delegate needs a handler")
+        self.handler = handler
         self.spark, self.config, self.store = spark, config, store or stores.NoopStore()
         self.generation, self.processed, self.durable = 1, {}, {}
         self.subscription: Subscription | None = None
@@ -76,21 +89,35 @@ class Engine:
         fallback = "earliest" if self.config.start_from == "checkpoint" else self.config.start_from
         starts = rollback.resolve_starts(rollback.initial_starts(assigned, stored, fallback), highs, rollback.newest_branch(failover), self.config.mode == "finite", self.config.bucket_uuid)
         needed = starts.where("rollback_to IS NOT NULL").select("shard", "start_seqno", F.col("rollback_to").alias("rollback_seqno"))
-        if self.config.rollback_policy == "stop_and_report":
-            if first := needed.orderBy("shard").first():
-                log = failover.where(F.col("shard") == first["shard"]).orderBy("pos").select("branch", "seqno").collect()
-                raise RollbackRequired(first["shard"], first["start_seqno"], first["rollback_seqno"], [tuple(r) for r in log])
-            return starts
+        policy = self.config.rollback_policy
+        if policy != "rewind_and_replay":
+            asked = needed.orderBy("shard").limit(1).collect() if policy == "stop_and_report" else needed.orderBy("shard").collect()  # at most 65536
+            logs = {}
+            for r in failover.join(F.broadcast(needed.select("shard")), "shard").orderBy("pos").select("shard", "branch", "seqno").collect() if asked else []:
+                logs.setdefault(r["shard"], []).append((r["branch"], r["seqno"]))
+            for r in asked:
+                case = r["shard"], r["start_seqno"], r["rollback_seqno"], logs.get(r["shard"], [])
+                answer = policy if policy == "stop_and_report" else self.handler(*case)
+                if answer not in ("stop_and_report", "rewind_and_replay"):
+                    raise InvalidConfiguration(f"the rollback handler answered {answer!r}")
+                if answer == "stop_and_report":
+                    raise RollbackRequired(*case)
+            if not asked:
+                return starts
         back = rollback.rewind(needed.select("shard", "rollback_seqno"), failover).select("shard", F.col("seqno").alias("_at"), F.col("branch").alias("_branch"))
         x = starts.join(F.broadcast(back), "shard", "left")
         moved = {c: F.coalesce("_at", c) for c in ("start_seqno", "snap_start", "snap_end")}
         return x.withColumns(moved | {"branch": F.coalesce("_branch", "branch"), "manifest_uid": F.when(F.col("_at").isNull(), F.col("manifest_uid"))}).drop("_at", "_branch")
 
     def run_batch(self, log: DataFrame, sink: Callable[[DataFrame], None], marks: DataFrame | None = None, dim: DataFrame | None = None) -> DataFrame:
-        """One finite run: stages, sink of what is delivered, then the progress of each shard is recorded and flushed."""
+        """One finite run: stages, sink of what is delivered, then the progress of each shard is recorded and flushed.
+
+        Progress ends before the first row of a shard that was neither delivered nor
+        skipped, so a held row or one after a violation comes again after a restart.
+        """
         x = stages(log, self.config, marks, dim)
         sink(x.where("delivered"))
-        self.record(x.where("seqno IS NOT NULL AND NOT unreached AND violation IS NULL"))
+        self.record(x.where("seqno IS NOT NULL AND (delivered OR acked)"))
         self.flush()
         return x
 
@@ -111,7 +138,7 @@ class Engine:
         return len(changed)
 
     def subscribe(self, stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint_dir: str, **trigger) -> Subscription:
-        """One subscription at a time. Each micro-batch is written by sink, then recorded and flushed: at least once, in order by shard."""
+        """One subscription at a time. Each micro-batch is written by sink, then recorded and flushed: at least once, in order by shard. Documents before the cutoff are passed over."""
         from tidelog.streaming import order as streamed
 
         if self.subscription is not None:
@@ -119,7 +146,7 @@ class Engine:
 
         def each(batch: DataFrame, epoch: int) -> None:
             good = batch.where("violation IS NULL AND NOT unreached")
-            sink(good, epoch)
+            sink(good.where(~_skipped(self.config)), epoch)
             self.record(good.where("seqno IS NOT NULL"))
             self.flush()
 

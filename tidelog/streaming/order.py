@@ -6,7 +6,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.types import NumericType, StructType
 
 OUTPUT = "shard int, arrival bigint, kind string, seqno bigint, snap_start bigint, snap_end bigint, violation string, unreached boolean"
 STATE = "snap_start bigint, snap_end bigint, last bigint, stopped boolean"
@@ -35,17 +37,30 @@ def fold(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
     return (start, end, last, stopped), pd.DataFrame(out, columns=["arrival", "kind", "seqno", "snap_start", "snap_end", "violation", "unreached"])
 
 
-def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(batches)).sort_values("arrival")
-    before = state.get if state.exists else (None, None, 0, False)
-    after, out = fold(before, rows)
-    state.update(after)
-    out.insert(0, "shard", key[0])
-    for c in ("seqno", "snap_start", "snap_end"):
-        out[c] = out[c].astype("Int64")
-    yield out
+def _step(rest: list[str]):
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values("arrival")
+        before = state.get if state.exists else (None, None, 0, False)
+        after, out = fold(before, rows)
+        state.update(after)
+        out.insert(0, "shard", key[0])
+        for c in ("seqno", "snap_start", "snap_end"):
+            out[c] = out[c].astype("Int64")
+        yield pd.concat([out, rows[rest].reset_index(drop=True)], axis=1)
+
+    return run
 
 
 def check_order(stream: DataFrame) -> DataFrame:
-    """stream (shard, arrival, kind, seqno, snap_start, snap_end) labelled as it comes; a micro-batch of one shard is sorted by arrival."""
-    return stream.groupBy("shard").applyInPandasWithState(_step, OUTPUT, STATE, "append", "NoTimeout")
+    """stream labelled as it comes, with all its columns; a micro-batch of one shard is sorted by arrival.
+
+    Numbers that the check doesn't use pass as text: pandas would make floats of
+    columns with nulls, and a cas has more digits than those hold.
+    """
+    own = {c.split()[0] for c in OUTPUT.split(", ")}
+    rest = [f for f in stream.schema.fields if f.name not in own]
+    text = {f.name: f.dataType for f in rest if isinstance(f.dataType, NumericType)}
+    x = stream.withColumns({c: F.col(c).cast("string") for c in text})
+    schema = StructType([*StructType.fromDDL(OUTPUT).fields, *[f for f in x.schema.fields if f.name not in own]])
+    out = x.groupBy("shard").applyInPandasWithState(_step([f.name for f in rest]), schema, STATE, "append", "NoTimeout")
+    return out.withColumns({c: F.col(c).cast(t) for c, t in text.items()})
