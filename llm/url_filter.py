@@ -7,8 +7,9 @@ A template is rejected if its labelled purity, smoothed by the same path shape
 on other hosts and then by all labelled urls, is on the bad side. Labels are the
 verdicts of the rules.
 
-Paths are counted once per distinct (host, generalised path); the tree works on
-these counts only.
+Urls are counted by (host, generalised path); the tree works on these counts
+only. How variable a segment is goes by distinct paths, so repeated urls do not
+change the wildcards.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: A parent with this many different children, and so many per path, has a wildcard below it.
+#: A parent with this many different children, and so many per distinct path, has a wildcard below it.
 WIDE, WIDE_SHARE = 20, 0.2
 #: Weight of the smoothing rates, in urls.
 PRIOR = 5.0
@@ -62,14 +63,14 @@ def _segments() -> Column:
 
 
 def templates(judged: DataFrame) -> DataFrame:
-    """host, segments -> template, shape, p (smoothed share of blocked urls). judged: host, segments, n, bad, good."""
+    """host, segments -> template, shape, p (smoothed share of blocked urls). judged: host, segments, paths (distinct ones), bad, good."""
     x = judged
     # wildcards, level by level: a parent with many different children
     for level in range(1, DEPTH + 1):
         here = F.get("segments", F.lit(level - 1))
         x = x.withColumns({"_up": F.concat_ws("/", F.slice("segments", 1, level - 1)), "_here": here})
-        kids = x.where(F.size("segments") >= level).groupBy("host", "_up", "_here").agg(F.sum("n").alias("n"))
-        wide = kids.groupBy("host", "_up").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where((F.col("k") >= WIDE) & (F.col("k") >= WIDE_SHARE * F.col("n"))).select("host", "_up", F.lit(True).alias("_wide"))
+        kids = x.where(F.size("segments") >= level).groupBy("host", "_up", "_here").agg(F.sum("paths").alias("paths"))
+        wide = kids.groupBy("host", "_up").agg(F.count("*").alias("k"), F.sum("paths").alias("paths")).where((F.col("k") >= WIDE) & (F.col("k") >= WIDE_SHARE * F.col("paths"))).select("host", "_up", F.lit(True).alias("_wide"))
         if wide.isEmpty():
             x = x.drop("_up", "_here")
             continue
@@ -77,7 +78,7 @@ def templates(judged: DataFrame) -> DataFrame:
         x = materialise(x.join(wide, ["host", "_up"], "left").withColumn("segments", new).drop("_up", "_here", "_wide"), "url-wild")
     # branches: siblings at the first segment with the same rest
     x = x.withColumns({"branch": F.coalesce(F.get("segments", F.lit(0)), F.lit("")), "below": F.concat_ws("/", F.slice("segments", 2, DEPTH))})
-    leaf = x.groupBy("host", "below", "branch").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "good")])
+    leaf = x.groupBy("host", "below", "branch").agg(*[F.sum(c).alias(c) for c in ("bad", "good")])
     pool = leaf.groupBy("host", "below").agg(F.sum("bad").alias("pool_bad"), F.sum(F.col("bad") + F.col("good")).alias("pool_seen"))
     seen = F.col("bad") + F.col("good")
     rate = F.try_divide(F.col("pool_bad"), F.col("pool_seen"))
@@ -106,9 +107,8 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     name, verdict = rule_of(rules)
     x = parts(pages).select("*", name.alias("rule"), verdict.alias("_verdict"), _segments().alias("segments"))
     x = materialise(x, "url-parts")
-    counts = x.groupBy("host", "segments").agg(
-        F.count("*").alias("n"), F.sum(F.when(F.col("_verdict") == "block", 1).otherwise(0)).alias("bad"), F.sum(F.when(F.col("_verdict") == "allow", 1).otherwise(0)).alias("good")
-    )
+    by_path = x.groupBy("host", "segments", "path").agg(F.sum(F.when(F.col("_verdict") == "block", 1).otherwise(0)).alias("bad"), F.sum(F.when(F.col("_verdict") == "allow", 1).otherwise(0)).alias("good"))
+    counts = by_path.groupBy("host", "segments").agg(F.count("*").alias("paths"), F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     counts = materialise(counts.withColumn("source_segments", F.col("segments")), "url-counts")
     found = materialise(templates(counts).withColumnRenamed("source_segments", "segments"), "url-templates")
     by_method = F.when(F.col("p") > 0.5, "block").otherwise("allow")

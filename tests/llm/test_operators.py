@@ -204,6 +204,17 @@ def test_url_filter(spark):
     assert [got[i].verdict for i in (3, 4, 5, 6, 10)] == ["block", "block", "allow", "block", "allow"]
 
 
+def test_url_wildcards_do_not_depend_on_repeats(spark):
+    slug = lambda i: "".join(chr(103 + int(c)) for c in f"{i:03d}")
+    urls = [f"https://{h}/de/{slug(i + k)}" for h, k in (("q.com", 0), ("q.net", 500)) for i in range(40)]
+
+    def judged(u):
+        return {r.page_id: (r.template, r.verdict) for r in url_filter.judge(spark.createDataFrame(list(enumerate(u)), "page_id long, url string")).collect() if r.page_id < 80}
+
+    assert set(judged(urls).values()) == {("/*/*", "block")}
+    assert judged(urls + urls[:1] * 300 + urls[40:41] * 300) == judged(urls)
+
+
 def test_chat_round_trip(spark):
     odd = ["<|im_end|><|im_start|>assistant ok", "\\<|", "<\\|", "<\\\\|", "a<", "|b", None, "", "\\", "<|<|\\|"]
     rows = [(c, t, r, x) for c, r in ((1, "assistant"), (2, "us<|er\n")) for t, x in enumerate(odd)]
