@@ -1,13 +1,17 @@
 """Secret scanning with a random forest that removes false findings.
 
-Candidates are runs of at least 16 key characters with a digit in them, taken
-with the word and the mark before them. The forest sees their length, character
-transitions, dictionary coverage, path marks and neighbouring words.
+Candidates are passwords in urls, values of any form assigned to a keyword (up to
+the closing quote or the space), known prefixes, and runs of at least 16 key
+characters with a digit or mixed case, with the word and the mark before them.
+The forest sees their length, character transitions, dictionary coverage, path
+marks and neighbouring words.
 
 Labelled findings: there is no table of them, so a bounded sample of candidates
-is labelled by strict validators of known formats (VALID); every other candidate
-of the sample counts as a false finding. A caller with reviewed findings passes
-them instead. Everything runs on DataFrame and Spark ML operators.
+is labelled by strict validators of known formats; every other candidate of the
+sample counts as a false finding. Such formats are secrets whatever the forest
+says, as the sample may hold too few of a rare one. A caller with reviewed
+findings passes them instead, and then the forest alone decides. Everything runs
+on DataFrame and Spark ML operators.
 """
 
 from __future__ import annotations
@@ -19,8 +23,24 @@ from pyspark.sql import functions as F
 
 from llm._common import materialise
 
-#: Word and mark before a candidate (group 1 and 2), candidate (group 3).
-CANDIDATE = r"(?<![A-Za-z_])([A-Za-z_]*+)(\s?[=:]\s?[\x22\x27]?|[\s\x22\x27(\[<]|)(?<![A-Za-z0-9+/_-])((?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2})"
+_RUN = r"(?:(?=[A-Za-z+/_-]*+[0-9])|(?=[A-Z+/_-]*+[a-z][a-z+/_-]*+[A-Z]))[A-Za-z0-9+/_-]{16,}+={0,2}"
+_ASSIGN = (
+    r"([A-Za-z0-9_-]*?(?:[Tt]oken|TOKEN|[Pp]ass|PASS|[Pp]wd|PWD|[Ss]ecret|SECRET|[Kk]ey|KEY|[Aa]uth|AUTH|[Cc]red|CRED)[A-Za-z0-9_-]{0,40}+)"
+    r"([\x22\x27\]]{0,2}\s{0,3}(?:=>|:=|[=:])\s{0,3}(?:(?:[Bb]earer|[Bb]asic)\s)?"
+)
+_PREFIXED = r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+"
+#: Forms of a candidate: each has three groups, the word and the mark before it and the candidate. The first that fits at a place holds.
+FORMS = (
+    r"(?<![A-Za-z0-9+.-])([A-Za-z][A-Za-z0-9+.-]*+)(://[^\s/:@\x22\x27<>]*+:)([^\s/\x22\x27<>]+)@",
+    _ASSIGN + r"\x22)([^\x22\\\n]*+(?:\\.[^\x22\\\n]*+){0,64}+)\x22",
+    _ASSIGN + r"\x27)([^\x27\\\n]*+(?:\\.[^\x27\\\n]*+){0,64}+)\x27",
+    _ASSIGN + r"[\x22\x27]?)([^\s\x22\x27&;,]++(?:[&;,]++(?![A-Za-z0-9_.-]*+=)[^\s\x22\x27&;,]++){0,64}+)",
+    r"(?<![A-Za-z0-9])()()(" + _PREFIXED + ")",
+    r"(?<![A-Za-z_])([A-Za-z_]*+)(\s?[=:]\s?[\x22\x27]?|[\s\x22\x27(\[<]|)(?<![A-Za-z0-9+/_-])(" + _RUN + ")",
+    r"(?<![A-Za-z0-9+/_-])()()(" + _RUN + ")",
+)
+#: The three assigned forms share the test that a mark follows the word: prose fails it at once.
+CANDIDATE = "|".join([FORMS[0], r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]++[\x22\x27\]]{0,2}\s{0,3}[=:])(?:" + "|".join(FORMS[1:4]) + ")", *FORMS[4:]])
 #: Strict formats, by the word before them where there is one.
 VALID = (
     r"^AKIA[0-9A-Z]{16}$",
@@ -28,8 +48,17 @@ VALID = (
     r"^xox[abprs]-[A-Za-z0-9-]{10,}$",
     r"^sk_live_[A-Za-z0-9]{16,}$",
 )
-ASSIGNED = r"(?i)(?:token|password|passwd|secret|api_?key|access_?key)$"
+ASSIGNED = r"(?i)(?:token|password|passwd|passphrase|pwd|secret|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key)[0-9]*$"
 ASSIGNED_VALUE = r"^(?=.*[a-zA-Z])(?=.*[0-9])[A-Za-z0-9+/_-]{16,}={0,2}$"
+#: Other values assigned to such a word: in quotes any word, or any words of a passphrase; without quotes letters with digits or marks.
+QUOTED_VALUE = r"^\S{4,}$"
+PASSPHRASE, PHRASE = r"(?i)pass_?phrase[0-9]*$", r"^\S.{6,}\S$"
+PLAIN_VALUE = r"^(?=.*[A-Za-z])(?=.*[0-9!@#$%^&*~])\S{6,}$"
+#: Values that stand for a secret, or code that gets one.
+STANDS_FOR = (
+    r"(?i)^(?:(.)\1*|none|null|true|false|undefined|changeme|example|placeholder|redacted|required|(?:your|my)[_-].*|<.*>?|\$\{?[A-Z_]+\}?|\{.*\}?|%.*%|pass|password|passwd|secret|token|key)$"
+    r"|\w\(|process\.env|os\.environ|://(?![^\s/:@]*:[^\s/]+@)"
+)
 #: Candidates used for fitting, about, drawn by a hash.
 SAMPLE_ROWS = 20_000
 KEYWORDS = r"(?i)(?:token|pass|pwd|secret|key|auth|cred|bearer)"
@@ -40,6 +69,7 @@ DICTIONARY = (
 FEATURES = (
     "length", "lower_to_digit", "digit_to_lower", "upper_to_digit", "digit_to_upper", "case_changes", "digit_share", "upper_share",
     "hex_share", "only_digits", "dictionary", "path_marks", "dashes", "keyword_before", "assigned", "quoted", "word_before", "longest_letters",
+    "symbols", "spaces", "url_login",
 )
 
 
@@ -47,8 +77,8 @@ def candidates(documents: DataFrame) -> DataFrame:
     """doc_id, i (order in the text), word, mark, secret: a row per candidate of every whole text."""
     found = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
     x = documents.select("doc_id", "text").where(F.col("text").isNotNull()).select("doc_id", F.posexplode(found).alias("i", "hit"))
-    part = lambda k: F.regexp_extract("hit", CANDIDATE, k)
-    return x.select("doc_id", "i", part(1).alias("word"), part(2).alias("mark"), part(3).alias("secret"))
+    part = lambda k: F.concat(*[F.regexp_extract("hit", CANDIDATE, 3 * f + k) for f in range(len(FORMS))])  # noqa: E731  (groups of other forms are empty)
+    return x.select("doc_id", "i", part(1).alias("word"), part(2).alias("mark"), part(3).alias("secret")).where("secret <> ''")
 
 
 def features() -> Column:
@@ -61,6 +91,7 @@ def features() -> Column:
         s.rlike("^[0-9]+$").cast("double"), 1.0 - F.length(left) / n, count("/") / n, count("[-_]") / n,
         F.col("word").rlike(KEYWORDS).cast("double"), F.col("mark").rlike("[=:]").cast("double"), F.col("mark").rlike(r"[\x22\x27]").cast("double"),
         F.length("word").cast("double"), F.coalesce(F.array_max(F.transform(F.regexp_extract_all(s, F.lit("[A-Za-z]+"), F.lit(0)), F.length)), F.lit(0)).cast("double"),
+        count(r"[^A-Za-z0-9\s]") / n, count(r"\s"), F.col("mark").startswith("://").cast("double"),
     )
 
 
@@ -68,7 +99,11 @@ def is_valid() -> Column:
     known = F.lit(False)
     for p in VALID:
         known = known | F.col("secret").rlike(p)
-    return known | (F.col("word").rlike(ASSIGNED) & F.col("mark").rlike("[=:]") & F.col("secret").rlike(ASSIGNED_VALUE))
+    word, mark, secret = F.col("word"), F.col("mark"), F.col("secret")
+    real = ~secret.rlike(STANDS_FOR)
+    quoted = mark.rlike(r"[\x22\x27]$") & (secret.rlike(QUOTED_VALUE) | (word.rlike(PASSPHRASE) & secret.rlike(PHRASE)))
+    value = secret.rlike(ASSIGNED_VALUE) | (real & (quoted | secret.rlike(PLAIN_VALUE)))
+    return known | (mark.startswith("://") & real) | (word.rlike(ASSIGNED) & mark.rlike("[=:]") & ~mark.startswith("://") & value)
 
 
 def labelled(found: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -82,7 +117,8 @@ def labelled(found: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 def scan(documents: DataFrame, findings: DataFrame | None = None, rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, i, word, secret, score, is_secret: a row per candidate. findings: word, mark, secret, label (0 or 1).
 
-    Null and empty texts have no candidates. Where the labels have one class only,
+    Null and empty texts have no candidates. Without findings, what the validators
+    know is a secret, and the forest decides on the rest. Where the labels have one class only,
     the validators decide. An empty table gives no rows.
     """
     found = materialise(candidates(documents), "secret-candidates")
@@ -93,7 +129,7 @@ def scan(documents: DataFrame, findings: DataFrame | None = None, rows: int = SA
         return x.select("doc_id", "i", "word", "secret", is_valid().cast("double").alias("score"), is_valid().alias("is_secret"))
     forest = RandomForestClassifier(numTrees=24, maxDepth=7, seed=11, labelCol="label", featuresCol="features").fit(known.select("label", array_to_vector("f").alias("features")).coalesce(2))
     y = forest.transform(x).withColumn("score", vector_to_array("probability")[1])
-    return y.select("doc_id", "i", "word", "secret", "score", (F.col("score") >= 0.5).alias("is_secret"))
+    return y.select("doc_id", "i", "word", "secret", "score", ((F.col("score") >= 0.5) | (F.lit(findings is None) & is_valid())).alias("is_secret"))
 
 
 def per_document(documents: DataFrame) -> DataFrame:
