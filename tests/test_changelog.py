@@ -256,3 +256,28 @@ def test_delegated_rollback(spark, tmp_path):
         Engine(spark, config, store, lambda *case: seen.append(case) or "stop_and_report").starts([0], highs, log)
     assert seen == [(0, 101, 99, [(20, 50), (10, 0)])]
     assert Engine(spark, config, store, lambda *case: "rewind_and_replay").starts([0], highs, log).first().start_seqno == 99
+
+
+def test_folds_and_numbers_take_no_whole_group(spark):
+    rng = np.random.default_rng(3)
+    sizes = [(s, i, int(rng.integers(0, 90))) for s in (0, 1, 2, 5) for i in range(200)]
+    want = {}
+    for s, _, n in sizes:
+        pending, flushes, flushed = want.get(s, (0, 0, 0))
+        pending += n
+        want[s] = (0, flushes + 1, flushed + pending) if pending >= 100 else (pending, flushes, flushed)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        credit = metrics.flow_credit(spark.createDataFrame(sizes, "shard int, arrival bigint, wire_size int"), 100)
+        assert {r.shard: (r.remainder, r.flushes, r.flushed) for r in credit.collect()} == want
+        o = spark.createDataFrame([(1, i, "persisted" if i != 50 else "branch_changed", 2**60 + i if i != 50 else None) for i in range(100)] + [(2, 0, "transient", None)], "shard int, cycle bigint, outcome string, persisted bigint")
+        marks = gate.watermarks(o)
+        assert {r.shard: r.watermark for r in marks.collect()} == {1: 2**60 + 99, 2: None}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for df in (credit, marks):
+        assert "collect_list" not in df._jdf.queryExecution().toString()
+    numbered = membership.member_numbers(spark.createDataFrame([(f"m{i}", i % 5) for i in range(3000)], "member_id string, joined_at bigint"))
+    assert [r.member_number for r in numbered.orderBy("joined_at", "member_id").collect()] == list(range(1, 3001))
+    assert numbered.groupBy(F.spark_partition_id()).count().count() > 1
+    assert membership.member_numbers(numbered.drop("member_number").limit(0)).count() == 0

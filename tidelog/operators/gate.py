@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.operators import order
+
 
 def observation_plan(routes: DataFrame) -> DataFrame:
     """shard, node for every distinct node that holds a copy, and expected_copies. routes: shard, active, replicas (array)."""
@@ -37,16 +40,23 @@ def watermarks(outcome: DataFrame) -> DataFrame:
 
     Incomplete and transient cycles keep it; a changed branch or a seqno below it
     clears it; a later observation sets it afresh. A fold over the cycles since the
-    log's start, one short array per shard.
+    log's start, read in batches.
     """
-    one = F.struct("cycle", "outcome", "persisted")
-    rows = outcome.groupBy("shard").agg(F.sort_array(F.collect_list(one)).alias("rows"))
 
-    def step(w, r):
-        lost = (r["outcome"] == "branch_changed") | ((r["outcome"] == "persisted") & w.isNotNull() & (r["persisted"] < w))
-        return F.when(r["outcome"].isin("incomplete", "transient"), w).when(lost, F.lit(None).cast("bigint")).otherwise(r["persisted"])
+    def step(state: tuple, rows: pd.DataFrame) -> tuple:
+        (w,) = state
+        for outcome, persisted in zip(rows["outcome"], rows["text"]):
+            if outcome in ("incomplete", "transient"):
+                continue
+            p = None if persisted is None else int(persisted)
+            lost = outcome == "branch_changed" or (outcome == "persisted" and None not in (w, p) and p < w)
+            w = None if lost else p
+        return (w,)
 
-    return rows.select("shard", F.aggregate("rows", F.lit(None).cast("bigint"), step).alias("watermark"))
+    # as text: pandas would make floats of a column with nulls
+    rows = outcome.select("shard", "cycle", "outcome", "persisted", F.col("persisted").cast("string").alias("text"))
+    out = order.fold_shards(rows, ["cycle", "outcome", "persisted"], step, (None,), lambda s: (s[0] if s[0] is None else str(s[0]),), f"shard {outcome.schema['shard'].dataType.simpleString()}, watermark string")
+    return out.select("shard", F.col("watermark").cast("bigint").alias("watermark"))
 
 
 def hold_unsafe(log: DataFrame, marks: DataFrame) -> DataFrame:

@@ -26,9 +26,21 @@ def balanced(spark: SparkSession, shards: int, members: int, generation: int = 1
     return x.select(F.lit(generation).cast("bigint").alias("generation"), "shard", owner(F.col("shard"), shards, members).alias("member"))
 
 
-def member_numbers(members: DataFrame) -> DataFrame:
-    """members with member_number, in order of (joined_at, member_id). A registry has at most one member per shard."""
-    return members.withColumn("member_number", F.row_number().over(Window.orderBy("joined_at", "member_id")))
+def member_numbers(members: DataFrame, ranges: int = 64) -> DataFrame:
+    """members with member_number, in order of (joined_at, member_id).
+
+    A sample of at most about 16 rows per range gives the ranges' bounds; each range
+    is numbered by itself, from the count of all before it (a row per range).
+    """
+    at, kind = F.struct("joined_at", "member_id"), {f.name: f.dataType for f in members.schema.fields}
+    share = min(1.0, 16 * ranges / max(members.count(), 1))
+    drawn = members.select("joined_at", "member_id").where(F.pmod(F.xxhash64("joined_at", "member_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).orderBy("joined_at", "member_id").collect()
+    bounds = [F.struct(*[F.lit(r[c]).cast(kind[c]).alias(c) for c in ("joined_at", "member_id")]) for r in drawn[:: max(1, len(drawn) // ranges)]]
+    part = F.size(F.filter(F.array(*bounds), lambda b: b <= at)) if bounds else F.lit(0)
+    x = members.withColumn("_range", part)
+    before = x.groupBy("_range").count().withColumn("_before", F.sum("count").over(Window.orderBy("_range")) - F.col("count")).drop("count")
+    number = F.row_number().over(Window.partitionBy("_range").orderBy("joined_at", "member_id"))
+    return x.withColumn("_n", number).join(F.broadcast(before), "_range").withColumn("member_number", (F.col("_n") + F.col("_before")).cast("int")).drop("_range", "_n", "_before")
 
 
 def is_stale(now: Column, heartbeat: Column, stale_after: int) -> Column:

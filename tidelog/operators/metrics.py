@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.operators.order import fold_shards
 from tidelog.schema import KINDS
 
 
@@ -40,20 +42,21 @@ def credit_threshold(buffer_bytes: int, ratio: float) -> int:
 def flow_credit(frames: DataFrame, threshold: int) -> DataFrame:
     """shard, flushes, flushed, remainder: credit given back over frames (shard, arrival, wire_size), and what is left at the end.
 
-    Reset on reaching the threshold is a fold in order; one array of sizes per shard.
+    Reset on reaching the threshold is a fold in order: a shard's frames are sorted
+    and come in batches, only the fold's state is kept.
     """
-    rows = F.sort_array(F.collect_list(F.struct("arrival", "wire_size")))
-    zero = F.struct(F.lit(0).cast("bigint").alias("pending"), F.lit(0).cast("bigint").alias("flushes"), F.lit(0).cast("bigint").alias("flushed"))
-
-    def step(s, r):
-        now = s["pending"] + r["wire_size"]
-        full = now >= threshold
-        return F.struct(
-            F.when(full, F.lit(0)).otherwise(now).cast("bigint").alias("pending"), (s["flushes"] + full.cast("bigint")).alias("flushes"), (s["flushed"] + F.when(full, now).otherwise(F.lit(0))).cast("bigint").alias("flushed"),
-        )
-
-    x = frames.groupBy("shard").agg(rows.alias("rows")).select("shard", F.aggregate("rows", zero, step).alias("s"))
-    return x.select("shard", F.col("s.flushes").alias("flushes"), F.col("s.flushed").alias("flushed"), F.col("s.pending").alias("remainder"))
+
+    def step(state: tuple, rows: pd.DataFrame) -> tuple:
+        pending, flushes, flushed = state
+        total = np.cumsum(rows["wire_size"].to_numpy(np.int64))
+        start, base = 0, -pending  # pending at row i is total[i] - base
+        while (i := max(start, int(np.searchsorted(total, base + threshold)))) < len(total):
+            flushes, flushed, start, base = flushes + 1, flushed + int(total[i]) - base, i + 1, int(total[i])
+        return int(total[-1]) - base, flushes, flushed
+
+    out = "shard {}, flushes bigint, flushed bigint, remainder bigint".format(frames.schema["shard"].dataType.simpleString())
+    rows = frames.select("shard", "arrival", F.col("wire_size").cast("bigint").alias("wire_size"))
+    return fold_shards(rows, ["arrival", "wire_size"], step, (0, 0, 0), lambda s: (s[1], s[2], s[0]), out)
 
 
 def health_runs(probes: DataFrame) -> DataFrame:

@@ -6,6 +6,10 @@ once. Rows are labelled; nothing stops the job.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,3 +57,26 @@ def stop_after(x: DataFrame) -> DataFrame:
     stopped = F.col("violation").isNotNull() | (F.col("kind") == "stream_end")
     before = F.coalesce(F.max(stopped.cast("int")).over(_spec(_BEFORE)), F.lit(0))
     return x.withColumn("unreached", before == 1)
+
+
+def fold_shards(rows: DataFrame, order: list[str], step, zero, result, schema: str) -> DataFrame:
+    """A row per shard: (shard, *result(state)) after step(state, batch) over the shard's rows in order.
+
+    Sorted by Spark, which can spill, and read in batches: memory doesn't grow with a shard.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, shard, state = [c.split()[0] for c in schema.split(", ")], None, None
+        for b in batches:
+            at = b["shard"].to_numpy()
+            cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1), len(b)] if len(b) else [0]
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if state is None or at[i] != shard:
+                    if state is not None:
+                        yield pd.DataFrame([(shard, *result(state))], columns=names)
+                    shard, state = at[i], zero
+                state = step(state, b.iloc[i:j])
+        if state is not None:
+            yield pd.DataFrame([(shard, *result(state))], columns=names)
+
+    return rows.repartition("shard").sortWithinPartitions("shard", *order).mapInPandas(run, schema)
