@@ -281,3 +281,12 @@ def test_folds_and_numbers_take_no_whole_group(spark):
     assert [r.member_number for r in numbered.orderBy("joined_at", "member_id").collect()] == list(range(1, 3001))
     assert numbered.groupBy(F.spark_partition_id()).count().count() > 1
     assert membership.member_numbers(numbered.drop("member_number").limit(0)).count() == 0
+
+
+def test_rewind_broadcasts_the_failover_log_only(spark):
+    f = spark.createDataFrame([(0, 0, 30, 50), (0, 1, 20, 25)], "shard int, pos int, branch bigint, seqno bigint")
+    r = spark.range(2000).selectExpr("cast(id % 2 as int) AS shard", "id AS rollback_seqno")
+    out = rollback.rewind(r, f)
+    assert all(x.branch == (None if x.shard or x.rollback_seqno < 25 else 20 if x.rollback_seqno < 50 else 30) for x in out.collect()) and out.count() == 2000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "rightHint=(strategy=broadcast)" in plan

@@ -53,13 +53,13 @@ def resolve_starts(starts: DataFrame, highs: DataFrame, newest: DataFrame, finit
 def rewind(rollbacks: DataFrame, failover: DataFrame) -> DataFrame:
     """(shard, rollback_seqno) with the checkpoint to go back to: the newest branch that began at or before it; null branch: none.
 
-    By position in the log, not by seqno.
+    By position in the log, not by seqno. A failover log has a few entries for each
+    of at most 65536 shards, so it is broadcast; rollbacks may be many.
     """
-    f = failover.select("shard", "pos", "branch", "seqno").join(F.broadcast(rollbacks), "shard").where(F.col("seqno") <= F.col("rollback_seqno"))
-    best = f.groupBy("shard", "rollback_seqno").agg(F.min_by(F.struct("branch", F.col("seqno").alias("branch_seqno")), "pos").alias("r"))
-    out = rollbacks.join(best.select("shard", "rollback_seqno", "r.branch", "r.branch_seqno"), ["shard", "rollback_seqno"], "left")
-    at = F.when(F.col("branch").isNotNull(), F.col("rollback_seqno"))
-    return out.select("shard", "rollback_seqno", "branch", "branch_seqno", at.alias("seqno"), at.alias("snap_start"), at.alias("snap_end"), F.lit(None).cast("bigint").alias("manifest_uid"))
+    logs = failover.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("pos", "branch", "seqno"))).alias("_log"))
+    x = rollbacks.join(F.broadcast(logs), "shard", "left").withColumn("_r", F.get(F.filter("_log", lambda e: e["seqno"] <= F.col("rollback_seqno")), F.lit(0)))
+    at = F.when(F.col("_r.branch").isNotNull(), F.col("rollback_seqno"))
+    return x.select("shard", "rollback_seqno", "_r.branch", F.col("_r.seqno").alias("branch_seqno"), at.alias("seqno"), at.alias("snap_start"), at.alias("snap_end"), F.lit(None).cast("bigint").alias("manifest_uid"))
 
 
 def set_difference(wanted: DataFrame, opened: DataFrame) -> DataFrame:
