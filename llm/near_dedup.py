@@ -20,6 +20,7 @@ components is missed, and large groups make few rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,16 +36,16 @@ from llm._text import mix64, shingle_sets, slices
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 80
 WIDTH = 5
-#: Coordinates of a sketch, and coordinates in a band: a pair at the threshold meets in some band but for 3e-6.
-COORDINATES, BAND = 96, 4
+#: Coordinates of a sketch, coordinates in a band at most, and the chance that a pair at the threshold meets in no band: 3e-6 at 80.
+COORDINATES, BAND, MISSED = 96, 4, 4e-6
 #: Buckets with more members left than this go to clusters.
 SMALL = 8
 #: Bytes of shingle sets in a block of a cluster, about.
 BLOCK_BYTES = 2 << 20
 #: Characters of text sketched together, about.
 SLICE_BYTES = 2 << 20
-#: Pairs whose sketches agree on fewer coordinates are not verified: five standard deviations below the threshold.
-LEAST_AGREEING = 57
+#: Pairs whose sketches agree on fewer coordinates than so many standard deviations below the threshold are not verified.
+DEVIATIONS = 5
 
 _NONE = np.iinfo(np.uint64).max
 
@@ -65,11 +66,26 @@ def sketches(hashes: np.ndarray, bounds: np.ndarray, t: int = COORDINATES) -> np
     return out
 
 
+def least_agreeing(percent: int) -> int:
+    """Coordinates on which a pair at the threshold agrees, but for a chance below 1e-6."""
+    q = percent / 100
+    return max(0, math.floor(COORDINATES * q - DEVIATIONS * math.sqrt(COORDINATES * q * (1 - q))))
+
+
+def band_width(percent: int) -> int:
+    """The widest band whose miss rate at the threshold is small enough; too low a threshold has none."""
+    for rows in range(BAND, 0, -1):
+        if (1 - (percent / 100) ** rows) ** (COORDINATES // rows) <= MISSED:
+            return rows
+    raise ValueError(f"{COORDINATES} coordinates cannot find pairs of {percent} percent")
+
+
 def bands(coordinates: np.ndarray, rows: int = BAND) -> np.ndarray:
     """One 64-bit key per band of coordinates (16 bits each), the band's number mixed in."""
     n, t = coordinates.shape
-    joined = np.ascontiguousarray(coordinates, "<u2").view(np.uint64).reshape(n, t // rows) if rows == 4 else None
-    assert joined is not None, "a band is four coordinates of 16 bits"
+    filled = np.zeros((n, t // rows, 4), "<u2")  # at most four coordinates of 16 bits
+    filled[:, :, :rows] = coordinates.reshape(n, t // rows, rows)
+    joined = filled.view(np.uint64).reshape(n, t // rows)
     return mix64(mix64(joined) + np.arange(t // rows, dtype=np.uint64)).view(np.int64)
 
 
@@ -88,11 +104,14 @@ def _sketcher(width: int):
     return run
 
 
-def _bander(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        if len(b):
-            keys = bands(np.frombuffer(b"".join(b["coordinates"]), "<u2").reshape(len(b), -1))
-            yield pd.DataFrame({"bucket": keys.reshape(-1), "node": np.repeat(b["node"].to_numpy(), keys.shape[1])})
+def _bander(rows: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                keys = bands(np.frombuffer(b"".join(b["coordinates"]), "<u2").reshape(len(b), -1), rows)
+                yield pd.DataFrame({"bucket": keys.reshape(-1), "node": np.repeat(b["node"].to_numpy(), keys.shape[1])})
+
+    return run
 
 
 def _set_maker(width: int):
@@ -125,7 +144,7 @@ def _verified(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int
 
     p = with_side(with_side(pairs, sketch, "a", ["n", "coordinates"]), sketch, "b", ["n", "coordinates"])
     p = p.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    p = materialise(p.where(_agreeing("coordinates_a", "coordinates_b") >= LEAST_AGREEING).select("a", "b"), "near-likely")
+    p = materialise(p.where(_agreeing("coordinates_a", "coordinates_b") >= least_agreeing(percent)).select("a", "b"), "near-likely")
     p = with_side(with_side(p, sets, "a", ["shingles"]), sets, "b", ["shingles"])
     p = p.select("a", "b", (F.size("shingles_a") + F.size("shingles_b")).alias("both"), _common("shingles_a", "shingles_b").alias("common"))
     return materialise(p.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b"), "near-links")
@@ -133,6 +152,7 @@ def _verified(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int
 
 def _compare(percent: int):
     """Links between members of different components in two blocks (or within one): enough of them to join what they join."""
+    least = least_agreeing(percent)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         node, root, side = pdf["node"].to_numpy(), pdf["root"].to_numpy(), pdf["side"].to_numpy()
@@ -153,7 +173,7 @@ def _compare(percent: int):
         links = []
         for x in np.flatnonzero(at != most):  # those in the largest component need no comparison with each other
             other = np.flatnonzero((same | (side != side[x])) & (at != at[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])))
-            other = other[(coordinates[other] == coordinates[x]).sum(1) >= LEAST_AGREEING]
+            other = other[(coordinates[other] == coordinates[x]).sum(1) >= least]
             own = find(at[x])
             joined = np.array([find(k) for k in np.unique(at[other])], int) if len(other) else np.zeros(0, int)
             other = other[(joined != own)[np.searchsorted(np.unique(at[other]), at[other])]] if len(other) else other
@@ -200,7 +220,7 @@ def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
     all_ = materialise(base.mapInPandas(_sketcher(width), schema), "near-sketches")
     first = all_.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "n", "coordinates")).alias("r"), F.count("*").alias("copies")).select("digest", "copies", "r.*")
     classes = materialise(first.withColumnRenamed("doc_id", "node"), "near-classes")
-    members = materialise(classes.select("node", "coordinates").mapInPandas(_bander, "bucket long, node long"), "near-bands")
+    members = materialise(classes.select("node", "coordinates").mapInPandas(_bander(band_width(percent)), "bucket long, node long"), "near-bands")
     buckets = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
     star = materialise(hot_join(members, materialise(buckets, "near-buckets"), ["bucket"], "size").drop("size"), "near-stars")
     involved = materialise(star.select("node").distinct(), "near-involved")

@@ -102,6 +102,23 @@ def test_near_dedup(spark, width):
     assert near_dedup.link(docs(spark, texts[:1]).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 60])
+def test_near_dedup_at_lower_thresholds(spark, percent):
+    texts = []
+    for i in range(60):  # pairs of 200 words a side that are just similar enough
+        common = -(-percent * 400 // (100 + percent))
+        own = [[f"p{i}{side}{k}" for k in range(200 - common)] for side in "ab"]
+        texts += [" ".join([f"p{i}c{k}" for k in range(common)] + o) for o in own]
+    got = {r.doc_id: r.component_id for r in near_dedup.link(docs(spark, texts), width=1, percent=percent).collect()}
+    assert got == {i: i - i % 2 for i in range(120)}
+
+
+def test_near_dedup_parameters():
+    assert (near_dedup.least_agreeing(80), near_dedup.band_width(80), near_dedup.band_width(60)) == (57, 4, 2)
+    with pytest.raises(ValueError):
+        near_dedup.band_width(5)
+
+
 def test_sketches_estimate_similarity():
     a = [" ".join(f"t{i}" for i in range(300)), " ".join(f"t{i}" for i in range(30, 330))]
     s, b = shingle_sets(a, 1)
@@ -195,6 +212,19 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score_toxicity(d, y.limit(0)).collect()} == {0.0}
 
 
+def test_lexicon_totals_leave_copies_out(spark):
+    rare = [f"bad{i} rareslur" for i in range(6)]
+    rows = [(t, 1) for t in rare + [f"bad{i} otherslur" for i in range(100, 200)] + ["copied text"] * 3000] + [(f"fine {i} words", 0) for i in range(400)]
+    words, _ = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert {"rareslur", "otherslur"} <= words
+
+
+def test_pipeline_decodes(spark):
+    import corpus_pipeline
+
+    assert all(r.restored for r in corpus_pipeline.encode(spark, docs(spark, ["One text.", "", None, "zwei"]), "").collect())
+
+
 def test_url_filter(spark):
     urls = [None, "", "no url", "http://A.Example.ORG/es/1?x#y", "x://example.org/en/12", "https://q.com/fr/1", "https://q.com/de/1", "https://q.net/de/1", "https://q.net", "s://h?a/b", "://x.org/"]
     got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
