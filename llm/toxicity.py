@@ -94,7 +94,7 @@ def _feature_column(words: frozenset, stems: frozenset):
 def learn_lexicon(sample: DataFrame) -> tuple[frozenset, frozenset]:
     """Words and word beginnings of 4 to 6 letters that mark toxic documents in sample (text, toxic); at most LEXICON.
 
-    Counted by document, on distinct texts.
+    Counted on distinct texts, the totals too.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,7 +111,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[frozenset, frozenset]:
         yield pd.DataFrame([(t, a, b_) for t, (a, b_) in seen.items()], columns=["term", "clean", "toxic"])
 
     distinct = sample.groupBy(F.xxhash64("text").alias("_h")).agg(F.min(F.struct("text", "toxic")).alias("r")).select("r.text", "r.toxic")
-    n = sample.agg(F.count(F.when(F.col("toxic") == 1, 1)), F.count("*")).first()
+    n = distinct.agg(F.count(F.when(F.col("toxic") == 1, 1)), F.count("*")).first()
     pos, neg = n[0], n[1] - n[0]
     counts = distinct.mapInPandas(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = ((F.col("toxic") + 0.5) / (pos + 1)) / ((F.col("clean") + 0.5) / (neg + 1))
