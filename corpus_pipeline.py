@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages: each takes (spark, docs, sf_dir) and gives the next one's docs.
 
 toxicity -> exact_dedup -> near_dedup -> mixing -> sentencepiece. All but the
-last return the columns of documents; the last returns token ids per document.
+last return the columns of documents; the last returns token ids per document, decoded and compared.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, token_ids of every document."""
-    return sentencepiece_codec.encode(docs)
+    """doc_id, n_tokens, token_ids of every document, and restored: whether decoding them gives its text again."""
+    return sentencepiece_codec.round_trip(docs)
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("mixing", mix), ("sentencepiece", encode)]
