@@ -19,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a temporary one on a local master (tests); a cluster must name it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -33,32 +35,93 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there and lost executors lose nothing."""
+def materialise(df: DataFrame, label: str, scratch: list[str] | None = None) -> DataFrame:
+    """Writes df to the shared folder and reads it back: lineage ends there and lost executors lose nothing.
+
+    The folder's path is added to scratch, for forget() once nothing reads it any more.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession, scratch: list[str]) -> None:
+    """Deletes intermediate folders whose readers have all been written; the list is emptied."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while scratch:
+        path = jvm.org.apache.hadoop.fs.Path(scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+def packed(df: DataFrame, **keys) -> DataFrame:
+    """df's rows as one struct `_row` beside key columns, so that no name of df can clash; select("_row.*") unpacks."""
+    return df.select(F.struct("*").alias("_row"), *[c.alias(k) for k, c in keys.items()])
+
+
 def checked_broadcast(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a materialised narrow table for broadcast if it has at most `most` rows; else Spark shuffles it."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
 
 
 def hot_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str) -> DataFrame:
-    """Inner join of rows with groups (materialised, one row per key), where `size` is a key's number of rows.
+    """Inner join of rows with narrow groups (materialised, one row per key), where `size` is a key's number of rows.
 
-    Hot keys are fewer than HOT_KEYS, so their groups are broadcast and their rows
-    stay where they are; all others are shuffled as usual. The columns are those of
-    rows.join(groups, on).
+    Groups of few rows in all are broadcast. Else the hot ones are, of which there
+    are fewer than HOT_KEYS, so that their rows stay where they are; all others are
+    shuffled as usual. The columns are those of rows.join(groups, on).
     """
     total = groups.agg(F.sum(size)).first()[0] or 0
+    if total <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups), on)
     hot = groups.where(F.col(size) * HOT_KEYS > total)
     few = rows.join(F.broadcast(hot), on)
     return few.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(groups.where(F.col(size) * HOT_KEYS <= total), on))
 
 
+def dealt_join(rows: DataFrame, groups: DataFrame, on: str, by: str, most: int = 2000) -> DataFrame:
+    """Inner join of rows (materialised) with wide groups (one row per key), where a key may hold very many rows.
+
+    A key with more than `most` rows and more than one in HOT_KEYS is dealt over
+    several parts by a hash of `by`, and its group copied to each: the rows of one
+    part stay few, and only the names of the hot keys (fewer than HOT_KEYS) are
+    broadcast. The columns are those of rows.join(groups, on).
+    """
+    sizes = rows.groupBy(on).agg(F.count("*").alias("_n"))
+    floor = max(most, rows.count() // HOT_KEYS)
+    hot = F.broadcast(sizes.where(F.col("_n") > floor).select(on, F.ceil(F.col("_n") / most).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    left = rows.join(hot, on, "left").withColumn("_part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("_parts")
+    right = groups.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int")))).drop("_parts")
+    return left.join(right, [on, "_part"]).drop("_part")
+
+
+def one_of_each(rows: DataFrame, key: dict, judged: DataFrame) -> DataFrame:
+    """rows without those whose key does not stay; of rows that repeat a key one stays. All columns as they are.
+
+    judged: a row per key with `stays` and `rows` (how many there are). Only keys
+    that go or repeat are joined. Repeats are met by an aggregation that combines
+    before the shuffle, so that very many of one key are no hot spot; of repeats
+    with different other columns the least row stays (maps don't count).
+    """
+    names = list(key)
+    odd = materialise(judged.where("NOT stays OR rows > 1").select(*[F.col(k).alias(f"_{k}") for k in names], "stays", "rows"), "odd-keys")
+    x = packed(rows, **key)
+    on = F.lit(True)
+    for k in names:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    out = x.join(checked_broadcast(odd), on, "left_anti").select("_row.*")
+    again = odd.where("stays AND rows > 1")
+    if again.isEmpty():
+        return out
+    plain = [f.name for f in rows.schema.fields if not f.dataType.simpleString().startswith(("map", "variant")) and "map<" not in f.dataType.simpleString()]
+    least = F.min_by("_row", F.struct(*[F.col("_row").getField(c) for c in plain]))
+    one = x.join(checked_broadcast(again), on, "left_semi").groupBy(*names).agg(least.alias("_row"))
+    return out.unionByName(one.select("_row.*"))
+
+
 def lower_ascii(col):
     """A-Z lower-cased, all else as it is."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

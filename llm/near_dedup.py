@@ -11,10 +11,13 @@ class goes on. Classes that agree on a whole band of coordinates meet in a
 bucket. A bucket does not emit its pairs: first all its members are compared
 with one of them, and verified links join components. Where members of a bucket
 are still in different components, small buckets compare the pairs left; large
-ones that overlap form a cluster, whose members are dealt into blocks of bounded
-size. A task compares two blocks, only members of different components, and
-gives links that join them, at most one per member. So no link between
-components is missed, and large groups make few rows.
+ones that overlap form a cluster. Members of a cluster's largest component need no
+comparison with each other: they are dealt into blocks of bounded size, and the
+others, in blocks of their own, meet each of these and each other. A task compares
+two blocks and gives links that join components, at most one per member. So no link
+between components is missed, and large groups make few rows.
+
+Classes are told apart by numbers of their own, so ids may be null or repeated.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
-from llm._common import bounded_batches, checked_broadcast, hot_join, materialise
+from llm._common import bounded_batches, checked_broadcast, dealt_join, forget, hot_join, materialise, one_of_each
 from llm._graph import components
 from llm._text import mix64, shingle_sets, slices
 
@@ -41,7 +44,7 @@ COORDINATES, BAND, MISSED = 96, 4, 4e-6
 #: Buckets with more members left than this go to clusters.
 SMALL = 8
 #: Bytes of shingle sets in a block of a cluster, about.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
 #: Characters of text sketched together, about.
 SLICE_BYTES = 2 << 20
 #: Pairs whose sketches agree on fewer coordinates than so many standard deviations below the threshold are not verified.
@@ -89,15 +92,19 @@ def bands(coordinates: np.ndarray, rows: int = BAND) -> np.ndarray:
     return mix64(mix64(joined) + np.arange(t // rows, dtype=np.uint64)).view(np.int64)
 
 
+def _digests(sets: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    raw = sets.tobytes()
+    return [hashlib.blake2b(raw[8 * s : 8 * e], digest_size=16).digest() for s, e in zip(bounds[:-1], bounds[1:])]
+
+
 def _sketcher(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in slices(batches, SLICE_BYTES):
             sets, bounds = shingle_sets(b["text"], width)
             sketch = sketches(sets, bounds)
-            raw = sets.tobytes()
             yield pd.DataFrame({
-                "doc_id": b["doc_id"], "n": np.diff(bounds),
-                "digest": [hashlib.blake2b(raw[8 * s : 8 * e], digest_size=16).digest() for s, e in zip(bounds[:-1], bounds[1:])],
+                "doc_id": b["doc_id"], "text_key": b["text_key"], "n": np.diff(bounds),
+                "digest": _digests(sets, bounds),
                 "coordinates": [x.tobytes() for x in mix64(sketch).astype(np.uint16)],
             })
 
@@ -118,7 +125,7 @@ def _set_maker(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in slices(batches, SLICE_BYTES):
             sets, bounds = shingle_sets(b["text"], width)
-            yield pd.DataFrame({"node": b["node"], "shingles": [sets[s:e].view(np.int64) for s, e in zip(bounds[:-1], bounds[1:])]})
+            yield pd.DataFrame({"digest": _digests(sets, bounds), "shingles": [sets[s:e].view(np.int64) for s, e in zip(bounds[:-1], bounds[1:])]})
 
     return run
 
@@ -136,18 +143,22 @@ def _common(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)], dtype="int64")
 
 
-def _verified(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, by size, then sketch, then intersection."""
+def _verified(pairs: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int, scratch: list[str]) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough, by size, then sketch, then intersection.
 
-    def with_side(p: DataFrame, of: DataFrame, side: str, columns: list[str]) -> DataFrame:
-        return p.join(of.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    a may stand in very many pairs; such a row is dealt over parts.
+    """
+
+    def with_sides(p: DataFrame, of: DataFrame, columns: list[str]) -> DataFrame:
+        a, b = (of.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "ab")
+        return dealt_join(p, a, "a", "b").join(b, "b")
 
-    p = with_side(with_side(pairs, sketch, "a", ["n", "coordinates"]), sketch, "b", ["n", "coordinates"])
+    p = with_sides(materialise(pairs, "near-pairs", scratch), sketch, ["n", "coordinates"])
     p = p.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    p = materialise(p.where(_agreeing("coordinates_a", "coordinates_b") >= least_agreeing(percent)).select("a", "b"), "near-likely")
-    p = with_side(with_side(p, sets, "a", ["shingles"]), sets, "b", ["shingles"])
+    p = materialise(p.where(_agreeing("coordinates_a", "coordinates_b") >= least_agreeing(percent)).select("a", "b"), "near-likely", scratch)
+    p = with_sides(p, sets, ["shingles"])
     p = p.select("a", "b", (F.size("shingles_a") + F.size("shingles_b")).alias("both"), _common("shingles_a", "shingles_b").alias("common"))
-    return materialise(p.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b"), "near-links")
+    return materialise(p.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b"), "near-links", scratch)
 
 
 def _compare(percent: int):
@@ -193,16 +204,75 @@ def _compare(percent: int):
     return run
 
 
-def _cluster_links(rest: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _cluster_links(rest: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int, scratch: list[str]) -> DataFrame:
     """Links between components among the members of large buckets."""
-    cluster = components(rest.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    cluster = components(rest.select(F.col("first").alias("a"), F.col("node").alias("b")), scratch)
     inside = rest.select("node", "root").distinct().join(cluster.withColumnRenamed("root", "cluster"), "node")
-    inside = materialise(inside.join(sketch.select("node", "n", "coordinates"), "node"), "near-clusters")
-    blocks = inside.groupBy("cluster").agg(F.ceil(F.sum(F.col("n") * 8) / BLOCK_BYTES).cast("int").alias("blocks"))
-    x = inside.join(blocks, "cluster").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    x = x.select("cluster", "node", "root", "coordinates", "shingles", F.col("own").alias("side"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    x = x.withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")}).drop("other")
-    return materialise(x.groupBy("cluster", "low", "high").applyInPandas(_compare(percent), "a long, b long"), "near-cluster-links")
+    inside = materialise(inside.join(sketch.select("node", "n", "coordinates"), "node"), "near-clusters", scratch)
+    main = inside.groupBy("cluster", "root").count().groupBy("cluster").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    apart = F.col("root") != F.col("main")
+    blocks = inside.join(materialise(main, "near-main", scratch), "cluster").groupBy("cluster", "main").agg(
+        F.count("*").alias("size"), *[F.ceil(F.sum(F.when(c, F.col("n") * 8).otherwise(0)) / BLOCK_BYTES).cast("int").alias(k) for k, c in (("mains", ~apart), ("others", apart))]
+    )
+    x = hot_join(inside, materialise(blocks, "near-blocks", scratch), ["cluster"], "size").join(sets, "node")
+    own = F.pmod(F.xxhash64("node"), F.when(apart, F.col("others")).otherwise(F.col("mains"))).cast("int")
+    every = lambda n, make: F.transform(F.sequence(F.lit(0), n - 1), make)
+    task = lambda kind, low, high: F.struct(F.lit(kind).alias("kind"), low.cast("int").alias("low"), high.cast("int").alias("high"))
+    # a block of the others meets every block of the largest component, and every block of the others
+    tasks = F.when(apart, F.concat(every(F.col("mains"), lambda k: task(0, F.col("own"), k)), every(F.col("others"), lambda k: task(1, F.least("own", k), F.greatest("own", k)))))
+    tasks = tasks.otherwise(every(F.col("others"), lambda k: task(0, k, F.col("own"))))
+    x = x.withColumn("own", own).select("cluster", "node", "root", "coordinates", "shingles", F.when(apart, F.col("own")).otherwise(-1).alias("side"), F.explode(tasks).alias("task"))
+    x = x.select("task.*", "cluster", "node", "root", "coordinates", "shingles", "side")
+    return materialise(x.groupBy("cluster", "kind", "low", "high").applyInPandas(_compare(percent), "a long, b long"), "near-cluster-links", scratch)
+
+
+def _open_links(rest: DataFrame, sketch: DataFrame, sets: DataFrame, percent: int, scratch: list[str]) -> DataFrame:
+    """Links between members of a bucket (bucket, node, root, size, first) that are in different components."""
+    few = rest.where(F.col("size") <= SMALL)
+    pairs = few.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra")).join(few.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb")), "bucket")
+    links = _verified(pairs.where("a < b AND ra <> rb").select("a", "b").distinct(), sketch, sets, percent, scratch)
+    many = rest.where(F.col("size") > SMALL)
+    return links if many.isEmpty() else links.union(_cluster_links(many, sketch, sets, percent, scratch))
+
+
+def _linked(documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, text_key, n, root, first: a row per row of documents. root: the component's name (null without words), first: its smallest doc_id."""
+    spark, scratch = documents.sparkSession, []
+    bounded_batches(spark)
+    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    sketched = base.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(_sketcher(width), "doc_id string, text_key long, n long, digest binary, coordinates binary")
+    all_ = materialise(sketched.withColumn("doc_id", F.col("doc_id").cast("long")), "near-sketches")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_key", "n", "coordinates"))
+    classes = all_.where("n > 0").groupBy("digest").agg(one.alias("r"), F.count("*").alias("copies")).select("digest", "copies", "r.*").drop("null")
+    classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes", scratch)
+    members = materialise(classes.select("node", "coordinates").mapInPandas(_bander(band_width(percent)), "bucket long, node long"), "near-bands", scratch)
+    buckets = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
+    star = materialise(hot_join(members, materialise(buckets, "near-buckets", scratch), ["bucket"], "size").drop("size"), "near-stars", scratch)
+    sketch = classes.select("node", "n", "coordinates", "digest", F.col("doc_id").alias("of"), F.col("text_key").alias("of_key")).join(star.select("node").distinct(), "node")
+    sketch = materialise(sketch, "near-coordinates", scratch)
+    # one row of each class that meets another one; its set is known again by its digest
+    wanted = checked_broadcast(sketch.select("of", "of_key"), most=1_000_000)
+    texts = base.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_key")), "left_semi").select("text")
+    sets = texts.mapInPandas(_set_maker(width), "digest binary, shingles array<long>").join(sketch.select("digest", "node"), "digest")
+    sets = materialise(sets.select("node", "shingles").dropDuplicates(["node"]), "near-sets", scratch)
+
+    links = _verified(star.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sketch, sets, percent, scratch)
+    roots = materialise(components(links, scratch), "near-roots", scratch)
+
+    # each bucket's members without the one that all were compared with
+    rest = star.where("node <> leader").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    open_ = rest.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("first")).where("low <> high")
+    open_ = materialise(open_.select("bucket", "size", "first"), "near-open", scratch)
+    if not open_.isEmpty():
+        links = links.union(_open_links(materialise(hot_join(rest, open_, ["bucket"], "size"), "near-rest", scratch), sketch, sets, percent, scratch))
+        roots = components(links, scratch)
+    named = materialise(classes.select("digest", "copies", "node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-named", scratch)
+    heads = materialise(named.groupBy("root").agg(F.min("doc_id").alias("first"), F.count("*").alias("size")), "near-heads", scratch)
+    named = materialise(hot_join(named.select("digest", "copies", "root"), heads, ["root"], "size").drop("size"), "near-named")
+    forget(spark, scratch)
+    none = F.lit(None).cast("long")
+    out = hot_join(all_.where("n > 0").select("doc_id", "text_key", "n", "digest"), named, ["digest"], "copies").select("doc_id", "text_key", "n", "root", "first")
+    return out.union(all_.where("n = 0").select("doc_id", "text_key", "n", none.alias("root"), F.col("doc_id").alias("first")))
 
 
 def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -210,44 +280,27 @@ def link(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Da
 
     Null and empty texts have no shingles and are linked with nothing; texts of
     fewer words than `width` have their whole sequence as one shingle. Rows with
-    equal sets are one class; a row whose doc_id is repeated is judged by all its
-    texts. An empty table gives no rows; other columns are ignored. doc_id is an
-    integer; null ids are left out.
+    equal sets are one class, so repeated rows and ties share a component. A row
+    without an id can be linked; its component is named by the others' ids, and null
+    if no row of it has one (then kept is true). An empty table gives no rows; other
+    columns are ignored. doc_id is an integer.
     """
-    bounded_batches(documents.sparkSession)
-    base = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n long, digest binary, coordinates binary"
-    all_ = materialise(base.mapInPandas(_sketcher(width), schema), "near-sketches")
-    first = all_.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "n", "coordinates")).alias("r"), F.count("*").alias("copies")).select("digest", "copies", "r.*")
-    classes = materialise(first.withColumnRenamed("doc_id", "node"), "near-classes")
-    members = materialise(classes.select("node", "coordinates").mapInPandas(_bander(band_width(percent)), "bucket long, node long"), "near-bands")
-    buckets = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
-    star = materialise(hot_join(members, materialise(buckets, "near-buckets"), ["bucket"], "size").drop("size"), "near-stars")
-    involved = materialise(star.select("node").distinct(), "near-involved")
-    sketch = materialise(classes.select("node", "n", "coordinates").join(involved, "node"), "near-coordinates")
-    texts = base.withColumnRenamed("doc_id", "node").join(checked_broadcast(involved, most=1_000_000), "node", "left_semi")
-    sets = materialise(texts.mapInPandas(_set_maker(width), "node long, shingles array<long>"), "near-sets")
-
-    links = _verified(star.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sketch, sets, percent)
-    roots = materialise(components(links), "near-roots")
-
-    # each bucket's members without the one that all were compared with
-    rest = star.where("node <> leader").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    open_ = rest.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("first")).where("low <> high")
-    open_ = materialise(open_.select("bucket", "size", "first"), "near-open")
-    rest = materialise(hot_join(materialise(rest, "near-followers"), open_, ["bucket"], "size"), "near-rest")
-    few = rest.where(F.col("size") <= SMALL)
-    pairs = few.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra")).join(few.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb")), "bucket")
-    links = links.union(_verified(pairs.where("a < b AND ra <> rb").select("a", "b").distinct(), sketch, sets, percent))
-    links = links.union(_cluster_links(rest.where(F.col("size") > SMALL), sketch, sets, percent))
-    roots = components(links)
-    named = classes.select("digest", "copies", "node").join(roots, "node", "left").select("digest", "copies", F.coalesce("root", "node").alias("root"))
-    out = hot_join(all_.where("n > 0").select("doc_id", "n", "digest"), materialise(named, "near-named"), ["digest"], "copies").select("doc_id", "n", "root")
-    out = out.union(all_.where("n = 0").select("doc_id", "n", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), (F.col("doc_id") == F.col("root")).alias("kept"))
+    x = _linked(documents, width, percent)
+    return x.select("doc_id", F.col("n").alias("n_shingles"), F.col("first").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("first")).alias("kept"))
 
 
 def keep_one(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """documents with one document of each component, all columns as they are; rows with a null id stay."""
-    gone = materialise(link(documents, width, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    return documents.join(checked_broadcast(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """documents with one row of each component, all columns as they are.
+
+    The row with the smallest doc_id stays (null last), of several the one with the
+    least text hash, of rows that repeat id and text one. Texts without words all
+    stay, null and empty ones too. An empty table gives no rows; names of other
+    columns cannot clash.
+    """
+    x = materialise(_linked(documents, width, percent).where("n > 0"), "near-linked")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_key"))
+    keys = materialise(x.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("rows")), "near-keys")
+    heads = materialise(keys.groupBy("root").agg(best.alias("best"), F.count("*").alias("size")), "near-best")
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_key") == F.col("best.text_key"))
+    judged = hot_join(keys, heads, ["root"], "size").select("doc_id", "text_key", "rows", stays.alias("stays"))
+    return one_of_each(documents, {"doc_id": F.col("doc_id").cast("long"), "text_key": F.xxhash64("text")}, judged)
