@@ -12,10 +12,12 @@ only; blocks whose digest is shared are looked up by their text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm._common import checked_broadcast, hot_join, materialise
+from llm._common import forget, hot_join, materialise, one_of_each
 
 #: Characters in a block.
 BLOCK = 4096
@@ -26,33 +28,36 @@ def _normal():
     return F.regexp_replace(F.coalesce("text", F.lit("")), _SPACE, "")
 
 
-def _named(keys: DataFrame, by: list[str], label: str) -> DataFrame:
-    """Numbers distinct rows in sorted order: the sort within hash partitions numbered one after the other."""
-    return materialise(keys.sortWithinPartitions(*by).withColumn("name", F.monotonically_increasing_id()), label)
+def _named(keys: DataFrame, by: list[str], label: str, scratch: list[str], **more: Column) -> DataFrame:
+    """Distinct keys, how often each is there, and its number in sorted order: hash partitions, sorted, one after the other."""
+    counted = keys.groupBy(*by).agg(F.count("*").alias("times")).withColumns(more)
+    return materialise(counted.sortWithinPartitions(*by).withColumn("name", F.monotonically_increasing_id()), label, scratch)
+
+
+def _sha256(block: Column) -> Column:
+    return F.sha2(block, 256)
 
 
-def identities(documents: DataFrame, block: int = BLOCK) -> DataFrame:
+def identities(documents: DataFrame, block: int = BLOCK, digest: Callable[[Column], Column] = _sha256, scratch: list[str] | None = None) -> DataFrame:
     """Per row: rid, doc_id, n_points (code points of the text), text_sha256 (of the normalised text), level, name.
 
     level and name together are the identity of the normalised text. rid tells
     repeated rows apart. Null texts count as empty; an empty text is one empty block.
+    Blocks, pairs and documents that are very frequent are joined with their names
+    by a broadcast of the few hot ones.
     """
+    scratch = [] if scratch is None else scratch
     text = documents.select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_points"), _normal().alias("_t"))
     starts = F.sequence(F.lit(1), F.greatest(F.length("_t"), F.lit(1)), F.lit(block))
-    blocks = F.transform(starts, lambda i: F.substring("_t", i, F.lit(block)))
-    rows = text.select("doc_id", "n_points", F.sha2("_t", 256).alias("text_sha256"), F.transform(blocks, lambda b: F.sha2(b, 256)).alias("digests"))
-    rows = materialise(rows.withColumn("rid", F.monotonically_increasing_id()), "dedup-rows")
-
-    distinct = text.select(F.explode(blocks).alias("block")).groupBy("block").count().select("block", F.sha2("block", 256).alias("digest"))
-    names = _named(distinct, ["block"], "dedup-names")
-    shared = names.groupBy("digest").count().where("count > 1")
-    facts = rows.select("rid", F.size("digests").alias("n"), F.posexplode("digests").alias("pos", "digest"))
-    if shared.isEmpty():
-        facts = facts.join(names.select("digest", "name"), "digest")
-    else:  # a digest of several blocks: the blocks themselves decide
-        with_text = materialise(documents.select(*documents.columns, F.monotonically_increasing_id().alias("rid")).select("rid", F.posexplode(F.transform(starts, lambda i: F.substring(_normal(), i, F.lit(block)))).alias("pos", "block")), "dedup-blocks")
-        facts = with_text.join(names.select("block", "name"), "block").join(rows.select("rid", F.size("digests").alias("n")), "rid")
-    facts = materialise(facts.select("rid", "n", "pos", "name"), "dedup-level")
+    text = text.select("doc_id", "n_points", F.sha2("_t", 256).alias("text_sha256"), F.transform(starts, lambda i: F.substring("_t", i, F.lit(block))).alias("parts"))
+    names = _named(text.select(F.explode("parts").alias("block")), ["block"], "dedup-names", scratch, digest=digest(F.col("block")))
+    if names.groupBy("digest").count().where("count > 1").isEmpty():
+        rows, names = text.withColumn("parts", F.transform("parts", digest)), names.select(F.col("digest").alias("part"), "name", "times")
+    else:  # a digest of several blocks: the blocks themselves are looked up
+        rows, names = text, names.select(F.col("block").alias("part"), "name", "times")
+    rows = materialise(rows.withColumn("rid", F.monotonically_increasing_id()), "dedup-rows", scratch)
+    facts = rows.select("rid", F.size("parts").alias("n"), F.posexplode("parts").alias("pos", "part"))
+    facts = materialise(hot_join(facts, names, ["part"], "times").select("rid", "n", "pos", "name"), "dedup-level", scratch)
     level, done = 0, facts.where("n = 1").select("rid", F.lit(0).alias("level"), "name")
     while True:
         open_ = facts.where("n > 1")
@@ -62,21 +67,23 @@ def identities(documents: DataFrame, block: int = BLOCK) -> DataFrame:
         pairs = open_.groupBy("rid", F.floor(F.col("pos") / 2).cast("int").alias("at"), F.ceil(F.col("n") / 2).cast("int").alias("n")).agg(
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"), F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("right")
         )
-        pairs = materialise(pairs, "dedup-pairs")
-        names = _named(pairs.select("left", "right").distinct(), ["left", "right"], "dedup-pair-names")
-        facts = materialise(pairs.join(names, ["left", "right"]).select("rid", "n", F.col("at").alias("pos"), "name"), "dedup-level")
+        pairs = materialise(pairs, "dedup-pairs", scratch)
+        names = _named(pairs.select("left", "right"), ["left", "right"], "dedup-pair-names", scratch)
+        facts = materialise(hot_join(pairs, names, ["left", "right"], "times").select("rid", "n", F.col("at").alias("pos"), "name"), "dedup-level", scratch)
         done = done.union(facts.where("n = 1").select("rid", F.lit(level).alias("level"), "name"))
-    return rows.drop("digests").join(done, "rid")
+    return rows.drop("parts").join(done, "rid")
 
 
-def dedup(documents: DataFrame, block: int = BLOCK) -> DataFrame:
+def dedup(documents: DataFrame, block: int = BLOCK, digest: Callable[[Column], Column] = _sha256) -> DataFrame:
     """Per row: rid, doc_id, n_points, text_sha256, keep_id, group_size, kept.
 
     Of equal texts (white space apart) the row with the most code points stays,
-    then the smallest doc_id (null last), then one of the repeated rows. An empty
-    table gives no rows.
+    then the smallest doc_id (null last), then one of the repeated rows. Null texts
+    are empty ones. An empty table gives no rows; other columns are ignored.
     """
-    named = materialise(identities(documents, block), "dedup-identities")
+    scratch: list[str] = []
+    named = materialise(identities(documents, block, digest, scratch), "dedup-identities")
+    forget(documents.sparkSession, scratch)
     best = F.min(F.struct((-F.col("n_points")).alias("p"), F.col("doc_id").isNull().alias("null"), "doc_id", "rid"))
     groups = materialise(named.groupBy("level", "name").agg(F.count("*").alias("group_size"), best.alias("best")), "dedup-groups")
     return hot_join(named, groups, ["level", "name"], "group_size").select(
@@ -85,19 +92,15 @@ def dedup(documents: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """documents without the rows that dedup drops, all columns as they are."""
+    """documents without the rows that dedup drops, all columns as they are.
+
+    So one row of each group of equal texts stays, null and empty ones being one
+    group; ties and repeats as in dedup. An empty table gives no rows; names of
+    other columns cannot clash.
+    """
     judged = materialise(dedup(documents), "dedup-judged")
-    key = ["doc_id", "n_points", "text_sha256"]
-    per_key = judged.groupBy(*key).agg(F.max("kept").alias("any"), F.count("*").alias("n"))
-    gone = materialise(per_key.where("NOT any OR n > 1").withColumnsRenamed({k: f"_{k}" for k in key}), "dedup-gone")
-    full = documents.select("*", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("_p"), F.sha2(_normal(), 256).alias("_sha"))
-    on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_p") == F.col("_n_points")) & (F.col("_sha") == F.col("_text_sha256"))
-    out = full.join(checked_broadcast(gone), on, "left_anti").select(*documents.columns)
-    if gone.where("any AND n > 1").isEmpty():
-        return out
-    again = full.join(gone.where("any AND n > 1"), on, "left_semi")  # rows repeated with their id: one of each stays
-    one = Window.partitionBy("doc_id", "_p", "_sha").orderBy("text")
-    return out.union(again.withColumn("_one", F.row_number().over(one)).where("_one = 1").select(*documents.columns))
+    key = {"doc_id": F.col("doc_id"), "n_points": F.length(F.coalesce("text", F.lit(""))).cast("long"), "text_sha256": F.sha2(_normal(), 256)}
+    return one_of_each(documents, key, judged.groupBy(*key).agg(F.max("kept").alias("stays"), F.count("*").alias("rows")))
 
 
 SQL = r"""
