@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm._common import materialise
+from llm._common import materialise, packed
 from llm._text import WORD
 
 WEIGHTS = (5, 2, 1)
@@ -25,6 +25,8 @@ MOST_EPOCHS = 2
 SEED = "mix-1"
 #: Documents in a key range, all sources together; ranges only spread the work, results don't depend on them.
 RANGE_ROWS = 1000
+#: Rows made at once of those that are equal in id, source and size.
+CHUNK = 10_000
 
 
 def sizes(documents: DataFrame) -> DataFrame:
@@ -74,10 +76,15 @@ def targets(sized: DataFrame) -> DataFrame:
 
 
 def positions(sized: DataFrame, of_source: DataFrame) -> DataFrame:
-    """sized with its source's row and `before`: words of its source with smaller keys."""
+    """A row per distinct (source, key, doc_id, size) with its source's row, `times` and `before`: words of its source with smaller keys.
+
+    Rows equal in all of that are one here, so very many of one id are no hot spot;
+    the i-th of them begins at before + i * size.
+    """
     digits = max(2, math.ceil(math.log(max(sized.count(), 1) / RANGE_ROWS + 1, 16)))
-    x = sized.select("*", F.substring("key", 1, digits).alias("range"))
-    sums = x.groupBy("s_null", "s", "range").agg(F.sum("size").alias("words")).withColumn("block", F.substring("range", 1, digits // 2))
+    x = sized.groupBy("s_null", "s", "key", "doc_id", "size").agg(F.count("*").alias("times")).withColumn("range", F.substring("key", 1, digits))
+    x = x.withColumn("words", F.col("size") * F.col("times"))
+    sums = x.groupBy("s_null", "s", "range").agg(F.sum("words").alias("words")).withColumn("block", F.substring("range", 1, digits // 2))
     earlier = (Window.unboundedPreceding, -1)
     blocks = sums.groupBy("s_null", "s", "block").agg(F.sum("words").alias("words"))
     in_source = Window.partitionBy("s_null", "s").orderBy("block").rowsBetween(*earlier)
@@ -86,7 +93,7 @@ def positions(sized: DataFrame, of_source: DataFrame) -> DataFrame:
     sums = sums.select("s_null", "s", "block", "range", F.coalesce(F.sum("words").over(in_block), F.lit(0)).alias("range_at"))
     offsets = sums.join(blocks, ["s_null", "s", "block"]).join(of_source, ["s_null", "s"]).withColumn("offset", F.col("block_at") + F.col("range_at")).drop("block", "block_at", "range_at")
     in_range = Window.partitionBy("s_null", "s", "range").orderBy("key", "doc_id", "size").rowsBetween(*earlier)
-    x = x.select("*", F.coalesce(F.sum("size").over(in_range), F.lit(0)).alias("inside"))
+    x = x.select("*", F.coalesce(F.sum("words").over(in_range), F.lit(0)).alias("inside")).drop("words")
     return x.join(offsets, ["s_null", "s", "range"]).withColumn("before", F.col("offset") + F.col("inside")).drop("offset", "inside", "range")
 
 
@@ -94,11 +101,14 @@ def mix(documents: DataFrame) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: words the mix takes of each document.
 
     A null source is a source of its own, after all others; null and empty texts
-    have size 0 and give nothing. Repeated rows count each by itself. An empty
-    table gives no rows. The document at a cut gives only the words up to it.
+    have size 0 and give nothing. Repeated rows count each by itself, rows with null
+    ids too. An empty table gives no rows; other columns are ignored. The document
+    at a cut gives only the words up to it; equal keys go by doc_id, then size.
     """
     sized = materialise(sizes(documents), "mix-sizes")
     at = positions(sized, targets(sized))
+    at = at.withColumn("_from", F.explode(F.sequence(F.lit(0), F.col("times") - 1, F.lit(CHUNK)))).withColumn("_i", F.explode(F.sequence("_from", F.least(F.col("_from") + CHUNK, F.col("times")) - 1)))
+    at = at.withColumn("before", F.col("before") + F.col("_i") * F.col("size"))
     last = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
     return at.select(
         "doc_id", F.when(~F.col("s_null"), F.col("s")).alias("source"), "size", "source_size", "target",
@@ -110,18 +120,22 @@ def repeat(documents: DataFrame) -> DataFrame:
     """The mixed corpus itself: documents' columns, a row for each time that the mix takes the document.
 
     Documents stay whole here: one at a cut is taken if at least half of it lies
-    before the cut. The cut is a key per source, so texts are not shuffled.
+    before the cut. The cut is a key per source, so texts are not shuffled. Null
+    sources are one source; rows equal in id and size are taken together; texts
+    without words are taken as often as their neighbours by key. An empty table
+    gives no rows; names of other columns cannot clash.
     """
     sized = materialise(sizes(documents), "mix-sizes")
     at = positions(sized, targets(sized))
-    inside = F.col("before") + F.col("size") / 2 <= F.col("rest")
-    cuts = at.groupBy("s_null", "s").agg(F.min("epochs").alias("_epochs"), F.max(F.when(inside, F.struct("key", "doc_id"))).alias("_cut"))
-    cuts = materialise(cuts.select(F.col("s_null").alias("_null"), F.col("s").alias("_s"), "_epochs", "_cut"), "mix-cuts")
-    own = F.struct(_key().alias("key"), F.col("doc_id").alias("doc_id"))
-    on = (F.col("source").isNull() == F.col("_null")) & (F.coalesce("source", F.lit("")) == F.col("_s"))
-    times = F.col("_epochs") + F.when(own <= F.col("_cut"), 1).otherwise(0)
-    kept = documents.join(cuts, on).withColumn("_times", times).where("_times > 0")
-    return kept.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*documents.columns)
+    inside = F.col("before") + F.col("size") * F.col("times") / 2 <= F.col("rest")
+    cuts = at.groupBy("s_null", "s").agg(F.min("epochs").alias("epochs"), F.max(F.when(inside, F.struct("key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "size"))).alias("cut"))
+    cuts = materialise(cuts, "mix-cuts")
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    own = F.struct(_key().alias("key"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), words.alias("size"))
+    x = packed(documents, s_null=F.col("source").isNull(), s=F.coalesce("source", F.lit("")), own=own)
+    times = F.col("epochs") + F.when(F.col("own") <= F.col("cut"), 1).otherwise(0)
+    x = x.join(cuts, ["s_null", "s"]).select("_row", times.cast("int").alias("_times")).where("_times > 0")
+    return x.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")).select("_row.*")
 
 
 SQL = r"""
