@@ -1,23 +1,26 @@
-"""SentencePiece encoding and decoding in numpy batches.
+"""SentencePiece encoding and decoding by a Viterbi search in numpy batches.
 
 A text is cut into units before each run of spaces; no piece of a model crosses
-such a cut. The distinct units of a batch are segmented together:
+such a cut. The distinct units of a batch are segmented together: substrings of
+each length are hashed in one pass and probe the sorted keys of the pieces; units
+advance together, one character a step, and a vectorised maximum over the lengths
+of the last piece stores the backpointers.
 
-- unigram models: by a Viterbi search. Substrings of each length are hashed in
-  one pass and looked up in the sorted hashes of the pieces; units of equal
-  length advance together, and a vectorised maximum over the piece lengths
-  stores the backpointers.
-- BPE models (the public file is one): piece scores are merge ranks there, and
-  the best sum of ranks is not the model's encoding, so units of equal length
-  make their best-ranked merge together instead and go on with one symbol less.
-  This gives the ids that the model's own library gives.
+What a step is worth depends on the kind of model:
+
+- unigram: the piece's score, added up.
+- BPE (the public file is one): scores are merge ranks there, and their best sum is
+  not the model's encoding. A step is worth nothing if the piece may follow the
+  piece before it, and minus infinity if not: two pieces may be neighbours if no
+  merge across their border comes before the merges that made them. Every prefix
+  has exactly one last piece of that kind, so the search gives the ids that the
+  model's own library gives. Verdicts on pairs are kept in a table of fixed size.
 
 Characters that no piece covers become their UTF-8 byte pieces.
 """
 
 from __future__ import annotations
 
-import heapq
 import os
 import re
 from collections.abc import Iterator
@@ -39,8 +42,10 @@ _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 MOST_KNOWN = 150_000
 #: Bytes of text encoded together, about.
 SLICE_BYTES = 1 << 20
-#: Units of more characters are merged one by one with a heap.
-LONG = 96
+#: Slots (a power of two) that keep which pairs of pieces may be neighbours.
+PAIR_SLOTS = 20
+#: First bits of a hash that tell most substrings which are no piece.
+PRESENT = 20
 #: Below the worst piece by so much is a character that is no piece.
 UNKNOWN_PENALTY = 10.0
 _FREE = "\udc81"  # stands for a literal SPACE mark in a text while it is cut; spelt in bytes
@@ -82,6 +87,8 @@ class Vocabulary:
         hashes = range_hashes(joined, ends - lengths, ends)
         order = np.argsort(hashes)
         self.hashes, self.ids, self.scores = hashes[order], np.array(normal, np.int32)[order], scores[order]
+        self.present = np.zeros(1 << PRESENT, bool)
+        self.present[self.hashes >> np.uint64(64 - PRESENT)] = True
         assert len(np.unique(self.hashes)) == len(self.hashes), "two pieces share a hash"
         self.raw = [bytes([int(pieces[i][3:5], 16)]) if is_byte[i] else pieces[i].replace(SPACE, " ").encode("utf-8", "surrogatepass") if i in ordinary else b"" for i in range(n)]
         self.known, self.flat, self.start = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
@@ -100,195 +107,164 @@ class Vocabulary:
         return cls([p.piece for p in m.pieces], [p.score for p in m.pieces], normal, kind)
 
     def _index_merges(self, known: dict[str, tuple[int, float]]) -> None:
-        """Sorted keys of all pairs of pieces that make a piece, with the piece and its rank (best first)."""
+        """Pairs of pieces that make a piece, by hash slot; of each piece its rank (best first) and the pair that BPE makes it of."""
+        n = len(self.pieces)
         rank = {p: r for r, p in enumerate(sorted(known, key=lambda p: -known[p][1]))}
-        pairs = [(known[p[:k]][0], known[p[k:]][0], rank[p], known[p][0]) for p in known for k in range(1, len(p)) if p[:k] in known and p[k:] in known]
-        left, right, order, made = (np.array(x, np.int64) for x in zip(*pairs))
-        self.wide = len(self.pieces)
-        keys = left * self.wide + right
-        by = np.argsort(keys)
-        keys, self.rank_of, self.made_of = keys[by], order[by], made[by].astype(np.int32)
-        # the sorted keys behind a table of hash slots, each with the keys that share it
-        self.bits = int(len(keys)).bit_length() + 3
-        slot = self._slot(keys)
+        pairs = [(known[p[:k]][0], known[p[k:]][0], known[p][0]) for p in known for k in range(1, len(p)) if p[:k] in known and p[k:] in known]
+        left, right, made = np.array(pairs or np.zeros((0, 3)), np.int64).T
+        self.wide, self.never = n, len(known)
+        self.rank = np.full(n, self.never, np.int64)
+        self.rank[[known[p][0] for p in known]] = [rank[p] for p in known]
+        keys = left * n + right
+        self.bits = max(1, len(keys)).bit_length() + 3
+        slot = self._slot(keys, self.bits)
         by = np.argsort(slot, kind="stable")
-        self.merge_keys, self.rank_of, self.made_of, slot = keys[by], self.rank_of[by], self.made_of[by], slot[by]
+        self.merge_keys, self.rank_of, slot = np.append(keys[by], -1), np.append(self.rank[made[by]], self.never), slot[by]
         self.slot_at = np.searchsorted(slot, np.arange((1 << self.bits) + 1)).astype(np.int32)
-        self.chain = int(np.diff(self.slot_at).max())
-        points = {ord(p): known[p][0] for p in known if len(p) == 1}
-        self.of_point = np.full(max(points) + 2, -1, np.int32)
-        self.of_point[:128] = self.bytes_at[:128]  # an ASCII character without a piece is its one byte piece, which no merge has
-        self.of_point[list(points)] = list(points.values())
+        self.chain = int(np.diff(self.slot_at).max(initial=0))
+        self.part = np.full((2, n), -1, np.int64)  # the left and right part of each piece of more characters than one
+        self.made = np.zeros(n, bool)  # whether merges ever make it
+        self.made[[known[p][0] for p in known if len(p) == 1]] = True
+        size = np.array([len(p) for p in self.pieces])
+        for length in range(2, self.longest + 1):
+            at = np.flatnonzero((size[made] == length) & self.made[left] & self.made[right])
+            at = at[~self._clash(left[at], right[at], self.rank[made[at]])]
+            self.part[:, made[at]], self.made[made[at]] = (left[at], right[at]), True
+        self.pair_key = np.full(1 << PAIR_SLOTS, -1, np.int64)
+        self.pair_fits = np.zeros(1 << PAIR_SLOTS, bool)
+
+    @staticmethod
+    def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def _merge_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece that two pieces make, or `never`."""
+        keys = left * self.wide + right
+        slot = self._slot(keys, self.bits)
+        at, end = self.slot_at[slot], self.slot_at[slot + 1]
+        out = np.full(len(keys), self.never, np.int64)
+        for step in range(self.chain):
+            here = np.minimum(at + step, len(self.merge_keys) - 1)
+            hit = (at + step < end) & (self.merge_keys[here] == keys)
+            out[hit] = self.rank_of[here[hit]]
+        return out
 
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+    def _clash(self, left: np.ndarray, right: np.ndarray, until: np.ndarray) -> np.ndarray:
+        """Whether a merge across the border of two pieces comes before rank `until` and before the merges that made them.
+
+        On the way to the left piece, the symbols at the border are its right part, the
+        right part of that and so on; each is there until the merge that takes it in.
+        Of equal merges the one further left comes first.
+        """
+        out = np.zeros(len(left), bool)
+        rows, x, x_until = np.arange(len(left)), left, until
+        while len(rows):
+            inner, y, y_until, xi, xi_until = rows, right[rows], until[rows], x, x_until
+            while len(inner):
+                rank = self._merge_rank(xi, y)
+                out[inner] |= (rank < xi_until) & (rank <= y_until) & (rank < until[inner])
+                below = self.part[0, y]
+                go = (below >= 0) & ~out[inner]
+                inner, y_until, y, xi, xi_until = inner[go], self.rank[y[go]], below[go], xi[go], xi_until[go]
+            below = self.part[1, x]
+            go = (below >= 0) & ~out[rows]
+            rows, x_until, x = rows[go], self.rank[x[go]], below[go]
+        return out
 
-    def _merges(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Index of the merge of each pair of ids, or -1. Ids below 0 are characters without a piece."""
+    def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the right piece may follow the left one; a character without a piece (below 0) may stand anywhere."""
         keys = left.astype(np.int64) * self.wide + right
-        at = self.slot_at[slot := self._slot(keys)]
-        end = self.slot_at[slot + 1]
-        found = np.full(keys.shape, -1, np.int64)
-        for step in range(self.chain):
-            here = at + step
-            hit = (here < end) & (self.merge_keys[np.minimum(here, len(self.merge_keys) - 1)] == keys)
-            found[hit] = here[hit]
-        return np.where((left >= 0) & (right >= 0), found, -1)
-
-    def merge(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All units' piece ids in a row, and how many each has, under a BPE model: the best-ranked, leftmost merge first, until none is left."""
-        lengths = np.array([len(u) for u in units])
-        codes = _code_points("".join(units)).astype(np.int64)
-        ends = np.cumsum(lengths)
-        ids = self.of_point[np.minimum(codes, len(self.of_point) - 1)]
-        ids = np.where(ids >= 0, ids, (-1 - codes).astype(np.int32))  # a character without a piece is kept as such
-        made: list[tuple[np.ndarray, np.ndarray]] = []  # units and their ids, a row each, by length
-        order = np.argsort(-lengths, kind="stable")
-        rows, owner, last = np.zeros((0, 0), np.int32), np.zeros(0, np.int64), len(self.merge_keys)
-        at = 0
-        while at < len(order) and lengths[order[at]] > LONG:
-            u = order[at]
-            made.append((np.array([u]), self._spelt(self._merge_long(ids[ends[u] - lengths[u] : ends[u]]))[None, :]))
-            at += 1
-        length = int(lengths[order[at]]) if at < len(order) else 0
-        while length:
-            to = at
-            while to < len(order) and lengths[order[to]] == length:
-                to += 1
-            if to > at:
-                new = order[at:to]
-                fresh = ids[(ends[new] - length)[:, None] + np.arange(length)]
-                rows = fresh if not len(rows) else np.concatenate((rows, fresh))
-                owner = np.concatenate((owner, new))
-                at = to
-            if len(rows):
-                if length > 1:
-                    found = self._merges(rows[:, :-1], rows[:, 1:])
-                    rank = np.where(found >= 0, self.rank_of[found], last)
-                    p = rank.argmin(1)
-                    r = np.arange(len(rows))
-                    ends_here = rank[r, p] == last
-                else:
-                    ends_here = np.ones(len(rows), bool)
-                done = rows[ends_here]
-                plain = (done >= 0).all(1)
-                whose = owner[ends_here]
-                made.append((whose[plain], done[plain]))
-                made.extend((whose[i : i + 1], self._spelt(done[i])[None, :]) for i in np.flatnonzero(~plain))
-                go = np.flatnonzero(~ends_here)
-                if len(go):
-                    p = p[go]
-                    src = np.arange(length - 1)[None, :] + (np.arange(length - 1)[None, :] > p[:, None])
-                    merged = self.made_of[found[go, p]]
-                    rows = np.take_along_axis(rows[go], src, 1)
-                    rows[np.arange(len(go)), p] = merged
-                else:
-                    rows = np.zeros((0, 0), np.int32)
-                owner = owner[go]
-            length = length - 1 if len(rows) else (int(lengths[order[at]]) if at < len(order) else 0)
-        size = np.zeros(len(units), np.int64)
-        for whose, ids in made:
-            size[whose] = ids.shape[1]
-        start = np.cumsum(size) - size
-        flat = np.zeros(int(size.sum()), np.int32)
-        for whose, ids in made:
-            flat[start[whose][:, None] + np.arange(ids.shape[1])] = ids
-        return flat, size
-
-    def _merge_long(self, ids: np.ndarray) -> np.ndarray:
-        """merge() for one long unit: a heap of merges over linked symbols."""
-        sym, n = ids.tolist(), len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def push(at: np.ndarray) -> None:
-            right = np.array([after[i] for i in at.tolist()])
-            a, b = np.array([sym[i] for i in at.tolist()]), np.array([sym[j] for j in right.tolist()])
-            for i, x, y, k in zip(at.tolist(), a.tolist(), b.tolist(), self._merges(a, b).tolist()):
-                if k >= 0:
-                    heapq.heappush(heap, (int(self.rank_of[k]), i, x, y, int(self.made_of[k])))
-
-        push(np.arange(n - 1))
-        gone = [False] * n
-        while heap:
-            _, i, x, y, made = heapq.heappop(heap)
-            j = after[i]
-            if gone[i] or sym[i] != x or j >= n or sym[j] != y:
-                continue
-            sym[i], gone[j], after[i] = made, True, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            near = [k for k in (before[i], i) if k >= 0 and after[k] < n]
-            if near:
-                push(np.array(near))
-        return np.array([s for s, g in zip(sym, gone) if not g], np.int32)
-
-    def _spelt(self, ids: np.ndarray) -> np.ndarray:
-        if (ids >= 0).all():
-            return ids
-        return self._with_bytes(ids, -1 - ids)
-
-    def segment(self, units: list[str]) -> list[np.ndarray]:
-        """Piece ids of each unit; units are distinct and not empty."""
-        lengths = np.array([len(u) for u in units])
+        slot = self._slot(keys, PAIR_SLOTS)
+        new = np.flatnonzero((self.pair_key[slot] != keys) & (left >= 0) & (right >= 0))
+        out = self.pair_fits[slot]
+        if len(new):
+            one, at = np.unique(keys[new], return_inverse=True)
+            fits = ~self._clash(one // self.wide, one % self.wide, np.full(len(one), self.never, np.int64))
+            out[new] = fits[at]
+            self.pair_key[slot[new]], self.pair_fits[slot[new]] = -1, False
+            kept = self._slot(one, PAIR_SLOTS)
+            self.pair_key[kept], self.pair_fits[kept] = one, fits
+        return out | (left < 0) | (right < 0)
+
+    def segment(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All units' piece ids in a row, and how many each has; units are distinct and not empty."""
+        whole = np.array([len(u) for u in units])
         codes = _code_points("".join(units))
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        total = len(codes)
-        unit_end = np.repeat(ends, lengths)
-        most = min(self.longest, int(lengths.max()))
-        here = np.arange(total)
-        # column k: score and id of the piece of k + 1 characters that starts at each position
-        score = np.full((total, most), -np.inf)
-        piece = np.full((total, most), -1, np.int32)
+        ends = np.cumsum(whole)
+        unit_end = np.repeat(ends, whole)
+        most = min(self.longest, int(whole.max()))
+        here = np.arange(len(codes))
+        # column k: id (and score) of the piece of k + 1 characters that starts at each position
+        piece = np.full((len(codes), most), -1, np.int32)
+        score = np.full((len(codes), most), -np.inf) if self.kind == "unigram" else None
         for k in range(most):
-            at = here[here + k + 1 <= unit_end]
+            at = here[: len(codes) - k]
+            at = at[at + k < unit_end[at]]
             h = range_hashes(codes, at, at + k + 1)
+            maybe = np.flatnonzero(self.present[h >> np.uint64(64 - PRESENT)])
+            at, h = at[maybe], h[maybe]
             found = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             hit = self.hashes[found] == h
-            score[at[hit], k], piece[at[hit], k] = self.scores[found[hit]], self.ids[found[hit]]
-        score[:, 0] = np.where(piece[:, 0] < 0, self.unknown, score[:, 0])
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(units)
-        for length in np.unique(lengths):
-            which = np.flatnonzero(lengths == length)
-            first = starts[which]
-            best = np.full((len(which), length + 1), -np.inf)
-            best[:, 0] = 0.0
-            back = np.zeros((len(which), length + 1), np.int32)
-            for t in range(1, length + 1):
-                k = np.arange(min(t, most))  # the last piece has k + 1 characters
-                value = best[:, t - 1 - k] + score[(first + t)[:, None] - 1 - k, k]
-                chosen = value.argmax(1)
-                best[:, t], back[:, t] = value[np.arange(len(which)), chosen], chosen + 1
-            # walk all units back together
-            t, steps, owners = np.full(len(which), length), [], []
-            row = np.arange(len(which))
-            while len(row):
-                k = back[row, t]
-                steps.append(np.stack((first[row] + t - k, k - 1), 1))
-                owners.append(row)
-                t = t - k
-                row, t = row[t > 0], t[t > 0]
-            steps, owners = np.concatenate(steps)[::-1], np.concatenate(owners)[::-1]
-            order = np.argsort(owners, kind="stable")
-            steps, owners = steps[order], owners[order]
-            ids = piece[steps[:, 0], steps[:, 1]]
-            cut = np.searchsorted(owners, np.arange(len(which) + 1))
-            for j, u in enumerate(which):
-                own = ids[cut[j] : cut[j + 1]]
-                if (own < 0).any():
-                    own = self._with_bytes(own, codes[steps[cut[j] : cut[j + 1], 0]])
-                out[u] = own
-        return out
-
-    def _with_bytes(self, ids: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        whole = []
-        for i, c in zip(ids.tolist(), codes.tolist()):
-            if i >= 0:
-                whole.append(i)
-            else:
-                whole.extend(self.bytes_at[list((SPACE if chr(c) == _FREE else chr(c)).encode("utf-8", "surrogatepass"))].tolist())
-        return np.array(whole, np.int32)
+            piece[at[hit], k] = self.ids[found[hit]]
+            if score is not None:
+                score[at[hit], k] = self.scores[found[hit]]
+        # no piece crosses the border between two parts of a unit, so each is searched by itself
+        reach = np.where((piece[:, 1:] >= 0).any(1), most - (piece[:, :0:-1] >= 0).argmax(1), 1) if most > 1 else np.ones(len(codes), int)
+        crossed = np.cumsum(np.bincount(here + 1, minlength=len(codes) + most + 1) - np.bincount(here + reach, minlength=len(codes) + most + 1))[: len(codes)] > 0
+        crossed[0] = False
+        crossed[ends[:-1]] = False
+        starts = np.flatnonzero(~crossed)
+        lengths = np.diff(np.append(starts, len(codes)))
+        back = self._search(starts, lengths, piece, score)
+        # walk all parts back together
+        taken, at, left = np.zeros(len(codes), np.int32), starts + lengths, lengths
+        while len(at):
+            k = back[at - 1]
+            at, left = at - k, left - k
+            taken[at] = k
+            at, left = at[left > 0], left[left > 0]
+        at = np.flatnonzero(taken)
+        ids = piece[at, taken[at] - 1]
+        size, lost = np.ones(len(ids), np.int64), ids < 0
+        if lost.any():
+            spelt = [self._bytes_of(c) for c in codes[at[lost]].tolist()]
+            size[lost] = [len(x) for x in spelt]
+            ids = np.repeat(ids, size)
+            ids[ids < 0] = np.concatenate(spelt)
+        return ids, np.bincount(np.searchsorted(ends, at, "right"), size, len(units)).astype(np.int64)
+
+    def _search(self, starts: np.ndarray, lengths: np.ndarray, piece: np.ndarray, score: np.ndarray | None) -> np.ndarray:
+        """Length of the last piece of the best segmentation up to each position; all parts advance by one character a step."""
+        usable = piece >= 0
+        if score is None:
+            usable &= self.made[piece]
+        else:
+            score[:, 0] = np.where(usable[:, 0], score[:, 0], self.unknown)
+        usable[:, 0] = True
+        begin, k = np.nonzero(usable)
+        end, first = begin + k, np.zeros(len(piece), np.int32)
+        first[starts] = starts
+        first = np.maximum.accumulate(first)
+        step = end - first[end]
+        by = np.argsort(step, kind="stable")
+        begin, k, end, step = begin[by], k[by], end[by], step[by]
+        own, inner = piece[begin, k], begin > first[end]
+        worth = score[begin, k] if score is not None else np.zeros(len(begin))
+        best, last, back = np.full(len(piece), -np.inf), np.zeros(len(piece), np.int32), np.zeros(len(piece), np.int32)
+        cuts = np.searchsorted(step, np.arange(int(lengths.max()) + 1))
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            value, e, behind = worth[i:j].copy(), end[i:j], np.flatnonzero(inner[i:j])
+            before = begin[i:j][behind] - 1
+            value[behind] += best[before]
+            if score is None:
+                value[behind[~self._fits(last[before], own[i:j][behind])]] = -np.inf
+            np.maximum.at(best, e, value)
+            won = np.flatnonzero((value == best[e]) & (value > -np.inf))
+            back[e[won]], last[e[won]] = k[i:j][won] + 1, own[i:j][won]
+        return back
+
+    def _bytes_of(self, code: int) -> np.ndarray:
+        return self.bytes_at[list((SPACE if chr(code) == _FREE else chr(code)).encode("utf-8", "surrogatepass"))]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Piece ids of each whole text; none for null and empty texts. Units seen before are looked up."""
@@ -296,11 +272,7 @@ class Vocabulary:
         if len(self.known) > MOST_KNOWN:
             self.known, self.flat, self.start = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
         if new := list({u for line in lines for u in line} - self.known.keys()):
-            if self.kind == "bpe":
-                flat, size = self.merge(new)
-            else:
-                found = self.segment(new)
-                flat, size = np.concatenate(found), np.array([len(x) for x in found])
+            flat, size = self.segment(new)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.flat = np.concatenate((self.flat, flat))
             self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(size)))

@@ -288,11 +288,24 @@ def test_viterbi_is_the_best_segmentation():
             b[t] = max(b[s] + value.get(u[s:t], -math.inf) for s in range(t))
         return b[-1]
 
-    for u, ids in zip(units, v.segment(units)):
+    flat, size = v.segment(units)
+    for u, ids in zip(units, np.split(flat, np.cumsum(size)[:-1])):
         assert "".join(pieces[i] for i in ids) == u and abs(sum(score[i] for i in ids) - best(u)) < 1e-9
     assert v.decode(v.encode(["ab cz", "▁é"])) == ["ab cz", "▁é"]
 
 
+def test_viterbi_gives_the_ids_of_merges():
+    """Under a BPE model: random strings over small alphabets, pieces in a row, one very long word."""
+    lib = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=sentencepiece_codec.model_path())
+    v = sentencepiece_codec.vocabulary(sentencepiece_codec.model_path())
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list(a), int(rng.integers(1, 60)))) for a in ("ab", "aab ", "the ion", "0123456789", "=-_*#.", "日本語中a ", "xX\n\t é") for _ in range(300)]
+    texts += ["".join(v.pieces[int(i)].replace("▁", " ") for i in rng.integers(260, len(v.pieces), 30)) for _ in range(300)]
+    texts += ["".join(rng.choice(list("abcdefghij"), 20_000)), "ab1cZ" * 20_000]
+    assert [x.tolist() for x in v.encode(texts)] == lib.encode(texts)
+    assert v.decode(v.encode(texts)) == texts
+
+
 def test_secret_scan(spark):
     good = [f'token = "{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(40)] + [f"password={hashlib.md5(str(i).encode()).hexdigest()[:18]}" for i in range(40)]
     bad = [f"card 4{i:015d} here" for i in range(40)] + [f"see /page-{i:04d}/index-of-example-pages" for i in range(40)]
