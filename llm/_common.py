@@ -66,19 +66,19 @@ def checked_broadcast(df: DataFrame, rows: int | None = None, most: int = BROADC
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
 
 
-def hot_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str) -> DataFrame:
-    """Inner join of rows with narrow groups (materialised, one row per key), where `size` is a key's number of rows.
+def hot_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str, how: str = "inner", most: int | None = None) -> DataFrame:
+    """Join of rows with narrow groups (materialised, one row per key), where `size` is a key's number of rows; how: inner or left.
 
-    Groups of few rows in all are broadcast. Else the hot ones are, of which there
-    are fewer than HOT_KEYS, so that their rows stay where they are; all others are
-    shuffled as usual. The columns are those of rows.join(groups, on).
+    Groups of few rows in all (`most`) are broadcast. Else the hot ones are, of which
+    there are fewer than HOT_KEYS, so that their rows stay where they are; all others
+    are shuffled as usual. The columns are those of rows.join(groups, on, how).
     """
     total = groups.agg(F.sum(size)).first()[0] or 0
-    if total <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(groups), on)
+    if total <= (BROADCAST_ROWS if most is None else most):
+        return rows.join(F.broadcast(groups), on, how)
     hot = groups.where(F.col(size) * HOT_KEYS > total)
     few = rows.join(F.broadcast(hot), on)
-    return few.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(groups.where(F.col(size) * HOT_KEYS <= total), on))
+    return few.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(groups.where(F.col(size) * HOT_KEYS <= total), on, how))
 
 
 def dealt_join(rows: DataFrame, groups: DataFrame, on: str, by: str, most: int = 2000) -> DataFrame:

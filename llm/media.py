@@ -1,9 +1,10 @@
 """Media columns: interleaved sequences of text and media references, resolved by digest.
 
 store() keeps each payload losslessly as 8-bit samples in a WAV column of a
-table in the shared folder; parse() turns HTML into ordered text and reference
-structs; resolve() joins references to what was read back from the store, by
-digest. Only features travel through the join, never payloads.
+table in the shared folder; sequences() turns HTML into ordered text and reference
+structs, one array per page, and items() makes rows of them; resolve() joins
+references to what was read back from the store, by digest. Only references and
+features travel through the join, never payloads or texts.
 """
 
 from __future__ import annotations
@@ -16,13 +17,15 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm._common import bounded_batches, materialise
+from llm._common import bounded_batches, hot_join, materialise
 from llm._text import slices
 
 UNIT = 64
+#: Described payloads that may be broadcast in one join (some 300 bytes each).
+BROADCAST_PAYLOADS = 50_000
 _RATE = 8000
 _HEAD = struct.Struct("<4sI4s4sIHHIIHH4sI")
 
@@ -69,7 +72,7 @@ def store(documents: DataFrame) -> DataFrame:
 
 
 def describe(stored: DataFrame) -> DataFrame:
-    """One row per digest, from the stored bytes: digest, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
+    """One row per digest, from the stored bytes: digest, copies (rows that have it), n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -86,7 +89,7 @@ def describe(stored: DataFrame) -> DataFrame:
 
     schema = "digest string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     rest = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    return stored.mapInPandas(read, schema).groupBy("digest").agg(*[F.min(c).alias(c) for c in rest])
+    return stored.mapInPandas(read, schema).groupBy("digest").agg(F.count("*").alias("copies"), *[F.min(c).alias(c) for c in rest])
 
 
 class _Sequence(HTMLParser):
@@ -143,38 +146,65 @@ def sequence(html: str | None) -> list[dict]:
     return p.items
 
 
-def parse(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """key, position, kind (text or media), text, ref, caption: a row per item of each page's HTML."""
+ITEMS = "array<struct<position:int,kind:string,text:string,ref:string,caption:string>>"
+
+
+def sequences(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """key and items (ordered structs of position, kind (text or media), text, ref, caption) of each page's HTML: a row per row of pages.
+
+    Null and empty HTML have no items; a repeated page has its items again; an empty
+    table gives no rows; other columns are ignored.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, i, x["kind"], x["text"], x["ref"], x["caption"]) for k, h in zip(b[key], b["html"]) for i, x in enumerate(sequence(h))]
-            yield pd.DataFrame(rows, columns=[key, "position", "kind", "text", "ref", "caption"])
+            items = [[{"position": i, **x} for i, x in enumerate(sequence(h))] for h in b["html"]]
+            yield pd.DataFrame({"_key": b["_key"], "items": items})
+
+    bounded_batches(pages.sparkSession)
+    out = pages.select(F.col(key).cast("string").alias("_key"), "html").mapInPandas(run, f"_key string, items {ITEMS}")
+    return out.select(F.col("_key").cast(dict(pages.dtypes)[key]).alias(key), "items")
 
-    items = pages.select(F.col(key).cast("string").alias(key), "html").mapInPandas(run, f"`{key}` string, position int, kind string, text string, ref string, caption string")
-    return items.withColumn(key, F.col(key).cast(dict(pages.dtypes)[key]))
+
+def items(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """key, position, kind, text, ref, caption: a row per item of each page's HTML."""
+    return sequences(pages, key).select(key, F.explode("items").alias("i")).select(key, "i.*")
 
 
 def resolve(items: DataFrame, described: DataFrame) -> DataFrame:
-    """items with what the store has for their digest (`media:<digest>`); positions and captions stay as they were."""
+    """items with what the store has for their digest (`media:<digest>`), null for texts and for references it doesn't have.
+
+    Positions and captions stay as they were. Texts don't go through the join; a
+    digest that very many items refer to is broadcast. described is materialised.
+    """
     x = items.withColumn("digest", F.when(F.col("ref").startswith("media:"), F.substring("ref", 7, 64)))
-    return x.join(described, "digest", "left")
+    found = hot_join(x.where("digest IS NOT NULL"), described, ["digest"], "copies", "left", BROADCAST_PAYLOADS).drop("copies")
+    return found.unionByName(x.where("digest IS NULL"), allowMissingColumns=True)
+
+
+def _html(text: Column) -> Column:
+    return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
-def figures(documents: DataFrame) -> DataFrame:
-    """Each document as an HTML figure that refers to its payload by digest."""
-    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+def articles(documents: DataFrame) -> DataFrame:
+    """Each document as HTML: its first line, a figure that refers to the whole text by digest, and the other lines."""
+    text = F.coalesce("text", F.lit(""))
+    lead = F.regexp_extract(text, r"^[^\n]*\n?", 0)
     caption = F.concat(F.lit("document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
-    return documents.select("doc_id", F.concat(F.lit('<figure><img src="media:'), sha, F.lit('"/><figcaption>'), caption, F.lit("</figcaption></figure>")).alias("html"))
+    figure = F.concat(F.lit('<figure><img src="media:'), F.sha2(text, 256), F.lit('"/><figcaption>'), caption, F.lit("</figcaption></figure>"))
+    return documents.select("doc_id", F.concat(F.lit("<h1>"), _html(lead), F.lit("</h1>"), figure, F.lit("<p>"), _html(F.substring(text, F.length(lead) + 1, F.length(text))), F.lit("</p>")).alias("html"))
 
 
 def media_columns(documents: DataFrame) -> DataFrame:
-    """A row per row of documents: doc_id, position, caption and the features of its payload read back from the store.
+    """A row per row of documents: doc_id, the features of its payload read back from the store, and its place in the document's sequence.
 
-    Null and empty texts have a payload of one unit of zeros. Repeated rows and
-    equal texts have equal values. An empty table gives no rows.
+    position counts from 0 among n_items texts and media; texts of white space only
+    are no items. Null and empty texts have a payload of one unit of zeros at
+    position 0. Repeated rows and equal texts have equal values, rows without an id
+    too. An empty table gives no rows; other columns are ignored.
     """
     kept = materialise(describe(store(documents)), "media-features")
-    return resolve(parse(figures(documents), "doc_id"), kept).select(
-        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption"
+    media = sequences(articles(documents), "doc_id").select("doc_id", F.size("items").alias("n_items"), F.explode(F.filter("items", lambda i: i["kind"] == "media")).alias("i"))
+    return resolve(media.select("doc_id", "n_items", "i.*"), kept).select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "n_items", "caption"
     )

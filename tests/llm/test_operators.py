@@ -329,18 +329,45 @@ def test_secret_forms(spark):
     assert not [i for i in range(len(forms) + 60, len(forms) + 120 + 4) if i in got and got[i].n_secrets]
 
 
+def brute_feature(p):
+    n, total = len(p), sum(p)
+    turns = sum((x >= 128) != (y >= 128) for x, y in zip(p, p[1:]))
+    bins = Counter(x // 64 for x in p)
+    return f"mean={total * 1000 // n};var={(sum(x * x for x in p) * n - total * total) * 1000 // (n * n)};turns={turns};hist={','.join(str(bins[k]) for k in range(4))}"
+
+
 def test_media(spark):
-    texts = [*corpus(30), "x" * 64, "x" * 63]
+    texts = [*corpus(30), "x" * 64, "x" * 63, "a <b> & c\nsecond &amp; line\n", "\n\n", "ä\n日本"]
     d = docs(spark, texts)
     got = {r.doc_id: r for r in media.media_columns(d).collect()}
     for i, t in enumerate(texts):
         raw = (t or "").encode()
         p = raw + bytes(-len(raw) % 64 if raw else 64)
+        head = b"RIFF" + (36 + len(p)).to_bytes(4, "little") + b"WAVEfmt \x10\0\0\0\x01\0\x01\0\x40\x1f\0\0\x40\x1f\0\0\x01\0\x08\0data" + len(p).to_bytes(4, "little")
         assert (got[i].n_bytes, got[i].payload_bytes, got[i].payload_sha256, got[i].tail_crc32, got[i].caption) == (len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), f"document {i}")
+        assert (got[i].media_bytes, got[i].media_sha256, got[i].feature) == (44 + len(p), hashlib.sha256(head + p).hexdigest(), brute_feature(p))
+        lead, rest = ((t or "").partition("\n")[::2])
+        assert (got[i].position, got[i].n_items) == (int(bool(lead.strip())), 1 + bool(lead.strip()) + bool(rest.strip()))
         assert media.decode_wav(media.encode_wav(p)) == p
     assert media.media_columns(d.limit(0)).count() == 0
-    items = media.sequence("<p>one<b>two</b></p><figure><img src='media:1' alt='old'><figcaption>new &amp; good</figcaption></figure><script>x</script>end")
-    assert [(x["kind"], x["text"], x["ref"], x["caption"]) for x in items] == [("text", "onetwo", None, None), ("media", None, "media:1", "new & good"), ("text", "end", None, None)]
+    whole = media.items(media.articles(d), "doc_id").where("kind = 'text'").collect()
+    for i, t in enumerate(texts):
+        assert [r.text for r in sorted(whole, key=lambda r: r.position) if r.doc_id == i] == [x for x in ((t or "")[: len((t or "").partition("\n")[0]) + 1], (t or "").partition("\n")[2]) if x.strip()]
+
+
+def test_interleaved_sequences(spark):
+    html = "<p>one<b>two</b></p><figure><img src='media:1' alt='old'><figcaption>new &amp; good</figcaption></figure><script>x</script>end"
+    assert [(x["kind"], x["text"], x["ref"], x["caption"]) for x in media.sequence(html)] == [("text", "onetwo", None, None), ("media", None, "media:1", "new & good"), ("text", "end", None, None)]
+    sha = [hashlib.sha256(t.encode()).hexdigest() for t in ("first", "second")]
+    page = f"intro<img src='media:{sha[0]}' alt='A'>middle<figure><img src='media:{sha[1]}'><img src='media:{sha[0]}'><figcaption>both</figcaption></figure><img src='media:{'0' * 64}'><img src='http://x/y.png' alt='far'>tail"
+    pages = spark.createDataFrame([(1, page, "x"), (None, page, "x"), (1, page, "x"), (2, None, "x"), (3, "", "x"), (4, "<p>unclosed <figure><img src=media:zz", "x")], "page_id long, html string, digest string")
+    described = media.materialise(media.describe(media.store(docs(spark, ["first", "second", "second"]))), "test-media")
+    rows = media.resolve(media.items(pages), described).collect()
+    want = [("text", "intro", None), ("media", "A", 5), ("text", "middle", None), ("media", "both", 6), ("media", "both", 5), ("media", None, None), ("media", "far", None), ("text", "tail", None)]
+    own = sorted((r.position, r.kind, r.caption if r.kind == "media" else r.text, r.n_bytes) for r in rows if r.page_id is None)
+    assert own == [(i, *x) for i, x in enumerate(want)]
+    assert Counter(r.page_id for r in rows) == {1: 16, None: 8, 4: 1}
+    assert media.items(pages.limit(0)).count() == 0
 
 
 def test_queries_are_whole(spark):
