@@ -1,15 +1,16 @@
 """URL filtering by explicit rules and, for the rest, a path-template tree.
 
-Per host, paths are split into segments. A segment that is variable, by its form
-or because its parent has very many different children, becomes a wildcard.
-Sibling branches whose labelled rates do not differ significantly are merged.
-A template is rejected if its labelled purity, smoothed by the same path shape
-on other hosts and then by all labelled urls, is on the bad side. Labels are the
-verdicts of the rules.
-
-Urls are counted by (host, generalised path); the tree works on these counts
-only. How variable a segment is goes by distinct paths, so repeated urls do not
-change the wildcards.
+Per host, paths are split into segments, all of them. A segment that is variable,
+by its form or because its parent has very many different children, becomes a
+wildcard, from the root down. Then, from the deepest level up, sibling branches
+with the same rest whose labelled rates do not differ significantly from their
+common rate are merged. A template is rejected if its labelled purity, smoothed by
+the same path shape on other hosts and then by all labelled urls, is on the bad
+side. Labels are the verdicts of the rules.
+
+Everything is counted by distinct (host, path), so repeated urls change nothing.
+Statistics look at the first LEVELS segments one by one; deeper ones are
+generalised by their form, one by one, and are compared as they are.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm._common import lower_ascii, materialise
+from llm._common import forget, hot_join, lower_ascii, materialise
 
 #: verdict, host, path. The longest rule that fits holds.
 RULES = (
@@ -33,8 +34,8 @@ WIDE, WIDE_SHARE = 20, 0.2
 PRIOR = 5.0
 #: Branches whose rate differs from the pooled one by less than so many standard errors are merged.
 Z = 2.0
-#: Depth of the tree; the rest of a path is one segment.
-DEPTH = 4
+#: Levels of the tree that have statistics of their own; as many rounds are made as the deepest path needs.
+LEVELS = 16
 
 
 def parts(pages: DataFrame) -> DataFrame:
@@ -58,68 +59,95 @@ def rule_of(rules=RULES) -> tuple[Column, Column]:
 def _segments() -> Column:
     """Path segments with variable forms replaced: digits, hex, dates and the like by {n}, the rest as it is."""
     form = F.regexp_replace(F.regexp_replace("path", r"[0-9a-fA-F]{8,}(?:-[0-9a-fA-F]{4,}){0,4}", "{x}"), r"[0-9]+", "{n}")
-    every = F.split(F.regexp_replace(form, "^/", ""), "/", DEPTH)
-    return F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(every)
-
-
-def templates(judged: DataFrame) -> DataFrame:
-    """host, segments -> template, shape, p (smoothed share of blocked urls). judged: host, segments, paths (distinct ones), bad, good."""
-    x = judged
-    # wildcards, level by level: a parent with many different children
-    for level in range(1, DEPTH + 1):
-        here = F.get("segments", F.lit(level - 1))
-        x = x.withColumns({"_up": F.concat_ws("/", F.slice("segments", 1, level - 1)), "_here": here})
-        kids = x.where(F.size("segments") >= level).groupBy("host", "_up", "_here").agg(F.sum("paths").alias("paths"))
-        wide = kids.groupBy("host", "_up").agg(F.count("*").alias("k"), F.sum("paths").alias("paths")).where((F.col("k") >= WIDE) & (F.col("k") >= WIDE_SHARE * F.col("paths"))).select("host", "_up", F.lit(True).alias("_wide"))
-        if wide.isEmpty():
-            x = x.drop("_up", "_here")
-            continue
-        new = F.when(F.col("_wide") & (F.size("segments") >= level), F.transform("segments", lambda s, i: F.when(i == level - 1, F.lit("*")).otherwise(s))).otherwise(F.col("segments"))
-        x = materialise(x.join(wide, ["host", "_up"], "left").withColumn("segments", new).drop("_up", "_here", "_wide"), "url-wild")
-    # branches: siblings at the first segment with the same rest
-    x = x.withColumns({"branch": F.coalesce(F.get("segments", F.lit(0)), F.lit("")), "below": F.concat_ws("/", F.slice("segments", 2, DEPTH))})
-    leaf = x.groupBy("host", "below", "branch").agg(*[F.sum(c).alias(c) for c in ("bad", "good")])
-    pool = leaf.groupBy("host", "below").agg(F.sum("bad").alias("pool_bad"), F.sum(F.col("bad") + F.col("good")).alias("pool_seen"))
+    return F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(form, "^/", ""), "/"))
+
+
+def _with(level: int, value: Column) -> Column:
+    """segments with another value at a level (from 1)."""
+    return F.transform("segments", lambda s, i: F.when(i == level - 1, value).otherwise(s))
+
+
+def _around(level: int) -> Column:
+    """The segments before a level and those after it: what siblings have in common."""
+    return F.struct(F.slice("segments", 1, level - 1).alias("up"), F.slice("segments", level + 1, 1 << 30).alias("below"))
+
+
+def _wildcards(x: DataFrame, level: int, scratch: list[str]) -> DataFrame:
+    """x with * at a level wherever the parent has very many different children, by distinct paths."""
+    up, here, deep = F.slice("segments", 1, level - 1).alias("up"), F.get("segments", F.lit(level - 1)), F.size("segments") >= level
+    kids = x.where(deep).groupBy("host", up, here.alias("here")).agg(F.sum("paths").alias("paths"))
+    wide = kids.groupBy("host", "up").agg(F.count("*").alias("k"), F.sum("paths").alias("paths")).where((F.col("k") >= WIDE) & (F.col("k") >= WIDE_SHARE * F.col("paths")))
+    wide = materialise(wide.select("host", "up", F.col("paths").alias("size")), "url-wide", scratch)
+    if wide.isEmpty():
+        return x
+    found = hot_join(x.withColumn("up", up), wide.withColumn("wide", F.lit(True)), ["host", "up"], "size", "left")
+    return materialise(found.withColumn("segments", F.when(F.col("wide") & deep, _with(level, F.lit("*"))).otherwise(F.col("segments"))).select(*x.columns), "url-wild", scratch)
+
+
+def _merged(x: DataFrame, level: int, scratch: list[str]) -> DataFrame:
+    """x with * at a level for siblings whose rate is not far from their common one; a lone branch stays, and so does one that is far."""
     seen = F.col("bad") + F.col("good")
+    branch = x.where(F.size("segments") >= level).groupBy("host", _around(level).alias("around"), F.get("segments", F.lit(level - 1)).alias("here")).agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("size"))
+    branch = materialise(branch, "url-branches", scratch)
+    pool = branch.groupBy("host", "around").agg(F.count("*").alias("kids"), F.sum("bad").alias("pool_bad"), F.sum(seen).alias("pool_seen")).where("kids > 1")
+    pool = materialise(pool, "url-pools", scratch)
+    if pool.isEmpty():
+        return x
     rate = F.try_divide(F.col("pool_bad"), F.col("pool_seen"))
     apart = F.pow(F.try_divide(F.col("bad"), seen) - rate, F.lit(2)) > F.try_divide(F.lit(Z * Z) * rate * (1 - rate), seen)
-    leaf = leaf.join(pool, ["host", "below"]).withColumn("merged", ~F.coalesce(apart, F.lit(False)))
-    leaf = materialise(leaf.withColumn("node", F.when(F.col("merged"), F.lit("*")).otherwise(F.col("branch"))), "url-leaves")
-    node = leaf.groupBy("host", "below", "node").agg(F.sum("bad").alias("node_bad"), F.sum("good").alias("node_good"))
-    shape = leaf.groupBy("below", "branch").agg(F.sum("bad").alias("shape_bad"), F.sum("good").alias("shape_good"))
-    every = leaf.agg(F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good"))
-    p0 = (F.col("all_bad") + 1) / (F.col("all_bad") + F.col("all_good") + 2)
-    p1 = (F.col("shape_bad") + PRIOR * F.col("p0")) / (F.col("shape_bad") + F.col("shape_good") + PRIOR)
-    p2 = (F.col("node_bad") + PRIOR * F.col("p1")) / (F.col("node_bad") + F.col("node_good") + PRIOR)
-    every = every.select(p0.alias("p0"))  # one row
-    leaf = leaf.select("host", "below", "branch", "node").join(node, ["host", "below", "node"]).join(shape, ["below", "branch"]).join(F.broadcast(every))
-    leaf = leaf.withColumn("p1", p1).withColumn("p", p2).select("host", "below", "branch", "node", "p")
-    return x.join(leaf, ["host", "below", "branch"]).select("host", "source_segments", F.concat_ws("/", F.lit(""), "node", "below").alias("template"), "p")
+    alike = hot_join(branch, pool, ["host", "around"], "kids").where(~F.coalesce(apart, F.lit(False))).select("host", "around", "here", "size", F.lit(True).alias("alike"))
+    keyed = x.withColumns({"around": _around(level), "here": F.get("segments", F.lit(level - 1))})
+    found = hot_join(keyed, materialise(alike, "url-alike", scratch), ["host", "around", "here"], "size", "left")
+    return materialise(found.withColumn("segments", F.when(F.col("alike"), _with(level, F.lit("*"))).otherwise(F.col("segments"))).select(*x.columns), "url-merged", scratch)
+
+
+def templates(counts: DataFrame, scratch: list[str]) -> DataFrame:
+    """host, source, template, p (smoothed share of blocked paths), rows. counts: host, source and segments (the same array), paths, bad, good, rows."""
+    deepest = min(counts.agg(F.max(F.size("segments"))).first()[0] or 0, LEVELS)
+    x = counts
+    for level in range(1, deepest + 1):
+        x = _wildcards(x, level, scratch)
+    x = x.withColumn("shape", F.col("segments"))
+    for level in range(deepest, 0, -1):
+        x = _merged(x, level, scratch)
+    node = materialise(x.groupBy("host", "segments").agg(F.sum("bad").alias("node_bad"), F.sum("good").alias("node_good"), F.count("*").alias("size")), "url-nodes", scratch)
+    shape = materialise(x.groupBy("shape").agg(F.sum("bad").alias("shape_bad"), F.sum("good").alias("shape_good"), F.count("*").alias("size")), "url-shapes", scratch)
+    every = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")).first()
+    p0 = F.lit((every["b"] + 1) / (every["b"] + every["g"] + 2))
+    p1 = (F.col("shape_bad") + PRIOR * p0) / (F.col("shape_bad") + F.col("shape_good") + PRIOR)
+    p2 = (F.col("node_bad") + PRIOR * p1) / (F.col("node_bad") + F.col("node_good") + PRIOR)
+    x = hot_join(hot_join(x, node, ["host", "segments"], "size").drop("size"), shape, ["shape"], "size").drop("size")
+    return x.select("host", "source", F.concat(F.lit("/"), F.array_join("segments", "/")).alias("template"), p2.alias("p"), "rows")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, template, p_block for every row of pages.
 
-    Urls without a host fit no rule and are judged by their (empty) template.
-    Repeated rows get equal verdicts; an empty table gives no rows; where no url
-    is labelled, all are allowed.
+    Null urls and urls without a host fit no rule and are judged by their (empty)
+    template. Repeated rows get equal verdicts; of rules of one length the later one
+    by name holds; an empty table gives no rows; where no url is labelled, all are
+    allowed; other columns are ignored.
     """
+    scratch: list[str] = []
     name, verdict = rule_of(rules)
-    x = parts(pages).select("*", name.alias("rule"), verdict.alias("_verdict"), _segments().alias("segments"))
+    x = parts(pages).select("*", name.alias("rule"), verdict.alias("_verdict"), _segments().alias("source"))
     x = materialise(x, "url-parts")
-    by_path = x.groupBy("host", "segments", "path").agg(F.sum(F.when(F.col("_verdict") == "block", 1).otherwise(0)).alias("bad"), F.sum(F.when(F.col("_verdict") == "allow", 1).otherwise(0)).alias("good"))
-    counts = by_path.groupBy("host", "segments").agg(F.count("*").alias("paths"), F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    counts = materialise(counts.withColumn("source_segments", F.col("segments")), "url-counts")
-    found = materialise(templates(counts).withColumnRenamed("source_segments", "segments"), "url-templates")
+    paths = x.groupBy("host", "source", "path", "_verdict").agg(F.count("*").alias("rows"))
+    counts = paths.groupBy("host", "source").agg(F.count("*").alias("paths"), F.count(F.when(F.col("_verdict") == "block", 1)).alias("bad"), F.count(F.when(F.col("_verdict") == "allow", 1)).alias("good"), F.sum("rows").alias("rows"))
+    counts = materialise(counts.withColumn("segments", F.col("source")), "url-counts", scratch)
+    found = materialise(templates(counts, scratch), "url-templates")
+    forget(pages.sparkSession, scratch)
     by_method = F.when(F.col("p") > 0.5, "block").otherwise("allow")
-    return x.join(found, ["host", "segments"]).select("page_id", "host", "path", "rule", F.coalesce("_verdict", by_method).alias("verdict"), "template", F.col("p").alias("p_block"))
+    return hot_join(x, found, ["host", "source"], "rows").select("page_id", "host", "path", "rule", F.coalesce("_verdict", by_method).alias("verdict"), "template", F.col("p").alias("p_block"))
 
 
-SQL = r"""
+def _sql(levels: int) -> str:
+    """The same in SQL: a pair of steps for each level."""
+    out = [r"""
 WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, rest, regexp_extract(coalesce(rest, ''), '^[^/?#]*') AS raw FROM u),
 p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-             regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+             regexp_extract(coalesce(substr(rest, length(raw) + 1), ''), '^[^?#]*') AS path FROM h),
 r AS (SELECT *, CASE
     WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
     WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
@@ -129,27 +157,33 @@ r AS (SELECT *, CASE
 x AS (SELECT *, CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 1 ELSE 0 END AS bad,
              CASE WHEN rule IN ('org/', 'com/fr/') THEN 1 ELSE 0 END AS good,
              regexp_replace(regexp_replace(path, '[0-9a-fA-F]{8,}(?:-[0-9a-fA-F]{4,}){0,4}', '{x}', 'g'), '[0-9]+', '{n}', 'g') AS form FROM r),
-g AS (SELECT *, regexp_replace(form, '^/', '') AS t FROM x),
-s0 AS (SELECT *, CASE WHEN path = '' THEN []::VARCHAR[] ELSE string_split(t, '/') END AS sg FROM g),
-s AS (SELECT * EXCLUDE sg, CASE WHEN len(sg) > 4 THEN list_concat(sg[1:3], [array_to_string(sg[4:], '/')]) ELSE sg END AS seg FROM s0),
-w1 AS (SELECT host FROM (SELECT host, seg[1] AS k, count(*) AS n FROM s WHERE len(seg) >= 1 GROUP BY 1, 2) GROUP BY host HAVING count(*) >= 20 AND count(*) >= 0.2 * sum(n)),
-a1 AS (SELECT * EXCLUDE seg, CASE WHEN len(seg) >= 1 AND host IN (FROM w1) THEN list_concat(['*'], seg[2:]) ELSE seg END AS seg FROM s),
-w2 AS (SELECT host, u FROM (SELECT host, seg[1] AS u, seg[2] AS k, count(*) AS n FROM a1 WHERE len(seg) >= 2 GROUP BY ALL) GROUP BY ALL HAVING count(*) >= 20 AND count(*) >= 0.2 * sum(n)),
-a2 AS (SELECT a.* EXCLUDE seg, CASE WHEN len(seg) >= 2 AND w.u IS NOT NULL THEN list_concat(seg[1:1], ['*'], seg[3:]) ELSE seg END AS seg FROM a1 a LEFT JOIN w2 w ON a.host = w.host AND a.seg[1] = w.u),
-w3 AS (SELECT host, u FROM (SELECT host, seg[1:2] AS u, seg[3] AS k, count(*) AS n FROM a2 WHERE len(seg) >= 3 GROUP BY ALL) GROUP BY ALL HAVING count(*) >= 20 AND count(*) >= 0.2 * sum(n)),
-a3 AS (SELECT a.* EXCLUDE seg, CASE WHEN len(seg) >= 3 AND w.u IS NOT NULL THEN list_concat(seg[1:2], ['*'], seg[4:]) ELSE seg END AS seg FROM a2 a LEFT JOIN w3 w ON a.host = w.host AND a.seg[1:2] = w.u),
-w4 AS (SELECT host, u FROM (SELECT host, seg[1:3] AS u, seg[4] AS k, count(*) AS n FROM a3 WHERE len(seg) >= 4 GROUP BY ALL) GROUP BY ALL HAVING count(*) >= 20 AND count(*) >= 0.2 * sum(n)),
-a4 AS (SELECT a.* EXCLUDE seg, CASE WHEN len(seg) >= 4 AND w.u IS NOT NULL THEN list_concat(seg[1:3], ['*']) ELSE seg END AS seg FROM a3 a LEFT JOIN w4 w ON a.host = w.host AND a.seg[1:3] = w.u),
-b AS (SELECT *, coalesce(seg[1], '') AS branch, coalesce(array_to_string(seg[2:], '/'), '') AS below FROM a4),
-leaf AS (SELECT host, below, branch, sum(bad) AS bad, sum(good) AS good FROM b GROUP BY ALL),
-pool AS (SELECT *, sum(bad) OVER q AS pb, sum(bad + good) OVER q AS ps FROM leaf WINDOW q AS (PARTITION BY host, below)),
-m AS (SELECT *, CASE WHEN ps > 0 AND bad + good > 0 AND power(bad / (bad + good) - pb / ps, 2) > 4.0 * (pb / ps) * (1 - pb / ps) / (bad + good) THEN branch ELSE '*' END AS node FROM pool),
-c AS (SELECT *, sum(bad) OVER nd AS nb, sum(good) OVER nd AS ng, sum(bad) OVER sh AS sb, sum(good) OVER sh AS sg2, sum(bad) OVER () AS ab, sum(good) OVER () AS ag
-      FROM m WINDOW nd AS (PARTITION BY host, below, node), sh AS (PARTITION BY below, branch)),
-pr AS (SELECT *, (sb + 5.0::DOUBLE * ((ab + 1)::DOUBLE / (ab + ag + 2))) / (sb + sg2 + 5.0::DOUBLE) AS p1 FROM c),
-pf AS (SELECT host, below, branch, node, (nb + 5.0::DOUBLE * p1) / (nb + ng + 5.0::DOUBLE) AS p FROM pr)
-SELECT page_id, host, path, rule,
-  CASE WHEN bad = 1 THEN 'block' WHEN good = 1 THEN 'allow' WHEN p > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
-  CASE WHEN below = '' THEN '/' || node || '/' ELSE '/' || node || '/' || below END AS template, p AS p_block
-FROM b JOIN pf USING (host, below, branch)
-"""
+s AS (SELECT * EXCLUDE form, CASE WHEN path = '' THEN []::VARCHAR[] ELSE string_split(regexp_replace(form, '^/', ''), '/') END AS src FROM x),
+w0 AS MATERIALIZED (SELECT host, src, src AS seg, count(*) AS paths, sum(bad) AS bad, sum(good) AS good FROM (SELECT DISTINCT host, src, path, bad, good FROM s) GROUP BY ALL)"""]
+    for k in range(1, levels + 1):
+        star = f"list_concat(seg[1:{k - 1}], ['*'], seg[{k + 1}:])"
+        out.append(f"""
+k{k} AS MATERIALIZED (SELECT host, up FROM (SELECT host, seg[1:{k - 1}] AS up, seg[{k}] AS c, sum(paths) AS n FROM w{k - 1} WHERE len(seg) >= {k} GROUP BY ALL) GROUP BY ALL HAVING count(*) >= {WIDE} AND count(*) >= {WIDE_SHARE} * sum(n)),
+w{k} AS MATERIALIZED (SELECT w.* EXCLUDE seg, CASE WHEN len(seg) >= {k} AND k.host IS NOT NULL THEN {star} ELSE seg END AS seg FROM w{k - 1} w LEFT JOIN k{k} k ON w.host = k.host AND w.seg[1:{k - 1}] = k.up)""")
+    out.append(f"""
+m{levels + 1} AS MATERIALIZED (SELECT *, seg AS shape FROM w{levels})""")
+    for k in range(levels, 0, -1):
+        star = f"list_concat(seg[1:{k - 1}], ['*'], seg[{k + 1}:])"
+        out.append(f"""
+b{k} AS MATERIALIZED (SELECT host, seg[1:{k - 1}] AS up, seg[{k + 1}:] AS below, seg[{k}] AS c, sum(bad) AS b, sum(bad) + sum(good) AS n FROM m{k + 1} WHERE len(seg) >= {k} GROUP BY ALL),
+q{k} AS MATERIALIZED (SELECT host, up, below, c FROM (SELECT *, count(*) OVER w AS kids, sum(b) OVER w AS pb, sum(n) OVER w AS pn FROM b{k} WINDOW w AS (PARTITION BY host, up, below))
+  WHERE kids > 1 AND NOT coalesce(power(b / nullif(n, 0) - pb / nullif(pn, 0), 2) > {Z * Z} * (pb / nullif(pn, 0)) * (1 - pb / nullif(pn, 0)) / nullif(n, 0), false)),
+m{k} AS MATERIALIZED (SELECT m.* EXCLUDE seg, CASE WHEN q.host IS NOT NULL THEN {star} ELSE seg END AS seg FROM m{k + 1} m LEFT JOIN q{k} q ON m.host = q.host AND m.seg[1:{k - 1}] = q.up AND m.seg[{k + 1}:] = q.below AND m.seg[{k}] = q.c AND len(m.seg) >= {k})""")
+    out.append(f"""
+c AS (SELECT *, sum(bad) OVER nd AS nb, sum(good) OVER nd AS ng, sum(bad) OVER sh AS sb, sum(good) OVER sh AS sg, sum(bad) OVER () AS ab, sum(good) OVER () AS ag
+      FROM m1 WINDOW nd AS (PARTITION BY host, seg), sh AS (PARTITION BY shape)),
+pf AS (SELECT host, src, '/' || array_to_string(seg, '/') AS template,
+        (nb + {PRIOR}::DOUBLE * ((sb + {PRIOR}::DOUBLE * ((ab + 1)::DOUBLE / (ab + ag + 2))) / (sb + sg + {PRIOR}::DOUBLE))) / (nb + ng + {PRIOR}::DOUBLE) AS p FROM c)
+SELECT page_id, s.host, path, rule,
+  CASE WHEN bad = 1 THEN 'block' WHEN good = 1 THEN 'allow' WHEN p > 0.5 THEN 'block' ELSE 'allow' END AS verdict, coalesce(template, '/') AS template, p AS p_block
+FROM s JOIN pf ON s.host = pf.host AND s.src = pf.src
+""")
+    return ",".join(out)
+
+
+#: The given urls have at most four segments, so more levels would only be empty steps.
+SQL = _sql(6)

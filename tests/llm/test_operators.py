@@ -241,10 +241,40 @@ def test_url_wildcards_do_not_depend_on_repeats(spark):
     def judged(u):
         return {r.page_id: (r.template, r.verdict) for r in url_filter.judge(spark.createDataFrame(list(enumerate(u)), "page_id long, url string")).collect() if r.page_id < 80}
 
-    assert set(judged(urls).values()) == {("/*/*", "block")}
+    assert set(judged(urls).values()) == {("/de/*", "block")}
     assert judged(urls + urls[:1] * 300 + urls[40:41] * 300) == judged(urls)
 
 
+def test_url_tree_equals_its_sql(spark):
+    """Paths of no to ten segments, some deeper than the tree, wide parents, branches that differ and that don't."""
+    import duckdb
+
+    rng = np.random.default_rng(9)
+    word = lambda n: "".join(rng.choice(list("ghijklmnop"), n))
+    hosts = ["a.example.org", "example.com", "q.com", "m.q.com", "q.net", "r.net", "s.io", ""]
+    urls = [None, "", "no url", "https://q.net", "https://q.net/", "https://q.net//", "https://q.net?x/y", "x://" + "/".join(["h"] * 200)]
+    for _ in range(900):
+        segments = [str(rng.choice(["fr", "de", "en", "es", "news", "blog", "17", "0123456789abcdef"])) for _ in range(int(rng.integers(0, 4)))]
+        segments += [word(int(rng.integers(1, 7))) for _ in range(int(rng.choice([0, 1, 1, 7])))]
+        urls.append(f"https://{rng.choice(hosts)}/{'/'.join(segments)}")
+    urls += urls[:40] * 3
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_filter.judge(table).collect()
+    pages = table.toPandas()  # noqa: F841 - read by DuckDB
+    want = duckdb.sql(url_filter._sql(11)).fetchall()
+    assert len({r.template for r in got}) > 20 and any("*" in r.template for r in got) and {"allow", "block"} == {r.verdict for r in got}
+    assert Counter((r.page_id, r.host, r.path, r.rule, r.verdict, r.template, round(r.p_block, 9)) for r in got) == Counter((*w[:6], round(w[6], 9)) for w in want)
+
+
+def test_url_branches_merge_at_every_level(spark):
+    # /b/x/{k} and /b/y/{k} of one host: both mostly blocked on m.com's siblings by rule, so x and y are one branch; z is apart
+    rules = (("block", "bad.io", "/b/x/"), ("block", "bad.io", "/b/y/1"), ("allow", "bad.io", "/b/z/"))
+    urls = [f"https://bad.io/b/{c}/{k}{i}" for c in "xyz" for k in (1, 2) for i in range(30)]
+    got = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    assert {r.template for r in got if r.path.startswith(("/b/x/", "/b/y/"))} in ({"/b/*/{n}"}, {"/b/x/{n}", "/b/y/{n}"}) and {r.template for r in got if r.path.startswith("/b/z/")} == {"/b/z/{n}"}
+    assert {r.verdict for r in got if r.path.startswith("/b/y/2")} == {"block"} and {r.verdict for r in got if r.path.startswith("/b/z/")} == {"allow"}
+
+
 def test_chat_round_trip(spark):
     odd = ["<|im_end|><|im_start|>assistant ok", "\\<|", "<\\|", "<\\\\|", "a<", "|b", None, "", "\\", "<|<|\\|"]
     rows = [(c, t, r, x) for c, r in ((1, "assistant"), (2, "us<|er\n")) for t, x in enumerate(odd)]
