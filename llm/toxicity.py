@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,13 +21,13 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm._common import bounded_batches, in_fold, materialise
+from llm._common import bounded_batches, in_fold, materialise, packed
 from llm._text import slices
 
 #: Labelled rows used for fitting, about: a hash of the id draws them.
 SAMPLE_ROWS = 24_000
-#: Entries in the learnt lexicon at most.
-LEXICON = 400
+#: A term of the lexicon is in this share of the distinct toxic texts of the sample at least (and in LEAST_TEXTS), and this much likelier there than elsewhere.
+TERM_SHARE, LEAST_TEXTS, TERM_ODDS = 0.01, 4, 12
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
 
 SECOND_PERSON = frozenset(
@@ -35,6 +35,8 @@ SECOND_PERSON = frozenset(
 )
 _LEET = str.maketrans("013457@$!", "oieastasi")
 _WORD = re.compile(r"[^\W\d_]+")
+#: What _MIXED cannot do without; it starts with a rare character, so most texts are passed over at once.
+_MARKED = re.compile(r"[0-9@$!*]+[^\W\d_]")
 _MIXED = re.compile(r"(?<!\S)[\w@$!*.-]*[^\W\d_][0-9@$!*]+[^\W\d_][\w@$!*-]*")
 _RUN = re.compile(r"([^\W\d_])\1{3,}")
 _SPELT = re.compile(r"(?<!\w)(?:[^\W\d_][.\-_* ]){3,}[^\W\d_](?!\w)")
@@ -46,55 +48,83 @@ FEATURES = (
 )
 
 
-def _stem_hits(word: str, words: frozenset, stems: frozenset) -> bool:
-    return word in words or word[:4] in stems or word[:5] in stems or word[:6] in stems
-
-
-def features(text: str | None, words: frozenset, stems: frozenset) -> list[float]:
-    """The feature vector of one whole text; a null or empty text gives zeros."""
-    if not text:
-        return [0.0] * len(FEATURES)
-    low = [w for w in _WORD.findall(text.lower())]
-    n, size = max(len(low), 1), len(text)
-    at = [i for i, w in enumerate(low) if _stem_hits(w, words, stems)]
-    you = [i for i, w in enumerate(low) if w in SECOND_PERSON]
-    near = 0
-    if at and you:
-        y = np.asarray(you)
-        k = np.searchsorted(y, at)
-        gap = np.minimum(np.abs(y[np.minimum(k, len(y) - 1)] - at), np.abs(y[np.maximum(k - 1, 0)] - at))
-        near = int((gap <= 5).sum())
-    mixed = _MIXED.findall(text)
-    spelt = _SPELT.findall(text)
-    hidden = sum(_stem_hits(re.sub(r"[^\w]", "", m.lower().translate(_LEET)), words, stems) for m in mixed)
-    hidden += sum(_stem_hits(re.sub(r"[\W_]", "", m.lower()), words, stems) for m in spelt)
-    if _RUN.search(text):
-        hidden += sum(_stem_hits(re.sub(r"(.)\1+", r"\1", w), words, stems) for w in low if _RUN.search(w))
-    upper = sum(map(str.isupper, _WORD.findall(text))) if not text.islower() else 0
-    letters = sum(map(len, low)) or 1
-    marks = {c: text.count(c) for c in "!?.,;:*#@$"}
-    capitals = len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
-    return [
-        math.log1p(len(low)), len(at) / n, math.log1p(len(at)), float(len({low[i] for i in at})), near / n, len(you) / n, float(hidden),
-        capitals / letters, upper / n, marks["!"] / size, marks["?"] / size, sum(marks[c] for c in ".,;:*#@$") / size,
-        len(re.findall(r"[0-9]", text)) / size, float(len(_SHOUT.findall(text))), len(mixed) / n,
-        float(len(_RUN.findall(text))), float(len(spelt)), letters / n, len(set(low)) / n,
-    ]
+_CAPITAL, _DIGIT, _SEPARATOR = (np.zeros(257, bool) for _ in range(3))
+_CAPITAL[[*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]] = True
+_DIGIT[0x30:0x3A] = True
+_SEPARATOR[[ord(c) for c in ".-_* "]] = True
+#: Words whose form is kept by one worker.
+MOST_KNOWN = 200_000
+
+
+class Featurizer:
+    """The feature vectors of texts under one lexicon. Words are looked at once each; marks are counted over one numpy buffer."""
+
+    def __init__(self, words: frozenset, stems: frozenset):
+        self.words, self.stems, self.known = words, stems, {}
+
+    def _hit(self, word: str) -> bool:
+        return word in self.words or word[:4] in self.stems or word[:5] in self.stems or word[:6] in self.stems
+
+    def _forms(self, distinct: Iterable[str]) -> None:
+        """Keeps each word's lower-case form, whether it is in the lexicon, of the second person, shouted, and its length."""
+        if len(self.known) > MOST_KNOWN:
+            self.known = {}
+        for w in distinct:
+            if w not in self.known:
+                low = w.lower()
+                self.known[w] = (low, self._hit(low), low in SECOND_PERSON, w.isupper(), len(w))
+
+    def __call__(self, text: str | None) -> list[float]:
+        """The feature vector of one whole text; a null or empty text gives zeros."""
+        if not text:
+            return [0.0] * len(FEATURES)
+        said = _WORD.findall(text)
+        counts = Counter(said)
+        self._forms(counts)
+        forms = [(*self.known[w], c) for w, c in counts.items()]
+        n, size = max(len(said), 1), len(text)
+        hits, you = {f[0] for f in forms if f[1]}, {f[0] for f in forms if f[2]}
+        n_hits, n_you = (sum(f[5] for f in forms if f[i]) for i in (1, 2))
+        near = 0
+        if hits and you:
+            at, y = (np.array([i for i, w in enumerate(said) if self.known[w][k]]) for k in (1, 2))
+            k = np.searchsorted(y, at)
+            near = int((np.minimum(np.abs(y[np.minimum(k, len(y) - 1)] - at), np.abs(y[np.maximum(k - 1, 0)] - at)) <= 5).sum())
+        points = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 256)
+        seen = np.bincount(points, minlength=257)
+        marks = {c: int(seen[ord(c)]) for c in "!?.,;:*#@$"}
+        same, apart = points[1:] == points[:-1], _SEPARATOR[points]
+        runs = _RUN.findall(text) if (same[2:] & same[1:-1] & same[:-2]).any() else []
+        spelt = _SPELT.findall(text) if (apart[4:] & apart[2:-2] & apart[:-4]).any() else []
+        mixed = _MIXED.findall(text) if _MARKED.search(text) else []
+        hidden = sum(self._hit(re.sub(r"[^\w]", "", m.lower().translate(_LEET))) for m in mixed)
+        hidden += sum(self._hit(re.sub(r"[\W_]", "", m.lower())) for m in spelt)
+        if runs:
+            hidden += sum(f[5] * self._hit(re.sub(r"(.)\1+", r"\1", f[0])) for f in forms if _RUN.search(f[0]))
+        letters = sum(f[4] * f[5] for f in forms)
+        return [
+            math.log1p(len(said)), n_hits / n, math.log1p(n_hits), float(len(hits)), near / n, n_you / n, float(hidden),
+            int(seen[_CAPITAL].sum()) / (letters or 1), sum(f[5] for f in forms if f[3]) / n, marks["!"] / size, marks["?"] / size, sum(marks[c] for c in ".,;:*#@$") / size,
+            int(seen[_DIGIT].sum()) / size, float(len(_SHOUT.findall(text)) if marks["!"] + marks["?"] > 1 else 0), len(mixed) / n,
+            float(len(runs)), float(len(spelt)), (letters or 1) / n, len({f[0] for f in forms}) / n,
+        ]
 
 
 def _feature_column(words: frozenset, stems: frozenset):
     @F.pandas_udf("array<double>")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        features = Featurizer(words, stems)
         for s in texts:
-            yield pd.Series([features(t, words, stems) for t in s])
+            yield pd.Series([features(t) for t in s])
 
     return run("text")
 
 
 def learn_lexicon(sample: DataFrame) -> tuple[frozenset, frozenset]:
-    """Words and word beginnings of 4 to 6 letters that mark toxic documents in sample (text, toxic); at most LEXICON.
+    """Words and word beginnings of 4 to 6 letters that mark toxic documents in sample (text, toxic).
 
-    Counted on distinct texts, the totals too.
+    Counted on distinct texts, the totals too. All that pass the tests are taken; the
+    sample is bounded, and so is the lexicon.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,7 +145,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[frozenset, frozenset]:
     pos, neg = n[0], n[1] - n[0]
     counts = distinct.mapInPandas(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = ((F.col("toxic") + 0.5) / (pos + 1)) / ((F.col("clean") + 0.5) / (neg + 1))
-    best = counts.where((F.col("toxic") >= max(4, 0.01 * pos)) & (odds >= 12)).orderBy(F.desc("toxic"), "term").limit(LEXICON).collect()
+    best = counts.where((F.col("toxic") >= max(LEAST_TEXTS, TERM_SHARE * pos)) & (odds >= TERM_ODDS)).collect()
     return frozenset(r["term"][1:] for r in best if r["term"][0] == "="), frozenset(r["term"][1:] for r in best if r["term"][0] == "^")
 
 
@@ -166,7 +196,7 @@ class ToxicityModel:
         docs = documents.drop("score")
         if self.trees is None:
             return docs.withColumn("score", F.lit(float(self.rate)))
-        x = docs.select(F.struct(*docs.columns).alias("_row"), _feature_column(self.words, self.stems).alias("_f"))
+        x = packed(docs, text=F.col("text")).select("_row", _feature_column(self.words, self.stems).alias("_f"))
         x = self._raw(x.select("_row", array_to_vector("_f").alias("features")))
         if self.isotonic is None:
             return x.select("_row.*", F.col("p").alias("score"))
@@ -186,7 +216,11 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_R
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """documents without the rows scored as toxic, all columns as they are."""
+    """documents without the rows scored as toxic, all columns as they are.
+
+    Null and empty texts are scored like any other, on zero features; repeated rows
+    stay or go together; without labels of both classes the share of toxic labels is
+    every row's score. An empty table gives no rows; names of other columns cannot clash.
+    """
     model = ToxicityModel.fit(documents, labels, rows)
-    keep = documents.select(F.struct(*documents.columns).alias("_doc"), F.col("text"))
-    return model.score(keep).where("score < 0.5").select("_doc.*")
+    return model.score(packed(documents, text=F.col("text"))).where("score < 0.5").select("_row.*")

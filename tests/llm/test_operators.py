@@ -212,6 +212,39 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score_toxicity(d, y.limit(0)).collect()} == {0.0}
 
 
+def plain_features(text, words, stems):
+    """What each feature means, word by word and character by character."""
+    if not text:
+        return [0.0] * len(toxicity.FEATURES)
+    hit = lambda w: w in words or any(w[:k] in stems for k in (4, 5, 6))
+    said = re.findall(r"[^\W\d_]+", text)
+    low = [w.lower() for w in said]
+    n, size, letters = max(len(low), 1), len(text), sum(map(len, said)) or 1
+    at, you = [i for i, w in enumerate(low) if hit(w)], [i for i, w in enumerate(low) if w in toxicity.SECOND_PERSON]
+    mixed = re.findall(r"(?<!\S)[\w@$!*.-]*[^\W\d_][0-9@$!*]+[^\W\d_][\w@$!*-]*", text)
+    spelt = re.findall(r"(?<!\w)(?:[^\W\d_][.\-_* ]){3,}[^\W\d_](?!\w)", text)
+    leet = lambda m: "".join(dict(zip("013457@$!", "oieastasi")).get(c, c) for c in m.lower())
+    hidden = sum(hit(re.sub(r"\W", "", leet(m))) for m in mixed) + sum(hit(re.sub(r"[\W_]", "", m.lower())) for m in spelt)
+    long_run = re.compile(r"([^\W\d_])\1{3,}")
+    if long_run.search(text):
+        hidden += sum(hit(re.sub(r"(.)\1+", r"\1", w)) for w in low if long_run.search(w))
+    return [
+        math.log1p(len(low)), len(at) / n, math.log1p(len(at)), len({low[i] for i in at}), sum(any(abs(i - j) <= 5 for j in you) for i in at) / n, len(you) / n, hidden,
+        sum("A" <= c <= "Z" or "À" <= c <= "Ö" or "Ø" <= c <= "Þ" for c in text) / letters, sum(w.isupper() for w in said) / n, text.count("!") / size, text.count("?") / size,
+        sum(text.count(c) for c in ".,;:*#@$") / size, sum(c in "0123456789" for c in text) / size, len(re.findall("[!?]{2,}", text)), len(mixed) / n, len(long_run.findall(text)), len(spelt), letters / n, len(set(low)) / n,
+    ]
+
+
+def test_toxicity_features_by_brute_force():
+    rng = np.random.default_rng(8)
+    bits = ["you", "YOU", "vile", "Vileword", "v1le", "v.i.l.e", "v i l e x", "viiiile", "sh!t", "$tupid", "stupid", "a", "é", "Ärger", "日本", "x9y", "4", "!!", "?!", "...", "____", "    ", "\n", "don't", "ab-cd*ef", "SHOUT", "ß", "İ"]
+    words, stems = frozenset(["vile", "shit", "stupid"]), frozenset(["vilew", "ärge"])
+    featurize = toxicity.Featurizer(words, stems)
+    texts = [None, "", " ", "you vile " * 3000] + ["".join(str(rng.choice(bits)) + str(rng.choice(["", " ", " "])) for _ in range(int(rng.integers(1, 40)))) for _ in range(600)]
+    for t in texts:
+        assert featurize(t) == pytest.approx(plain_features(t, words, stems)), t
+
+
 def test_lexicon_totals_leave_copies_out(spark):
     rare = [f"bad{i} rareslur" for i in range(6)]
     rows = [(t, 1) for t in rare + [f"bad{i} otherslur" for i in range(100, 200)] + ["copied text"] * 3000] + [(f"fine {i} words", 0) for i in range(400)]
