@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelog import Config, Engine
 from tidelog.config import FlowControl, Mitigation, Selection, parse_seed
-from tidelog.errors import CheckpointStoreError, CollectionError, InvalidConfiguration, RollbackRequired, StreamError
+from tidelog.errors import CheckpointError, CheckpointStoreError, CollectionError, InvalidConfiguration, RollbackRequired, StreamError
 from tidelog.functions import columns, wire
 from tidelog.operators import ack, collections, filters, gate, membership, metrics, order, rollback, topology
 from tidelog.plans.catalogue import encode_frame, leb128
@@ -290,3 +290,132 @@ def test_rewind_broadcasts_the_failover_log_only(spark):
     assert all(x.branch == (None if x.shard or x.rollback_seqno < 25 else 20 if x.rollback_seqno < 50 else 30) for x in out.collect()) and out.count() == 2000
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and "rightHint=(strategy=broadcast)" in plan
+
+
+def doc_log(spark, rows):
+    """rows: (shard, arrival, kind, seqno, snap_start, snap_end, cas, collection_id, sys_kind, manifest_uid, scope_id, key)."""
+    return spark.createDataFrame(rows, ROW + ", cas bigint, collection_id bigint, sys_kind string, manifest_uid bigint, scope_id bigint, key binary")
+
+
+def case_rows():
+    """Three shards: one with an old document and a schema change, one with an unmapped collection, one whose events wait at the gate."""
+    none = (None, None, None, None)
+    rows = [(*marker(1, 1, 9, s), None, None, *none) for s in range(3)]
+    rows += [(*event(i + 1, i, s), 5 * 10**9 if i == 1 else 10**18, 8, *none) for s in (0, 1, 2) for i in (1, 2)]
+    rows += [(*event(4, 3, 0, "system_event"), None, 9, "create_collection", 2, 8, bytearray(b"new")), (*event(5, 4, 0), 10**18, 9, *none)]
+    rows += [(*event(4, 3, 1), 10**18, 9, *none), (*event(5, 4, 1), 10**18, 8, *none)]
+    return rows
+
+
+CASE_DIM = {"uid": "1", "scopes": [{"uid": "8", "name": "s", "collections": [{"uid": "8", "name": "c"}]}]}
+CASE_MARKS = [(0, 9), (1, 9), (2, 1)]
+CASE_WANT = [(0, 2, "c"), (0, 3, None), (0, 4, "new"), (1, 2, "c")]
+
+
+def case_tables(spark):
+    return spark.createDataFrame(CASE_MARKS, "shard int, watermark bigint"), collections.parse_manifest(spark.createDataFrame([(json.dumps(CASE_DIM),)], "json string"))
+
+
+def test_batch_is_lossless(spark, tmp_path):
+    marks, dim = case_tables(spark)
+    store, got = checkpoints.FileStore(str(tmp_path / "c.json")), []
+    engine = Engine(spark, Config("b", bucket_uuid="u", skip_until_ns=6 * 10**9), store)
+    engine.run_batch(doc_log(spark, case_rows()), lambda df: got.extend((r.shard, r.seqno, r.collection_name) for r in df.collect() if r.seqno), marks, dim)
+    assert sorted(got, key=str) == sorted(CASE_WANT, key=str)
+    saved = store.load("u", [0, 1, 2])
+    assert {s: (c["seqno"], c["manifest_uid"]) for s, c in saved.items()} == {0: (4, 2), 1: (2, None), 2: (1, None)}
+
+
+def test_stream_equals_batch_in_gate_cutoff_and_names(spark, tmp_path):
+    marks, dim = case_tables(spark)
+    rows = case_rows()
+    now, store, got, epochs = {"marks": marks}, checkpoints.FileStore(str(tmp_path / "c.json")), [], []
+    engine = Engine(spark, Config("b", mode="finite", bucket_uuid="u", skip_until_ns=6 * 10**9), store)
+    log = doc_log(spark, [r for r in rows if r[0] != 1])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema.fields)
+    files.write_log(log.where("arrival <= 3"), str(tmp_path / "log"))
+    sink = lambda df, epoch: (epochs.append(epoch), got.extend((r.shard, r.seqno, r.collection_name) for r in df.collect() if r.seqno))
+
+    def run():
+        sub = engine.subscribe(files.stream(spark, str(tmp_path / "log"), schema=schema), sink, str(tmp_path / "ck"), marks=lambda: now["marks"], dim=dim)
+        sub.query.awaitTermination(120)
+        return sub
+
+    run().close()
+    assert sorted(got) == [(0, 2, "c")]
+    files.write_log(log.where("arrival > 3"), str(tmp_path / "log"))
+    sub = run()
+    assert sorted(got, key=str) == [(0, 2, "c"), (0, 3, None), (0, 4, "new")]
+    now["marks"] = spark.createDataFrame([(0, 9), (2, 9)], "shard int, watermark bigint")
+    sub.drain()  # what the gate held comes without a new event
+    sub.close()
+    assert (2, 2, "c") in got and len(got) == 4
+    assert {s: (c["seqno"], c["manifest_uid"]) for s, c in store.load("u", [0, 2]).items()} == {0: (4, 2), 2: (2, None)}
+    files.write_log(doc_log(spark, [r for r in rows if r[0] == 1]), str(tmp_path / "log"))
+    now["marks"] = marks
+    with pytest.raises(Exception, match="unmapped_collection"):
+        run()
+    assert (1, 2, "c") in got and not [g for g in got if g[0] == 1 and g[1] > 2]
+    with pytest.raises(StreamError):
+        engine.subscription.close()
+    assert store.load("u", [1])[1]["seqno"] == 2
+
+
+def test_progress_keeps_branch_and_manifest_and_never_goes_back(spark, tmp_path):
+    def store(seqno):
+        s = checkpoints.FileStore(str(tmp_path / f"c{seqno}.json"))
+        s.save([{"bucket_uuid": "u", "shard": 0, "branch": 10, "seqno": seqno, "snap_start": seqno, "snap_end": seqno, "manifest_uid": 23}])
+        return s
+
+    highs = spark.createDataFrame([(0, 200), (1, 5)], "shard int, high_seqno bigint")
+    log = spark.createDataFrame([(0, 0, 10, 0), (1, 0, 77, 0)], "shard int, pos int, branch bigint, seqno bigint")
+    s = store(1)
+    engine = Engine(spark, Config("b", bucket_uuid="u", start_from="checkpoint"), s)
+    starts = engine.starts([0, 1], highs, log)
+    assert engine.flush() == 1 and s.load("u", [1])[1] == {"bucket_uuid": "u", "shard": 1, "branch": 77, "seqno": 0, "snap_start": 0, "snap_end": 0, "manifest_uid": None}
+    engine.run_batch(spark.createDataFrame([marker(1, 1, 5), event(2, 2), event(3, 3)], ROW), lambda df: df.collect(), starts=starts)
+    assert s.load("u", [0])[0] == {"bucket_uuid": "u", "shard": 0, "branch": 10, "seqno": 3, "snap_start": 1, "snap_end": 5, "manifest_uid": 23}
+    again = engine.run_batch(spark.createDataFrame([marker(1, 1, 5), event(2, 1)], ROW), lambda df: df.collect(), starts=starts)
+    assert [r.violation for r in again.orderBy("arrival").collect()] == [None, "non_monotonic"]
+    fresh, late = store(100), spark.createDataFrame([marker(1, 1, 2), event(2, 2)], ROW)
+    with pytest.raises(CheckpointError):
+        Engine(spark, Config("b", bucket_uuid="u"), fresh).run_batch(late, lambda df: df.collect())
+    assert fresh.load("u", [0])[0]["seqno"] == 100
+    with pytest.raises(CheckpointError):
+        engine.record(spark.createDataFrame([(0, 1, 1, 2)], "shard int, seqno bigint, snap_start bigint, snap_end bigint"))
+
+
+def test_rebase_and_repeated_rollbacks(spark, tmp_path):
+    store = checkpoints.FileStore(str(tmp_path / "c.json"))
+    store.save([{"bucket_uuid": "u", "shard": s, "branch": 10, "seqno": 50, "snap_start": 50, "snap_end": 50, "manifest_uid": 23} for s in (0, 1)])
+    highs = spark.createDataFrame([(0, 99), (1, 99)], "shard int, high_seqno bigint")
+    log = spark.createDataFrame([(s, 0, 20, 30) for s in (0, 1)] + [(0, 1, 10, 0)], "shard int, pos int, branch bigint, seqno bigint")
+    engine = Engine(spark, Config("b", bucket_uuid="u", start_from="checkpoint", rollback_policy="rewind_and_replay"), store)
+    engine.starts([0, 1], highs, log)
+    assert engine.statuses()[0] == {"processed": 50, "durable": 50, "dirty": False}
+    answer = lambda at, shard=0: spark.createDataFrame([(shard, at)], "shard int, rollback_seqno bigint")
+    engine.roll_back(answer(40), log)
+    engine.roll_back(answer(20), log)
+    assert {r.shard: (r.branch, r.start_seqno, r.requested, r.rolled_back_to) for r in engine.open_report().collect()} == {0: (10, 20, 40, 20), 1: (10, 50, None, None)}
+    for bad in (answer(20), answer(10, 1)):  # not further back; before the first branch
+        with pytest.raises(StreamError):
+            engine.roll_back(bad, log)
+    assert engine.flush() == 1 and store.load("u", [0])[0]["seqno"] == 20
+    with pytest.raises(CheckpointError):
+        engine.rebase([{**engine.processed[0], "seqno": 1, "snap_start": 1, "snap_end": 1}, {**engine.processed[1], "shard": 7}])
+    assert engine.processed[0]["seqno"] == 20
+    engine.mark_dirty(1)
+    assert engine.flush() == 1
+    for at in range(19, 5, -1):
+        engine.roll_back(answer(at), log)
+    with pytest.raises(StreamError, match="too many"):
+        engine.roll_back(answer(1), log)
+
+
+def test_source_takes_the_configured_collections(spark, tmp_path):
+    _, dim = case_tables(spark)
+    log = doc_log(spark, case_rows())
+    files.write_log(log, str(tmp_path / "log"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema.fields)
+    x = Engine(spark, Config("b", selection=Selection("s", ("c",)))).source(str(tmp_path / "log"), dim, schema=schema)
+    assert {r.collection_id for r in x.collect()} == {None, 8} and "PushedFilters: [Or(IsNull(collection_id)" in x._jdf.queryExecution().toString()

@@ -61,27 +61,74 @@ def decorate(log: DataFrame, dim: DataFrame, strict: bool = True) -> DataFrame:
     return x.withColumn("collection_name", name).drop("_id", "_name")
 
 
-def name_versions(dim: DataFrame, changes: DataFrame) -> DataFrame:
+def name_versions(dim: DataFrame, changes: DataFrame, scope_id: int | None = None, whole_scope: bool = True) -> DataFrame:
     """collection_id, name, from_uid, to_uid: which name an id has at which manifest version.
 
-    changes: manifest_uid, sys_kind, collection_id, name. Only events above all
-    earlier versions take effect; a drop closes the name.
+    changes: manifest_uid, sys_kind, collection_id, name (and scope_id, if given).
+    Only events above the manifest take effect, and only those of the scope. Creates
+    count for a selection of the whole scope; a drop closes the name; a dropped scope
+    closes all of its names. Tables of a row per collection and change.
     """
     base = dim.where("collection_id IS NOT NULL").select("collection_id", F.col("collection").alias("name"), F.col("manifest_uid").alias("from_uid"), F.lit(True).alias("live"))
-    ends = changes.where(F.col("sys_kind").isin("create_collection", "drop_collection"))
-    ends = ends.select("collection_id", "name", F.col("manifest_uid").alias("from_uid"), (F.col("sys_kind") == "create_collection").alias("live"))
     first = dim.agg(F.max("manifest_uid").alias("_first"))  # one row
-    ends = ends.join(F.broadcast(first)).where(F.col("from_uid") > F.coalesce("_first", F.lit(-1))).drop("_first")
+    later = changes.join(F.broadcast(first)).where(F.col("manifest_uid") > F.coalesce("_first", F.lit(-1)))
+    if scope_id is not None:
+        later = later.where(F.col("scope_id") == scope_id)
+    made = later.where((F.col("sys_kind") == "create_collection") & F.lit(whole_scope)).select("collection_id", "name", F.col("manifest_uid").alias("from_uid"), F.lit(True).alias("live"))
+    none = F.lit(None).cast("string")
+    gone = later.where("sys_kind = 'drop_collection'").select("collection_id", none.alias("name"), F.col("manifest_uid").alias("from_uid"), F.lit(False).alias("live"))
+    ids = base.select("collection_id").union(made.select("collection_id")).distinct()
+    cleared = ids.join(later.where("sys_kind = 'drop_scope'").select(F.col("manifest_uid").alias("from_uid"))).select("collection_id", none.alias("name"), "from_uid", F.lit(False).alias("live"))
     w = Window.partitionBy("collection_id").orderBy("from_uid")
-    x = base.union(ends).withColumn("to_uid", F.lead("from_uid").over(w))
+    x = base.union(made).union(gone).union(cleared).withColumn("to_uid", F.lead("from_uid").over(w))
     return x.where("live").drop("live")
 
 
-def decorate_versioned(log: DataFrame, versions: DataFrame, initial_uid: int) -> DataFrame:
-    """log (with manifest_uid on system events) with the version in force and the name at that version; null where none is."""
+def registry_problems(dim: DataFrame, changes: DataFrame, scope_id: int, whole_scope: bool = True) -> DataFrame:
+    """manifest_uid, problem, collection_id, name: changes that contradict what is live before them.
+
+    An id created again under another name, a name created for another id, or a drop
+    of an id that is not there.
+    """
+    v = name_versions(dim, changes, scope_id, whole_scope).select(F.col("collection_id").alias("_id"), F.col("name").alias("_name"), "from_uid", "to_uid")
+    first = dim.agg(F.max("manifest_uid").alias("_first"))
+    later = changes.join(F.broadcast(first)).where((F.col("manifest_uid") > F.coalesce("_first", F.lit(-1))) & (F.col("scope_id") == scope_id))
+    live = (F.col("from_uid") < F.col("manifest_uid")) & (F.col("to_uid").isNull() | (F.col("manifest_uid") <= F.col("to_uid")))
+    made = later.where((F.col("sys_kind") == "create_collection") & F.lit(whole_scope))
+    renamed = made.join(v, live & (F.col("collection_id") == F.col("_id")) & (F.col("name") != F.col("_name"))).select("manifest_uid", F.lit("id renamed").alias("problem"), "collection_id", "name")
+    taken = made.join(v, live & (F.col("collection_id") != F.col("_id")) & (F.col("name") == F.col("_name"))).select("manifest_uid", F.lit("name taken").alias("problem"), "collection_id", "name")
+    absent = later.where("sys_kind = 'drop_collection'").join(v, live & (F.col("collection_id") == F.col("_id")), "left_anti").select("manifest_uid", F.lit("drop of an absent id").alias("problem"), "collection_id", "name")
+    return renamed.union(taken).union(absent)
+
+
+def registry_status(dim: DataFrame, changes: DataFrame) -> DataFrame:
+    """manifest_uid, stale: the newest manifest seen, and whether an event of an unknown kind came after the first. One row."""
+    first = dim.agg(F.max("manifest_uid").alias("_first"))
+    later = changes.join(F.broadcast(first), F.col("manifest_uid") > F.col("_first"), "right")
+    known = F.col("sys_kind").isin("create_collection", "drop_collection", "flush_collection", "create_scope", "drop_scope", "change_collection")
+    return later.agg(F.coalesce(F.max("manifest_uid"), F.max("_first")).alias("manifest_uid"), F.coalesce(F.max(~known), F.lit(False)).alias("stale"))
+
+
+def decorate_versioned(log: DataFrame, versions: DataFrame, initial_uid: int, before: str | None = None) -> DataFrame:
+    """log (with manifest_uid on system events) with the version in force and the name at that version; null where none is.
+
+    before: a column with the version that a shard had before the log's first row, if any.
+    """
     w = Window.partitionBy("shard").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0)
-    seen = F.greatest(F.lit(initial_uid).cast("bigint"), F.max(F.when(F.col("kind") == "system_event", F.col("manifest_uid"))).over(w))
+    seen = F.greatest(F.lit(initial_uid).cast("bigint"), F.max(F.when(F.col("kind") == "system_event", F.col("manifest_uid"))).over(w), *([F.col(before)] if before else []))
     x = log.withColumn("manifest_version", seen)
     v = versions.select(F.col("collection_id").alias("_id"), F.col("name").alias("_name"), "from_uid", "to_uid")
     inside = (F.col("collection_id") == F.col("_id")) & (F.col("from_uid") <= F.col("manifest_version")) & (F.col("to_uid").isNull() | (F.col("manifest_version") < F.col("to_uid")))
     return x.join(v, inside, "left").withColumn("collection_name", F.col("_name")).drop("_id", "_name", "from_uid", "to_uid")
+
+
+def decorate_by_log(log: DataFrame, dim: DataFrame) -> DataFrame:
+    """log with collection_name of document events by the manifest and the log's own system events, each shard from where it sees them.
+
+    dim is one manifest. The changes are few, a row per schema change and shard at most.
+    """
+    changes = log.where("kind = 'system_event'").select("manifest_uid", "sys_kind", "scope_id", "collection_id", F.col("key").cast("string").alias("name")).distinct()
+    first = dim.agg(F.max("manifest_uid")).first()[0]
+    x = decorate_versioned(log.drop("collection_name"), name_versions(dim, changes), first if first is not None else -1, "_before" if "_before" in log.columns else None)
+    name = F.when(F.col("collection_id").isNull(), F.lit("_default")).otherwise(F.col("collection_name"))
+    return x.withColumn("collection_name", F.when(F.col("kind").isin("mutation", "deletion", "expiration"), name)).drop("manifest_version")

@@ -69,4 +69,4 @@ def hold_unsafe(log: DataFrame, marks: DataFrame) -> DataFrame:
     x = log.join(F.broadcast(marks.select("shard", "watermark")), "shard", "left")
     safe = at.isNull() | (at == 0) | F.coalesce(at <= F.col("watermark"), F.lit(False))
     w = Window.partitionBy("shard").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0)
-    return x.withColumn("delivered", F.min(safe.cast("int")).over(w) == 1)
+    return x.withColumn("delivered", F.min(safe.cast("int")).over(w) == 1).drop("watermark")

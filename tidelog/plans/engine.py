@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,33 +10,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import Config
-from tidelog.errors import InvalidConfiguration, RollbackRequired, StreamError
+from tidelog.errors import CheckpointError, CollectionError, InvalidConfiguration, RollbackRequired, StreamError
 from tidelog.functions.columns import before_cutoff
-from tidelog.operators import collections, gate, order, rollback
+from tidelog.operators import ack, collections, gate, order, rollback
+from tidelog.schema import DOCUMENTS
 from tidelog.sources import checkpoints as stores
+from tidelog.sources import files
 
 
-def stages(log: DataFrame, config: Config, marks: DataFrame | None = None, dim: DataFrame | None = None) -> DataFrame:
+def stages(log: DataFrame, config: Config, marks: DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
     """order -> gate -> cutoff -> names -> manifest; rows carry violation, unreached, delivered and acked.
 
     The order of the stages is part of the meaning: a held row is not filtered,
     and a skipped row needs no known collection. acked: passed over by the cutoff.
     A row is delivered or acked only if all rows before it in its shard are.
+    starts (shard, start_seqno, end_seqno): where each shard's stream begins and ends.
     """
-    x = order.check_order(log)
-    held = F.lit(True)
+    if starts is None:
+        x = order.check_order(log)
+    else:
+        at = F.broadcast(starts.select("shard", F.col("start_seqno").alias("_start"), F.col("end_seqno").alias("_stop")))  # at most 65536 shards
+        x = order.check_order(log.join(at, "shard", "left"), "_start", "_stop").drop("_start", "_stop")
+    return passed(x, config, marks, dim)
+
+
+def passed(x: DataFrame, config: Config, marks: DataFrame | None, dim: DataFrame | None) -> DataFrame:
+    """The stages after the order check."""
+    reached = ~F.col("unreached") & F.col("violation").isNull()
     if marks is not None and config.mitigation.enabled:
         x = gate.hold_unsafe(x, marks).withColumnRenamed("delivered", "_safe")
-        held = F.col("_safe")
-    passed = held & ~F.col("unreached") & F.col("violation").isNull()
-    x = x.withColumns({"delivered": passed & ~_skipped(config), "acked": passed & _skipped(config)})
-    if dim is not None:
+        reached = reached & F.col("_safe")
+    x = x.withColumns({"delivered": reached & ~_skipped(config), "acked": reached & _skipped(config)}).drop("_safe")
+    if "manifest_uid" in x.columns:
+        x = ack.carry_manifest(x)
+    if dim is None:
+        return x
+    if {"sys_kind", "manifest_uid", "scope_id", "key"} <= set(x.columns):
+        x = collections.decorate_by_log(x, dim)
+    else:
         x = collections.decorate(x, dim, strict=False)
-        lost = F.col("delivered") & F.col("collection_id").isNotNull() & F.col("collection_name").isNull() & F.col("kind").isin("mutation", "deletion", "expiration")
-        x = order.stop_after(x.withColumn("violation", F.coalesce("violation", F.when(lost, "unmapped_collection"))))
-        reached = ~F.col("unreached") & F.col("violation").isNull()
-        x = x.withColumns({"delivered": F.col("delivered") & reached, "acked": F.col("acked") & reached})
-    return x.drop("_safe")
+    lost = F.col("delivered") & F.col("collection_id").isNotNull() & F.col("collection_name").isNull() & F.col("kind").isin(*DOCUMENTS)
+    x = order.stop_after(x.withColumn("violation", F.coalesce("violation", F.when(lost, "unmapped_collection"))))
+    reached = ~F.col("unreached") & F.col("violation").isNull()
+    return x.withColumns({"delivered": F.col("delivered") & reached, "acked": F.col("acked") & reached})
 
 
 def _skipped(config: Config) -> Column:
@@ -48,14 +65,19 @@ def _skipped(config: Config) -> Column:
 class Subscription:
     """A running stream and its progress."""
 
-    def __init__(self, engine: Engine, query: StreamingQuery):
-        self.engine, self.query = engine, query
+    def __init__(self, engine: Engine, query: StreamingQuery, again: Callable[[], None]):
+        self.engine, self.query, self._again = engine, query, again
+
+    def drain(self) -> None:
+        """Looks at held rows again, as new marks may have come without new events. Only between micro-batches (a finished or idle query)."""
+        self._again()
 
     def flush(self) -> int:
         return self.engine.flush()
 
     def statuses(self) -> dict[int, dict]:
-        return dict(self.engine.processed)
+        """Per shard: processed and durable seqno, and whether they differ in anything."""
+        return self.engine.statuses()
 
     def close(self) -> None:
         """Stops and flushes; the stream's own error comes before one of the flush."""
@@ -78,86 +100,198 @@ class Engine:
         self.handler = handler
         self.spark, self.config, self.store = spark, config, store or stores.NoopStore()
         self.generation, self.processed, self.durable = 1, {}, {}
+        self.rollbacks: list[tuple[int, int, int]] = []
+        self._tries: dict[int, int] = {}
+        self._flushed_at = time.monotonic()
         self.subscription: Subscription | None = None
 
+    @property
+    def _uuid(self) -> str:
+        return self.config.bucket_uuid or "-"
+
     def starts(self, shards: list[int], highs: DataFrame, failover: DataFrame) -> DataFrame:
-        """The start of each shard; a checkpoint that needs a rollback is treated by the policy."""
-        found = stores.load_checked(self.store, self.config.bucket_uuid or "-", shards) if self.config.start_from == "checkpoint" else {}
+        """The start of each shard; a checkpoint that needs a rollback is treated by the policy.
+
+        The engine's progress begins there: the next flush saves starts that the store
+        doesn't have, also those at 0.
+        """
+        stored = stores.load_checked(self.store, self._uuid, shards)
+        found = stored if self.config.start_from == "checkpoint" else {}
         s = self.spark
-        stored = s.createDataFrame([(x["shard"], x["branch"], x["seqno"], x["snap_start"], x["snap_end"], x["manifest_uid"]) for x in found.values()], "shard int, branch bigint, seqno bigint, snap_start bigint, snap_end bigint, manifest_uid bigint")
+        given = s.createDataFrame([(x["shard"], x["branch"], x["seqno"], x["snap_start"], x["snap_end"], x["manifest_uid"]) for x in found.values()], "shard int, branch bigint, seqno bigint, snap_start bigint, snap_end bigint, manifest_uid bigint")
         assigned = s.createDataFrame([(x,) for x in shards], "shard int")
         fallback = "earliest" if self.config.start_from == "checkpoint" else self.config.start_from
-        starts = rollback.resolve_starts(rollback.initial_starts(assigned, stored, fallback), highs, rollback.newest_branch(failover), self.config.mode == "finite", self.config.bucket_uuid)
-        needed = starts.where("rollback_to IS NOT NULL").select("shard", "start_seqno", F.col("rollback_to").alias("rollback_seqno"))
-        policy = self.config.rollback_policy
+        starts = rollback.resolve_starts(rollback.initial_starts(assigned, given, fallback), highs, rollback.newest_branch(failover), self.config.mode == "finite", self.config.bucket_uuid)
+        back = self._allowed(starts.where("rollback_to IS NOT NULL").select("shard", "start_seqno", F.col("rollback_to").alias("rollback_seqno")), failover)
+        if back is not None:
+            back = back.select("shard", F.col("seqno").alias("_at"), F.col("branch").alias("_branch"))
+            x = starts.join(F.broadcast(back), "shard", "left")
+            moved = {c: F.coalesce("_at", c) for c in ("start_seqno", "snap_start", "snap_end")}
+            starts = x.withColumns(moved | {"branch": F.coalesce("_branch", "branch"), "manifest_uid": F.when(F.col("_at").isNull(), F.col("manifest_uid"))}).drop("_at", "_branch")
+        rows = starts.collect()  # a row per shard, at most 65536
+        if bad := [r["shard"] for r in rows if r["invalid"] is not None or (r["end_seqno"] is not None and r["start_seqno"] > r["end_seqno"])]:
+            raise CheckpointError(f"invalid start of shards {bad[:10]}")
+        self.durable = dict(stored)
+        self.processed = {r["shard"]: {"bucket_uuid": self._uuid, "branch": int(r["branch"] or 0), "manifest_uid": r["manifest_uid"], "shard": r["shard"], "seqno": r["start_seqno"], "snap_start": r["snap_start"], "snap_end": r["snap_end"]} for r in rows}
+        return starts
+
+    def _allowed(self, needed: DataFrame, failover: DataFrame) -> DataFrame | None:
+        """What rollbacks (shard, start_seqno, rollback_seqno) go back to under the policy, or None without any; each is guarded and remembered."""
+        asked = needed.orderBy("shard").collect()  # at most 65536
+        if not asked:
+            return None
+        policy, logs = self.config.rollback_policy, {}
         if policy != "rewind_and_replay":
-            asked = needed.orderBy("shard").limit(1).collect() if policy == "stop_and_report" else needed.orderBy("shard").collect()  # at most 65536
-            logs = {}
-            for r in failover.join(F.broadcast(needed.select("shard")), "shard").orderBy("pos").select("shard", "branch", "seqno").collect() if asked else []:
+            for r in failover.join(F.broadcast(needed.select("shard")), "shard").orderBy("pos").select("shard", "branch", "seqno").collect():
                 logs.setdefault(r["shard"], []).append((r["branch"], r["seqno"]))
-            for r in asked:
-                case = r["shard"], r["start_seqno"], r["rollback_seqno"], logs.get(r["shard"], [])
-                answer = policy if policy == "stop_and_report" else self.handler(*case)
-                if answer not in ("stop_and_report", "rewind_and_replay"):
-                    raise InvalidConfiguration(f"the rollback handler answered {answer!r}")
-                if answer == "stop_and_report":
-                    raise RollbackRequired(*case)
-            if not asked:
-                return starts
-        back = rollback.rewind(needed.select("shard", "rollback_seqno"), failover).select("shard", F.col("seqno").alias("_at"), F.col("branch").alias("_branch"))
-        x = starts.join(F.broadcast(back), "shard", "left")
-        moved = {c: F.coalesce("_at", c) for c in ("start_seqno", "snap_start", "snap_end")}
-        return x.withColumns(moved | {"branch": F.coalesce("_branch", "branch"), "manifest_uid": F.when(F.col("_at").isNull(), F.col("manifest_uid"))}).drop("_at", "_branch")
-
-    def run_batch(self, log: DataFrame, sink: Callable[[DataFrame], None], marks: DataFrame | None = None, dim: DataFrame | None = None) -> DataFrame:
+        for r in asked:
+            case = r["shard"], r["start_seqno"], r["rollback_seqno"], logs.get(r["shard"], [])
+            rollback.next_rollback(self._tries.get(r["shard"], 0), r["start_seqno"], r["rollback_seqno"])
+            answer = self.handler(*case) if policy == "delegate" else policy
+            if answer not in ("stop_and_report", "rewind_and_replay"):
+                raise InvalidConfiguration(f"the rollback handler answered {answer!r}")
+            if answer == "stop_and_report":
+                raise RollbackRequired(*case)
+        back = rollback.rewind(needed.select("shard", "rollback_seqno"), failover)
+        if lost := [r["shard"] for r in back.where("branch IS NULL").select("shard").collect()]:
+            raise StreamError(f"no branch of shards {lost[:10]} began at or before the rollback")
+        for r in asked:
+            self._tries[r["shard"]] = self._tries.get(r["shard"], 0) + 1
+            self.rollbacks.append((r["shard"], r["start_seqno"], r["rollback_seqno"]))
+        return back
+
+    def roll_back(self, answers: DataFrame, failover: DataFrame) -> None:
+        """Treats a producer's rollback answers (shard, rollback_seqno) by the policy and goes on from there; at most 16 in a row for a shard."""
+        now = self.spark.createDataFrame([(s, c["seqno"]) for s, c in self.processed.items()], "shard int, start_seqno bigint")
+        back = self._allowed(answers.join(F.broadcast(now), "shard"), failover)
+        if back is not None:
+            self.rebase([{"bucket_uuid": self._uuid, "manifest_uid": None, **r.asDict(), "branch": int(r["branch"])} for r in back.select("shard", "branch", "seqno", "snap_start", "snap_end").collect()])
+
+    def rebase(self, checkpoints: list[dict]) -> None:
+        """Replaces the progress of shards, backwards too: after a reopening or a rollback. All are checked before any is changed."""
+        for c in checkpoints:
+            if c["shard"] not in self.processed:
+                raise CheckpointError(f"shard {c['shard']} is not followed")
+            if c["bucket_uuid"] != self._uuid or c["snap_start"] > c["snap_end"] or c["seqno"] > c["snap_end"] or 0 < c["seqno"] < c["snap_start"]:
+                raise CheckpointError(f"shard {c['shard']}: invalid checkpoint")
+        for c in checkpoints:
+            self.durable.setdefault(c["shard"], {})  # known to differ: the flush may go back
+            self.processed[c["shard"]] = dict(c)
+
+    def mark_dirty(self, shard: int) -> None:
+        """The next flush saves the shard, changed or not."""
+        if shard not in self.processed:
+            raise CheckpointError(f"shard {shard} is not followed")
+        self.durable[shard] = {}
+
+    def statuses(self) -> dict[int, dict]:
+        return {s: {"processed": c["seqno"], "durable": self.durable.get(s, {}).get("seqno"), "dirty": self.durable.get(s) != c} for s, c in self.processed.items()}
+
+    def open_report(self) -> DataFrame:
+        """shard, branch, start_seqno, and the rollback applied last before (requested, rolled_back_to), of the followed shards."""
+        last = {s: (a, b) for s, a, b in self.rollbacks}
+        rows = [(s, c["branch"], c["seqno"], *last.get(s, (None, None))) for s, c in self.processed.items()]
+        return self.spark.createDataFrame(rows, "shard int, branch bigint, start_seqno bigint, requested bigint, rolled_back_to bigint")
+
+    def source(self, path: str, dim: DataFrame | None = None, starts: DataFrame | None = None, streaming: bool = False, **options) -> DataFrame:
+        """The log under path from each shard's start, of the configured collections if a manifest is given; all pushed to the scan."""
+        ids = None
+        if dim is not None:
+            scope, ids = collections.resolve(dim, self.config.selection.scope, self.config.selection.collections)
+            ids = ids or [r[0] for r in dim.where((F.col("scope_id") == scope) & F.col("collection_id").isNotNull()).select("collection_id").collect()]
+        return (files.stream if streaming else files.scan)(self.spark, path, starts, None, ids, **options)
+
+    def run_batch(self, log: DataFrame, sink: Callable[[DataFrame], None], marks: DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
         """One finite run: stages, sink of what is delivered, then the progress of each shard is recorded and flushed.
 
         Progress ends before the first row of a shard that was neither delivered nor
         skipped, so a held row or one after a violation comes again after a restart.
         """
-        x = stages(log, self.config, marks, dim)
+        x = stages(log, self.config, marks, dim, starts)
         sink(x.where("delivered"))
         self.record(x.where("seqno IS NOT NULL AND (delivered OR acked)"))
         self.flush()
         return x
 
     def record(self, done: DataFrame) -> None:
-        """The last seqno and snapshot of each shard in a batch that its sink has taken: a row per shard."""
-        last = done.groupBy("shard").agg(F.max(F.struct("seqno", "snap_start", "snap_end")).alias("c")).select("shard", "c.*")
-        for r in last.collect():
-            before = self.processed.get(r["shard"], {"seqno": -1})
-            if r["seqno"] > before["seqno"]:
-                self.processed[r["shard"]] = {"bucket_uuid": self.config.bucket_uuid or "-", "branch": before.get("branch", 0), "manifest_uid": before.get("manifest_uid"), **r.asDict()}
+        """The last seqno, snapshot and manifest of each shard in a batch that its sink has taken: a row per shard. Progress never goes back."""
+        manifest = F.col("checkpoint_manifest") if "checkpoint_manifest" in done.columns else F.lit(None).cast("bigint")
+        last = done.groupBy("shard").agg(F.max(F.struct("seqno", "snap_start", "snap_end", manifest.alias("manifest_uid"))).alias("c")).select("shard", "c.*").collect()
+        for r in last:
+            if r["seqno"] < self.processed.get(r["shard"], {"seqno": 0})["seqno"]:
+                raise CheckpointError(f"shard {r['shard']} cannot go back from {self.processed[r['shard']]['seqno']} to {r['seqno']}")
+        for r in last:
+            before = self.processed.get(r["shard"], {})
+            uid = before.get("manifest_uid") if r["manifest_uid"] is None else r["manifest_uid"]
+            self.processed[r["shard"]] = {"bucket_uuid": self._uuid, "branch": before.get("branch", 0), **r.asDict(), "manifest_uid": uid}
+            self._tries.pop(r["shard"], None)
 
     def flush(self) -> int:
-        """Saves the checkpoints that changed since the last save; on failure all stay to be saved."""
+        """Saves the checkpoints that changed since the last save; on failure all stay to be saved. A stored seqno that this engine never saw is not gone back from."""
         changed = [c for s, c in self.processed.items() if self.durable.get(s) != c]
+        unseen = [c["shard"] for c in changed if c["shard"] not in self.durable]
+        if unseen and self.store.writes:
+            for s, c in self.store.load(self._uuid, unseen).items():
+                if c["seqno"] > self.processed[s]["seqno"]:
+                    raise CheckpointError(f"the store has shard {s} at {c['seqno']}, this run at {self.processed[s]['seqno']}")
         if changed:
             self.store.save(changed)
             self.durable.update({c["shard"]: dict(c) for c in changed})
+        self._flushed_at = time.monotonic()
         return len(changed)
 
-    def subscribe(self, stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint_dir: str, **trigger) -> Subscription:
-        """One subscription at a time. Each micro-batch is written by sink, then recorded and flushed: at least once, in order by shard. Documents before the cutoff are passed over."""
+    def _flush_if_due(self) -> None:
+        plan = self.config.checkpointing
+        if plan.automatic and (self.config.mode == "finite" or time.monotonic() - self._flushed_at >= plan.interval_s):
+            self.flush()
+
+    def subscribe(self, stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint_dir: str, marks: Callable[[], DataFrame] | DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None, **trigger) -> Subscription:
+        """One subscription at a time. The same stages as run_batch on each micro-batch: sink, then record and flush: at least once, in order by shard.
+
+        marks is asked for at each micro-batch. Rows that the gate holds are kept beside
+        the stream's checkpoint and come again with the next micro-batch, or on drain().
+        A document of an unknown collection stops the stream after the rows before it.
+        """
+        from tidelog.streaming import held as waiting
         from tidelog.streaming import order as streamed
 
         if self.subscription is not None:
             raise StreamError("the engine has a subscription already")
+        held = waiting.HeldRows(self.spark, f"{checkpoint_dir.rstrip('/')}-held") if marks is not None and self.config.mitigation.enabled else None
 
-        def each(batch: DataFrame, epoch: int) -> None:
-            good = batch.where("violation IS NULL AND NOT unreached")
-            sink(good.where(~_skipped(self.config)), epoch)
-            self.record(good.where("seqno IS NOT NULL"))
-            self.flush()
+        def take(new: DataFrame | None, epoch: int) -> None:
+            x = new.where("violation IS NULL AND NOT unreached") if new is not None else None
+            if held is not None:
+                x = held.with_new(x, epoch)
+            if x is None:
+                return
+            x = passed(self._with_manifests(x), self.config, marks() if callable(marks) else marks, dim).persist()
+            try:
+                sink(x.where("delivered").drop("_before"), epoch)
+                done = x.where("seqno IS NOT NULL AND (delivered OR acked)")
+                if held is not None:
+                    held.keep(x.where("NOT delivered AND NOT acked AND violation IS NULL AND NOT unreached"), epoch)
+                self.record(done)
+                self._flush_if_due()
+                lost = x.where("violation IS NOT NULL").orderBy("shard", "arrival").first()
+                if lost is not None:
+                    raise CollectionError(f"shard {lost['shard']}: {lost['violation']} {lost['collection_id']}")
+            finally:
+                x.unpersist()
 
         trigger = trigger or ({"availableNow": True} if self.config.mode == "finite" else {"processingTime": "1 second"})
-        query = streamed.check_order(stream).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_dir).trigger(**trigger).start()
-        self.subscription = Subscription(self, query)
+        query = streamed.check_order(stream, starts).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir).trigger(**trigger).start()
+        self.subscription = Subscription(self, query, lambda: take(None, -1))
         return self.subscription
 
+    def _with_manifests(self, x: DataFrame) -> DataFrame:
+        """x with the manifest that each shard had before the batch, as `_before`."""
+        if "manifest_uid" not in x.columns:
+            return x
+        known = [(s, c["manifest_uid"]) for s, c in self.processed.items() if c.get("manifest_uid") is not None]
+        return x.drop("_before").join(F.broadcast(self.spark.createDataFrame(known, "shard int, _before bigint")), "shard", "left")
+
     def reopen(self) -> int:
         """A new connection generation: progress stays, rows of older generations are stale."""
         self.generation += 1
         return self.generation
-
-

@@ -38,6 +38,8 @@ def from_document(shard: int, d: dict) -> dict:
 
 
 class CheckpointStore(ABC):
+    writes = True
+
     @abstractmethod
     def load(self, bucket_uuid: str, shards: list[int]) -> dict[int, dict]: ...
 
@@ -56,6 +58,8 @@ def check_batch(checkpoints: list[dict]) -> None:
 
 
 class NoopStore(CheckpointStore):
+    writes = False
+
     def load(self, bucket_uuid, shards):
         return {}
 
@@ -67,6 +71,8 @@ class NoopStore(CheckpointStore):
 
 
 class ReadOnlyStore(CheckpointStore):
+    writes = False
+
     def __init__(self, inner: CheckpointStore):
         self.inner = inner
 

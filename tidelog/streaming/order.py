@@ -14,8 +14,8 @@ OUTPUT = "shard int, arrival bigint, kind string, seqno bigint, snap_start bigin
 STATE = "snap_start bigint, snap_end bigint, last bigint, stopped boolean"
 
 
-def fold(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
-    """The order rules over one shard's rows, sorted by arrival: the form that the window form in operators.order is tested against."""
+def fold(state: tuple, rows: pd.DataFrame, stop: int | None = None) -> tuple[tuple, pd.DataFrame]:
+    """The order rules over one shard's rows, sorted by arrival: the form that the window form in operators.order is tested against. stop: the stream's end."""
     start, end, last, stopped = state
     out = []
     for arrival, kind, seqno, s, e in rows[["arrival", "kind", "seqno", "snap_start", "snap_end"]].itertuples(index=False):
@@ -23,11 +23,11 @@ def fold(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
         was = stopped
         if kind == "snapshot_marker":
             start, end = int(s), int(e)
-            violation = "marker_behind" if end < last else None
+            violation = "marker_behind" if end < last else "marker_beyond_end" if stop is not None and end > stop else None
         elif seqno is not None:
             if end is None:
                 violation = "no_snapshot"
-            elif not start <= seqno <= end:
+            elif not start <= seqno <= end or (stop is not None and seqno > stop):
                 violation = "outside"
             elif seqno <= last:
                 violation = "non_monotonic"
@@ -40,8 +40,9 @@ def fold(state: tuple, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
 def _step(rest: list[str]):
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values("arrival")
-        before = state.get if state.exists else (None, None, 0, False)
-        after, out = fold(before, rows)
+        first, stop = (None if pd.isna(x) else int(x) for x in rows[["_start", "_stop"]].iloc[0])
+        before = state.get if state.exists else (None, None, first or 0, False)
+        after, out = fold(before, rows, stop)
         state.update(after)
         out.insert(0, "shard", key[0])
         for c in ("seqno", "snap_start", "snap_end"):
@@ -51,9 +52,10 @@ def _step(rest: list[str]):
     return run
 
 
-def check_order(stream: DataFrame) -> DataFrame:
+def check_order(stream: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """stream labelled as it comes, with all its columns; a micro-batch of one shard is sorted by arrival.
 
+    starts (shard, start_seqno, end_seqno) is a table with a row per shard.
     Numbers that the check doesn't use pass as text: pandas would make floats of
     columns with nulls, and a cas has more digits than those hold.
     """
@@ -62,5 +64,9 @@ def check_order(stream: DataFrame) -> DataFrame:
     text = {f.name: f.dataType for f in rest if isinstance(f.dataType, NumericType)}
     x = stream.withColumns({c: F.col(c).cast("string") for c in text})
     schema = StructType([*StructType.fromDDL(OUTPUT).fields, *[f for f in x.schema.fields if f.name not in own]])
+    if starts is None:
+        x = x.withColumns({c: F.lit(None).cast("string") for c in ("_start", "_stop")})
+    else:
+        x = x.join(F.broadcast(starts.select("shard", F.col("start_seqno").cast("string").alias("_start"), F.col("end_seqno").cast("string").alias("_stop"))), "shard", "left")
     out = x.groupBy("shard").applyInPandasWithState(_step([f.name for f in rest]), schema, STATE, "append", "NoTimeout")
     return out.withColumns({c: F.col(c).cast(t) for c, t in text.items()})
