@@ -48,13 +48,11 @@ def identities(documents: DataFrame, block: int = BLOCK, digest: Callable[[Colum
     """
     scratch = [] if scratch is None else scratch
     text = documents.select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_points"), _normal().alias("_t"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("_t"), F.lit(1)), F.lit(block))
-    text = text.select("doc_id", "n_points", F.sha2("_t", 256).alias("text_sha256"), F.transform(starts, lambda i: F.substring("_t", i, F.lit(block))).alias("parts"))
-    names = _named(text.select(F.explode("parts").alias("block")), ["block"], "dedup-names", scratch, digest=digest(F.col("block")))
-    if names.groupBy("digest").count().where("count > 1").isEmpty():
-        rows, names = text.withColumn("parts", F.transform("parts", digest)), names.select(F.col("digest").alias("part"), "name", "times")
-    else:  # a digest of several blocks: the blocks themselves are looked up
-        rows, names = text, names.select(F.col("block").alias("part"), "name", "times")
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(F.length("_t"), F.lit(1)), F.lit(block)), lambda i: F.substring("_t", i, F.lit(block)))
+    names = _named(text.select(F.explode(parts).alias("block")), ["block"], "dedup-names", scratch, digest=digest(F.col("block")))
+    unique = names.groupBy("digest").count().where("count > 1").isEmpty()  # else the blocks themselves are looked up
+    names = names.select(F.col("digest" if unique else "block").alias("part"), "name", "times")
+    rows = text.select("doc_id", "n_points", F.sha2("_t", 256).alias("text_sha256"), (F.transform(parts, digest) if unique else parts).alias("parts"))
     rows = materialise(rows.withColumn("rid", F.monotonically_increasing_id()), "dedup-rows", scratch)
     facts = rows.select("rid", F.size("parts").alias("n"), F.posexplode("parts").alias("pos", "part"))
     facts = materialise(hot_join(facts, names, ["part"], "times").select("rid", "n", "pos", "name"), "dedup-level", scratch)
