@@ -52,12 +52,21 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
+class RangeHasher:
+    """64-bit hashes of slices of an array; equal slices hash alike."""
+
+    def __init__(self, values: np.ndarray):
+        up, self.down = powers(len(values) + 1)
+        self.prefix = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=self.prefix[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64((self.prefix[ends] - self.prefix[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of values[start:end] for each pair of bounds; equal slices hash alike."""
-    up, down = powers(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=prefix[1:])
-    return mix64((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return RangeHasher(values)(starts, ends)
 
 
 def _hash_chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -2,9 +2,10 @@
 
 A text is cut into units before each run of spaces; no piece of a model crosses
 such a cut. The distinct units of a batch are segmented together: substrings of
-each length are hashed in one pass and probe the sorted keys of the pieces; units
-advance together, one character a step, and a vectorised maximum over the lengths
-of the last piece stores the backpointers.
+each length are hashed in one pass and probe the sorted keys of the pieces and
+their beginnings, longer ones only where a piece may still begin; units advance
+together, one character a step, and a vectorised maximum over the lengths of the
+last piece stores the backpointers.
 
 What a step is worth depends on the kind of model:
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm._common import bounded_batches
-from llm._text import range_hashes, slices
+from llm._text import RangeHasher, slices
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -78,22 +79,25 @@ class Vocabulary:
         is_byte = [i not in ordinary and len(pieces[i]) == 6 and pieces[i].startswith("<0x") for i in range(n)]
         for i in np.flatnonzero(is_byte):
             self.bytes_at[int(pieces[i][3:5], 16)] = i
-        scores = np.array([scores[i] for i in normal], float)
-        lengths = np.array([len(self.pieces[i]) for i in normal])
+        self.score = np.full(n, -np.inf)
+        self.score[normal] = [scores[i] for i in normal]
+        lengths = np.array([len(pieces[i]) for i in normal])
         self.longest = int(lengths.max())
-        self.unknown = float(scores.min()) - UNKNOWN_PENALTY
-        joined = _code_points("".join(self.pieces[i] for i in normal))
-        ends = np.cumsum(lengths)
-        hashes = range_hashes(joined, ends - lengths, ends)
-        order = np.argsort(hashes)
-        self.hashes, self.ids, self.scores = hashes[order], np.array(normal, np.int32)[order], scores[order]
+        self.unknown = float(self.score[normal].min()) - UNKNOWN_PENALTY
+        # sorted keys of all beginnings of pieces, with the piece's id where the beginning is one
+        hasher, first = RangeHasher(_code_points("".join(pieces[i] for i in normal))), np.cumsum(lengths) - lengths
+        begins = [hasher(at, at + k) for k in range(1, self.longest + 1) for at in [first[lengths >= k]]]
+        whole = hasher(first, first + lengths)
+        self.hashes = np.unique(np.concatenate(begins))
+        self.ids = np.full(len(self.hashes), -1, np.int32)
+        self.ids[np.searchsorted(self.hashes, whole)] = normal
+        assert len(np.unique(whole)) == len(normal), "two pieces share a hash"
         self.present = np.zeros(1 << PRESENT, bool)
         self.present[self.hashes >> np.uint64(64 - PRESENT)] = True
-        assert len(np.unique(self.hashes)) == len(self.hashes), "two pieces share a hash"
         self.raw = [bytes([int(pieces[i][3:5], 16)]) if is_byte[i] else pieces[i].replace(SPACE, " ").encode("utf-8", "surrogatepass") if i in ordinary else b"" for i in range(n)]
         self.known, self.flat, self.start = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
         if kind == "bpe":
-            self._index_merges(dict(zip((pieces[i] for i in normal), zip(normal, scores.tolist()))))
+            self._index_merges({pieces[i]: (i, scores[i]) for i in normal})
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -186,82 +190,79 @@ class Vocabulary:
             self.pair_key[kept], self.pair_fits[kept] = one, fits
         return out | (left < 0) | (right < 0)
 
+    def _pieces(self, codes: np.ndarray, unit_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """begin, last (positions) and id of every piece within a unit, and of every single character (-1 where it is no piece)."""
+        hasher, at, found = RangeHasher(codes), np.arange(len(codes)), []
+        for k in range(self.longest):
+            h = hasher(at, at + k + 1)
+            near = np.flatnonzero(self.present[h >> np.uint64(64 - PRESENT)])
+            where = np.minimum(np.searchsorted(self.hashes, h[near]), len(self.hashes) - 1)
+            hit = self.hashes[where] == h[near]
+            begins, ids = at[near[hit]], self.ids[where[hit]]
+            if k == 0:
+                one = np.full(len(codes), -1, np.int32)
+                one[begins] = ids
+                found.append((at, at, one))
+            else:
+                whole = ids >= 0 if self.kind == "unigram" else (ids >= 0) & self.made[ids]
+                found.append((begins[whole], begins[whole] + k, ids[whole]))
+            at = begins[begins + k + 1 < unit_end[begins]]
+            if not len(at):
+                break
+        return tuple(np.concatenate(x) for x in zip(*found))
+
     def segment(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All units' piece ids in a row, and how many each has; units are distinct and not empty."""
         whole = np.array([len(u) for u in units])
         codes = _code_points("".join(units))
         ends = np.cumsum(whole)
-        unit_end = np.repeat(ends, whole)
-        most = min(self.longest, int(whole.max()))
-        here = np.arange(len(codes))
-        # column k: id (and score) of the piece of k + 1 characters that starts at each position
-        piece = np.full((len(codes), most), -1, np.int32)
-        score = np.full((len(codes), most), -np.inf) if self.kind == "unigram" else None
-        for k in range(most):
-            at = here[: len(codes) - k]
-            at = at[at + k < unit_end[at]]
-            h = range_hashes(codes, at, at + k + 1)
-            maybe = np.flatnonzero(self.present[h >> np.uint64(64 - PRESENT)])
-            at, h = at[maybe], h[maybe]
-            found = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            hit = self.hashes[found] == h
-            piece[at[hit], k] = self.ids[found[hit]]
-            if score is not None:
-                score[at[hit], k] = self.scores[found[hit]]
+        begin, end, own = self._pieces(codes, np.repeat(ends, whole))
         # no piece crosses the border between two parts of a unit, so each is searched by itself
-        reach = np.where((piece[:, 1:] >= 0).any(1), most - (piece[:, :0:-1] >= 0).argmax(1), 1) if most > 1 else np.ones(len(codes), int)
-        crossed = np.cumsum(np.bincount(here + 1, minlength=len(codes) + most + 1) - np.bincount(here + reach, minlength=len(codes) + most + 1))[: len(codes)] > 0
-        crossed[0] = False
-        crossed[ends[:-1]] = False
+        inside = np.flatnonzero(end > begin)
+        crossed = np.cumsum(np.bincount(begin[inside] + 1, minlength=len(codes) + 1) - np.bincount(end[inside] + 1, minlength=len(codes) + 1))[: len(codes)] > 0
         starts = np.flatnonzero(~crossed)
-        lengths = np.diff(np.append(starts, len(codes)))
-        back = self._search(starts, lengths, piece, score)
+        back, last = self._search(starts, begin, end, own, len(codes))
         # walk all parts back together
-        taken, at, left = np.zeros(len(codes), np.int32), starts + lengths, lengths
+        taken, at, floor = np.zeros(len(codes), bool), np.append(starts[1:], len(codes)) - 1, starts
         while len(at):
-            k = back[at - 1]
-            at, left = at - k, left - k
-            taken[at] = k
-            at, left = at[left > 0], left[left > 0]
+            taken[at] = True
+            at = at - back[at]
+            go = at >= floor
+            at, floor = at[go], floor[go]
         at = np.flatnonzero(taken)
-        ids = piece[at, taken[at] - 1]
+        ids = last[at]
         size, lost = np.ones(len(ids), np.int64), ids < 0
         if lost.any():
             spelt = [self._bytes_of(c) for c in codes[at[lost]].tolist()]
             size[lost] = [len(x) for x in spelt]
             ids = np.repeat(ids, size)
             ids[ids < 0] = np.concatenate(spelt)
-        return ids, np.bincount(np.searchsorted(ends, at, "right"), size, len(units)).astype(np.int64)
-
-    def _search(self, starts: np.ndarray, lengths: np.ndarray, piece: np.ndarray, score: np.ndarray | None) -> np.ndarray:
-        """Length of the last piece of the best segmentation up to each position; all parts advance by one character a step."""
-        usable = piece >= 0
-        if score is None:
-            usable &= self.made[piece]
-        else:
-            score[:, 0] = np.where(usable[:, 0], score[:, 0], self.unknown)
-        usable[:, 0] = True
-        begin, k = np.nonzero(usable)
-        end, first = begin + k, np.zeros(len(piece), np.int32)
+        return ids, np.bincount(np.repeat(np.arange(len(units)), whole)[at], size, len(units)).astype(np.int64)
+
+    def _search(self, starts: np.ndarray, begin: np.ndarray, end: np.ndarray, own: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+        """Length and id of the last piece of the best segmentation up to each position; all parts advance by one character a step."""
+        first = np.zeros(total, np.int64)
         first[starts] = starts
         first = np.maximum.accumulate(first)
         step = end - first[end]
-        by = np.argsort(step, kind="stable")
-        begin, k, end, step = begin[by], k[by], end[by], step[by]
-        own, inner = piece[begin, k], begin > first[end]
-        worth = score[begin, k] if score is not None else np.zeros(len(begin))
-        best, last, back = np.full(len(piece), -np.inf), np.zeros(len(piece), np.int32), np.zeros(len(piece), np.int32)
-        cuts = np.searchsorted(step, np.arange(int(lengths.max()) + 1))
+        deepest = int(step.max())
+        by = np.argsort(step.astype(np.uint16) if deepest < 1 << 16 else step, kind="stable")
+        begin, end, own = begin[by], end[by], own[by]
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(step, minlength=deepest + 1))))
+        best, last, back = np.full(total, -np.inf), np.zeros(total, np.int32), np.zeros(total, np.int32)
+        inner = begin > first[end]
+        worth = np.where(own >= 0, self.score[own], self.unknown) if self.kind == "unigram" else np.zeros(len(own))
         for i, j in zip(cuts[:-1], cuts[1:]):
             value, e, behind = worth[i:j].copy(), end[i:j], np.flatnonzero(inner[i:j])
             before = begin[i:j][behind] - 1
-            value[behind] += best[before]
-            if score is None:
+            if self.kind == "unigram":
+                value[behind] += best[before]
+            else:
                 value[behind[~self._fits(last[before], own[i:j][behind])]] = -np.inf
             np.maximum.at(best, e, value)
-            won = np.flatnonzero((value == best[e]) & (value > -np.inf))
-            back[e[won]], last[e[won]] = k[i:j][won] + 1, own[i:j][won]
-        return back
+            won = np.flatnonzero((value == best[e]) & (value > -np.inf))[::-1]  # of equal ones the shortest piece
+            back[e[won]], last[e[won]] = e[won] - begin[i:j][won] + 1, own[i:j][won]
+        return back, last
 
     def _bytes_of(self, code: int) -> np.ndarray:
         return self.bytes_at[list((SPACE if chr(code) == _FREE else chr(code)).encode("utf-8", "surrogatepass"))]
