@@ -419,3 +419,91 @@ def test_source_takes_the_configured_collections(spark, tmp_path):
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in log.schema.fields)
     x = Engine(spark, Config("b", selection=Selection("s", ("c",)))).source(str(tmp_path / "log"), dim, schema=schema)
     assert {r.collection_id for r in x.collect()} == {None, 8} and "PushedFilters: [Or(IsNull(collection_id)" in x._jdf.queryExecution().toString()
+
+
+def brute_pods(events):
+    """The watch events of one cluster, one by one: effective pods by name, and the generation."""
+    pods, generation, listed = {}, 0, None
+    for _, action, pod, uid, effective in sorted(events):
+        after = dict(pods)
+        if action == "init":
+            listed = {}
+        elif action == "init_apply":
+            listed.update({pod: uid} if effective else {})
+        elif action == "init_done":
+            after, listed = listed, None
+        elif action == "apply" and effective:
+            after[pod] = uid
+        elif action == "apply" or after.get(pod) == uid:
+            after.pop(pod, None)
+        generation += after != pods
+        pods = after
+    return pods, generation
+
+
+def test_pods_follow_their_events(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for cluster in range(6):
+        at = iter(range(1, 10_000))
+        rows += [(cluster, next(at), "init", None, None, False), (cluster, next(at), "init_done", None, None, False)]
+        for _ in range(60):
+            pod, uid = f"p{rng.integers(4)}", f"u{rng.integers(3)}"
+            kind = rng.choice(["apply", "apply", "delete", "list"])
+            if kind == "list":
+                rows.append((cluster, next(at), "init", None, None, False))
+                rows += [(cluster, next(at), "init_apply", f"p{k}", f"u{rng.integers(3)}", bool(rng.integers(2))) for k in range(int(rng.integers(0, 4)))]
+                rows.append((cluster, next(at), "init_done", None, None, False))
+            else:
+                rows.append((cluster, next(at), str(kind), pod, uid, bool(rng.integers(3))))
+    schema = "cluster int, at bigint, action string, pod string, uid string, effective boolean"
+    pods, generation = membership.pods_after(spark.createDataFrame(rows, schema))
+    want = {c: brute_pods([r[1:] for r in rows if r[0] == c]) for c in range(6)}
+    got = {}
+    for r in pods.collect():
+        got.setdefault(r.cluster, {})[r.pod] = r.uid
+    assert {c: got.get(c, {}) for c in want} == {c: w[0] for c, w in want.items()}
+    assert {r.cluster: r.generation for r in generation.collect()} == {c: w[1] for c, w in want.items()}
+    assert membership.pod_problems(spark.createDataFrame(rows, schema)).count() == 0
+    bad = [(9, 1, "apply", "p", "u", True), (9, 2, "init_apply", "p", "u", True), (9, 3, "init", None, None, False), (9, 4, "init_apply", "p", "u", True), (9, 5, "init_apply", "p", "v", True), (9, 6, "delete", "p", "u", True), (9, 7, "init_done", None, None, False), (9, 8, "init_done", None, None, False)]
+    assert {r.at: r.problem for r in membership.pod_problems(spark.createDataFrame(bad, schema)).collect()} == {1: "before the first list", 2: "no list is open", 5: "pod twice in a list", 6: "before the first list", 8: "no list is open"}
+
+
+def test_compressed_values_and_lookups(spark):
+    import pyarrow as pa
+
+    pack = lambda b: bytearray(pa.compress(b, codec="snappy", asbytes=True))
+    rows = [(1, 3, pack(b"{}" * 99), None), (2, 1, bytearray(b"plain"), None), (3, 2, bytearray(b"\xff\xff\xff\xff\x0fx"), None), (4, 2, bytearray(b"\x05ab"), None), (5, 2, bytearray(b""), None), (6, 6, pack(b""), None), (7, 2, None, "short body")]
+    x = spark.createDataFrame(rows, "i int, datatype smallint, value binary, malformed string")
+    got = {r.i: (r.datatype, r.value and bytes(r.value), r.malformed) for r in wire.decompressed(x).collect()}
+    assert got[1] == (1, b"{}" * 99, None) and got[2] == (1, b"plain", None) and got[6] == (4, b"", None)
+    assert [got[i][2] for i in (3, 4, 5, 7)] == ["value too large", "bad snappy value", "bad snappy value", "short body"]
+    refused = {r.i: (r.value, r.malformed) for r in wire.decompressed(x, negotiated=False).collect()}
+    assert refused[1] == (None, "compression was not negotiated") and bytes(refused[2][0]) == b"plain"
+    ids = spark.createDataFrame([(0, bytearray(struct.pack(">QI", 7, 9))), (0, bytearray(b"x")), (1, bytearray(12))], "s int, e binary").select(wire.collection_id_response(F.col("s"), F.col("e")).alias("r")).collect()
+    assert [r.r and (int(r.r.manifest_uid), r.r.collection_id) for r in ids] == [(7, 9), None, None]
+
+
+def test_numbers_of_64_bits_and_wide_maps(spark):
+    x = spark.createDataFrame([("ffffffffffffffff",), ("7fffffffffffffff",), ("0000000000000000001",), ("1ffffffffffffffff",), ("x",), ("",)], "t string").select(columns.hex_number(F.col("t")).alias("n")).collect()
+    assert [r.n for r in x] == [-1, 2**63 - 1, 1, None, None, None]
+    doc = {"rev": 1, "vBucketServerMap": {"numReplicas": 99, "serverList": [f"s{i}" for i in range(100)], "vBucketMap": [list(range(100))]}}
+    assert len(topology.parse_routes(spark.createDataFrame([(json.dumps(doc),)], "json string")).first().replicas) == 99
+
+
+def test_registry_follows_scopes(spark):
+    dim = spark.createDataFrame([(5, 8, "s", 1, "a")], "manifest_uid bigint, scope_id bigint, scope string, collection_id bigint, collection string")
+    changes = spark.createDataFrame([(4, "create_collection", 8, 9, "old"), (6, "create_collection", 8, 2, "b"), (7, "create_collection", 9, 3, "other scope"), (8, "drop_scope", 8, None, None), (9, "create_collection", 8, 4, "a"), (10, "flush_collection", 8, 4, None)], "manifest_uid bigint, sys_kind string, scope_id bigint, collection_id bigint, name string")
+    got = {(r.collection_id, r.name, r.from_uid, r.to_uid) for r in collections.name_versions(dim, changes, 8).collect()}
+    assert got == {(1, "a", 5, 8), (2, "b", 6, 8), (4, "a", 9, None)}
+    assert {r.name for r in collections.name_versions(dim, changes, 8, whole_scope=False).collect()} == {"a"}
+    assert collections.registry_problems(dim, changes, 8).count() == 0
+    assert collections.registry_status(dim, changes).first().asDict() == {"manifest_uid": 10, "stale": False}
+    assert collections.registry_status(dim, changes.limit(0)).first().asDict() == {"manifest_uid": 5, "stale": False}
+
+
+def test_a_bucket_that_is_another_one(spark):
+    doc = lambda uuid, rev: json.dumps({"rev": rev, "revEpoch": 1, "name": "b", "uuid": uuid, "vBucketServerMap": {"numReplicas": 0, "serverList": ["x", "y"], "vBucketMap": [[0], [1]]}})
+    routes = lambda *a: topology.parse_routes(spark.createDataFrame([(doc(*a),)], "json string"))
+    assert [r.change for r in topology.apply_revisions(routes("u", 1), routes("v", 2), 1).collect()] == ["bucket uuid changed"]
+    assert topology.apply_revisions(routes("u", 3), routes("u", 2), 1).count() == 0

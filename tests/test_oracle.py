@@ -22,7 +22,8 @@ def plain(v):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM '{DATA}/events.parquet'")
+    for name in ("events", "nation", "region"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
     return con
 
 

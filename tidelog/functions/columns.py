@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,8 +56,8 @@ def is_newer_revision(epoch: Column, rev: Column, than_epoch: Column, than_rev:
 
 
 def hex_number(text: Column) -> Column:
-    """A hexadecimal number as bigint; null where it is not one (conv alone would give 0)."""
-    return F.when(text.rlike("^[0-9a-fA-F]{1,15}$"), F.conv(text, 16, 10).cast("bigint"))
+    """A hexadecimal number of up to 64 bits as bigint, from 2^63 on as its two's complement; null where it is none (conv alone would give 0)."""
+    return F.when(text.rlike("^0*[0-9a-fA-F]{1,16}$"), F.conv(text, 16, -10).cast("bigint"))
 
 
 def stream_filter_json(manifest_uid: Column, collections: Column, scope: Column, stream_id: Column) -> Column:
@@ -63,3 +65,26 @@ def stream_filter_json(manifest_uid: Column, collections: Column, scope: Column,
     low = lambda c: F.lower(F.hex(c))
     ids = F.when(F.size(collections) > 0, F.transform(collections, lambda c: F.lower(F.hex(c))))
     return F.to_json(F.struct(low(manifest_uid).alias("uid"), ids.alias("collections"), low(scope).alias("scope"), stream_id.alias("sid")))
+
+
+_LABEL = "[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?"
+
+
+def is_identifier(text: Column, longest: int = 128) -> Column:
+    """Visible ASCII only, at least one and at most `longest` characters: member ids, incarnations, uids."""
+    return F.coalesce(text.rlike(rf"\A[!-~]{{1,{longest}}}\z"), F.lit(False))
+
+
+def is_dns_label(text: Column) -> Column:
+    """A lower-case DNS label of at most 63 characters: namespaces."""
+    return F.coalesce(text.rlike(rf"\A{_LABEL}\z"), F.lit(False))
+
+
+def is_dns_name(text: Column) -> Column:
+    """Labels joined by dots, at most 253 characters: names of pods and of what owns them."""
+    return F.coalesce((F.length(text) <= 253) & text.rlike(rf"\A{_LABEL}(?:\.{_LABEL})*\z"), F.lit(False))
+
+
+def saturating_sum(count: Column) -> Column:
+    """A sum that stays at the largest unsigned 64-bit number; an aggregate expression."""
+    return F.least(F.sum(count.cast("decimal(38,0)")), F.lit(Decimal(2**64 - 1)).cast("decimal(38,0)")).cast("decimal(20,0)")

@@ -7,8 +7,10 @@ null fields instead of failing the job.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 # Fixed values of the wire format.
 REQUEST, ALT_REQUEST, RESPONSE, ALT_RESPONSE = 0x80, 0x08, 0x81, 0x18
@@ -25,57 +27,58 @@ SYSTEM_KINDS = {0: "create_collection", 1: "drop_collection", 2: "flush_collecti
 def uint(data: Column, at: Column | int, size: int) -> Column:
     """An unsigned number of up to 8 bytes at a 0-based offset; decimal(20,0) for 8 bytes, else bigint."""
     at = F.lit(at) if isinstance(at, int) else at
-    digits = F.conv(F.hex(F.substring(data, at + 1, F.lit(size))), 16, 10)
-    return digits.cast("decimal(20,0)" if size == 8 else "bigint")
+    return _number(F.hex(F.substring(data, at + 1, F.lit(size))), 0, size)
 
 
-def seqno(data: Column, at: Column | int) -> Column:
-    """A 64-bit seqno as bigint; null if it does not fit."""
-    n = uint(data, at, 8)
-    return F.when(n <= F.lit(2**63 - 1).cast("decimal(20,0)"), n.cast("bigint"))
+def _number(digits: Column, at: Column | int, size: int) -> Column:
+    """uint() over the hexadecimal text of the bytes, which is made once for many numbers."""
+    part = F.substring(digits, (F.lit(at) if isinstance(at, int) else at) * 2 + 1, F.lit(2 * size))
+    return F.conv(part, 16, 10).cast("decimal(20,0)") if size == 8 else F.conv(part, 16, 10).cast("bigint")
+
+
+def seqno(digits: Column, at: int) -> Column:
+    """A 64-bit seqno in hexadecimal text as bigint; null if it does not fit."""
+    n = F.conv(F.substring(digits, 2 * at + 1, 16), 16, -10).cast("bigint")
+    return F.when(n >= 0, n)
 
 
 def uleb128(data: Column) -> Column:
     """struct(value, size) of an unsigned LEB128 number of at most 32 bits at the start; null if cut short, overlong or too large."""
-    byte = [F.conv(F.hex(F.substring(data, i + 1, 1)), 16, 10).cast("bigint") for i in range(5)]
-    value, out = F.lit(0).cast("bigint"), F.lit(None).cast("struct<value:bigint,size:int>")
-    ends: list[tuple[Column, Column]] = []
-    more = F.lit(True)
-    for i, b in enumerate(byte):
-        value = value + F.shiftleft(b.bitwiseAND(F.lit(0x7F)), 7 * i)
-        here = more & (F.length(data) > i)
-        ends.append((here & (b < 128), F.struct(value.alias("value"), F.lit(i + 1).alias("size"))))
-        more = here & (b >= 128)
-    for done, found in reversed(ends):
-        out = F.when(done & (found["value"] < 2**32), found).otherwise(out)
-    return out
+    digits = F.hex(F.substring(data, 1, 5))
+    # bytes with the highest bit set go on; the first without it is the last
+    size = F.length(F.regexp_extract(digits, "^(?:[89A-F].){0,4}[0-7].", 0)) / 2
+    byte = lambda i: F.conv(F.substring(digits, 2 * i + 1, 2), 16, 10).cast("bigint").bitwiseAND(F.lit(0x7F))
+    value = byte(0)
+    for i in range(1, 5):
+        value = value + F.when(size > i, F.shiftleft(byte(i), 7 * i)).otherwise(0)
+    return F.when((size > 0) & (value < 2**32), F.struct(value.alias("value"), size.cast("int").alias("size")))
 
 
 def decode_frames(frames: DataFrame, collections: bool = True) -> DataFrame:
-    """Header and body fields of each frame, beside the input's other columns."""
-    f = F.col("frame")
-    magic = uint(f, 0, 1)
-    alt = magic.isin(ALT_REQUEST, ALT_RESPONSE)
-    x = frames.withColumns({
-        "magic": magic, "opcode": uint(f, 1, 1), "framing_length": F.when(alt, uint(f, 2, 1)).otherwise(0), "key_length": F.when(alt, uint(f, 3, 1)).otherwise(uint(f, 2, 2)),
-        "extras_length": uint(f, 4, 1), "datatype": uint(f, 5, 1).cast("smallint"), "_target": uint(f, 6, 2), "body_length": uint(f, 8, 4), "opaque": uint(f, 12, 4), "cas": uint(f, 16, 8),
-    })
-    fields = F.col("framing_length") + F.col("key_length") + F.col("extras_length")
+    """Header and body fields of each frame, beside the input's other columns. The header is put into hexadecimal text once."""
+    h, frame = F.col("_head"), F.col("frame")
+    x = frames.withColumn("_head", F.hex(F.substring(frame, 1, 24)))
+    alt = F.substring(h, 1, 2).isin("08", "18")
+    response = F.substring(h, 1, 2).isin("81", "18")
+    x = x.withColumns({
+        "magic": _number(h, 0, 1), "opcode": _number(h, 1, 1), "framing_length": F.when(alt, _number(h, 2, 1)).otherwise(0), "key_length": F.when(alt, _number(h, 3, 1)).otherwise(_number(h, 2, 2)),
+        "extras_length": _number(h, 4, 1), "datatype": _number(h, 5, 1).cast("smallint"), "shard": F.when(~response, _number(h, 6, 2)).cast("int"), "status": F.when(response, _number(h, 6, 2)).cast("int"),
+        "body_length": _number(h, 8, 4), "opaque": _number(h, 12, 4), "cas": _number(h, 16, 8), "_response": response,
+    })
+    fl, el, kl = F.col("framing_length"), F.col("extras_length"), F.col("key_length")
     malformed = (
         F.when(F.length("frame") < 24, "short header").when(~F.col("magic").isin(REQUEST, ALT_REQUEST, RESPONSE, ALT_RESPONSE), "unknown magic")
-        .when(F.col("body_length") > LARGEST_BODY, "body too large").when(fields > F.col("body_length"), "fields exceed body")
+        .when(F.col("body_length") > LARGEST_BODY, "body too large").when(fl + kl + el > F.col("body_length"), "fields exceed body")
         .when(F.length("frame") < 24 + F.col("body_length"), "short body")
     )
-    response = F.col("magic").isin(RESPONSE, ALT_RESPONSE)
-    cut = lambda start, size: F.substring(F.col("frame"), (start + 25).cast("int"), size.cast("int"))
-    fl, el, kl = F.col("framing_length"), F.col("extras_length"), F.col("key_length")
-    x = x.withColumns({"malformed": malformed, "shard": F.when(~response, F.col("_target")).cast("int"), "status": F.when(response, F.col("_target")).cast("int")})
-    x = x.withColumns({"framing": cut(F.lit(0), fl), "extras": cut(fl, el), "_key": cut(fl + el, kl), "value": cut(fl + el + kl, F.col("body_length") - fl - el - kl)})
-    keyed = F.col("opcode").isin(*KEYED) & ~response & (F.length("_key") > 0) & F.lit(collections)
-    x = x.withColumn("_id", F.when(keyed, uleb128(F.col("_key"))))
-    x = x.withColumn("malformed", F.coalesce("malformed", F.when(keyed & F.col("_id").isNull(), "bad collection prefix")))
-    key = F.when(keyed, F.expr("substring(_key, _id.size + 1)")).otherwise(F.col("_key"))
-    return x.withColumns({"collection_id": F.col("_id.value"), "key": key, "wire_size": (F.lit(24) + F.col("body_length")).cast("int"), "stream_id": stream_id(F.col("framing"))}).drop("_target", "_key", "_id")
+    cut = lambda start, size: F.substring(frame, (start + 25).cast("int"), size.cast("int"))
+    keyed = F.col("opcode").isin(*KEYED) & ~F.col("_response") & (kl > 0) & F.lit(collections)
+    x = x.withColumns({"_malformed": malformed, "framing": F.when(fl > 0, cut(F.lit(0), fl)).otherwise(F.lit(b"")), "extras": cut(fl, el), "value": cut(fl + el + kl, F.col("body_length") - fl - el - kl), "_id": F.when(keyed, uleb128(cut(fl + el, kl))), "_keyed": keyed})
+    skip = F.coalesce("_id.size", F.lit(0))
+    return x.withColumns({
+        "malformed": F.coalesce("_malformed", F.when(F.col("_keyed") & F.col("_id").isNull(), "bad collection prefix")),
+        "collection_id": F.col("_id.value"), "key": cut(fl + el + skip, kl - skip), "wire_size": (F.lit(24) + F.col("body_length")).cast("int"), "stream_id": stream_id(F.col("framing")),
+    }).drop("_head", "_id", "_keyed", "_malformed", "_response")
 
 
 def stream_id(framing: Column) -> Column:
@@ -104,48 +107,109 @@ def _named(code: Column, names: dict[int, str]) -> Column:
 
 
 def decode_events(decoded: DataFrame) -> DataFrame:
-    """Decoded request frames as change events; responses are malformed, no-ops leave, unknown opcodes stay as `unknown`."""
-    e, v, op = F.col("extras"), F.col("value"), F.col("opcode")
+    """Decoded request frames as change events; responses are malformed, no-ops leave, unknown opcodes stay as `unknown`.
+
+    Extras and the part of the value that holds numbers are put into hexadecimal text
+    once; a number is read only where the kind of event has it.
+    """
     ex, vl = F.length("extras"), F.length("value")
-    kind = _named(op, OPCODES)
-    is_ = lambda k: F.col("kind") == k
-    x = decoded.withColumn("kind", kind).where("kind <> 'noop'")
-    v2 = is_("snapshot_marker") & (ex == 1)
-    version = F.when(v2, uint(e, 0, 1))
-    on = lambda cond, c: F.when(cond, c)
-    gone = F.col("kind").isin("deletion", "expiration")
+    # told by its byte, so that the filter can go down to the scan
+    x = decoded.where(F.substring("frame", 2, 1) != F.lit(b"\x5c")).withColumn("kind", _named(F.col("opcode"), OPCODES))
+    k = F.col("kind")
+    m, s, gone, doc = k == "snapshot_marker", k == "system_event", k.isin("deletion", "expiration"), k.isin("mutation", "deletion", "expiration")
+    v2 = m & (ex == 1)
+    x = x.withColumns({"_e": F.hex("extras"), "_v": F.when(s | v2, F.hex(F.substring("value", 1, 52)))})
+    e, v = F.col("_e"), F.col("_v")
     data = F.when(v2, v).otherwise(e)
-    m = is_("snapshot_marker")
-    s = is_("system_event")
+    on = lambda cond, c: F.when(cond, c)
+    code, version = on(s, _number(e, 8, 4)), on(v2, _number(e, 0, 1))
     x = x.withColumns({
-        "seqno": on(F.col("kind").isin("mutation", "deletion", "expiration", "seqno_advanced", "system_event"), seqno(e, 0)),
-        "rev_seqno": on(F.col("kind").isin("mutation", "deletion", "expiration"), seqno(e, 8)),
-        "flags": on(is_("mutation"), uint(e, 16, 4)), "expiry": on(is_("mutation"), uint(e, 20, 4)), "lock_time": on(is_("mutation"), uint(e, 24, 4)),
-        "delete_time": on(gone & (ex >= 20), uint(e, 16, 4)),
-        "snap_start": on(m, seqno(data, 0)), "snap_end": on(m, seqno(data, 8)), "snap_flags": on(m, uint(data, 16, 4)),
+        "seqno": on(doc | s | (k == "seqno_advanced"), seqno(e, 0)), "rev_seqno": on(doc, seqno(e, 8)),
+        "flags": on(k == "mutation", _number(e, 16, 4)), "expiry": on(k == "mutation", _number(e, 20, 4)), "lock_time": on(k == "mutation", _number(e, 24, 4)),
+        "delete_time": on(gone & (ex >= 20), _number(e, 16, 4)),
+        "snap_start": on(m, seqno(data, 0)), "snap_end": on(m, seqno(data, 8)), "snap_flags": on(m, _number(data, 16, 4)),
         "max_visible_seqno": on(v2, seqno(v, 20)), "high_completed_seqno": on(v2, seqno(v, 28)),
-        "snap_timestamp": on(v2 & (version >= 1), seqno(v, 36)), "purge_seqno": on(v2 & (version >= 2), seqno(v, 44)),
-        "end_reason_code": on(is_("stream_end"), uint(e, 0, 4)),
-        "sys_code": on(s, uint(e, 8, 4)), "sys_version": on(s, uint(e, 12, 1).cast("smallint")),
-        "oso_code": on(is_("oso_snapshot"), uint(e, 0, 4)),
-    })
-    x = x.withColumns({
-        "end_reason": _named(F.col("end_reason_code"), END_REASONS), "sys_kind": _named(F.col("sys_code"), SYSTEM_KINDS),
-        "oso_state": _named(F.col("oso_code"), {0: "begin", 1: "end"}),
-        "manifest_uid": on(s, seqno(v, 0)), "scope_id": on(s & F.col("sys_code").isin(0, 1, 3, 4), uint(v, 8, 4)),
-        "collection_id": F.coalesce("collection_id", on(s & F.col("sys_code").isin(0, 1, 2, 5), uint(v, F.when(F.col("sys_code").isin(2, 5), 8).otherwise(12), 4))),
-        "max_ttl": F.when(s & (F.col("sys_code") == 0) & (F.col("sys_version") >= 1), uint(v, 16, 4)).when(s & (F.col("sys_code") == 5), uint(v, 12, 4)),
-        "sys_data": on(s, v),
-    })
+        "snap_timestamp": on(v2 & (version >= 1), seqno(v, 36)), "purge_seqno": on(v2 & (version >= 2), seqno(v, 44)), "_version": version,
+        "end_reason_code": on(k == "stream_end", _number(e, 0, 4)), "sys_code": code, "sys_version": on(s, _number(e, 12, 1).cast("smallint")),
+        "_oso": on(k == "oso_snapshot", _number(e, 0, 4)),
+    })
+    code, version = F.col("sys_code"), F.col("_version")
     least = F.create_map(*[F.lit(y) for kv in {"mutation": 28, "deletion": 16, "expiration": 16, "stream_end": 4, "seqno_advanced": 8, "system_event": 13, "oso_snapshot": 4}.items() for y in kv])
     v2_least = F.when(version >= 2, 52).when(version >= 1, 44).otherwise(36)
-    sys_least = F.when(F.col("sys_code") == 0, F.when(F.col("sys_version") >= 1, 20).otherwise(16)).when(F.col("sys_code").isin(1, 5), 16).when(F.col("sys_code").isin(2, 3, 4), 12).otherwise(8)
+    sys_least = F.when(code == 0, F.when(F.col("sys_version") >= 1, 20).otherwise(16)).when(code.isin(1, 5), 16).when(code.isin(2, 3, 4), 12).otherwise(8)
     bad = (
-        F.when(F.col("status").isNotNull(), "response").when(F.try_element_at(least, F.col("kind")) > ex, "short extras")
+        F.when(F.col("status").isNotNull(), "response").when(F.try_element_at(least, k) > ex, "short extras")
         .when(s & (vl < sys_least), "short system event").when(m & ~v2 & (ex < 20), "short extras").when(v2 & (vl < v2_least), "short marker").when(m & (F.col("snap_start") > F.col("snap_end")), "marker start after end")
-        .when(F.col("kind").isin("mutation", "deletion", "expiration", "seqno_advanced", "system_event") & F.col("seqno").isNull(), "seqno too large")
+        .when((doc | s | (k == "seqno_advanced")) & F.col("seqno").isNull(), "seqno too large")
     )
-    return x.withColumn("malformed", F.coalesce("malformed", bad)).drop("oso_code")
+    return x.withColumns({
+        "end_reason": _named(F.col("end_reason_code"), END_REASONS), "sys_kind": _named(code, SYSTEM_KINDS), "oso_state": _named(F.col("_oso"), {0: "begin", 1: "end"}),
+        "manifest_uid": on(s, seqno(v, 0)), "scope_id": on(s & code.isin(0, 1, 3, 4), _number(v, 8, 4)),
+        "collection_id": F.coalesce("collection_id", on(s & code.isin(0, 1, 2, 5), _number(v, F.when(code.isin(2, 5), 8).otherwise(12), 4))),
+        "max_ttl": F.when(s & (code == 0) & (F.col("sys_version") >= 1), _number(v, 16, 4)).when(s & (code == 5), _number(v, 12, 4)),
+        "sys_data": on(s, F.col("value")), "malformed": F.coalesce("malformed", bad),
+    }).drop("_oso", "_e", "_v", "_version")
+
+
+#: A value larger than this when decompressed is refused, as a body is.
+LARGEST_VALUE = 32 << 20
+SNAPPY = 2  # the datatype bit
+
+
+def decompressed(decoded: DataFrame, negotiated: bool = True) -> DataFrame:
+    """decoded with snappy values (raw blocks) in plain form and their datatype bit cleared; others as they are.
+
+    Without negotiation, with a broken block or a length above LARGEST_VALUE, the row
+    gets a reason in `malformed` and a null value.
+    """
+    packed = F.col("datatype").bitwiseAND(F.lit(SNAPPY)) != 0
+    plain = F.when(packed & F.lit(negotiated), _snappy("value"))
+    x = decoded.withColumns({"_plain": plain, "_packed": packed}).withColumn("malformed", F.coalesce("malformed", F.when(F.col("_packed"), F.coalesce(F.col("_plain.problem"), F.lit(None if negotiated else "compression was not negotiated").cast("string")))))
+    clear = (F.col("datatype") - SNAPPY).cast("smallint")
+    return x.withColumns({"value": F.when(F.col("_packed"), F.col("_plain.value")).otherwise(F.col("value")), "datatype": F.when(F.col("_packed"), clear).otherwise(F.col("datatype"))}).drop("_plain", "_packed")
+
+
+_PLAIN = StructType([StructField("value", BinaryType()), StructField("problem", StringType())])
+
+
+@F.pandas_udf(_PLAIN)
+def _snappy(values: pd.Series) -> pd.DataFrame:
+    import pyarrow as pa
+
+    codec, out = pa.Codec("snappy"), []
+    for v in values:
+        try:
+            size = shift = 0
+            for i, b in enumerate(v[:5] if v is not None else b""):  # the block begins with its plain length
+                size, shift = size | (b & 127) << shift, shift + 7
+                if b < 128:
+                    break
+            else:
+                raise ValueError
+            out.append((None, "value too large") if size > LARGEST_VALUE else (codec.decompress(v, size, asbytes=True), None))
+        except (ValueError, OSError):
+            out.append((None, "bad snappy value"))
+    return pd.DataFrame(out, columns=["value", "problem"])
+
+
+# Response statuses.
+NOT_FOUND, PATHS_FAILED, PATH_NOT_FOUND = 0x01, 0xCC, 0xC0
+
+
+def lookup_value(status: Column, value: Column) -> Column:
+    """struct(value, problem) of a one-path lookup response: a missing document or path has neither."""
+    own, size = uint(value, 0, 2), uint(value, 2, 4)
+    problem = (
+        F.when(status == NOT_FOUND, None).when(~status.isin(0, PATHS_FAILED), "status").when(F.length(value) < 6, "short result").when(F.length(value) != size + 6, "wrong length")
+        .when(~own.isin(0, PATH_NOT_FOUND), "path status")
+    )
+    there = status.isin(0, PATHS_FAILED) & (F.length(value) >= 6) & (F.length(value) == size + 6) & (own == 0)
+    return F.struct(F.when(there, F.substring(value, F.lit(7), F.length(value))).alias("value"), problem.alias("problem"))
+
+
+def collection_id_response(status: Column, extras: Column) -> Column:
+    """struct(manifest_uid, collection_id) of a successful response with 12 bytes of extras; else null."""
+    return F.when((status == 0) & (F.length(extras) == 12), F.struct(uint(extras, 0, 8).alias("manifest_uid"), uint(extras, 8, 4).alias("collection_id")))
 
 
 def records(value: Column, size: int, fields: dict[str, tuple[int, int]]) -> Column:

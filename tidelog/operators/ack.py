@@ -48,6 +48,20 @@ def dirty(processed: DataFrame, durable: DataFrame) -> DataFrame:
     return processed.join(d, "shard", "left").where(~same).select(*processed.columns)
 
 
+def rebase(processed: DataFrame, effective: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Progress after a reopening, and problems (shard, problem); with problems, nothing may be changed.
+
+    Shards of `effective` take its checkpoint, backwards too, and have nothing pending;
+    others stay. Both: shard, seqno, snap_start, snap_end. A row per shard, at most 65536.
+    """
+    new = effective.select("shard", *[F.col(c).alias(f"_{c}") for c in ("seqno", "snap_start", "snap_end")], F.lit(True).alias("_new"))
+    x = processed.withColumn("_old", F.lit(True)).join(new, "shard", "full_outer")
+    problem = F.when(F.col("_old").isNull(), "not followed").when(F.col("_new") & ((F.col("_snap_start") > F.col("_snap_end")) | (F.col("_seqno") > F.col("_snap_end")) | ((F.col("_seqno") != 0) & (F.col("_seqno") < F.col("_snap_start")))), "invalid")
+    taken = [F.when(F.col("_new"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in ("seqno", "snap_start", "snap_end")]
+    after = x.where("_old").select("shard", *taken, (F.col("_new").isNotNull() & ~F.col("seqno").eqNullSafe(F.col("_seqno"))).alias("moved"))
+    return after, x.select("shard", problem.alias("problem")).where("problem IS NOT NULL")
+
+
 def latest_by_key(log: DataFrame, key: str = "key") -> DataFrame:
     """Compaction: the last document event of each key, deletions left out; ties by shard and seqno. One partial aggregation."""
     cols = [c for c in log.columns if c != key]

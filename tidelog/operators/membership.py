@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.errors import InvalidConfiguration
+from tidelog.functions.columns import is_identifier
 
 MOST_SHARDS = 65536
 
@@ -85,3 +86,81 @@ def effective_pods(pods: DataFrame) -> DataFrame:
     """Pods that count, numbered by (created_at, uid, name): running, ready and not terminating."""
     x = pods.where((F.col("phase") == "Running") & F.col("ready") & ~F.col("terminating"))
     return x.withColumn("member_number", F.row_number().over(Window.orderBy("created_at", "uid", "name")))
+
+
+def assignment_problems(assigned: DataFrame, routes: DataFrame) -> DataFrame:
+    """shard, problem: assigned shards that the topology doesn't have or that have no active node; nothing assigned is a row without a shard."""
+    r = F.broadcast(routes.select("shard", "active", F.lit(True).alias("_there")))  # at most 65536
+    x = assigned.select("shard").distinct().join(r, "shard", "left")
+    problem = F.when(F.col("_there").isNull(), "unknown shard").when(F.col("active").isNull(), "no active node")
+    none = assigned.agg(F.count("*").alias("n")).where("n = 0").select(F.lit(None).cast("int").alias("shard"), F.lit("no shard assigned").alias("problem"))
+    return x.select("shard", problem.alias("problem")).where("problem IS NOT NULL").union(none)
+
+
+SCHEMA_VERSION = 1
+
+
+def registry_problems(members: DataFrame, schema_version: int, shards: int, stale_after: int) -> DataFrame:
+    """key, problem of a registry: members (key, member_id, incarnation, joined_at, heartbeat_at), the first problem of each; its settings as rows without a key."""
+    k = F.col("key")
+    own = (
+        F.when(~is_identifier(k), "member id").when(~is_identifier(F.col("incarnation")), "incarnation").when(~k.eqNullSafe(F.col("member_id")), "key is not the member id")
+        .when(F.col("heartbeat_at") < F.col("joined_at"), "heartbeat before join")
+    )
+    n = F.col("n")
+    checks = [(F.lit(schema_version != SCHEMA_VERSION), "schema version"), (F.lit(not 0 < shards <= MOST_SHARDS), "shard count"), (F.lit(stale_after == 0), "stale timeout"), (n > shards, "more members than shards")]
+    heads = F.filter(F.array(*[F.when(c, F.lit(what)) for c, what in checks]), lambda p: p.isNotNull())
+    settings = members.agg(F.count("*").alias("n")).select(F.lit(None).cast("string").alias("key"), F.explode(heads).alias("problem"))
+    return members.select("key", own.alias("problem")).where("problem IS NOT NULL").union(settings)
+
+
+def pod_timeline(events: DataFrame) -> DataFrame:
+    """What each watch event does to each pod's place among the effective pods: cluster, at, pod, uid (null: none) and changed.
+
+    events: cluster, at, action (init, init_apply, init_done, apply, delete), pod, uid,
+    effective. A relist takes effect at its init_done, for all pods at once: those not
+    in the list go. A delete counts only for the uid that is there. One window over a
+    pod's events; a relist makes a row for every pod of its cluster.
+    """
+    order = Window.partitionBy("cluster").orderBy("at")
+    x = events.withColumn("list", F.last(F.when(F.col("action") == "init", F.col("at")), ignorenulls=True).over(order))
+    done = x.where("action = 'init_done'").select("cluster", F.col("at").alias("done"), "list")
+    pods = x.where("pod IS NOT NULL").select("cluster", "pod").distinct()
+    listed = x.where("action = 'init_apply' AND effective").select("cluster", "list", "pod", "uid")
+    relists = done.join(pods, "cluster").join(listed, ["cluster", "list", "pod"], "left").select("cluster", F.col("done").alias("at"), "pod", "uid", F.lit("set").alias("does"))
+    single = x.where("action IN ('apply', 'delete')").select("cluster", "at", "pod", F.when((F.col("action") == "delete") | F.col("effective"), F.col("uid")).alias("uid"), F.when(F.col("action") == "delete", "remove").otherwise("set").alias("does"))
+    by_pod = Window.partitionBy("cluster", "pod").orderBy("at")
+    before = by_pod.rowsBetween(Window.unboundedPreceding, -1)
+    y = relists.union(single)
+    y = y.withColumns({"_set": F.last(F.when(F.col("does") == "set", F.struct("at", "uid")), ignorenulls=True).over(before), "_n": F.sum((F.col("does") == "set").cast("int")).over(by_pod)})
+    # within a run that begins with a set, the first delete of its uid removes it
+    run = Window.partitionBy("cluster", "pod", "_n").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.first("uid").over(Window.partitionBy("cluster", "pod", "_n").orderBy("at"))
+    y = y.withColumn("_start", F.when(F.col("_n") > 0, start))
+    hit = (F.col("does") == "remove") & F.col("uid").eqNullSafe(F.col("_start")) & F.col("uid").isNotNull()
+    y = y.withColumn("_gone", F.coalesce(F.max(hit.cast("int")).over(run), F.lit(0)) == 1).withColumn("_hit", hit)
+    y = y.withColumn("now", F.when((F.col("does") == "set"), F.col("uid")).otherwise(F.when(~F.col("_gone") & ~F.col("_hit"), F.col("_start"))))
+    y = y.withColumn("was", F.lag("now").over(by_pod))
+    return y.select("cluster", "at", "pod", F.col("now").alias("uid"), (~F.col("now").eqNullSafe(F.col("was"))).alias("changed"))
+
+
+def pods_after(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cluster, pod, uid) of the effective pods after all events, and (cluster, generation): one more for each event that changed any."""
+    t = pod_timeline(events)
+    last = t.groupBy("cluster", "pod").agg(F.max_by(F.struct("uid"), "at").alias("r")).select("cluster", "pod", "r.uid").where("uid IS NOT NULL")
+    return last, t.groupBy("cluster").agg(F.count_distinct(F.when(F.col("changed"), F.col("at"))).alias("generation"))
+
+
+def pod_problems(events: DataFrame) -> DataFrame:
+    """events out of sequence: cluster, at, problem. A list entry or an end without a list, a single event before or during one, a pod twice in a list."""
+    order = Window.partitionBy("cluster").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    last = lambda kinds: F.max(F.when(F.col("action").isin(*kinds), F.col("at"))).over(order)
+    x = events.withColumns({"_init": last(["init"]), "_done": last(["init_done"])})
+    open_ = F.col("_init").isNotNull() & (F.col("_done").isNull() | (F.col("_init") > F.col("_done")))
+    x = x.withColumn("_again", F.count("*").over(Window.partitionBy("cluster", "_init", "action", "pod").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)) > 0)
+    single = F.col("action").isin("apply", "delete")
+    problem = (
+        F.when(F.col("action").isin("init_apply", "init_done") & ~open_, "no list is open").when((F.col("action") == "init_apply") & F.col("_again"), "pod twice in a list")
+        .when(single & F.col("_done").isNull(), "before the first list").when(single & open_, "during a list")
+    )
+    return x.select("cluster", "at", problem.alias("problem")).where("problem IS NOT NULL")

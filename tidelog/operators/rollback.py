@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -98,3 +98,26 @@ def next_rollback(tries: int, requested: int, rollback: int) -> None:
         raise StreamError("rollback does not go back")
 
 
+
+
+def chain_problems(answers: DataFrame) -> DataFrame:
+    """answers (shard, at, requested, rollback) with `tries` (1 for the first of a shard) and `problem`, as next_rollback() has it."""
+    x = answers.withColumn("tries", F.row_number().over(Window.partitionBy("shard").orderBy("at")))
+    return x.withColumn("problem", F.when(F.col("tries") > ROLLBACK_TRIES, "too many").when(F.col("rollback") >= F.col("requested"), "does not go back"))
+
+
+def invalid_requests(requests: DataFrame) -> DataFrame:
+    """shard, problem: stream requests (shard, seqno, snap_start, snap_end, end_seqno) that cannot be opened; no request at all is a row without a shard."""
+    own = requests.select("shard", F.coalesce(invariant_broken(), F.when(F.col("seqno") > F.col("end_seqno"), "start after stream end")).alias("problem")).where("problem IS NOT NULL")
+    twice = requests.groupBy("shard").count().where("count > 1").select("shard", F.lit("requested twice").alias("problem"))
+    none = requests.agg(F.count("*").alias("n")).where("n = 0").select(F.lit(None).cast("int").alias("shard"), F.lit("no request").alias("problem"))
+    return own.union(twice).union(none)
+
+
+def open_report(starts: DataFrame, failover: DataFrame) -> DataFrame:
+    """shard, branch, start_seqno, end_seqno, requested, rolled_back_to: the streams as opened, each with the rewind it needed (null if none)."""
+    needed = starts.where("rollback_to IS NOT NULL").select("shard", F.col("rollback_to").alias("rollback_seqno"))
+    back = rewind(needed, failover).select("shard", F.col("branch").alias("_branch"), F.col("seqno").alias("_at"))
+    x = starts.join(F.broadcast(back), "shard", "left")  # at most 65536
+    moved = F.col("_at").isNotNull()
+    return x.select("shard", F.coalesce("_branch", "branch").alias("branch"), F.coalesce("_at", "start_seqno").alias("start_seqno"), "end_seqno", F.when(moved, F.col("start_seqno")).alias("requested"), F.col("_at").alias("rolled_back_to"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAP = "rev bigint, revEpoch bigint, name string, uuid string, nodesExt array<struct<hostname:string,nodeUUID:string,services:map<string,int>>>, vBucketServerMap struct<hashAlgorithm:string,numReplicas:int,serverList:array<string>,vBucketMap:array<array<int>>>"
+from tidelog.functions.columns import is_newer_revision
+
+MAP = "rev bigint, revEpoch bigint, name string, uuid string, nodeLocator string, nodesExt array<struct<hostname:string,nodeUUID:string,services:map<string,int>>>, vBucketServerMap struct<hashAlgorithm:string,numReplicas:int,serverList:array<string>,vBucketMap:array<array<int>>>"
 
 
 def parse_routes(docs: DataFrame) -> DataFrame:
@@ -19,7 +21,7 @@ def parse_routes(docs: DataFrame) -> DataFrame:
     name = lambda i: F.when(i >= 0, F.get(F.col("servers"), i))
     return x.select(
         "rev", "epoch", "bucket", "bucket_uuid", "shard", name(F.element_at("row", 1)).alias("active"),
-        F.filter(F.transform(F.slice("row", 2, 64), name), lambda s: s.isNotNull()).alias("replicas"), problem.alias("problem"),
+        F.filter(F.transform(F.slice("row", 2, F.size("row")), name), lambda s: s.isNotNull()).alias("replicas"), problem.alias("problem"),
     )
 
 
@@ -41,3 +43,33 @@ def node_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     j = old.select("node", F.col("address").alias("was"), F.lit(True).alias("_o")).join(new.select("node", F.col("address").alias("now"), F.lit(True).alias("_n")), "node", "full_outer")
     change = F.when(F.col("_o").isNull(), "added").when(F.col("_n").isNull(), "removed").when(~F.col("was").eqNullSafe(F.col("now")), "reconnect")
     return j.select("node", change.alias("change")).where("change IS NOT NULL")
+
+
+def document_problems(docs: DataFrame) -> DataFrame:
+    """docs (json and other columns) with rev, epoch, bucket and problem: what makes a document unusable before its map is read."""
+    m = F.col("_m")
+    x = docs.withColumn("_m", F.from_json("json", MAP))
+    problem = (
+        F.when(m.isNull() | m["rev"].isNull() & m["name"].isNull(), "no document").when((m["rev"] < 0) | (F.coalesce(m["revEpoch"], F.lit(0)) < 0), "negative revision")
+        .when(F.trim(F.coalesce(m["name"], F.lit(""))) == "", "no bucket name").when(F.coalesce(m["nodeLocator"], F.lit("")) != "vbucket", "node locator")
+        .when(F.coalesce(m["vBucketServerMap"]["hashAlgorithm"], F.lit("")) != "CRC", "hash algorithm")
+    )
+    return x.withColumns({"rev": m["rev"], "epoch": m["revEpoch"], "bucket": m["name"], "problem": problem}).drop("_m")
+
+
+def apply_revisions(current: DataFrame, candidate: DataFrame, generation: int) -> DataFrame:
+    """bucket, generation, shard, was, now, change: what a newer revision of a bucket's routes changes; an older or equal one changes nothing.
+
+    Both as parse_routes() gives them. A bucket whose uuid differs has one row with
+    the change `bucket uuid changed`. A row per shard and bucket on either side.
+    """
+    head = lambda x, k: x.groupBy("bucket").agg(*[F.max(c).alias(f"{k}_{c}") for c in ("rev", "epoch", "bucket_uuid")])
+    both = head(current, "old").join(head(candidate, "new"), "bucket")
+    newer = is_newer_revision(F.col("new_epoch"), F.col("new_rev"), F.col("old_epoch"), F.col("old_rev"))
+    both = both.select("bucket", newer.alias("newer"), F.coalesce(F.col("old_bucket_uuid") != F.col("new_bucket_uuid"), F.lit(False)).alias("other"))
+    side = lambda x, name: x.join(F.broadcast(both.where("newer AND NOT other").select("bucket")), "bucket").select("bucket", "shard", F.col("active").alias(name), F.lit(True).alias(f"_{name}"))
+    j = side(current, "was").join(side(candidate, "now"), ["bucket", "shard"], "full_outer")
+    change = F.when(F.col("_was").isNull(), "added").when(F.col("_now").isNull(), "removed").when(~F.col("was").eqNullSafe(F.col("now")), "rerouted")
+    out = j.select("bucket", F.lit(generation + 1).cast("bigint").alias("generation"), "shard", "was", "now", change.alias("change")).where("change IS NOT NULL")
+    none = F.lit(None)
+    return out.union(both.where("other").select("bucket", none.cast("bigint"), none.cast("int"), none.cast("string"), none.cast("string"), F.lit("bucket uuid changed")))
