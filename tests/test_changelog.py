@@ -178,6 +178,22 @@ def test_stores(tmp_path):
     assert checkpoints.ReadOnlyStore(keyed).clear([7]) is None and keyed.documents
 
 
+def test_shared_store_and_attributes(spark, tmp_path):
+    c = {"bucket_uuid": "u", "shard": 7, "branch": 4, "seqno": 10, "snap_start": 9, "snap_end": 10, "manifest_uid": None}
+    store = checkpoints.SharedFileStore(spark, f"file://{tmp_path}/shared/c.json")
+    assert store.load("u", [7]) == {}
+    store.save([c])
+    store.save([{**c, "seqno": 9}, {**c, "shard": 8}])
+    assert store.load("u", [7, 8]) == {7: {**c, "seqno": 9}, 8: {**c, "shard": 8}}
+    assert checkpoints.FileStore(f"{tmp_path}/shared/c.json").load("u", [7])[7]["seqno"] == 9
+    store.clear([7, 8])
+    assert store.load("u", [7]) == {} and not (tmp_path / "shared/c.json").exists()
+    keyed = checkpoints.KeyedStore({"_connector:cbgo:g:checkpoint:7": '{"own": 1}'}, "g", attribute=True)
+    assert keyed.load("u", [7]) == {}
+    keyed.save([c])
+    assert keyed.load("u", [7]) == {7: c} and json.loads(keyed.documents["_connector:cbgo:g:checkpoint:7"])["own"] == 1
+
+
 def test_configuration():
     Config("b")
     for bad in (lambda: Config(""), lambda: FlowControl(ack_ratio=0), lambda: FlowControl(noop_s=30, dead_s=30), lambda: Mitigation(stall_s=5), lambda: Selection("a b"), lambda: Selection("a", ("x", "x")), lambda: Config("b", mode="x")):

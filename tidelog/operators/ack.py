@@ -63,13 +63,17 @@ def rebase(processed: DataFrame, effective: DataFrame) -> tuple[DataFrame, DataF
 
 
 def latest_by_key(log: DataFrame, key: str = "key") -> DataFrame:
-    """Compaction: the last document event of each key, deletions left out; ties by shard and seqno. One partial aggregation."""
-    cols = [c for c in log.columns if c != key]
-    newest = F.max_by(F.struct(*cols), F.struct("rev_seqno", "cas", "shard", "seqno"))
-    return log.groupBy(key).agg(newest.alias("r")).select(key, "r.*").where("kind = 'mutation'")
+    """Compaction: the last document event of each key, deletions left out; ties by shard and seqno.
+
+    The newest event of a key is found on narrow columns, with a partial aggregation;
+    whole rows are only taken where they are it. (shard, seqno) tells events apart.
+    """
+    newest = F.max_by(F.struct("shard", "seqno", "kind"), F.struct("rev_seqno", "cas", "shard", "seqno"))
+    last = log.groupBy(key).agg(newest.alias("r")).where("r.kind = 'mutation'").select(F.col("r.shard").alias("shard"), F.col("r.seqno").alias("seqno"))
+    return log.join(last, ["shard", "seqno"], "left_semi").select(key, *[c for c in log.columns if c != key])
 
 
 def drop_replays(log: DataFrame) -> DataFrame:
-    """At-least-once delivery made once: the first arrival of each (shard, branch, seqno)."""
-    cols = [c for c in log.columns if c not in ("shard", "branch", "seqno")]
-    return log.groupBy("shard", "branch", "seqno").agg(F.min_by(F.struct(*cols), "arrival").alias("r")).select("shard", "branch", "seqno", "r.*")
+    """At-least-once delivery made once: the first arrival of each (shard, branch, seqno), found on these columns alone."""
+    first = log.groupBy("shard", "branch", "seqno").agg(F.min("arrival").alias("arrival"))
+    return log.join(first, ["shard", "branch", "seqno", "arrival"], "left_semi").select("shard", "branch", "seqno", *[c for c in log.columns if c not in ("shard", "branch", "seqno")])

@@ -146,12 +146,12 @@ def _failover(log):
 FAILOVER_SQL = "AND f AS (SELECT shard, p::INT AS pos, (shard * 100 + p)::BIGINT AS branch, (high * (5 - p) // 6)::BIGINT AS seqno FROM (SELECT shard, max(seqno) AS high FROM log GROUP BY shard), range(6) r(p))"
 
 
-@query(FAILOVER_SQL + """, r AS (SELECT DISTINCT shard, seqno AS rollback_seqno FROM log WHERE event_id % 50 = 7)
+@query(FAILOVER_SQL + """, r AS (SELECT DISTINCT shard, seqno AS rollback_seqno FROM log)
 SELECT shard, rollback_seqno, branch, bs AS branch_seqno, CASE WHEN branch IS NOT NULL THEN rollback_seqno END AS seqno FROM (
   SELECT r.shard, r.rollback_seqno, f.branch, f.seqno AS bs, row_number() OVER (PARTITION BY r.shard, r.rollback_seqno ORDER BY f.pos) AS k FROM r LEFT JOIN f ON f.shard = r.shard AND f.seqno <= r.rollback_seqno) WHERE k = 1""")
 def e7_failover_branch(spark, sf_dir):
     log = _log(spark, sf_dir)
-    r = log.where("event_id % 50 = 7").select("shard", F.col("seqno").alias("rollback_seqno")).distinct()
+    r = log.select("shard", F.col("seqno").alias("rollback_seqno")).distinct()
     return rollback.rewind(r, _failover(log)).select("shard", "rollback_seqno", "branch", "branch_seqno", "seqno")
 
 

@@ -7,7 +7,7 @@ import os
 import tempfile
 from abc import ABC, abstractmethod
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.errors import CheckpointStoreError
@@ -133,17 +133,65 @@ class FileStore(CheckpointStore):
         self._write({k: v for k, v in entries.items() if k not in set(shards)})
 
 
+class SharedFileStore(FileStore):
+    """The same file anywhere that Spark can reach (a cluster's shared folder or an object store), through its file systems.
+
+    A new file is written beside the old one and renamed over it, so a driver that is
+    lost leaves a whole file.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        super().__init__(path)
+        self._jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self._at = self._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._at.getFileSystem(conf)
+
+    def _read(self) -> dict:
+        if not self._fs.exists(self._at):
+            return {}
+        stream = self._fs.open(self._at)
+        try:
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return {int(k): v for k, v in json.loads(text).items()}
+        except (ValueError, AttributeError) as e:
+            raise CheckpointStoreError(f"malformed checkpoint file: {e}") from e
+
+    def _write(self, entries: dict) -> None:
+        if not entries:
+            self._fs.delete(self._at, False)
+            return
+        beside = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}.new")
+        stream = self._fs.create(beside, True)
+        try:
+            stream.write(bytearray(json.dumps({str(k): entries[k] for k in sorted(entries)}).encode()))
+        finally:
+            stream.close()
+        self._fs.delete(self._at, False)
+        if not self._fs.rename(beside, self._at):
+            raise CheckpointStoreError(f"{self.path} could not be replaced")
+
+
 class KeyedStore(CheckpointStore):
-    """Checkpoints in any mapping by document key; all failures of a batch are reported together."""
+    """Checkpoints in any mapping by document key; all failures of a batch are reported together.
+
+    With attribute, the checkpoint is an attribute of its document, whose other
+    content stays as it is.
+    """
 
-    def __init__(self, documents: dict, group: str):
-        self.documents, self.group = documents, group
+    def __init__(self, documents: dict, group: str, attribute: bool = False):
+        self.documents, self.group, self.attribute = documents, group, attribute
 
     def key(self, shard: int) -> str:
         return KEY_FORMAT.format(group=self.group, shard=shard)
 
     def load(self, bucket_uuid, shards):
-        found = {s: from_document(s, json.loads(self.documents[self.key(s)])) for s in shards if self.key(s) in self.documents}
+        there = {s: json.loads(self.documents[self.key(s)]) for s in shards if self.key(s) in self.documents}
+        if self.attribute:
+            there = {s: d[ATTRIBUTE] for s, d in there.items() if ATTRIBUTE in d}
+        found = {s: from_document(s, d) for s, d in there.items()}
         if any(c["bucket_uuid"] != bucket_uuid for c in found.values()):
             raise CheckpointStoreError("checkpoints of another bucket")
         return found
@@ -153,7 +201,10 @@ class KeyedStore(CheckpointStore):
         failed = []
         for c in checkpoints:
             try:
-                self.documents[self.key(c["shard"])] = json.dumps(to_document(c))
+                key, own = self.key(c["shard"]), to_document(c)
+                if self.attribute:
+                    own = json.loads(self.documents.get(key, "{}")) | {ATTRIBUTE: own}
+                self.documents[key] = json.dumps(own)
             except Exception as e:  # noqa: BLE001 - gathered and raised below
                 failed.append((c["shard"], e))
         if failed:
