@@ -33,8 +33,8 @@ DELETED = 10
 ALPHA = 0.1
 #: Context-frequency buckets: by the power of two of c(v), up to this one.
 BUCKETS = 24
-#: Logarithmic bins per octave, and bins, in which the weights' learning counts probabilities.
-PER_OCTAVE, BINS = 2, 96
+#: Logarithmic bins per octave, and bins, in which the weights' learning counts probabilities: each is off by 2.2 percent at most (half a sixteenth of an octave).
+PER_OCTAVE, BINS = 16, 1024
 _END = np.uint64(0x5851F42D4C957F2D)
 _START = np.uint64(0x14057B7EF767814F)
 
@@ -238,7 +238,7 @@ def score(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     told = told.where("part >= 0")
     chosen = F.col("part") % 2 == 1
     tally = docs.where(chosen).groupBy("part").cogroup(told.where(chosen).groupBy("part")).applyInPandas(_tally(n_kept), "bucket long, p2 long, p1 long, n long")
-    tally = tally.groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS x BINS x BINS rows at most
+    tally = tally.groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS x BINS x BINS rows at most, of three numbers; far fewer occur, as counts are small integers
     weights = learn_weights(tally, 1 / (v_kept + 1))
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     scored = docs.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(_scorer(v, n_all, weights), schema)
