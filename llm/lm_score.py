@@ -1,15 +1,20 @@
 """Language-model scores by deleted interpolation of word n-grams.
 
-Documents are read in parts, runs of rows of one file. Each part counts its
-distinct words and word pairs; counts meet by key range, and a part is told the
-counts of its keys, in their order. Then the documents meet what their part was
-told. So no n-gram table is broadcast or joined row by row:
-what crosses the network are blocks of distinct 64-bit keys, and the texts once.
-
-P(w | v) = a c(v,w)/c(v) + b c(w)/N + d /(V+1), with weights (a, b, d) by the
-bucket of c(v), learnt by expectation-maximisation on the pairs of one training
-document in DELETED, all of whose counts are left out while weights are learnt.
-The result does not depend on how rows are split into parts.
+Documents are read in parts, runs of rows of one file of about equal size. Each
+part counts its distinct words, pairs and triples; counts meet by key range, and a
+part is told the counts of its keys, in their order. Then the documents meet what
+their part was told. So no n-gram table is broadcast or joined row by row: what
+crosses the network are blocks of distinct keys, and the texts once.
+
+P(w | u, v) = a c(u,v,w)/c(u,v) + b c(v,w)/c(v) + d c(w)/N + e /(V+1), with weights
+(a, b, d, e) by the bucket of c(u,v), or of c(v) where (u,v) is unseen, learnt by
+expectation-maximisation on the triples of one training document in DELETED, all of
+whose counts are left out while weights are learnt. The result does not depend on
+how rows are split into parts.
+
+Words are known by 64-bit hashes. Pairs and triples keep as many bits of theirs as
+the corpus needs (SPARE more than its bytes count), so that two share a key with a
+chance below 2^-SPARE at every size.
 """
 
 from __future__ import annotations
@@ -27,14 +32,16 @@ from llm._text import mix64, slices, word_hashes
 
 FOLDS, HELD_OUT = 10, 0
 #: Bytes of text in a part, about.
-PART_BYTES = 4 << 20
+PART_BYTES = 3 << 20
 #: One training document in so many is kept out of the counts while weights are learnt.
 DELETED = 10
 ALPHA = 0.1
 #: Context-frequency buckets: by the power of two of c(v), up to this one.
 BUCKETS = 24
-#: Logarithmic bins per octave, and bins, in which the weights' learning counts probabilities: each is off by 2.2 percent at most (half a sixteenth of an octave).
-PER_OCTAVE, BINS = 16, 1024
+#: Logarithmic bins per octave, and bins, in which the weights' learning counts probabilities: each is off by 9 percent at most (half a quarter of an octave).
+PER_OCTAVE, BINS = 4, 256
+#: Spare bits in the keys of pairs and triples.
+SPARE = 20
 _END = np.uint64(0x5851F42D4C957F2D)
 _START = np.uint64(0x14057B7EF767814F)
 
@@ -50,16 +57,29 @@ def tokens(texts) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds + np.arange(n + 1)
 
 
-def with_context(toks: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each token (a start mark for the first), and the key of the pair."""
+def with_context(toks: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word before each token (a start mark for the first), the hash of the pair, and that of the triple for all tokens but the first of a text."""
     before = np.empty_like(toks)
     before[1:] = toks[:-1]
     before[bounds[:-1]] = _START
-    return before, mix64(mix64(before) * np.uint64(3) + toks) | np.uint64(1)
+    pairs = mix64(mix64(before) * np.uint64(3) + toks)
+    later = np.ones(len(toks), bool)
+    later[bounds[:-1]] = False
+    later = np.flatnonzero(later)
+    return before, pairs, mix64(pairs[later - 1] * np.uint64(5) + toks[later])
+
+
+def shift_of(size: int) -> int:
+    """How many low bits the keys of pairs and triples go without, for a corpus of so many bytes."""
+    return 64 - min(63, max(40, (size + 1).bit_length() + SPARE))
 
 
 def _unigram_key(words: np.ndarray) -> np.ndarray:
-    return mix64(words) & ~np.uint64(1)  # pairs have the lowest bit set
+    return mix64(words) & ~np.uint64(1)  # pairs and triples have the lowest bit set
+
+
+def _longer_key(hashes: np.ndarray, shift: int) -> np.ndarray:
+    return (hashes >> np.uint64(shift)) << np.uint64(shift) | np.uint64(1)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -71,48 +91,68 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view(">u8").reshape(-1).astype(np.uint64)
 
 
-def dealt(documents: DataFrame, part_rows: int) -> DataFrame:
-    """doc_id, text, train, part: runs of part_rows rows of a file; odd parts hold the documents left out for the weights."""
+def pack_keys(keys: np.ndarray, shift: int) -> bytes:
+    """Sorted keys: the words' first, then the longer ones' without their empty bits, each as differences."""
+    longer = (keys & np.uint64(1)) == 1
+    words = keys[~longer]
+    return pack(np.concatenate(([np.uint64(len(words))], np.diff(words, prepend=np.uint64(0)), np.diff(keys[longer] >> np.uint64(shift), prepend=np.uint64(0)))))
+
+
+def unpack_keys(packed: bytes, shift: int) -> np.ndarray:
+    x = unpack(packed)
+    n = int(x[0])
+    words, longer = np.cumsum(x[1 : n + 1], dtype=np.uint64), np.cumsum(x[n + 1 :], dtype=np.uint64)
+    return np.sort(np.concatenate((words, longer << np.uint64(shift) | np.uint64(1))))
+
+
+def dealt(documents: DataFrame, part_rows: int, mean_bytes: float) -> DataFrame:
+    """doc_id, text, train, part: runs of part_rows rows of a file; odd parts hold the documents left out for the weights.
+
+    Texts far above the mean are dealt by their size class in runs of fewer rows, so a
+    run of long texts makes no large part.
+    """
     train = in_fold("doc_id", FOLDS) != HELD_OUT
-    run = F.xxhash64(F.regexp_extract("_metadata.file_path", "[^/]*$", 0), F.floor(F.col("_metadata.row_index") / part_rows))
+    size_class = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.octet_length(F.coalesce("text", F.lit(""))), F.lit(1)) / F.lit(4.0 * max(mean_bytes, 1.0)))))
+    rows = F.when(size_class == 0, F.lit(part_rows)).otherwise(F.greatest(F.lit(1), F.floor(F.lit(part_rows) / F.pow(F.lit(2), size_class + 2))))
+    run = F.xxhash64(F.regexp_extract("_metadata.file_path", "[^/]*$", 0), size_class, F.floor(F.col("_metadata.row_index") / rows))
     left_out = train & (F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(DELETED)) == 0)
     part = F.pmod(run, F.lit(1 << 30)) * 2 + left_out.cast("int")
     return documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), train.alias("train"), part.cast("int").alias("part"))
 
 
-def _counted(texts, train: np.ndarray):
-    """keys (sorted, distinct), n (how often training texts have them), index (of word, pair and first-context keys), bounds by text.
+def _counted(texts, train: np.ndarray, shift: int):
+    """keys (sorted, distinct), n (how often training texts have them), index (of the keys of words, pairs, triples and first contexts), bounds by text.
 
     The start mark before each text counts as a word that is no token.
     """
     toks, bounds = tokens(texts)
-    before, pairs = with_context(toks, bounds)
+    before, pairs, triples = with_context(toks, bounds)
     first = bounds[:-1]
-    keys, index = np.unique(np.concatenate((_unigram_key(toks), pairs, _unigram_key(before[first]))), return_inverse=True)
+    keys, index = np.unique(np.concatenate((_unigram_key(toks), _longer_key(pairs, shift), _longer_key(triples, shift), _unigram_key(before[first]))), return_inverse=True)
     of = np.repeat(train, np.diff(bounds))
-    n = np.bincount(index, np.concatenate((of, of, train)), len(keys)).astype(np.int64)
+    n = np.bincount(index, np.concatenate((of, of, np.delete(of, first), train)), len(keys)).astype(np.int64)
     return keys, n, index, bounds
 
 
-def _counter(ranges: int):
+def _counter(ranges: int, shift: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in slices(batches, 12 << 20):
-            rows = []
+        for b in slices(batches, 6 << 20):
             for part, own in b.groupby("part", sort=False):
-                keys, n, _, _ = _counted(own["text"], own["train"].to_numpy(bool))
+                rows = []
+                keys, n, _, _ = _counted(own["text"], own["train"].to_numpy(bool), shift)
                 of = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
                 cut = np.searchsorted(of, np.arange(ranges + 1, dtype=np.uint64))
                 for r in np.flatnonzero(np.diff(cut)):
                     at = slice(cut[r], cut[r + 1])
-                    rows.append((int(r), int(part), pack(np.diff(keys[at], prepend=np.uint64(0))), pack(n[at])))
-            yield pd.DataFrame(rows, columns=["range", "part", "keys", "n"])
+                    rows.append((int(r), int(part), pack_keys(keys[at], shift), pack(n[at])))
+                yield pd.DataFrame(rows, columns=["range", "part", "keys", "n"])
 
     return run
 
 
-def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
+def _meet(pdf: pd.DataFrame, shift: int) -> pd.DataFrame:
     """Adds up one key range. Each part is told the counts of its keys, in their order; part -1 gets the totals."""
-    blocks = [np.cumsum(unpack(k), dtype=np.uint64) for k in pdf["keys"]]
+    blocks = [unpack_keys(k, shift) for k in pdf["keys"]]
     keys = np.concatenate(blocks)
     part = np.repeat(pdf["part"].to_numpy(np.int64), [len(k) for k in blocks])
     n = np.concatenate([unpack(x) for x in pdf["n"]]).astype(np.int64)
@@ -146,17 +186,19 @@ def _totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([unpack(x).astype(np.int64) for x in b["total"]], columns=["v", "n", "v_kept", "n_kept"])
 
 
-def _looked_up(docs: pd.DataFrame, told: pd.DataFrame, column: str):
-    """c(w), c(v,w), c(v) per token, and the bounds by text."""
-    keys, _, index, bounds = _counted(docs["text"], docs["train"].to_numpy(bool))
+def _looked_up(docs: pd.DataFrame, told: pd.DataFrame, column: str, shift: int):
+    """c(w), c(v,w), c(u,v,w), c(v), c(u,v) per token, and the bounds by text. Before a text stand two start marks."""
+    keys, _, index, bounds = _counted(docs["text"], docs["train"].to_numpy(bool), shift)
     n = np.concatenate([unpack(x) for x in told.sort_values("range")[column]]).astype(np.int64)
     assert len(n) == len(keys), "a part's rows changed between the passes"
-    size = bounds[-1]
+    size, first = bounds[-1], bounds[:-1]
     c1, c2 = n[index[:size]], n[index[size : 2 * size]]
-    cv = np.empty_like(c1)
-    cv[1:] = c1[:-1]
-    cv[bounds[:-1]] = n[index[2 * size :]]
-    return c1, c2, cv, bounds
+    start = n[index[3 * size - len(first) :]]
+    c3, cv, cuv = c2.copy(), np.empty_like(c1), np.empty_like(c1)
+    c3[np.delete(np.arange(size), first)] = n[index[2 * size : 3 * size - len(first)]]
+    cv[1:], cuv[1:] = c1[:-1], c2[:-1]
+    cv[first], cuv[first] = start, start
+    return c1, c2, c3, cv, cuv, bounds
 
 
 def bucket(context: np.ndarray) -> np.ndarray:
@@ -164,46 +206,51 @@ def bucket(context: np.ndarray) -> np.ndarray:
     return np.where(context > 0, np.minimum(np.log2(np.maximum(context, 1)).astype(int) + 1, BUCKETS - 1), 0)
 
 
+def context(cuv: np.ndarray, cv: np.ndarray) -> np.ndarray:
+    """The weights' row: by the pair before where it is known, else by the word before."""
+    return np.where(cuv > 0, BUCKETS + bucket(cuv), bucket(cv))
+
+
 def _bins(p: np.ndarray) -> np.ndarray:
     octaves = -np.log2(np.where(p > 0, p, 1.0))
     return np.where(p > 0, np.minimum((octaves * PER_OCTAVE).astype(int), BINS - 2) + 1, 0)
 
 
-def _tally(n_kept: int):
+def _tally(n_kept: int, shift: int):
     def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"bucket": [], "p2": [], "p1": [], "n": []}).astype("int64")
         if docs.empty:
-            return out
-        c1, c2, cv, _ = _looked_up(docs, told, "kept")
-        p2, p1 = _bins(c2 / np.maximum(cv, 1)), _bins(c1 / max(n_kept, 1))
-        code, n = np.unique((bucket(cv) * BINS + p2) * BINS + p1, return_counts=True)
-        return pd.DataFrame({"bucket": code // (BINS * BINS), "p2": code // BINS % BINS, "p1": code % BINS, "n": n})
+            return pd.DataFrame({"bucket": [], "p3": [], "p2": [], "p1": [], "n": []}).astype("int64")
+        c1, c2, c3, cv, cuv, _ = _looked_up(docs, told, "kept", shift)
+        p3, p2, p1 = _bins(c3 / np.maximum(cuv, 1)), _bins(c2 / np.maximum(cv, 1)), _bins(c1 / max(n_kept, 1))
+        code, n = np.unique(((context(cuv, cv) * BINS + p3) * BINS + p2) * BINS + p1, return_counts=True)
+        return pd.DataFrame({"bucket": code // BINS**3, "p3": code // BINS**2 % BINS, "p2": code // BINS % BINS, "p1": code % BINS, "n": n})
 
     return run
 
 
 def learn_weights(tally: pd.DataFrame, uniform: float, rounds: int = 60) -> np.ndarray:
-    """Weights of pair, word and uniform probability by bucket, by expectation-maximisation; buckets without counts back off to words."""
-    weights = np.tile([0.0, 0.8, 0.2], (BUCKETS, 1))
+    """Weights of triple, pair, word and uniform probability by context, by expectation-maximisation; contexts without counts back off to words."""
+    weights = np.tile([0.0, 0.0, 0.8, 0.2], (2 * BUCKETS, 1))
     value = np.concatenate(([0.0], 2.0 ** (-(np.arange(BINS - 1) + 0.5) / PER_OCTAVE)))
     for b, own in tally.groupby("bucket"):
-        p = np.stack([value[own["p2"]], value[own["p1"]], np.full(len(own), uniform)], 1)
+        p = np.stack([value[own["p3"]], value[own["p2"]], value[own["p1"]], np.full(len(own), uniform)], 1)
         n = own["n"].to_numpy(float)[:, None]
-        w = np.full(3, 1 / 3)
+        w = np.full(4, 1 / 4)
         for _ in range(rounds):
             mixed = p * w
             w = (n * mixed / mixed.sum(1, keepdims=True)).sum(0) / n.sum()
-        weights[int(b)] = np.maximum(w, [0, 0, 1e-6]) / np.maximum(w, [0, 0, 1e-6]).sum()
+        w = np.maximum(w, [0, 0, 0, 1e-6])
+        weights[int(b)] = w / w.sum()
     return weights
 
 
-def _scorer(v: int, n_all: int, weights: np.ndarray):
+def _scorer(v: int, n_all: int, weights: np.ndarray, shift: int):
     def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         if docs.empty:
             return pd.DataFrame()
-        c1, c2, cv, bounds = _looked_up(docs, told, "total")
-        w = weights[bucket(cv)]
-        p = w[:, 0] * c2 / np.maximum(cv, 1) + w[:, 1] * c1 / max(n_all, 1) + w[:, 2] / (v + 1)
+        c1, c2, c3, cv, cuv, bounds = _looked_up(docs, told, "total", shift)
+        w = weights[context(cuv, cv)]
+        p = w[:, 0] * c3 / np.maximum(cuv, 1) + w[:, 1] * c2 / np.maximum(cv, 1) + w[:, 2] * c1 / max(n_all, 1) + w[:, 3] / (v + 1)
         base = np.log10((c1 + ALPHA) / (n_all + ALPHA * (v + 1)))
         at = bounds[:-1]
         return pd.DataFrame({
@@ -228,18 +275,18 @@ def score(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     except AnalysisException:  # not read from files: written once, so that rows have a place
         documents = materialise(documents.select("doc_id", "text"), "lm-documents")
     rows, size = documents.select(F.count("*"), F.sum(F.octet_length("text"))).first()
-    ranges = max(1, -(-(size or 0) // part_bytes))
-    docs = dealt(documents, max(1, rows // ranges))
-    blocks = docs.mapInPandas(_counter(ranges), "range int, part int, keys binary, n binary")
-    told = blocks.groupBy("range").applyInPandas(_meet, "part int, range int, total binary, kept binary")
+    ranges, shift = max(1, -(-(size or 0) // part_bytes)), shift_of(size or 0)
+    docs = dealt(documents, max(1, rows // ranges), (size or 0) / max(rows, 1))
+    blocks = docs.mapInPandas(_counter(ranges, shift), "range int, part int, keys binary, n binary")
+    told = blocks.groupBy("range").applyInPandas(lambda pdf: _meet(pdf, shift), "part int, range int, total binary, kept binary")
     told = materialise(told, "lm-told")
     sums = told.where("part = -1").mapInPandas(_totals, "v long, n long, v_kept long, n_kept long")
     v, n_all, v_kept, n_kept = (int(x or 0) for x in sums.agg(*[F.sum(c) for c in sums.columns]).first())
     told = told.where("part >= 0")
     chosen = F.col("part") % 2 == 1
-    tally = docs.where(chosen).groupBy("part").cogroup(told.where(chosen).groupBy("part")).applyInPandas(_tally(n_kept), "bucket long, p2 long, p1 long, n long")
-    tally = tally.groupBy("bucket", "p2", "p1").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS x BINS x BINS rows at most, of three numbers; far fewer occur, as counts are small integers
+    tally = docs.where(chosen).groupBy("part").cogroup(told.where(chosen).groupBy("part")).applyInPandas(_tally(n_kept, shift), "bucket long, p3 long, p2 long, p1 long, n long")
+    tally = tally.groupBy("bucket", "p3", "p2", "p1").agg(F.sum("n").alias("n")).toPandas()  # a constant number of bins bounds it; far fewer occur
     weights = learn_weights(tally, 1 / (v_kept + 1))
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scored = docs.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(_scorer(v, n_all, weights), schema)
+    scored = docs.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(_scorer(v, n_all, weights, shift), schema)
     return scored.withColumn("doc_id", F.col("doc_id").cast(dict(documents.dtypes)["doc_id"]))

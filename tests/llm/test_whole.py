@@ -72,39 +72,50 @@ def test_pipeline_by_brute_force(spark):
 
 
 def test_lm_score_by_brute_force(spark, monkeypatch):
-    """The interpolated score of every text, with weights that differ by bucket."""
+    """The interpolated score of every text, with weights that differ by context."""
     rng = np.random.default_rng(3)
-    weights = rng.dirichlet(np.ones(3), lm_score.BUCKETS)
+    weights = rng.dirichlet(np.ones(4), 2 * lm_score.BUCKETS)
     monkeypatch.setattr(lm_score, "learn_weights", lambda tally, uniform: weights)
     texts = corpus(120)
-    c1, c2, ctx = Counter(), Counter(), Counter()
+    c1, c2, c3, ctx = Counter(), Counter(), Counter(), Counter()
     held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
     for t, h in zip(texts, held):
         if not h:
-            w = ["<s>", *words(t), "</s>"]
-            c1.update(w[1:])
-            ctx.update(w)
+            w = ["<s>", "<s>", *words(t), "</s>"]
+            c1.update(w[2:])
+            ctx.update(w[1:])
             c2.update(zip(w, w[1:]))
+            c3.update(zip(w, w[1:], w[2:]))
     n, v = sum(c1.values()), len(c1)
     got = {r.doc_id: r.score for r in lm_score.score(docs(spark, texts), part_bytes=2000).collect()}
+    row = lambda c: min(int(math.log2(c)) + 1, lm_score.BUCKETS - 1) if c else 0
     for i, t in enumerate(texts):
-        w, want = ["<s>", *words(t), "</s>"], 0.0
-        for a, b in zip(w, w[1:]):
-            k = min(int(math.log2(ctx[a])) + 1, lm_score.BUCKETS - 1) if ctx[a] else 0
-            want += math.log10(weights[k] @ [c2[a, b] / max(ctx[a], 1), c1[b] / n, 1 / (v + 1)])
+        w, want = ["<s>", "<s>", *words(t), "</s>"], 0.0
+        for u, a, b in zip(w, w[1:], w[2:]):
+            k = lm_score.BUCKETS + row(c2[u, a]) if c2[u, a] else row(ctx[a])
+            want += math.log10(weights[k] @ [c3[u, a, b] / max(c2[u, a], 1), c2[a, b] / max(ctx[a], 1), c1[b] / n, 1 / (v + 1)])
         assert got[i] == pytest.approx(want, rel=1e-9), i
 
 
 def test_weights_by_plain_expectation_maximisation():
     rng = np.random.default_rng(4)
-    p2, p1, uniform = rng.choice([0, 1, 0.5, 0.25, 1 / 3, 0.01], 4000), rng.uniform(1e-6, 0.05, 4000), 1e-5
-    w = np.full(3, 1 / 3)
+    p3, p2 = rng.choice([0, 1, 0.5, 0.01], 4000), rng.choice([0, 1, 0.5, 0.25, 1 / 3, 0.01], 4000)
+    p1, uniform = rng.uniform(1e-6, 0.05, 4000), 1e-5
+    w = np.full(4, 1 / 4)
     for _ in range(60):
-        m = np.stack([p2, p1, np.full(4000, uniform)], 1) * w
+        m = np.stack([p3, p2, p1, np.full(4000, uniform)], 1) * w
         w = (m / m.sum(1, keepdims=True)).mean(0)
-    code, n = np.unique(np.stack([lm_score._bins(p2), lm_score._bins(p1)]), axis=1, return_counts=True)
-    got = lm_score.learn_weights(pd.DataFrame({"bucket": 3, "p2": code[0], "p1": code[1], "n": n}), uniform)
-    assert np.abs(got[3] - w).max() < 0.01 and np.allclose(got.sum(1), 1)
+    code, n = np.unique(np.stack([lm_score._bins(p) for p in (p3, p2, p1)]), axis=1, return_counts=True)
+    got = lm_score.learn_weights(pd.DataFrame({"bucket": 30, "p3": code[0], "p2": code[1], "p1": code[2], "n": n}), uniform)
+    assert np.abs(got[30] - w).max() < 0.03 and np.allclose(got.sum(1), 1)
+
+
+def test_packed_keys():
+    rng = np.random.default_rng(5)
+    for shift in (1, 7, 24):
+        keys = np.unique(np.concatenate((lm_score._unigram_key(rng.integers(0, 2**63, 50).astype(np.uint64)), lm_score._longer_key(rng.integers(0, 2**63, 80).astype(np.uint64) * np.uint64(2), shift))))
+        assert (lm_score.unpack_keys(lm_score.pack_keys(keys, shift), shift) == keys).all()
+    assert [lm_score.shift_of(n) for n in (0, 1 << 30, 1 << 60)] == [24, 13, 1]
 
 
 def plain_prefixed(text):
