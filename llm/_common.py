@@ -112,13 +112,23 @@ def one_of_each(rows: DataFrame, key: dict, judged: DataFrame) -> DataFrame:
     on = F.lit(True)
     for k in names:
         on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    out = x.join(checked_broadcast(odd), on, "left_anti").select("_row.*")
-    again = odd.where("stays AND rows > 1")
-    if again.isEmpty():
+    n, total = odd.agg(F.count("*"), F.sum("rows")).first()
+    if n <= BROADCAST_ROWS:
+        hot, rest = F.broadcast(odd), odd.limit(0)
+    else:  # keys of very many rows are broadcast, so that these stay where they are
+        is_hot = F.col("rows") * HOT_KEYS > total
+        hot, rest = F.broadcast(odd.where(is_hot)), odd.where(~is_hot)
+    cold = x.join(hot, on, "left_anti")
+    out = (cold if n <= BROADCAST_ROWS else cold.join(rest, on, "left_anti")).select("_row.*")
+    twice = F.expr("stays AND rows > 1")
+    if odd.where(twice).isEmpty():
         return out
     plain = [f.name for f in rows.schema.fields if not f.dataType.simpleString().startswith(("map", "variant")) and "map<" not in f.dataType.simpleString()]
     least = F.min_by("_row", F.struct(*[F.col("_row").getField(c) for c in plain]))
-    one = x.join(checked_broadcast(again), on, "left_semi").groupBy(*names).agg(least.alias("_row"))
+    again = x.join(hot.where(twice), on, "left_semi")
+    if n > BROADCAST_ROWS:
+        again = again.union(cold.join(rest.where(twice), on, "left_semi"))
+    one = again.groupBy(*names).agg(least.alias("_row"))
     return out.unionByName(one.select("_row.*"))
 
 

@@ -63,7 +63,12 @@ def fold(log: DataFrame) -> DataFrame:
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """conv_id, n_turns, formatted, loss_spans (start, length in code points of each learnt text within formatted)."""
+    """conv_id, n_turns, formatted, loss_spans (start, length in code points of each learnt text within formatted).
+
+    messages as fold() gives them, without nulls in role and text. Messages at one
+    place go by message_id; repeated ones stand twice; an empty text is a turn with
+    nothing in it. An empty table gives no rows; other columns are ignored.
+    """
     head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     x = messages.select("conv_id", "at", "message_id", "role", head.alias("head"), escape(F.col("text")).alias("body"))
     turn = F.concat("head", "body", F.lit(END + "\n"))
@@ -97,7 +102,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the query returns per conversation, read back from the output."""
+    """What the query returns per conversation, read back from the output: a row per row of formatted, whatever its length; an empty table gives none."""
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read_back(formatted).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),

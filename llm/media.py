@@ -187,7 +187,7 @@ def _html(text: Column) -> Column:
 
 
 def articles(documents: DataFrame) -> DataFrame:
-    """Each document as HTML: its first line, a figure that refers to the whole text by digest, and the other lines."""
+    """Each document as HTML: its first line, a figure that refers to the whole text by digest, and the other lines; null counts as empty, a missing id as `-`."""
     text = F.coalesce("text", F.lit(""))
     lead = F.regexp_extract(text, r"^[^\n]*\n?", 0)
     caption = F.concat(F.lit("document "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))

@@ -133,6 +133,11 @@ def scan(documents: DataFrame, findings: DataFrame | None = None, rows: int = SA
 
 
 def per_document(documents: DataFrame) -> DataFrame:
-    """doc_id, n_candidates, n_secrets, secrets (in text order) for every row of documents with a candidate; ids repeated are one."""
+    """doc_id, n_candidates, n_secrets, secrets (in text order) for every id of documents with a candidate.
+
+    Rows that repeat an id, or have none, count as one document; secrets at the same
+    place of two such rows go by their text. Null and empty texts have no candidates, a
+    very long text has all of its own. An empty table gives no rows; other columns are ignored.
+    """
     kept = F.when(F.col("is_secret"), F.struct("i", "secret"))
     return scan(documents).groupBy("doc_id").agg(F.count("*").alias("n_candidates"), F.sum(F.col("is_secret").cast("long")).alias("n_secrets"), F.sort_array(F.collect_list(kept)).alias("s")).select("doc_id", "n_candidates", "n_secrets", F.col("s.secret").alias("secrets"))
