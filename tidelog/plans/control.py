@@ -332,3 +332,114 @@ def k9_rebase(spark, sf_dir):
     now = _log(spark, sf_dir).groupBy("shard").agg(F.max("seqno").alias("seqno"), F.max("snap_start").alias("snap_start"), F.max("snap_end").alias("snap_end"))
     after, _ = ack.rebase(now, now.where("shard % 3 = 0").withColumn("seqno", F.col("snap_start")))
     return after
+
+
+# --- starts, ends and order of a finite stream
+
+
+@query("""AND b AS (SELECT shard, max(seqno) // 2 AS stop FROM log GROUP BY shard),
+a AS (SELECT m.*, b.stop, last_value(snap_start IGNORE NULLS) OVER w AS s, last_value(snap_end IGNORE NULLS) OVER w AS e, greatest(5, coalesce(max(seqno) OVER (PARTITION BY m.shard ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS prev
+  FROM marked m JOIN b ON m.shard = b.shard WINDOW w AS (PARTITION BY m.shard ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT shard, arrival, CASE WHEN kind = 'snapshot_marker' THEN CASE WHEN e < prev THEN 'marker_behind' WHEN e > stop THEN 'marker_beyond_end' END WHEN e IS NULL THEN 'no_snapshot' WHEN seqno < s OR seqno > e OR seqno > stop THEN 'outside' WHEN seqno <= prev THEN 'non_monotonic' END AS violation FROM a""")
+def d3_finite_order(spark, sf_dir):
+    """Streams from seqno 5 to half of what each shard has."""
+    from tidelog.operators import order
+
+    log = _marked(spark, sf_dir)
+    ends = log.groupBy("shard").agg(F.floor(F.max("seqno") / 2).alias("stop"))
+    x = order.check_order(log.join(F.broadcast(ends), "shard").withColumn("begin", F.lit(5)), "begin", "stop")
+    return x.select("shard", "arrival", "violation")
+
+
+@query("SELECT a.shard::INT AS shard, coalesce(h.high, 0)::BIGINT AS start_seqno, coalesce(h.high, 0)::BIGINT AS snap_end, (a.shard * 100)::BIGINT AS branch, false AS strict_branch FROM range(16) a(shard) JOIN (SELECT shard, max(seqno) AS high FROM log GROUP BY shard) h ON a.shard = h.shard")
+def e2_latest_starts(spark, sf_dir):
+    log = _log(spark, sf_dir)
+    highs = rollback.high_seqnos(log)
+    assigned = _assigned(spark).join(highs.select("shard"), "shard", "left_semi")
+    x = rollback.resolve_starts(rollback.initial_starts(assigned, _stored(spark, sf_dir).limit(0), "latest"), highs, rollback.newest_branch(_failover(log)))
+    return x.select("shard", "start_seqno", "snap_end", F.col("branch").cast("bigint").alias("branch"), "strict_branch")
+
+
+@query(STORED_SQL + """ SELECT shard, '{"uid":"' || lower(hex(shard * 3 + 1)) || '","collections":["8","a"]}' AS filter FROM stored""")
+def e6_start_filters(spark, sf_dir):
+    """A checkpoint's manifest goes into the filter of its stream."""
+    stored = _stored(spark, sf_dir).withColumn("manifest_uid", F.col("shard").cast("bigint") * 3 + 1)
+    log = _log(spark, sf_dir)
+    starts = rollback.resolve_starts(rollback.initial_starts(_assigned(spark), stored), rollback.high_seqnos(log), rollback.newest_branch(_failover(log)))
+    ids = F.array(F.lit(8).cast("bigint"), F.lit(10).cast("bigint"))
+    none = F.lit(None).cast("bigint")
+    return starts.where("start = 'checkpoint'").select("shard", C.stream_filter_json(F.col("manifest_uid"), ids, none, none).alias("filter"))
+
+
+@query("""AND k AS (SELECT event_id AS id, seqno AS q, key, event_id % 9 AS k FROM log)
+SELECT id, CASE k WHEN 0 THEN 'deletion' WHEN 1 THEN 'expiration' WHEN 2 THEN 'snapshot_marker' WHEN 3 THEN 'snapshot_marker' WHEN 4 THEN 'stream_end' WHEN 5 THEN 'seqno_advanced' WHEN 6 THEN 'system_event' ELSE 'oso_snapshot' END AS kind,
+  CASE WHEN k IN (0, 1, 5, 6) THEN q END AS seqno, CASE WHEN k IN (0, 1) THEN q + 9 END AS delete_time, CASE WHEN k IN (2, 3) THEN q END AS snap_start, CASE WHEN k IN (2, 3) THEN q + 6 END AS snap_end, CASE WHEN k = 3 THEN q + 1 END AS max_visible_seqno, CASE WHEN k = 3 THEN q + 3 END AS purge_seqno,
+  CASE WHEN k = 4 THEN CASE id % 8 WHEN 0 THEN 'ok' WHEN 1 THEN 'closed' WHEN 2 THEN 'state_changed' WHEN 3 THEN 'disconnected' WHEN 4 THEN 'too_slow' WHEN 5 THEN 'backfill_failed' WHEN 7 THEN 'filter_empty' ELSE 'unknown' END END AS end_reason,
+  CASE WHEN k = 6 THEN CASE id % 6 WHEN 0 THEN 'create_collection' WHEN 1 THEN 'drop_collection' WHEN 2 THEN 'flush_collection' WHEN 3 THEN 'create_scope' WHEN 4 THEN 'drop_scope' ELSE 'change_collection' END END AS sys_kind,
+  CASE WHEN k = 6 THEN q + 42 END AS manifest_uid, CASE WHEN k = 6 AND id % 6 IN (0, 1, 3, 4) THEN 8 END::BIGINT AS scope_id, CASE WHEN k IN (0, 1) THEN 300 WHEN k = 6 AND id % 6 IN (0, 1) THEN 17 WHEN k = 6 AND id % 6 IN (2, 5) THEN 8 END::BIGINT AS collection_id,
+  CASE WHEN k = 6 AND id % 6 = 0 THEN 60 WHEN k = 6 AND id % 6 = 5 THEN 17 END::BIGINT AS max_ttl, CASE WHEN k = 7 THEN CASE id % 2 WHEN 0 THEN 'begin' ELSE 'end' END END AS oso_state, CASE WHEN k IN (0, 1, 6) THEN key ELSE '' END AS key, NULL::VARCHAR AS malformed FROM k WHERE k < 8""")
+def b9_wire_events(spark, sf_dir):
+    """A frame of every other kind for each event, put together with Column expressions; no-ops leave."""
+    i, q, key, none = F.col("event_id"), F.col("seqno"), F.col("key").cast("binary"), F.lit(b"")
+    k = i % 9
+
+    def by_kind(*values, default=none):
+        out = default
+        for n, v in reversed(list(enumerate(values))):
+            out = F.when(k == n, v).otherwise(out)
+        return out
+
+    gone = F.concat(be(q, 8), be(F.lit(1), 8), be(q + 9, 4))
+    system = F.concat(be(q, 8), be(i % 6, 4), be(F.lit(1), 1))
+    extras = by_kind(gone, gone, F.concat(be(q, 8), be(q + 6, 8), be(F.lit(1), 4)), be(F.lit(2), 1), be(i % 8, 4), be(q, 8), system, be(i % 2 + 0, 4))
+    v2 = F.concat(be(q, 8), be(q + 6, 8), be(F.lit(1), 4), *[be(q + d, 8) for d in (1, 2, 4, 3)])
+    value = by_kind(none, none, none, v2, none, none, F.concat(be(q + 42, 8), be(F.lit(8), 4), be(F.lit(17), 4), be(F.lit(60), 4)))
+    name = by_kind(*[F.concat(F.unhex(F.lit("ac02")), key)] * 2, none, none, none, none, key)
+    opcode = F.unhex(by_kind(*[F.lit(x) for x in ("58", "59", "56", "56", "55", "64", "5f", "65")], default=F.lit("5c")))
+    x = _log(spark, sf_dir).select("event_id", extras.alias("e"), value.alias("v"), name.alias("n"), opcode.alias("o"))
+    size = F.length("e") + F.length("v") + F.length("n")
+    head = F.concat(F.unhex(F.lit("80")), F.col("o"), be(F.length("n"), 2), be(F.length("e"), 1), F.unhex(F.lit("000000")), be(size, 4), F.unhex(F.lit("00" * 12)))
+    y = wire.decode_events(wire.decode_frames(x.select("event_id", F.concat(head, "e", "n", "v").alias("frame"))))
+    return y.select(
+        F.col("event_id").alias("id"), "kind", "seqno", "delete_time", "snap_start", "snap_end", "max_visible_seqno", "purge_seqno", "end_reason", "sys_kind", "manifest_uid", "scope_id", "collection_id", "max_ttl", "oso_state", F.col("key").cast("string").alias("key"), "malformed"
+    )
+
+
+@query("SELECT event_id, event_id % 256 BETWEEN 80 AND 101 AS counts FROM events", log=False)
+def c11_flow_opcodes(spark, sf_dir):
+    return synth.events(spark, sf_dir).select("event_id", C.counts_for_flow(F.col("event_id") % 256).alias("counts"))
+
+
+@query("SELECT event_id, user_id % 3 > 1 OR (user_id % 3 = 1 AND (event_id % 7 = 0 OR event_id % 7 > 3)) AS newer FROM events", log=False)
+def h7_newer_revisions(spark, sf_dir):
+    return synth.events(spark, sf_dir).select("event_id", C.is_newer_revision(F.col("user_id") % 3, F.col("event_id") % 7, F.lit(1), F.lit(3)).alias("newer"))
+
+
+PODS_SQL = "p AS (SELECT user_id AS u, min(event_id) // 10 AS created_at, CASE WHEN user_id % 4 = 1 THEN 'Pending' ELSE 'Running' END AS phase, user_id % 5 <> 2 AS ready, user_id % 7 = 3 AS terminating FROM events GROUP BY user_id)"
+
+
+@query(f"WITH {PODS_SQL} SELECT 'p' || u AS name, (row_number() OVER (ORDER BY created_at, 'u' || (u % 10), 'p' || u))::INT AS member_number FROM p WHERE phase = 'Running' AND ready AND NOT terminating", log=False)
+def c13_effective_pods(spark, sf_dir):
+    u = F.col("user_id")
+    pods = synth.events(spark, sf_dir).groupBy("user_id").agg(F.floor(F.min("event_id") / 10).alias("created_at"))
+    pods = pods.select(F.concat(F.lit("p"), u.cast("string")).alias("name"), F.concat(F.lit("u"), (u % 10).cast("string")).alias("uid"), "created_at", F.when(u % 4 == 1, "Pending").otherwise("Running").alias("phase"), (u % 5 != 2).alias("ready"), (u % 7 == 3).alias("terminating"))
+    return membership.effective_pods(pods).select("name", "member_number")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 1 THEN '_default' ELSE CASE collection_id WHEN 8 THEN 'clicks' WHEN 9 THEN 'views' WHEN 10 THEN 'purchases' END END AS collection_name FROM log")
+def g6_legacy_names(spark, sf_dir):
+    """Documents without a collection id are of the default collection; unmapped ones have no name where that isn't an error."""
+    from tidelog.plans.catalogue import _dim
+
+    x = _log(spark, sf_dir).withColumn("collection_id", F.when(F.col("event_id") % 4 != 1, F.col("collection_id")))
+    return collections.decorate(x, _dim(spark), strict=False).select("event_id", "collection_name")
+
+
+@query(STORED_SQL + """, again AS (SELECT *, CASE WHEN shard % 5 = 4 THEN 'other' ELSE 'bucket-id' END AS bucket FROM stored) SELECT shard, seqno, bucket = 'bucket-id' AS ours FROM again""")
+def e3_checkpoint_identity(spark, sf_dir):
+    """Stored documents read back, with whether they are of the bucket that is followed."""
+    x = _stored(spark, sf_dir).withColumn("bucket_uuid", F.when(F.col("shard") % 5 == 4, "other").otherwise("bucket-id"))
+    from tidelog.sources import checkpoints
+
+    own = F.from_json(checkpoints.document_json(), "checkpoint struct<snapshot:struct<startSeqno:bigint,endSeqno:bigint>,vbuuid:decimal(20,0),seqno:bigint>, bucketUuid string, manifestUid bigint")
+    return x.select("shard", own.alias("d")).select("shard", "d.checkpoint.seqno", (F.col("d.bucketUuid") == "bucket-id").alias("ours"))
