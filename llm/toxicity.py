@@ -53,7 +53,7 @@ _CAPITAL[[*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]] = True
 _DIGIT[0x30:0x3A] = True
 _SEPARATOR[[ord(c) for c in ".-_* "]] = True
 #: Words whose form is kept by one worker.
-MOST_KNOWN = 200_000
+MOST_KNOWN = 40_000
 
 
 class Featurizer:
