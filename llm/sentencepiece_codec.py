@@ -40,9 +40,9 @@ SPACE = "▁"
 #: A space run and what follows it.
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Distinct units whose ids are kept for later texts.
-MOST_KNOWN = 150_000
+MOST_KNOWN = 100_000
 #: Bytes of text encoded together, about.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 512 << 10
 #: Slots (a power of two) that keep which pairs of pieces may be neighbours.
 PAIR_SLOTS = 20
 #: First bits of a hash that tell most substrings which are no piece.
