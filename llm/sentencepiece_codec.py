@@ -26,6 +26,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -272,18 +273,23 @@ class Vocabulary:
         lines = [_UNIT.findall(SPACE + t.replace(SPACE, _FREE).replace(" ", SPACE)) if t else [] for t in texts]
         if len(self.known) > MOST_KNOWN:
             self.known, self.flat, self.start = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
-        if new := list({u for line in lines for u in line} - self.known.keys()):
+        known, found = self.known.get, []
+        for line in lines:
+            found.append(np.fromiter(map(known, line, repeat(-1)), np.int64, len(line)))
+        open_ = [(i, np.flatnonzero(x < 0)) for i, x in enumerate(found)]
+        if new := list({lines[i][k] for i, at in open_ for k in at.tolist()}):
             flat, size = self.segment(new)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.flat = np.concatenate((self.flat, flat))
             self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(size)))
+            for i, at in open_:
+                found[i][at] = [self.known[lines[i][k]] for k in at.tolist()]
         out = []
-        for line in lines:
-            unit = np.fromiter(map(self.known.__getitem__, line), np.int64, len(line))
+        for unit in found:
             begin = self.start[unit]
             size = self.start[unit + 1] - begin
             total = np.cumsum(size)
-            out.append(self.flat[np.repeat(begin - total + size, size) + np.arange(total[-1])] if line else np.zeros(0, np.int32))
+            out.append(self.flat[np.repeat(begin - total + size, size) + np.arange(total[-1])] if len(unit) else np.zeros(0, np.int32))
         return out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
