@@ -1,7 +1,6 @@
 """Language-model scores by deleted interpolation of word n-grams.
 
-Documents are read in parts, runs of rows of one file of about equal size. Each
-part counts its distinct words, pairs and triples; counts meet by key range, and a
+Documents are read in parts, runs of rows of one file. Each part counts its distinct words, pairs and triples; counts meet by key range, and a
 part is told the counts of its keys, in their order. Then the documents meet what
 their part was told. So no n-gram table is broadcast or joined row by row: what
 crosses the network are blocks of distinct keys, and the texts once.
@@ -32,7 +31,7 @@ from llm._text import mix64, slices, word_hashes
 
 FOLDS, HELD_OUT = 10, 0
 #: Bytes of text in a part, about.
-PART_BYTES = 3 << 20
+PART_BYTES = 4 << 20
 #: One training document in so many is kept out of the counts while weights are learnt.
 DELETED = 10
 ALPHA = 0.1
@@ -105,16 +104,15 @@ def unpack_keys(packed: bytes, shift: int) -> np.ndarray:
     return np.sort(np.concatenate((words, longer << np.uint64(shift) | np.uint64(1))))
 
 
-def dealt(documents: DataFrame, part_rows: int, mean_bytes: float) -> DataFrame:
+def dealt(documents: DataFrame, part_rows: int, part_bytes: int) -> DataFrame:
     """doc_id, text, train, part: runs of part_rows rows of a file; odd parts hold the documents left out for the weights.
 
-    Texts far above the mean are dealt by their size class in runs of fewer rows, so a
-    run of long texts makes no large part.
+    A text of more than half a part is a part of its own.
     """
     train = in_fold("doc_id", FOLDS) != HELD_OUT
-    size_class = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.octet_length(F.coalesce("text", F.lit(""))), F.lit(1)) / F.lit(4.0 * max(mean_bytes, 1.0)))))
-    rows = F.when(size_class == 0, F.lit(part_rows)).otherwise(F.greatest(F.lit(1), F.floor(F.lit(part_rows) / F.pow(F.lit(2), size_class + 2))))
-    run = F.xxhash64(F.regexp_extract("_metadata.file_path", "[^/]*$", 0), size_class, F.floor(F.col("_metadata.row_index") / rows))
+    row = F.col("_metadata.row_index")
+    alone = F.coalesce(F.octet_length("text"), F.lit(0)) * 2 > part_bytes
+    run = F.xxhash64(F.regexp_extract("_metadata.file_path", "[^/]*$", 0), alone, F.when(alone, row).otherwise(F.floor(row / part_rows)))
     left_out = train & (F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(DELETED)) == 0)
     part = F.pmod(run, F.lit(1 << 30)) * 2 + left_out.cast("int")
     return documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), train.alias("train"), part.cast("int").alias("part"))
@@ -136,7 +134,7 @@ def _counted(texts, train: np.ndarray, shift: int):
 
 def _counter(ranges: int, shift: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in slices(batches, 6 << 20):
+        for b in slices(batches, 12 << 20):
             for part, own in b.groupby("part", sort=False):
                 rows = []
                 keys, n, _, _ = _counted(own["text"], own["train"].to_numpy(bool), shift)
@@ -276,7 +274,7 @@ def score(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         documents = materialise(documents.select("doc_id", "text"), "lm-documents")
     rows, size = documents.select(F.count("*"), F.sum(F.octet_length("text"))).first()
     ranges, shift = max(1, -(-(size or 0) // part_bytes)), shift_of(size or 0)
-    docs = dealt(documents, max(1, rows // ranges), (size or 0) / max(rows, 1))
+    docs = dealt(documents, max(1, rows // ranges), part_bytes)
     blocks = docs.mapInPandas(_counter(ranges, shift), "range int, part int, keys binary, n binary")
     told = blocks.groupBy("range").applyInPandas(lambda pdf: _meet(pdf, shift), "part int, range int, total binary, kept binary")
     told = materialise(told, "lm-told")
