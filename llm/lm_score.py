@@ -1,9 +1,10 @@
 """Language-model scores by deleted interpolation of word n-grams.
 
-Documents are read in parts, runs of rows of one file. Each part counts its distinct words, pairs and triples; counts meet by key range, and a
-part is told the counts of its keys, in their order. Then the documents meet what
-their part was told. So no n-gram table is broadcast or joined row by row: what
-crosses the network are blocks of distinct keys, and the texts once.
+Documents are read in parts, runs of rows of one file. Each part counts its
+distinct words, pairs and triples; counts meet by key range, and a part is told the
+counts of its keys, in their order. Then the documents meet what their part was
+told. So no n-gram table is broadcast or joined row by row: what crosses the network
+are blocks of distinct keys, and the texts once.
 
 P(w | u, v) = a c(u,v,w)/c(u,v) + b c(v,w)/c(v) + d c(w)/N + e /(V+1), with weights
 (a, b, d, e) by the bucket of c(u,v), or of c(v) where (u,v) is unseen, learnt by
