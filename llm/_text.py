@@ -69,9 +69,9 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return RangeHasher(values)(starts, ends)
 
 
-def _hash_chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _hash_chunk(texts: list[bytes], fold: bytes | None = LOWER_ASCII) -> tuple[np.ndarray, np.ndarray]:
     joined = b" ".join(texts)
-    data = np.frombuffer(joined.translate(LOWER_ASCII), np.uint8)
+    data = np.frombuffer(joined.translate(fold), np.uint8)
     word = np.zeros(len(data) + 2, np.int8)
     word[1:-1] = ~_SPACE[data]
     edge = np.diff(word)
@@ -81,8 +81,8 @@ def _hash_chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return range_hashes(data, starts, ends), counts
 
 
-def word_hashes(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts (A-Z lower-cased), in order, and the bounds of each text's words.
+def word_hashes(texts: Iterable[str | None], fold: bytes | None = LOWER_ASCII) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts (A-Z lower-cased; as they are if fold is None), in order, and the bounds of each text's words.
 
     Null and empty texts have no words. bounds has one entry more than texts.
     """
@@ -90,13 +90,13 @@ def word_hashes(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
     for t in texts:
         raw = (t or "").encode("utf-8", "surrogatepass")
         if batch and size + len(raw) > CHUNK_BYTES:
-            for out, x in zip((hashes, counts), _hash_chunk(batch)):
+            for out, x in zip((hashes, counts), _hash_chunk(batch, fold)):
                 out.append(x)
             batch, size = [], 0
         batch.append(raw)
         size += len(raw) + 1
     if batch:
-        for out, x in zip((hashes, counts), _hash_chunk(batch)):
+        for out, x in zip((hashes, counts), _hash_chunk(batch, fold)):
             out.append(x)
     if not counts:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat_format, exact_dedup, fill_middle, lm_score, media, mixing, near_dedup, secret_scan, sentencepiece_codec, toxicity, url_filter, vector_codes
+from llm import chat_format, exact_dedup, fill_middle, lm_score, media, mixing, near_dedup, secret_scan, sentencepiece_codec, substring_dedup, toxicity, url_filter, vector_codes
 from llm._common import table
 
 
@@ -58,15 +58,20 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_toxicity, op2_url_filter, op3_mix_sources, op4_lm_score, op5_chat_format, op6_sentencepiece, op7_secret_scan,
-        op8_exact_dedup, op9_near_dedup, op10_media, op11_fill_in_middle, op12_vector_codes,
+        op8_exact_dedup, op9_near_dedup, op10_media, op11_fill_in_middle, op12_vector_codes, op13_substring_dedup,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_url_filter": url_filter.SQL, "op3_mix_sources": mixing.SQL, "op5_chat_format": chat_format.SQL, "op8_exact_dedup": exact_dedup.SQL,
-        "op11_fill_in_middle": fill_middle.SQL, "op12_vector_codes": vector_codes.SQL,
+        "op11_fill_in_middle": fill_middle.SQL, "op12_vector_codes": vector_codes.SQL, "op13_substring_dedup": substring_dedup.SQL,
     }
