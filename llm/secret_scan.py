@@ -23,24 +23,31 @@ from pyspark.sql import functions as F
 
 from llm._common import materialise
 
-_RUN = r"(?:(?=[A-Za-z+/_-]*+[0-9])|(?=[A-Z+/_-]*+[a-z][a-z+/_-]*+[A-Z]))[A-Za-z0-9+/_-]{16,}+={0,2}"
+_PREFIXED = r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+"
+#: Key characters with a digit or mixed case; parts after dots belong to it, but for known prefixes.
+_RUN = (
+    r"(?:(?=[A-Za-z+/_-]*+[0-9])|(?=[A-Z+/_-]*+[a-z][a-z+/_-]*+[A-Z]))[A-Za-z0-9+/_-]{16,}+(?:\.(?!" + _PREFIXED + r")[A-Za-z0-9+/_-]++)*+={0,2}"
+)
+#: A word that holds a keyword, and the mark after it up to the value. Quantifiers are possessive and the keyword is looked for ahead, so a failure costs one pass however long the word.
 _ASSIGN = (
-    r"([A-Za-z0-9_-]*?(?:[Tt]oken|TOKEN|[Pp]ass|PASS|[Pp]wd|PWD|[Ss]ecret|SECRET|[Kk]ey|KEY|[Aa]uth|AUTH|[Cc]red|CRED)[A-Za-z0-9_-]{0,40}+)"
-    r"([\x22\x27\]]{0,2}\s{0,3}(?:=>|:=|[=:])\s{0,3}(?:(?:[Bb]earer|[Bb]asic)\s)?"
+    r"((?=[A-Za-z0-9_-]*?(?i:token|pass|pwd|secret|key|auth|cred))[A-Za-z0-9_-]++)"
+    r"([\\\x22\x27\]]*+\s*+(?:=>|:=|[=:])\s*+(?:(?i:bearer|basic)\s++)?"
 )
-_PREFIXED = r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+"
 #: Forms of a candidate: each has three groups, the word and the mark before it and the candidate. The first that fits at a place holds.
 FORMS = (
     r"(?<![A-Za-z0-9+.-])([A-Za-z][A-Za-z0-9+.-]*+)(://[^\s/:@\x22\x27<>]*+:)([^\s/\x22\x27<>]+)@",
-    _ASSIGN + r"\x22)([^\x22\\\n]*+(?:\\.[^\x22\\\n]*+){0,64}+)\x22",
-    _ASSIGN + r"\x27)([^\x27\\\n]*+(?:\\.[^\x27\\\n]*+){0,64}+)\x27",
-    _ASSIGN + r"[\x22\x27]?)([^\s\x22\x27&;,]++(?:[&;,]++(?![A-Za-z0-9_.-]*+=)[^\s\x22\x27&;,]++){0,64}+)",
+    _ASSIGN + r"\\\x22)([^\x22\\\n]*+(?:\\[^\x22\n][^\x22\\\n]*+)*+)\\\x22",
+    _ASSIGN + r"\x22)([^\x22\\\n]*+(?:\\.[^\x22\\\n]*+)*+)\x22",
+    _ASSIGN + r"\x27)([^\x27\\\n]*+(?:\\.[^\x27\\\n]*+)*+)\x27",
+    _ASSIGN + r"\\?[\x22\x27]?)([^\s\x22\x27&;,]++(?:[&;,]++(?![A-Za-z0-9_.-]*+=)[^\s\x22\x27&;,]++)*+)",
     r"(?<![A-Za-z0-9])()()(" + _PREFIXED + ")",
     r"(?<![A-Za-z_])([A-Za-z_]*+)(\s?[=:]\s?[\x22\x27]?|[\s\x22\x27(\[<]|)(?<![A-Za-z0-9+/_-])(" + _RUN + ")",
     r"(?<![A-Za-z0-9+/_-])()()(" + _RUN + ")",
 )
-#: The three assigned forms share the test that a mark follows the word: prose fails it at once.
-CANDIDATE = "|".join([FORMS[0], r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]++[\x22\x27\]]{0,2}\s{0,3}[=:])(?:" + "|".join(FORMS[1:4]) + ")", *FORMS[4:]])
+#: The four assigned forms share the test that a mark follows the word: prose fails it at once.
+CANDIDATE = "|".join([FORMS[0], r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]++[\\\x22\x27\]]*+\s*+[=:])(?:" + "|".join(FORMS[1:5]) + ")", *FORMS[5:]])
+#: Word, candidate and mark of a hit on lines of their own: groups of other forms are empty, and only marks may hold line ends.
+_LINES = "\n".join("".join(f"${3 * f + k}" for f in range(len(FORMS))) for k in (1, 3, 2))
 #: Strict formats, by the word before them where there is one.
 VALID = (
     r"^AKIA[0-9A-Z]{16}$",
@@ -74,11 +81,15 @@ FEATURES = (
 
 
 def candidates(documents: DataFrame) -> DataFrame:
-    """doc_id, i (order in the text), word, mark, secret: a row per candidate of every whole text."""
+    """doc_id, i (order in the text), word, mark, secret: a row per candidate of every whole text, however long it or its values are.
+
+    Null and empty texts have none, repeated rows have theirs each, an empty table gives no rows; other columns are ignored.
+    """
     found = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
     x = documents.select("doc_id", "text").where(F.col("text").isNotNull()).select("doc_id", F.posexplode(found).alias("i", "hit"))
-    part = lambda k: F.concat(*[F.regexp_extract("hit", CANDIDATE, 3 * f + k) for f in range(len(FORMS))])  # noqa: E731  (groups of other forms are empty)
-    return x.select("doc_id", "i", part(1).alias("word"), part(2).alias("mark"), part(3).alias("secret")).where("secret <> ''")
+    parts = F.split(F.regexp_replace("hit", f"(?s)^(?:{CANDIDATE}).*", _LINES), "\n", 3)
+    x = x.select("doc_id", "i", parts.alias("p"))
+    return x.select("doc_id", "i", F.get("p", F.lit(0)).alias("word"), F.get("p", F.lit(2)).alias("mark"), F.get("p", F.lit(1)).alias("secret")).where("secret <> ''")
 
 
 def features() -> Column:
