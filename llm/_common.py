@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a narrow table (ids, digests) that may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
+#: Bytes that may be broadcast, about.
+BROADCAST_BYTES = 64 << 20
 #: A key is hot if it holds more than one row in so many; so there are fewer hot keys than this.
 HOT_KEYS = 1000
 
@@ -66,19 +68,35 @@ def checked_broadcast(df: DataFrame, rows: int | None = None, most: int = BROADC
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
 
 
-def hot_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str, how: str = "inner", most: int | None = None) -> DataFrame:
-    """Join of rows with narrow groups (materialised, one row per key), where `size` is a key's number of rows; how: inner or left.
+def _width(df: DataFrame):
+    """Bytes of a row, about: its strings and eight for every other column."""
+    strings = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    out = F.lit(8 * (len(df.columns) - len(strings)))
+    for c in strings:
+        out = out + F.coalesce(F.octet_length(c), F.lit(0))
+    return out.cast("long")
 
-    Groups of few rows in all (`most`) are broadcast. Else the hot ones are, of which
-    there are fewer than HOT_KEYS, so that their rows stay where they are; all others
-    are shuffled as usual. The columns are those of rows.join(groups, on, how).
+
+def hot_join(rows: DataFrame, groups: DataFrame, on: list[str], size: str, how: str = "inner", most: int | None = None, total: int | None = None) -> DataFrame:
+    """Join of rows with groups (materialised, one row per key, no arrays), where `size` is a key's number of rows; how: inner or left.
+
+    Groups of few rows in all (`most`) and few bytes are broadcast. Else the hot ones
+    are, of which there are fewer than HOT_KEYS, so that their rows stay where they
+    are; all others, and the few hot ones with very long strings, are shuffled as
+    usual. total: a bound of the sum of sizes, where it is known and rows are narrow.
+    The columns are those of rows.join(groups, on, how).
     """
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    if total <= (BROADCAST_ROWS if most is None else most):
+    most = BROADCAST_ROWS if most is None else most
+    if total is not None and total <= most:
+        return rows.join(F.broadcast(groups), on, how)
+    width = _width(groups)
+    total, length = groups.agg(F.sum(size), F.sum(width)).first()
+    if (total or 0) <= most and (length or 0) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(groups), on, how)
-    hot = groups.where(F.col(size) * HOT_KEYS > total)
+    is_hot = (F.col(size) * HOT_KEYS > total) & (width <= BROADCAST_BYTES // HOT_KEYS)
+    hot = groups.where(is_hot)
     few = rows.join(F.broadcast(hot), on)
-    return few.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(groups.where(F.col(size) * HOT_KEYS <= total), on, how))
+    return few.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(groups.where(~is_hot), on, how))
 
 
 def dealt_join(rows: DataFrame, groups: DataFrame, on: str, by: str, most: int = 2000) -> DataFrame:

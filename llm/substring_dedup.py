@@ -29,10 +29,10 @@ from llm._fm_index import FMIndex
 from llm._text import RangeHasher, mix64, slices, word_hashes
 
 WIDTH, ANCHOR = 20, 5
-#: Different segments of one anchor that go to a shard together.
-MOST_SEGMENTS = 2000
 #: Words of a shard, about.
 SHARD_WORDS = 1 << 18
+#: Different segments of one anchor that go to a shard together: with some 27 words each they fill one.
+MOST_SEGMENTS = 8000
 #: Rows made at once of those that are equal in id and text.
 CHUNK = 10_000
 _LAST = (1 << 63) - 1
@@ -162,12 +162,6 @@ def repeated_segments(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR
     return materialise(_told(texts.select("doc", "tie", "text").mapInPandas(run, SEGMENT)), "spans-segments")
 
 
-def _of_text(texts: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
-    """doc, tie, text, rows (arrays of the columns) of the texts that have any."""
-    packed = rows.groupBy("doc", "tie").agg(F.collect_list(F.struct(*columns)).alias("rows"))
-    return texts.select("doc", "tie", "text").join(packed, ["doc", "tie"])
-
-
 def _word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     word = np.zeros(len(raw) + 2, np.int8)
     word[1:-1] = ~_SPACE[np.frombuffer(raw, np.uint8)]
@@ -176,39 +170,32 @@ def _word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _with_words(texts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """anchor, doc, tie, start, words of each row's segment."""
+    """The rows' segments with their words. Of wide ones each window as a segment of its own, named by all its words, without them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in slices(batches):
-            out = []
-            for doc, tie, text, wanted in zip(b["doc"], b["tie"], b["text"], b["rows"]):
+            out, row, start = [], [], []
+            for i, (doc, tie, text, wanted) in enumerate(zip(b["doc"], b["tie"], b["text"], b["rows"])):
                 raw = text.encode("utf-8", "surrogatepass")
                 starts, ends = _word_bounds(raw)
-                for r in wanted:
-                    at, end = r["start"], r["start"] + r["windows"] + width - 2
-                    out.append((r["anchor"], doc, tie, at, raw[starts[at] : ends[end]].decode("utf-8", "surrogatepass")))
-            yield pd.DataFrame(out, columns=["anchor", "doc", "tie", "start", "words"])
-
-    return _of_text(texts, rows, "anchor", "start", "windows").mapInPandas(run, "anchor long, doc long, tie long, start long, words string")
-
-
-def _windows_of(texts: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """The windows of the rows' segments as segments of their own, named by all their words."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in slices(batches):
-            words, bounds = word_hashes(b["text"], fold=None)
-            row, start = [], []
-            for i, wanted in enumerate(b["rows"]):
                 for r in sorted(wanted, key=lambda r: r["start"]):
-                    start.append(np.arange(r["start"], r["start"] + r["windows"]))
-                    row.append(np.full(r["windows"], i))
-            row, start = np.concatenate(row), np.concatenate(start)
-            at = bounds[row] + start
-            body = RangeHasher(words)(at, at + width)
-            yield _combined(b, {"anchor": _alone(body), "body": body.view(np.int64), "row": row, "start": start, "windows": np.ones(len(row), np.int64)}, width)
-
-    return _of_text(texts, rows, "start", "windows").mapInPandas(run, SEGMENT)
+                    at, n = r["start"], r["windows"]
+                    if r["wide"]:
+                        start.append(np.arange(at, at + n))
+                        row.append(np.full(n, i))
+                    else:
+                        out.append((r["anchor"], 0, doc, tie, at, n, False, raw[starts[at] : ends[at + n + width - 2]].decode("utf-8", "surrogatepass")))
+            yield pd.DataFrame(out, columns=["anchor", "body", "doc", "tie", "start", "windows", "done", "words"])
+            if row:
+                row, start = np.concatenate(row), np.concatenate(start)
+                words, bounds = word_hashes(b["text"], fold=None)
+                at = bounds[row] + start
+                body = RangeHasher(words)(at, at + width)
+                alone = {"anchor": _alone(body), "body": body.view(np.int64), "row": row, "start": start, "windows": np.ones(len(row), np.int64)}
+                yield _combined(b, alone, width).assign(words=None)
+
+    packed = rows.groupBy("doc", "tie").agg(F.collect_list(F.struct("anchor", "start", "windows", "wide")).alias("rows"))
+    return texts.select("doc", "tie", "text").join(packed, ["doc", "tie"]).mapInPandas(run, f"{SEGMENT}, words string")
 
 
 def _searched(b: pd.DataFrame, width: int) -> pd.DataFrame:
@@ -234,14 +221,16 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, m
     spark = texts.sparkSession
     bounded_batches(spark)
     found = repeated_segments(texts, width, anchor, most)
-    spans = _known(found, width)
-    wide = found.where(f"first AND different > {most}")
-    words, n_wide = found.where("first").agg(F.sum(F.when(F.col("different") <= most, F.col("windows") + (width - 1))), F.count_if(F.col("different") > most)).first()
+    spans, wide = _known(found, width), F.col("different") > most
+    first = found.where("first")
+    words, n_wide = first.agg(F.sum(F.when(~wide, F.col("windows") + (width - 1))), F.count_if(wide)).first()
+    made = _with_words(texts, first.withColumn("wide", wide), width)
     if n_wide:
-        spans = spans.unionByName(_known(materialise(_told(_windows_of(texts, wide, width)), "spans-windows"), width))
-    parts = _with_words(texts, found.where(f"first AND different <= {most}"), width)
+        made = materialise(made, "spans-words")  # read twice
+        spans = spans.unionByName(_known(materialise(_told(made.where("words IS NULL").drop("words")), "spans-windows"), width))
     shard = F.pmod(F.xxhash64("anchor"), F.lit((words or 0) // SHARD_WORDS + 1))
-    return spans.unionByName(parts.groupBy(shard.alias("shard")).applyInPandas(lambda b: _searched(b, width), SPAN))
+    parts = made.where("words IS NOT NULL").select(shard.alias("shard"), "doc", "tie", "start", "words")
+    return spans.unionByName(parts.groupBy("shard").applyInPandas(lambda b: _searched(b, width), SPAN))
 
 
 def _known(found: DataFrame, width: int) -> DataFrame:

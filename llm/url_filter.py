@@ -8,9 +8,10 @@ common rate are merged. A template is rejected if its labelled purity, smoothed
 the same path shape on other hosts and then by all labelled urls, is on the bad
 side. Labels are the verdicts of the rules.
 
-Everything is counted by distinct (host, path), so repeated urls change nothing.
-Statistics look at the first LEVELS segments one by one; deeper ones are
-generalised by their form, one by one, and are compared as they are.
+Everything is counted by distinct (host, path), so repeated urls change nothing. All
+levels are looked at, however deep: one pass tells the levels where anything can be
+decided, and only these get a round of their own. Prefixes and surroundings are
+known by two 64-bit hashes, so rows that meet are narrow however long paths are.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ WIDE, WIDE_SHARE = 20, 0.2
 PRIOR = 5.0
 #: Branches whose rate differs from the pooled one by less than so many standard errors are merged.
 Z = 2.0
-#: Levels of the tree that have statistics of their own; as many rounds are made as the deepest path needs.
-LEVELS = 16
+#: Levels whose wide parents are looked for in one pass. It only bounds the pass.
+AT_ONCE = 16
 
 
 def parts(pages: DataFrame) -> DataFrame:
@@ -67,57 +68,108 @@ def _with(level: int, value: Column) -> Column:
     return F.transform("segments", lambda s, i: F.when(i == level - 1, value).otherwise(s))
 
 
-def _around(level: int) -> Column:
-    """The segments before a level and those after it: what siblings have in common."""
-    return F.struct(F.slice("segments", 1, level - 1).alias("up"), F.slice("segments", level + 1, 1 << 30).alias("below"))
+def _two(name: str, *of: Column) -> list[Column]:
+    """Two hashes of the columns, as name1 and name2."""
+    return [F.xxhash64(*of).alias(f"{name}1"), F.xxhash64(F.lit(name), *of).alias(f"{name}2")]
 
 
-def _wildcards(x: DataFrame, level: int, scratch: list[str]) -> DataFrame:
-    """x with * at a level wherever the parent has very many different children, by distinct paths."""
-    up, here, deep = F.slice("segments", 1, level - 1).alias("up"), F.get("segments", F.lit(level - 1)), F.size("segments") >= level
-    kids = x.where(deep).groupBy("host", up, here.alias("here")).agg(F.sum("paths").alias("paths"))
-    wide = kids.groupBy("host", "up").agg(F.count("*").alias("k"), F.sum("paths").alias("paths")).where((F.col("k") >= WIDE) & (F.col("k") >= WIDE_SHARE * F.col("paths")))
-    wide = materialise(wide.select("host", "up", F.col("paths").alias("size")), "url-wide", scratch)
-    if wide.isEmpty():
-        return x
-    found = hot_join(x.withColumn("up", up), wide.withColumn("wide", F.lit(True)), ["host", "up"], "size", "left")
-    return materialise(found.withColumn("segments", F.when(F.col("wide") & deep, _with(level, F.lit("*"))).otherwise(F.col("segments"))).select(*x.columns), "url-wild", scratch)
+def _up(level: Column) -> list[Column]:
+    return _two("up", F.col("host"), F.slice("segments", 1, level - 1))
 
 
-def _merged(x: DataFrame, level: int, scratch: list[str]) -> DataFrame:
-    """x with * at a level for siblings whose rate is not far from their common one; a lone branch stays, and so does one that is far."""
+def _crowds(x: DataFrame, first: int, scratch: list[str]) -> DataFrame:
+    """level, up1, up2, k (different children), paths, of the parents of AT_ONCE levels from `first` on that have as many rows as a wide one needs."""
+    levels = F.sequence(F.lit(first), F.least(F.size("segments"), F.lit(first + AT_ONCE - 1)))
+    deep = x.where(F.size("segments") >= first).select("host", "segments", "paths", F.explode(levels).alias("level"))
+    kids = deep.select("level", *_up(F.col("level")), F.xxhash64(F.get("segments", F.col("level") - 1)).alias("here"), "paths")
+    kids = kids.groupBy("level", "up1", "up2", "here").agg(F.sum("paths").alias("paths"), F.count("*").alias("n"))
+    crowd = kids.groupBy("level", "up1", "up2").agg(F.count("*").alias("k"), F.sum("paths").alias("paths"), F.sum("n").alias("n")).where(F.col("n") >= WIDE)
+    return materialise(crowd, "url-crowds", scratch)
+
+
+def _wildcards(x: DataFrame, rows: int, scratch: list[str]) -> DataFrame:
+    """x with * wherever the parent has very many different children, by distinct paths, from the root down.
+
+    A wide parent's child changes what lies below, so levels after it are looked at
+    again. Where no parent has rows enough to be wide, none below has.
+    """
+    wide = (F.col("k") >= WIDE) & (F.col("k") >= WIDE_SHARE * F.col("paths"))
+    first = 1
+    while True:
+        crowds = _crowds(x, first, scratch)
+        deepest, level = crowds.agg(F.max("level"), F.min(F.when(wide, F.col("level")))).first()
+        if level is not None:
+            found = hot_join(x.select("*", *_up(F.lit(level))), crowds.where(wide & (F.col("level") == level)).select("up1", "up2", F.col("n").alias("size"), F.lit(True).alias("wide")), ["up1", "up2"], "size", "left", total=rows)
+            star = F.when(F.col("wide") & (F.size("segments") >= level), _with(level, F.lit("*"))).otherwise(F.col("segments"))
+            x = materialise(found.withColumn("segments", star).select(*x.columns), "url-wild", scratch)
+            first = level + 1
+        elif deepest is None or deepest < first + AT_ONCE - 1:
+            return x
+        else:
+            first += AT_ONCE
+
+
+def _around(level: Column, here: Column, n: int) -> Column:
+    """A hash of the segments of other levels: all segments' hashes by exclusive or, without this one's."""
+    one = lambda s, i: F.xxhash64(F.lit(n), i, s)
+    every = F.aggregate(F.transform("segments", lambda s, i: one(s, i + 1)), F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+    return every.bitwiseXOR(one(here, level))
+
+
+def _siblings(x: DataFrame) -> list[Column]:
+    """level, around1, around2, here: of x with `level` and `segment`; siblings share level and around."""
+    level, segment = F.col("level"), F.col("segment")
+    around = [F.xxhash64("host", F.size("segments"), _around(level, segment, n)).alias(f"around{n}") for n in (1, 2)]
+    return [level, *around, F.xxhash64(segment).alias("here")]
+
+
+def _pools(x: DataFrame, below: int | None, scratch: list[str]) -> DataFrame:
+    """level, around1, around2, kids, pool_bad, pool_seen: siblings of more than one kind, of the levels before `below`."""
+    each = x.select("*", F.posexplode("segments").alias("_i", "segment")).withColumn("level", F.col("_i") + 1)
+    each = each.where(F.col("level") < below) if below is not None else each
+    kinds = each.select(*_siblings(each), "bad", "good").groupBy("level", "around1", "around2", "here").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    pool = kinds.groupBy("level", "around1", "around2").agg(F.count("*").alias("kids"), F.sum("bad").alias("pool_bad"), F.sum(F.col("bad") + F.col("good")).alias("pool_seen")).where("kids > 1")
+    return materialise(pool, "url-pools", scratch)
+
+
+def _merged(x: DataFrame, rows: int, scratch: list[str]) -> DataFrame:
+    """x with * for siblings whose rate is not far from their common one, from the deepest level up; a lone branch stays, and so does one that is far."""
     seen = F.col("bad") + F.col("good")
-    branch = x.where(F.size("segments") >= level).groupBy("host", _around(level).alias("around"), F.get("segments", F.lit(level - 1)).alias("here")).agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("size"))
-    branch = materialise(branch, "url-branches", scratch)
-    pool = branch.groupBy("host", "around").agg(F.count("*").alias("kids"), F.sum("bad").alias("pool_bad"), F.sum(seen).alias("pool_seen")).where("kids > 1")
-    pool = materialise(pool, "url-pools", scratch)
-    if pool.isEmpty():
-        return x
     rate = F.try_divide(F.col("pool_bad"), F.col("pool_seen"))
     apart = F.pow(F.try_divide(F.col("bad"), seen) - rate, F.lit(2)) > F.try_divide(F.lit(Z * Z) * rate * (1 - rate), seen)
-    alike = hot_join(branch, pool, ["host", "around"], "kids").where(~F.coalesce(apart, F.lit(False))).select("host", "around", "here", "size", F.lit(True).alias("alike"))
-    keyed = x.withColumns({"around": _around(level), "here": F.get("segments", F.lit(level - 1))})
-    found = hot_join(keyed, materialise(alike, "url-alike", scratch), ["host", "around", "here"], "size", "left")
-    return materialise(found.withColumn("segments", F.when(F.col("alike"), _with(level, F.lit("*"))).otherwise(F.col("segments"))).select(*x.columns), "url-merged", scratch)
+    on, level, pools = ["around1", "around2"], None, None
+    while True:
+        pools = _pools(x, level, scratch) if pools is None else pools
+        level = pools.where(F.col("level") < level if level is not None else F.lit(True)).agg(F.max("level")).first()[0]
+        if level is None:
+            return x
+        deep = x.where(F.size("segments") >= level).withColumns({"level": F.lit(level), "segment": F.get("segments", F.lit(level - 1))})
+        branch = deep.select(*_siblings(deep), "bad", "good").groupBy(*on, "here").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("size"))
+        alike = hot_join(branch, pools.where(F.col("level") == level).drop("level"), on, "kids", total=rows).where(~F.coalesce(apart, F.lit(False)))
+        alike = materialise(alike.select(*on, "here", "size", F.lit(True).alias("alike")), "url-alike", scratch)
+        if alike.isEmpty():
+            continue
+        keyed = x.withColumns({"level": F.lit(level), "segment": F.get("segments", F.lit(level - 1))})
+        found = hot_join(keyed.select(*x.columns, *_siblings(keyed)[1:]), alike, [*on, "here"], "size", "left", total=rows)
+        star = F.when(F.col("alike") & (F.size("segments") >= level), _with(level, F.lit("*"))).otherwise(F.col("segments"))
+        x, pools = materialise(found.withColumn("segments", star).select(*x.columns), "url-merged", scratch), None
 
 
 def templates(counts: DataFrame, scratch: list[str]) -> DataFrame:
-    """host, source, template, p (smoothed share of blocked paths), rows. counts: host, source and segments (the same array), paths, bad, good, rows."""
-    deepest = min(counts.agg(F.max(F.size("segments"))).first()[0] or 0, LEVELS)
-    x = counts
-    for level in range(1, deepest + 1):
-        x = _wildcards(x, level, scratch)
-    x = x.withColumn("shape", F.col("segments"))
-    for level in range(deepest, 0, -1):
-        x = _merged(x, level, scratch)
-    node = materialise(x.groupBy("host", "segments").agg(F.sum("bad").alias("node_bad"), F.sum("good").alias("node_good"), F.count("*").alias("size")), "url-nodes", scratch)
-    shape = materialise(x.groupBy("shape").agg(F.sum("bad").alias("shape_bad"), F.sum("good").alias("shape_good"), F.count("*").alias("size")), "url-shapes", scratch)
+    """source1, source2, template, p (smoothed share of blocked paths), rows. counts: source1, source2, host, segments (as they are), paths, bad, good, rows."""
+    rows = counts.count()
+    x = _wildcards(counts, rows, scratch)
+    x = x.select("*", *_two("shape", F.col("segments")))
+    x = _merged(x, rows, scratch)
+    x = x.select("*", *_two("node", F.col("host"), F.col("segments")))
+    node = materialise(x.groupBy("node1", "node2").agg(F.sum("bad").alias("node_bad"), F.sum("good").alias("node_good"), F.count("*").alias("size")), "url-nodes", scratch)
+    shape = materialise(x.groupBy("shape1", "shape2").agg(F.sum("bad").alias("shape_bad"), F.sum("good").alias("shape_good"), F.count("*").alias("size")), "url-shapes", scratch)
     every = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")).first()
     p0 = F.lit((every["b"] + 1) / (every["b"] + every["g"] + 2))
     p1 = (F.col("shape_bad") + PRIOR * p0) / (F.col("shape_bad") + F.col("shape_good") + PRIOR)
     p2 = (F.col("node_bad") + PRIOR * p1) / (F.col("node_bad") + F.col("node_good") + PRIOR)
-    x = hot_join(hot_join(x, node, ["host", "segments"], "size").drop("size"), shape, ["shape"], "size").drop("size")
-    return x.select("host", "source", F.concat(F.lit("/"), F.array_join("segments", "/")).alias("template"), p2.alias("p"), "rows")
+    x = hot_join(hot_join(x, node, ["node1", "node2"], "size", total=rows).drop("size"), shape, ["shape1", "shape2"], "size", total=rows).drop("size")
+    return x.select("source1", "source2", F.concat(F.lit("/"), F.array_join("segments", "/")).alias("template"), p2.alias("p"), "rows")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -130,15 +182,15 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """
     scratch: list[str] = []
     name, verdict = rule_of(rules)
-    x = parts(pages).select("*", name.alias("rule"), verdict.alias("_verdict"), _segments().alias("source"))
-    x = materialise(x, "url-parts")
-    paths = x.groupBy("host", "source", "path", "_verdict").agg(F.count("*").alias("rows"))
-    counts = paths.groupBy("host", "source").agg(F.count("*").alias("paths"), F.count(F.when(F.col("_verdict") == "block", 1)).alias("bad"), F.count(F.when(F.col("_verdict") == "allow", 1)).alias("good"), F.sum("rows").alias("rows"))
-    counts = materialise(counts.withColumn("segments", F.col("source")), "url-counts", scratch)
+    x = parts(pages).select("*", name.alias("rule"), verdict.alias("_verdict"), _segments().alias("segments"))
+    x = materialise(x.select("*", *_two("source", F.col("host"), F.col("segments"))).drop("segments"), "url-parts")
+    paths = x.groupBy("source1", "source2", "host", "path", "_verdict").agg(F.count("*").alias("rows"))
+    counts = paths.groupBy("source1", "source2").agg(F.first("host").alias("host"), F.first("path").alias("path"), F.count("*").alias("paths"), F.count(F.when(F.col("_verdict") == "block", 1)).alias("bad"), F.count(F.when(F.col("_verdict") == "allow", 1)).alias("good"), F.sum("rows").alias("rows"))
+    counts = materialise(counts.withColumn("segments", _segments()).drop("path"), "url-counts", scratch)
     found = materialise(templates(counts, scratch), "url-templates")
     forget(pages.sparkSession, scratch)
     by_method = F.when(F.col("p") > 0.5, "block").otherwise("allow")
-    return hot_join(x, found, ["host", "source"], "rows").select("page_id", "host", "path", "rule", F.coalesce("_verdict", by_method).alias("verdict"), "template", F.col("p").alias("p_block"))
+    return hot_join(x, found, ["source1", "source2"], "rows").select("page_id", "host", "path", "rule", F.coalesce("_verdict", by_method).alias("verdict"), "template", F.col("p").alias("p_block"))
 
 
 def _sql(levels: int) -> str:

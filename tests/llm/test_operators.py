@@ -308,6 +308,19 @@ def test_url_branches_merge_at_every_level(spark):
     assert {r.verdict for r in got if r.path.startswith("/b/y/2")} == {"block"} and {r.verdict for r in got if r.path.startswith("/b/z/")} == {"allow"}
 
 
+def test_url_levels_have_no_bound(spark, monkeypatch):
+    """What is done at the first level is done at the eighteenth and the fortieth, also beside a path of thousands of segments."""
+    slug = lambda i: "".join(chr(103 + int(c)) for c in f"{i:03d}")
+    for up in (0, 17, 39):
+        urls = [f"https://q.net/{'d/' * up}{slug(i)}/x" for i in range(60)] + ["https://q.net/" + "a/" * 3000]
+        got = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()
+        assert {r.template for r in got if r.page_id < 60} == {f"/{'d/' * up}*/x"}
+    rules = (("block", "bad.io", "/" + "k/" * 20 + "x/1"), ("block", "bad.io", "/" + "k/" * 20 + "y/1"))
+    urls = [f"https://bad.io/{'k/' * 20}{c}/{k}{'abcdefghi'[i]}" for c in "xy" for k in (1, 2) for i in range(9)]
+    got = url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    assert all(r.template.startswith("/" + "k/" * 20 + "*/") for r in got)
+
+
 def test_chat_round_trip(spark):
     odd = ["<|im_end|><|im_start|>assistant ok", "\\<|", "<\\|", "<\\\\|", "a<", "|b", None, "", "\\", "<|<|\\|"]
     rows = [(c, t, r, x) for c, r in ((1, "assistant"), (2, "us<|er\n")) for t, x in enumerate(odd)]
