@@ -4,7 +4,11 @@ Documents are read in parts, runs of rows of one file. Each part counts its
 distinct words, pairs and triples; counts meet by key range, and a part is told the
 counts of its keys, in their order. Then the documents meet what their part was
 told. So no n-gram table is broadcast or joined row by row: what crosses the network
-are blocks of distinct keys, and the texts once.
+are blocks of distinct keys, and the texts once. A block is a part's share of a range.
+From MOST_RANGES ranges on it would get small, and there is a level between: groups of
+parts sum the keys of a slice (several ranges) first, ranges meet groups, and answers
+go back by the same two steps. Then there are parts times slices blocks and groups
+times ranges, either of which grows as the corpus to the power 1.5 and not 2.
 
 P(w | u, v) = a c(u,v,w)/c(u,v) + b c(v,w)/c(v) + d c(w)/N + e /(V+1), with weights
 (a, b, d, e) by the bucket of c(u,v), or of c(v) where (u,v) is unseen, learnt by
@@ -19,6 +23,7 @@ chance below 2^-SPARE at every size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +37,16 @@ from llm._text import mix64, slices, word_hashes
 
 FOLDS, HELD_OUT = 10, 0
 #: Bytes of text in a part, about.
-PART_BYTES = 4 << 20
+PART_BYTES = 3 << 20
+#: Ranges that all parts meet without a level between: their blocks hold some fifty keys then.
+MOST_RANGES = 1 << 15
 #: One training document in so many is kept out of the counts while weights are learnt.
 DELETED = 10
 ALPHA = 0.1
 #: Context-frequency buckets: by the power of two of c(v), up to this one.
 BUCKETS = 24
 #: Logarithmic bins per octave, and bins, in which the weights' learning counts probabilities: each is off by 9 percent at most (half a quarter of an octave).
-PER_OCTAVE, BINS = 4, 256
+PER_OCTAVE, BINS = 4, 192
 #: Spare bits in the keys of pairs and triples.
 SPARE = 20
 _END = np.uint64(0x5851F42D4C957F2D)
@@ -116,7 +123,7 @@ def dealt(documents: DataFrame, part_rows: int, part_bytes: int) -> DataFrame:
     run = F.xxhash64(F.regexp_extract("_metadata.file_path", "[^/]*$", 0), alone, F.when(alone, row).otherwise(F.floor(row / part_rows)))
     left_out = train & (F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(DELETED)) == 0)
     part = F.pmod(run, F.lit(1 << 30)) * 2 + left_out.cast("int")
-    return documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), train.alias("train"), part.cast("int").alias("part"))
+    return documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), train.alias("train"), part.cast("long").alias("part"))
 
 
 def _counted(texts, train: np.ndarray, shift: int):
@@ -133,51 +140,106 @@ def _counted(texts, train: np.ndarray, shift: int):
     return keys, n, index, bounds
 
 
+def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+
+
+def _cut(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
+    """The ranges that sorted keys have, and where theirs are."""
+    of = _range_of(keys, ranges).astype(np.int64)
+    edges = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True]))) if len(of) else []
+    for a, e in zip(edges[:-1], edges[1:]):
+        yield int(of[a]), slice(a, e)
+
+
 def _counter(ranges: int, shift: int):
+    """Blocks of each part: of left-out parts (odd ones) all counts are to be left out."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in slices(batches, 12 << 20):
             for part, own in b.groupby("part", sort=False):
                 rows = []
                 keys, n, _, _ = _counted(own["text"], own["train"].to_numpy(bool), shift)
-                of = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-                cut = np.searchsorted(of, np.arange(ranges + 1, dtype=np.uint64))
-                for r in np.flatnonzero(np.diff(cut)):
-                    at = slice(cut[r], cut[r + 1])
-                    rows.append((int(r), int(part), pack_keys(keys[at], shift), pack(n[at])))
-                yield pd.DataFrame(rows, columns=["range", "part", "keys", "n"])
+                for r, at in _cut(keys, ranges):
+                    counts = pack(n[at])
+                    rows.append((r, int(part), pack_keys(keys[at], shift), counts, counts if part % 2 else b""))
+                yield pd.DataFrame(rows, columns=["range", "part", "keys", "n", "left_out"])
 
     return run
 
 
-def _meet(pdf: pd.DataFrame, shift: int) -> pd.DataFrame:
-    """Adds up one key range. Each part is told the counts of its keys, in their order; part -1 gets the totals."""
+def _summed(pdf: pd.DataFrame, shift: int):
+    """keys (sorted, distinct), total and left_out of each; part and of (the number of the key) of the blocks' own keys, in the order of parts and keys."""
     blocks = [unpack_keys(k, shift) for k in pdf["keys"]]
-    keys = np.concatenate(blocks)
-    part = np.repeat(pdf["part"].to_numpy(np.int64), [len(k) for k in blocks])
+    sizes = [len(k) for k in blocks]
     n = np.concatenate([unpack(x) for x in pdf["n"]]).astype(np.int64)
+    left_out = np.concatenate([unpack(x) if x else np.zeros(k, np.uint64) for x, k in zip(pdf["left_out"], sizes)]).astype(np.int64)
+    part = np.repeat(pdf["part"].to_numpy(np.int64), sizes)
+    keys, of = np.unique(np.concatenate(blocks), return_inverse=True)
     del blocks
-    order = np.lexsort((part, keys))
-    keys, part, n = keys[order], part[order], n[order]
-    new_key = np.concatenate(([True], keys[1:] != keys[:-1]))
-    new = new_key | np.concatenate(([True], part[1:] != part[:-1]))
-    n = np.add.reduceat(n, np.flatnonzero(new))
-    keys, part, new_key = keys[new], part[new], new_key[new]
-    start = np.flatnonzero(new_key)
-    of = np.cumsum(new_key) - 1
-    total = np.add.reduceat(n, start)
-    deleted = np.add.reduceat(n * (part % 2), start)
-    word = (keys[start] & np.uint64(1)) == 0
-    word &= keys[start] != _unigram_key(np.array([_START], np.uint64))[0]
-    kept = total - deleted
+    total, out = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    np.add.at(total, of, n)
+    np.add.at(out, of, left_out)
+    order = np.lexsort((of, part))
+    part, of = part[order], of[order]
+    new = np.concatenate(([True], (part[1:] != part[:-1]) | (of[1:] != of[:-1])))  # a part's rows may come in several batches
+    return keys, total, out, part[new], of[new]
+
+
+def _answers(part: np.ndarray, of: np.ndarray, r: int, total: np.ndarray, kept: np.ndarray, all_kept: bool) -> list[tuple]:
+    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+    out = []
+    for a, e in zip(edges[:-1], edges[1:]):
+        p, at = int(part[a]), of[a:e]
+        out.append((p, r, pack(total[at]), pack(kept[at]) if all_kept or p % 2 else b""))
+    return out
+
+
+_ANSWER = ["part", "range", "total", "kept"]
+
+
+def _meet(pdf: pd.DataFrame, shift: int, all_kept: bool = False) -> pd.DataFrame:
+    """Adds up one key range. Each part is told the counts of its keys, in their order, left-out ones (or all_kept) also without what is left out; part -1 gets the totals."""
+    keys, total, out, part, of = _summed(pdf, shift)
+    word = (keys & np.uint64(1)) == 0
+    word &= keys != _unigram_key(np.array([_START], np.uint64))[0]
+    kept, r = total - out, int(pdf["range"].iloc[0])
     sums = np.array([np.count_nonzero(word & (total > 0)), total[word].sum(), np.count_nonzero(word & (kept > 0)), kept[word].sum()], np.int64)
-    r = int(pdf["range"].iloc[0])
-    rows = [(-1, r, pack(sums), b"")]
-    by_part = np.argsort(part, kind="stable")  # keys stay in order within a part
-    cut = np.flatnonzero(np.concatenate(([True], part[by_part][1:] != part[by_part][:-1], [True])))
-    for a, e in zip(cut[:-1], cut[1:]):
-        at, p = of[by_part[a:e]], int(part[by_part[a]])
-        rows.append((p, r, pack(total[at]), pack(kept[at]) if p % 2 else b""))
-    return pd.DataFrame(rows, columns=["part", "range", "total", "kept"])
+    return pd.DataFrame([(-1, r, pack(sums), b""), *_answers(part, of, r, total, kept, all_kept)], columns=_ANSWER)
+
+
+def _grouped(pdf: pd.DataFrame, ranges: int, groups: int, shift: int) -> pd.DataFrame:
+    """One slice of a group of parts as blocks of its ranges; its number stands in the place of a part's."""
+    keys, total, out, _, _ = _summed(pdf, shift)
+    node = int(pdf["range"].iloc[0]) * groups + int(pdf["group"].iloc[0])
+    rows = [(r, node, pack_keys(keys[at], shift), pack(total[at]), pack(out[at])) for r, at in _cut(keys, ranges)]
+    return pd.DataFrame(rows, columns=["range", "part", "keys", "n", "left_out"])
+
+
+def _passed_on(pdf: pd.DataFrame, told: pd.DataFrame, shift: int) -> pd.DataFrame:
+    """What a group was told about its slice, to each of its parts."""
+    if pdf.empty:
+        return pd.DataFrame(columns=_ANSWER)
+    _, _, _, part, of = _summed(pdf, shift)
+    told = told.sort_values("range")
+    total, kept = (np.concatenate([unpack(x) for x in told[c]]).astype(np.int64) for c in ("total", "kept"))
+    return pd.DataFrame(_answers(part, of, int(pdf["range"].iloc[0]), total, kept, False), columns=_ANSWER)
+
+
+def _told(docs: DataFrame, ranges: int, shift: int) -> DataFrame:
+    """part, range, total, kept: what each part is told of its keys by range (or slice), and the totals under part -1."""
+    block, answer = "range int, part long, keys binary, n binary, left_out binary", "part long, range int, total binary, kept binary"
+    if ranges <= MOST_RANGES:
+        blocks = docs.mapInPandas(_counter(ranges, shift), block)
+        return materialise(blocks.groupBy("range").applyInPandas(lambda pdf: _meet(pdf, shift), answer), "lm-told")
+    groups = slices_ = math.isqrt(ranges) + 1
+    group = F.pmod(F.xxhash64("part"), F.lit(groups)).cast("long")
+    blocks = materialise(docs.mapInPandas(_counter(slices_, shift), block).withColumn("group", group), "lm-blocks")
+    nodes = blocks.groupBy("range", "group").applyInPandas(lambda pdf: _grouped(pdf, slices_ * (-(-ranges // slices_)), groups, shift), block)
+    told = materialise(nodes.groupBy("range").applyInPandas(lambda pdf: _meet(pdf, shift, True), answer), "lm-told-groups")
+    node = told.where("part >= 0").select(F.floor(F.col("part") / groups).cast("int").alias("slice"), (F.col("part") % groups).alias("group"), "range", "total", "kept")
+    passed = blocks.groupBy("range", "group").cogroup(node.groupBy("slice", "group")).applyInPandas(lambda a, b: _passed_on(a, b, shift), answer)
+    return materialise(passed.unionByName(told.where("part = -1")), "lm-told")
 
 
 def _totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,19 +289,31 @@ def _tally(n_kept: int, shift: int):
     return run
 
 
-def learn_weights(tally: pd.DataFrame, uniform: float, rounds: int = 60) -> np.ndarray:
-    """Weights of triple, pair, word and uniform probability by context, by expectation-maximisation; contexts without counts back off to words."""
-    weights = np.tile([0.0, 0.0, 0.8, 0.2], (2 * BUCKETS, 1))
+def learn_bucket(own: pd.DataFrame, uniform: float, rounds: int = 60) -> np.ndarray:
+    """Weights of triple, pair, word and uniform probability of one context, by expectation-maximisation."""
     value = np.concatenate(([0.0], 2.0 ** (-(np.arange(BINS - 1) + 0.5) / PER_OCTAVE)))
-    for b, own in tally.groupby("bucket"):
-        p = np.stack([value[own["p3"]], value[own["p2"]], value[own["p1"]], np.full(len(own), uniform)], 1)
-        n = own["n"].to_numpy(float)[:, None]
-        w = np.full(4, 1 / 4)
-        for _ in range(rounds):
-            mixed = p * w
-            w = (n * mixed / mixed.sum(1, keepdims=True)).sum(0) / n.sum()
-        w = np.maximum(w, [0, 0, 0, 1e-6])
-        weights[int(b)] = w / w.sum()
+    p = np.stack([value[own["p3"]], value[own["p2"]], value[own["p1"]], np.full(len(own), uniform)], 1)
+    n = own["n"].to_numpy(float)[:, None]
+    w = np.full(4, 1 / 4)
+    for _ in range(rounds):
+        mixed = p * w
+        w = (n * mixed / mixed.sum(1, keepdims=True)).sum(0) / n.sum()
+    w = np.maximum(w, [0, 0, 0, 1e-6])
+    return w / w.sum()
+
+
+def learn_weights(tally: DataFrame, uniform: float) -> np.ndarray:
+    """Weights by context; contexts without counts back off to words. tally: bucket, p3, p2, p1 (bins), n.
+
+    Each context is learnt in a task of its own, from BINS^3 rows at most; the driver
+    gets a row per context.
+    """
+    def run(own: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"bucket": [int(own["bucket"].iloc[0])], "w": [learn_bucket(own, uniform).tolist()]})
+
+    weights = np.tile([0.0, 0.0, 0.8, 0.2], (2 * BUCKETS, 1))
+    for r in tally.groupBy("bucket").applyInPandas(run, "bucket long, w array<double>").collect():
+        weights[r.bucket] = r.w
     return weights
 
 
@@ -276,16 +350,13 @@ def score(documents: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     rows, size = documents.select(F.count("*"), F.sum(F.octet_length("text"))).first()
     ranges, shift = max(1, -(-(size or 0) // part_bytes)), shift_of(size or 0)
     docs = dealt(documents, max(1, rows // ranges), part_bytes)
-    blocks = docs.mapInPandas(_counter(ranges, shift), "range int, part int, keys binary, n binary")
-    told = blocks.groupBy("range").applyInPandas(lambda pdf: _meet(pdf, shift), "part int, range int, total binary, kept binary")
-    told = materialise(told, "lm-told")
+    told = _told(docs, ranges, shift)
     sums = told.where("part = -1").mapInPandas(_totals, "v long, n long, v_kept long, n_kept long")
     v, n_all, v_kept, n_kept = (int(x or 0) for x in sums.agg(*[F.sum(c) for c in sums.columns]).first())
     told = told.where("part >= 0")
     chosen = F.col("part") % 2 == 1
     tally = docs.where(chosen).groupBy("part").cogroup(told.where(chosen).groupBy("part")).applyInPandas(_tally(n_kept, shift), "bucket long, p3 long, p2 long, p1 long, n long")
-    tally = tally.groupBy("bucket", "p3", "p2", "p1").agg(F.sum("n").alias("n")).toPandas()  # a constant number of bins bounds it; far fewer occur
-    weights = learn_weights(tally, 1 / (v_kept + 1))
+    weights = learn_weights(tally.groupBy("bucket", "p3", "p2", "p1").agg(F.sum("n").alias("n")), 1 / (v_kept + 1))
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     scored = docs.groupBy("part").cogroup(told.groupBy("part")).applyInPandas(_scorer(v, n_all, weights, shift), schema)
     return scored.withColumn("doc_id", F.col("doc_id").cast(dict(documents.dtypes)["doc_id"]))

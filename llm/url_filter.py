@@ -101,8 +101,8 @@ def _wildcards(x: DataFrame, rows: int, scratch: list[str]) -> DataFrame:
         if level is not None:
             found = hot_join(x.select("*", *_up(F.lit(level))), crowds.where(wide & (F.col("level") == level)).select("up1", "up2", F.col("n").alias("size"), F.lit(True).alias("wide")), ["up1", "up2"], "size", "left", total=rows)
             star = F.when(F.col("wide") & (F.size("segments") >= level), _with(level, F.lit("*"))).otherwise(F.col("segments"))
-            x = materialise(found.withColumn("segments", star).select(*x.columns), "url-wild", scratch)
             first = level + 1
+            x = materialise(found.withColumn("segments", star).select(*x.columns), "url-wild", scratch)
         elif deepest is None or deepest < first + AT_ONCE - 1:
             return x
         else:
@@ -152,20 +152,20 @@ def _merged(x: DataFrame, rows: int, scratch: list[str]) -> DataFrame:
         keyed = x.withColumns({"level": F.lit(level), "segment": F.get("segments", F.lit(level - 1))})
         found = hot_join(keyed.select(*x.columns, *_siblings(keyed)[1:]), alike, [*on, "here"], "size", "left", total=rows)
         star = F.when(F.col("alike") & (F.size("segments") >= level), _with(level, F.lit("*"))).otherwise(F.col("segments"))
-        x, pools = materialise(found.withColumn("segments", star).select(*x.columns), "url-merged", scratch), None
+        pools = None
+        x = materialise(found.withColumn("segments", star).select(*x.columns), "url-merged", scratch)
 
 
 def templates(counts: DataFrame, scratch: list[str]) -> DataFrame:
     """source1, source2, template, p (smoothed share of blocked paths), rows. counts: source1, source2, host, segments (as they are), paths, bad, good, rows."""
-    rows = counts.count()
+    rows, bad, good = counts.agg(F.count("*"), F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))).first()
     x = _wildcards(counts, rows, scratch)
     x = x.select("*", *_two("shape", F.col("segments")))
     x = _merged(x, rows, scratch)
     x = x.select("*", *_two("node", F.col("host"), F.col("segments")))
     node = materialise(x.groupBy("node1", "node2").agg(F.sum("bad").alias("node_bad"), F.sum("good").alias("node_good"), F.count("*").alias("size")), "url-nodes", scratch)
     shape = materialise(x.groupBy("shape1", "shape2").agg(F.sum("bad").alias("shape_bad"), F.sum("good").alias("shape_good"), F.count("*").alias("size")), "url-shapes", scratch)
-    every = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")).first()
-    p0 = F.lit((every["b"] + 1) / (every["b"] + every["g"] + 2))
+    p0 = F.lit((bad + 1) / (bad + good + 2))
     p1 = (F.col("shape_bad") + PRIOR * p0) / (F.col("shape_bad") + F.col("shape_good") + PRIOR)
     p2 = (F.col("node_bad") + PRIOR * p1) / (F.col("node_bad") + F.col("node_good") + PRIOR)
     x = hot_join(hot_join(x, node, ["node1", "node2"], "size", total=rows).drop("size"), shape, ["shape1", "shape2"], "size", total=rows).drop("size")

@@ -449,4 +449,4 @@ def test_interleaved_sequences(spark):
 def test_queries_are_whole(spark):
     from llm import queries
 
-    assert {q.split("_")[0] for q in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.queries()} == {f"op{i}" for i in range(1, 14)}

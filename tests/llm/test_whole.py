@@ -97,7 +97,7 @@ def test_lm_score_by_brute_force(spark, monkeypatch):
         assert got[i] == pytest.approx(want, rel=1e-9), i
 
 
-def test_weights_by_plain_expectation_maximisation():
+def test_weights_by_plain_expectation_maximisation(spark):
     rng = np.random.default_rng(4)
     p3, p2 = rng.choice([0, 1, 0.5, 0.01], 4000), rng.choice([0, 1, 0.5, 0.25, 1 / 3, 0.01], 4000)
     p1, uniform = rng.uniform(1e-6, 0.05, 4000), 1e-5
@@ -106,8 +106,22 @@ def test_weights_by_plain_expectation_maximisation():
         m = np.stack([p3, p2, p1, np.full(4000, uniform)], 1) * w
         w = (m / m.sum(1, keepdims=True)).mean(0)
     code, n = np.unique(np.stack([lm_score._bins(p) for p in (p3, p2, p1)]), axis=1, return_counts=True)
-    got = lm_score.learn_weights(pd.DataFrame({"bucket": 30, "p3": code[0], "p2": code[1], "p1": code[2], "n": n}), uniform)
-    assert np.abs(got[30] - w).max() < 0.03 and np.allclose(got.sum(1), 1)
+    tally = pd.DataFrame({"bucket": 30, "p3": code[0], "p2": code[1], "p1": code[2], "n": n})
+    assert np.abs(lm_score.learn_bucket(tally, uniform) - w).max() < 0.03
+    got = lm_score.learn_weights(spark.createDataFrame(tally), uniform)
+    assert np.abs(got[30] - w).max() < 0.03 and np.allclose(got.sum(1), 1) and (got[29] == [0, 0, 0.8, 0.2]).all()
+
+
+def test_lm_score_with_a_level_between(spark, tmp_path, monkeypatch):
+    """The same scores, and fewer blocks: parts times slices and groups times ranges."""
+    docs(spark, corpus(200)).write.parquet(str(tmp_path / "d"))
+    d, blocks = spark.read.parquet(str(tmp_path / "d")), []
+    counter = lm_score._counter
+    monkeypatch.setattr(lm_score, "_counter", lambda ranges, shift: blocks.append(ranges) or counter(ranges, shift))
+    one = {r.doc_id: tuple(r) for r in lm_score.score(d, part_bytes=400).collect()}
+    monkeypatch.setattr(lm_score, "MOST_RANGES", 4)
+    two = {r.doc_id: tuple(r) for r in lm_score.score(d, part_bytes=400).collect()}
+    assert one == two and blocks[1] ** 2 < 2 * blocks[0] + 30 and blocks[0] > 60
 
 
 def test_packed_keys():
