@@ -3,6 +3,7 @@
 import decimal
 import json
 import struct
+import time
 
 import numpy as np
 import pandas as pd
@@ -11,12 +12,12 @@ from pyspark.sql import functions as F
 
 from tidelog import Config, Engine
 from tidelog.config import FlowControl, Mitigation, Selection, parse_seed
-from tidelog.errors import CheckpointError, CheckpointStoreError, CollectionError, InvalidConfiguration, RollbackRequired, StreamError
+from tidelog.errors import CheckpointError, CheckpointStoreError, CollectionError, InvalidConfiguration, PersistenceError, RollbackRequired, StreamError
 from tidelog.functions import columns, wire
 from tidelog.operators import ack, collections, filters, gate, membership, metrics, order, rollback, topology
 from tidelog.plans.catalogue import encode_frame, leb128
 from tidelog.sources import checkpoints, files
-from tidelog.streaming import order as streamed
+from tidelog.streaming.held import Versions
 
 ROW = "shard int, arrival bigint, kind string, seqno bigint, snap_start bigint, snap_end bigint"
 
@@ -44,6 +45,29 @@ def test_order_labels(spark):
     assert got[(3, 32)] == ("marker_behind", False)
 
 
+def fold(state: tuple, rows: pd.DataFrame, stop: int | None = None) -> tuple[tuple, pd.DataFrame]:
+    """The order rules over one shard's rows, sorted by arrival, one after the other. stop: the stream's end."""
+    start, end, last, stopped = state
+    out = []
+    for arrival, kind, seqno, s, e in rows[["arrival", "kind", "seqno", "snap_start", "snap_end"]].itertuples(index=False):
+        violation, seqno = None, None if pd.isna(seqno) else int(seqno)
+        was = stopped
+        if kind == "snapshot_marker":
+            start, end = int(s), int(e)
+            violation = "marker_behind" if end < last else "marker_beyond_end" if stop is not None and end > stop else None
+        elif seqno is not None:
+            if end is None:
+                violation = "no_snapshot"
+            elif not start <= seqno <= end or (stop is not None and seqno > stop):
+                violation = "outside"
+            elif seqno <= last:
+                violation = "non_monotonic"
+            last = max(last, seqno)
+        out.append((arrival, kind, seqno, start, end, violation, was))
+        stopped = stopped or violation is not None or kind == "stream_end"
+    return (start, end, last, stopped), pd.DataFrame(out, columns=["arrival", "kind", "seqno", "snap_start", "snap_end", "violation", "unreached"])
+
+
 def test_window_and_fold_agree(spark):
     rng = np.random.default_rng(3)
     rows = []
@@ -58,7 +82,7 @@ def test_window_and_fold_agree(spark):
                 rows.append(event(at, seqno, shard))
     want = order.check_order(spark.createDataFrame(rows, ROW)).toPandas().sort_values(["shard", "arrival"])
     for shard, own in pd.DataFrame(rows, columns=["shard", "arrival", "kind", "seqno", "snap_start", "snap_end"]).groupby("shard"):
-        _, out = streamed.fold((None, None, 0, False), own.sort_values("arrival"))
+        _, out = fold((None, None, 0, False), own.sort_values("arrival"))
         w = want[want["shard"] == shard]
         assert [x or None for x in out["violation"]] == [None if pd.isna(x) else x for x in w["violation"]]
         assert out["unreached"].tolist() == w["unreached"].tolist()
@@ -206,8 +230,10 @@ def test_configuration():
 def test_batch_run_records_progress(spark, tmp_path):
     log = spark.createDataFrame([(*marker(1, 1, 3), 5), (*event(2, 1), 5), (*event(3, 2), 5), (*event(4, 2), 5), (*event(5, 3), 5)], ROW + ", cas bigint")
     store, got = checkpoints.FileStore(str(tmp_path / "c.json")), []
-    Engine(spark, Config("b", bucket_uuid="u"), store).run_batch(log, lambda df: got.extend(r.arrival for r in df.collect()))
-    assert sorted(got) == [1, 2, 3]
+    engine = Engine(spark, Config("b", bucket_uuid="u"), store)
+    with pytest.raises(StreamError, match="shard 0: non_monotonic at arrival 4"):
+        engine.run_batch(log, lambda df: got.extend(r.arrival for r in df.collect()))
+    assert sorted(got) == [1, 2, 3] and engine.statuses()[0]["stopped"] == "non_monotonic"
     assert store.load("u", [0])[0]["seqno"] == 2
 
 
@@ -231,20 +257,144 @@ def test_stream_equals_batch(spark, tmp_path):
     sub = engine.subscribe(files.stream(spark, str(tmp_path / "log"), schema=schema), lambda df, _: got.extend((r.shard, r.arrival) for r in df.collect()), str(tmp_path / "ck"))
     with pytest.raises(StreamError):
         engine.subscribe(None, None, "")
-    sub.query.awaitTermination(120)
-    sub.close()
+    with pytest.raises(StreamError, match="shard 1: outside"):
+        sub.wait(120)
+    with pytest.raises(StreamError):
+        sub.close()
     assert sorted(got) == [(0, 1), (0, 2), (0, 3), (1, 1)]
     assert engine.store.load("u", [0, 1])[0]["seqno"] == 2
     assert files.scan(spark, str(tmp_path / "log"), shards=[1], schema=schema).count() == 3
 
 
+def stream_of(spark, path, rows, parts=1, at_once=1):
+    """A stream over rows whose files are taken one at a time, in the order of arrival."""
+    log = spark.createDataFrame(rows, ROW)
+    cuts = np.array_split(sorted({r[1] for r in rows}), parts)
+    for c in cuts:
+        files.write_log(log.where(F.col("arrival").isin([int(x) for x in c])).coalesce(1), path)
+        time.sleep(0.02)  # files are ordered by their time
+    return files.stream(spark, path, schema=ROW, files_per_trigger=at_once)
+
+
+def test_stream_raises_a_violation_of_order(spark, tmp_path):
+    """What lies before a violation is delivered and recorded, then the stream fails; what comes after it is not delivered."""
+    rows = [marker(0, 0, 10), event(1, 1), event(2, 5), event(3, 4), event(4, 6), marker(0, 0, 10, 1), event(1, 1, 1)]
+    store, got = checkpoints.FileStore(str(tmp_path / "c.json")), []
+    engine = Engine(spark, Config("b", mode="finite", bucket_uuid="u"), store)
+    sub = engine.subscribe(stream_of(spark, str(tmp_path / "log"), rows), lambda df, _: got.extend((r.shard, r.seqno) for r in df.collect() if r.seqno), str(tmp_path / "ck"))
+    with pytest.raises(StreamError, match="shard 0: non_monotonic at arrival 3, seqno 4"):
+        sub.wait(120)
+    with pytest.raises(StreamError, match="non_monotonic"):
+        sub.close()
+    assert [s for s in got if s[0] == 0] == [(0, 1), (0, 5)] and store.load("u", [0])[0]["seqno"] == 5
+    assert engine.statuses()[0] == {"processed": 5, "durable": 5, "dirty": False, "stopped": "non_monotonic"}
+
+
+def test_carried_order_equals_the_window_form(spark, tmp_path):
+    """Random logs cut into micro-batches: every row has the label of the whole log, until the first violation ends the stream."""
+    rng = np.random.default_rng(12)
+    for trial in range(3):
+        rows = []
+        for shard in range(4):
+            seqno = 0
+            for at in range(30):
+                if at % 5 == 0:
+                    rows.append(marker(at, seqno + 1, seqno + 8, shard))
+                elif shard != trial or at < 20 or rng.random() < 0.7:
+                    seqno += 1
+                    rows.append(event(at, seqno, shard))
+                else:
+                    rows.append(event(at, max(1, seqno - 1), shard))
+        want = order.check_order(spark.createDataFrame(rows, ROW)).collect()
+        bad = sorted((r.shard, r.arrival, r.violation) for r in want if r.violation and not r.unreached)
+        got, path = [], tmp_path / str(trial)
+        engine = Engine(spark, Config("b", mode="finite", bucket_uuid="u"), checkpoints.NoopStore())
+        sub = engine.subscribe(stream_of(spark, str(path / "log"), rows, 4), lambda df, _: got.extend((r.shard, r.arrival, r.snap_start, r.snap_end) for r in df.collect()), str(path / "ck"))
+        if bad:
+            with pytest.raises(StreamError):
+                sub.wait(120)
+            first = {s: (a, v) for s, a, v in bad}
+            assert engine.stopped and all(first[s][1] == v for s, v in engine.stopped.items())
+            assert {(r.shard, r.arrival, r.snap_start, r.snap_end) for r in want if r.shard in engine.stopped and r.arrival < first[r.shard][0]} <= set(got)
+        else:
+            sub.wait(120)
+        assert set(got) <= {(r.shard, r.arrival, r.snap_start, r.snap_end) for r in want if r.violation is None and not r.unreached}
+        engine.subscription = None
+        sub.query.stop()
+
+
+def test_a_finite_stream_must_reach_its_ends(spark, tmp_path):
+    rows = [marker(0, 1, 9), event(1, 1), event(2, 2), marker(0, 1, 3, 1), event(1, 1, 1), event(2, 3, 1)]
+    starts = spark.createDataFrame([(0, 0, 9), (1, 0, 3)], "shard int, start_seqno bigint, end_seqno bigint")
+    engine = Engine(spark, Config("b", mode="finite", bucket_uuid="u"), checkpoints.NoopStore())
+    sub = engine.subscribe(stream_of(spark, str(tmp_path / "log"), rows), lambda df, _: df.count(), str(tmp_path / "ck"), starts=starts)
+    with pytest.raises(StreamError, match="shard 0 ended at 2 of 9"):
+        sub.wait(120)
+    with pytest.raises(StreamError, match="shard 0 ended at 2 of 9"):
+        sub.close()
+    sub = engine.subscribe(stream_of(spark, str(tmp_path / "log"), [event(3, 9)]), lambda df, _: df.count(), str(tmp_path / "ck"), starts=starts)
+    sub.wait(120)
+    sub.close()
+    assert engine.statuses()[0]["processed"] == 9
+
+
+def held_stream(spark, tmp_path, marks, stall_s=1.5, sink=None):
+    rows = [marker(0, 1, 9), event(1, 1), event(2, 2), marker(0, 1, 3, 1), event(1, 1, 1)]
+    config = Config("b", mode="finite", bucket_uuid="u", mitigation=Mitigation(poll_s=0.1, request_s=0.2, stall_s=stall_s))
+    engine = Engine(spark, config, checkpoints.NoopStore())
+    return engine, engine.subscribe(stream_of(spark, str(tmp_path / "log"), rows, at_once=9), sink, str(tmp_path / "ck"), marks=marks)
+
+
+MARKS = "shard int, watermark bigint, changed boolean, error string"
+
+
+def test_a_stalled_shard_fails_the_wait(spark, tmp_path):
+    got, sink = [], lambda df, _: got.extend((r.shard, r.seqno) for r in df.collect() if r.seqno)
+    engine, sub = held_stream(spark, tmp_path, spark.createDataFrame([(0, 1, False, "no answer"), (1, 9, False, None)], MARKS), sink=sink)
+    with pytest.raises(PersistenceError, match="shard 0: not safe within 1.5 s: no answer"):
+        sub.wait(120)
+    assert sorted(got) == [(0, 1), (1, 1)] and engine.statuses()[0]["processed"] == 1
+    assert len(Versions(spark, str(tmp_path / "ck-held")).numbers()) <= 3
+
+
+def test_a_changed_branch_fails_the_wait(spark, tmp_path):
+    got, sink = [], lambda df, _: got.extend((r.shard, r.seqno) for r in df.collect() if r.seqno)
+    _, sub = held_stream(spark, tmp_path, spark.createDataFrame([(0, None, True, None), (1, 9, False, None)], MARKS), 60, sink)
+    with pytest.raises(PersistenceError, match="shard 0: the branch has changed"):
+        sub.wait(120)
+    assert sorted(got) == [(1, 1)]
+
+
+def test_held_rows_are_released_while_waiting(spark, tmp_path):
+    got, now = [], {"at": 0}
+
+    def marks():
+        now["at"] += 1
+        return spark.createDataFrame([(0, 0 if now["at"] < 4 else 9, False, None), (1, 9, False, None)], MARKS)
+
+    engine, sub = held_stream(spark, tmp_path, marks, 60, lambda df, _: got.extend((r.shard, r.seqno) for r in df.collect() if r.seqno))
+    sub.wait(120)
+    sub.close()
+    assert sorted(got) == [(0, 1), (0, 2), (1, 1)] and engine.holding == 0 and now["at"] >= 4
+
+
+def test_versions_do_not_pile_up(spark, tmp_path):
+    v = Versions(spark, str(tmp_path / "v"))
+    for epoch in range(5):
+        v.write(spark.range(epoch), epoch)
+        v.write(spark.range(epoch + 10), -1)
+    assert v.numbers() == [(3, 1), (4, 0), (4, 1)] and v.before(4).count() == 13 and v.before(-1).count() == 14
+    v.write(spark.range(7), 4)  # a repeated micro-batch
+    assert v.before(4).count() == 13 and (4, 0) in v.numbers()
+
+
 def test_progress_stops_where_delivery_does(spark, tmp_path):
     full = ROW + ", cas bigint, collection_id bigint"
     rows = [(*marker(1, 1, 9, s), None, None) for s in range(3)] + [(*event(i + 1, i, s), 5 * 10**9 if i == 1 else 10**18, 8 + (s == 1 and i == 3)) for s in range(3) for i in range(1, 6)]
     marks = spark.createDataFrame([(0, 3), (1, 9), (2, 0)], "shard int, watermark bigint")
     dim = collections.parse_manifest(spark.createDataFrame([(json.dumps({"uid": "1", "scopes": [{"uid": "8", "name": "s", "collections": [{"uid": "8", "name": "c"}]}]}),)], "json string"))
     store, got = checkpoints.FileStore(str(tmp_path / "c.json")), []
-    Engine(spark, Config("b", bucket_uuid="u", skip_until_ns=6 * 10**9), store).run_batch(spark.createDataFrame(rows, full), lambda df: got.extend((r.shard, r.seqno) for r in df.collect() if r.seqno), marks, dim)
+    Engine(spark, Config("b", bucket_uuid="u", skip_until_ns=6 * 10**9), store).run_batch(spark.createDataFrame(rows, full), lambda df: got.extend((r.shard, r.seqno) for r in df.collect() if r.seqno), marks, dim, strict=False)
     assert sorted(got) == [(0, 2), (0, 3), (1, 2)]
     assert {k: c["seqno"] for k, c in store.load("u", [0, 1, 2]).items()} == {0: 3, 1: 2}
 
@@ -372,7 +522,7 @@ def test_stream_equals_batch_in_gate_cutoff_and_names(spark, tmp_path):
     with pytest.raises(Exception, match="unmapped_collection"):
         run()
     assert (1, 2, "c") in got and not [g for g in got if g[0] == 1 and g[1] > 2]
-    with pytest.raises(StreamError):
+    with pytest.raises(CollectionError):
         engine.subscription.close()
     assert store.load("u", [1])[1]["seqno"] == 2
 

@@ -21,24 +21,29 @@ def _spec(until=_UP_TO):
     return Window.partitionBy("shard").orderBy("arrival").rowsBetween(*until)
 
 
-def attach_snapshot(log: DataFrame) -> DataFrame:
-    """log with snap_start and snap_end of the last marker at or before each row."""
+def attach_snapshot(log: DataFrame, carried: bool = False) -> DataFrame:
+    """log with snap_start and snap_end of the last marker at or before each row; carried: else those in c_start and c_end."""
     marker = F.when(F.col("kind") == "snapshot_marker", F.struct("snap_start", "snap_end"))
     snap = F.last(marker, ignorenulls=True).over(_spec())
+    if carried:
+        snap = F.coalesce(snap, F.when(F.col("c_end").isNotNull(), F.struct(F.col("c_start").alias("snap_start"), F.col("c_end").alias("snap_end"))))
     return log.withColumn("_snap", snap).withColumns({"snap_start": F.col("_snap.snap_start"), "snap_end": F.col("_snap.snap_end")}).drop("_snap")
 
 
-def check_order(log: DataFrame, start_seqno=None, stream_end=None) -> DataFrame:
+def check_order(log: DataFrame, start_seqno=None, stream_end=None, carried: bool = False) -> DataFrame:
     """log with the snapshot attached, `violation` and `unreached`.
 
     start_seqno and stream_end are columns of log (null end: none). Labels, first
     that applies: a marker that ends before the last seqno or beyond the stream's
     end; an event before any marker; one outside its snapshot or beyond the end;
     a seqno not above the last. Rows after a shard's first violation, or after
-    its stream end, were not reached.
+    its stream end, were not reached. carried: log has what earlier rows of the shard
+    left, c_start, c_end, c_last and c_stopped (null for none), which go.
     """
-    x = attach_snapshot(log)
+    x = attach_snapshot(log, carried)
     start = F.lit(0) if start_seqno is None else F.coalesce(F.col(start_seqno), F.lit(0))
+    if carried:
+        start = F.greatest(start, F.coalesce("c_last", F.lit(0)))
     end = F.lit(None).cast("bigint") if stream_end is None else F.col(stream_end)
     prev = F.greatest(start, F.coalesce(F.max("seqno").over(_spec(_BEFORE)), F.lit(0)))
     x = x.withColumns({"_prev": prev, "_end": end})
@@ -49,7 +54,10 @@ def check_order(log: DataFrame, start_seqno=None, stream_end=None) -> DataFrame:
         .when(event & ((F.col("seqno") < F.col("snap_start")) | (F.col("seqno") > F.col("snap_end")) | F.coalesce(F.col("seqno") > F.col("_end"), F.lit(False))), "outside")
         .when(event & (F.col("seqno") <= F.col("_prev")), "non_monotonic")
     )
-    return stop_after(x.withColumn("violation", violation)).drop("_prev", "_end")
+    x = stop_after(x.withColumn("violation", violation)).drop("_prev", "_end")
+    if carried:
+        x = x.withColumn("unreached", F.col("unreached") | F.coalesce("c_stopped", F.lit(False))).drop("c_start", "c_end", "c_last", "c_stopped")
+    return x
 
 
 def stop_after(x: DataFrame) -> DataFrame:

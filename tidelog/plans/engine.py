@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.config import Config
-from tidelog.errors import CheckpointError, CollectionError, InvalidConfiguration, RollbackRequired, StreamError
+from tidelog.errors import CheckpointError, CollectionError, InvalidConfiguration, PersistenceError, RollbackRequired, StreamError, TimedOut
 from tidelog.functions.columns import before_cutoff
 from tidelog.operators import ack, collections, gate, order, rollback
 from tidelog.schema import DOCUMENTS
@@ -65,30 +67,70 @@ def _skipped(config: Config) -> Column:
 class Subscription:
     """A running stream and its progress."""
 
-    def __init__(self, engine: Engine, query: StreamingQuery, again: Callable[[], None]):
-        self.engine, self.query, self._again = engine, query, again
+    def __init__(self, engine: Engine, query: StreamingQuery, again: Callable[[], None], ends: dict[int, int]):
+        self.engine, self.query, self._again, self.ends = engine, query, again, ends
 
     def drain(self) -> None:
-        """Looks at held rows again, as new marks may have come without new events. Only between micro-batches (a finished or idle query)."""
+        """Looks at held rows again, as new marks may have come without new events; it waits for a micro-batch that runs."""
         self._again()
 
+    def wait(self, timeout_s: float | None = None) -> None:
+        """Until the stream ends and the gate holds nothing, looking at held rows every poll interval.
+
+        The stream's own error is raised as it is named by its stage; held rows that
+        wait longer than the stall time, or whose branch has changed, fail the wait; so
+        does a finite stream that ends before its shards' ends.
+        """
+        engine, until = self.engine, None if timeout_s is None else time.monotonic() + timeout_s
+        while True:
+            try:
+                ended = self.query.awaitTermination(max(0.05, engine.config.mitigation.poll_s))
+            except StreamingQueryException:
+                ended = True
+            self._raise_failed()
+            if engine.holding:
+                self.drain()
+            if ended and not engine.holding:
+                break
+            if until is not None and time.monotonic() >= until:
+                raise TimedOut(f"the stream has not ended in {timeout_s} s")
+        self._raise_short()
+
+    def _raise_failed(self) -> None:
+        if self.engine.failure is not None:
+            raise self.engine.failure
+        failed = self.query.exception()
+        if failed is not None:
+            raise StreamError(str(failed))
+
+    def short(self) -> dict[int, tuple[int, int]]:
+        """Shards of a finite stream that is at its end: processed seqno and the end that was not reached."""
+        done = {s: c["seqno"] for s, c in self.engine.processed.items()}
+        return {s: (done.get(s, 0), e) for s, e in self.ends.items() if done.get(s, 0) < e}
+
+    def _raise_short(self) -> None:
+        if short := self.short():
+            shard, (at, end) = min(short.items())
+            raise StreamError(f"shard {shard} ended at {at} of {end} ({len(short)} shards fell short)")
+
     def flush(self) -> int:
         return self.engine.flush()
 
     def statuses(self) -> dict[int, dict]:
-        """Per shard: processed and durable seqno, and whether they differ in anything."""
+        """Per shard: processed and durable seqno, whether they differ in anything, and what stopped it (else None)."""
         return self.engine.statuses()
 
     def close(self) -> None:
-        """Stops and flushes; the stream's own error comes before one of the flush."""
+        """Stops and flushes; the stream's own error comes before one of the flush. A finite stream that had ended must have reached its ends."""
+        ended = not self.query.isActive
         self.query.stop()
-        failed = self.query.exception()
         try:
             self.flush()
         finally:
             self.engine.subscription = None
-            if failed is not None:
-                raise StreamError(str(failed))
+            self._raise_failed()
+        if ended and self.engine.config.mode == "finite":
+            self._raise_short()
 
 
 class Engine:
@@ -104,6 +146,11 @@ class Engine:
         self._tries: dict[int, int] = {}
         self._flushed_at = time.monotonic()
         self.subscription: Subscription | None = None
+        #: What ended the stream, what stopped a shard, and how many rows the gate holds.
+        self.failure: Exception | None = None
+        self.stopped: dict[int, str] = {}
+        self.holding = 0
+        self._busy = threading.RLock()
 
     @property
     def _uuid(self) -> str:
@@ -185,7 +232,11 @@ class Engine:
         self.durable[shard] = {}
 
     def statuses(self) -> dict[int, dict]:
-        return {s: {"processed": c["seqno"], "durable": self.durable.get(s, {}).get("seqno"), "dirty": self.durable.get(s) != c} for s, c in self.processed.items()}
+        none = {"seqno": 0}
+        return {
+            s: {"processed": self.processed.get(s, none)["seqno"], "durable": self.durable.get(s, {}).get("seqno"), "dirty": s in self.processed and self.durable.get(s) != self.processed[s], "stopped": self.stopped.get(s)}
+            for s in sorted({*self.processed, *self.stopped})
+        }
 
     def open_report(self) -> DataFrame:
         """shard, branch, start_seqno, and the rollback applied last before (requested, rolled_back_to), of the followed shards."""
@@ -201,18 +252,33 @@ class Engine:
             ids = ids or [r[0] for r in dim.where((F.col("scope_id") == scope) & F.col("collection_id").isNotNull()).select("collection_id").collect()]
         return (files.stream if streaming else files.scan)(self.spark, path, starts, None, ids, **options)
 
-    def run_batch(self, log: DataFrame, sink: Callable[[DataFrame], None], marks: DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
+    def run_batch(self, log: DataFrame, sink: Callable[[DataFrame], None], marks: DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None, strict: bool = True) -> DataFrame:
         """One finite run: stages, sink of what is delivered, then the progress of each shard is recorded and flushed.
 
         Progress ends before the first row of a shard that was neither delivered nor
         skipped, so a held row or one after a violation comes again after a restart.
+        strict: violations are raised after that; else they are labels of the rows only.
         """
         x = stages(log, self.config, marks, dim, starts)
         sink(x.where("delivered"))
         self.record(x.where("seqno IS NOT NULL AND (delivered OR acked)"))
         self.flush()
+        if error := self._violations(x):
+            if strict:
+                raise error
         return x
 
+    def _violations(self, x: DataFrame) -> Exception | None:
+        """Notes what stopped shards, a row per shard, and gives the error of the first."""
+        found = x.where("violation IS NOT NULL AND NOT unreached").select("shard", "arrival", "violation", "seqno", "collection_id" if "collection_id" in x.columns else F.lit(None).alias("collection_id")).orderBy("shard").collect()
+        self.stopped |= {r["shard"]: r["violation"] for r in found}
+        if not found:
+            return None
+        r = found[0]
+        if r["violation"] == "unmapped_collection":
+            return CollectionError(f"shard {r['shard']}: unmapped_collection {r['collection_id']}")
+        return StreamError(f"shard {r['shard']}: {r['violation']} at arrival {r['arrival']}, seqno {r['seqno']} ({len(found)} shards stopped)")
+
     def record(self, done: DataFrame) -> None:
         """The last seqno, snapshot and manifest of each shard in a batch that its sink has taken: a row per shard. Progress never goes back."""
         manifest = F.col("checkpoint_manifest") if "checkpoint_manifest" in done.columns else F.lit(None).cast("bigint")
@@ -248,42 +314,78 @@ class Engine:
     def subscribe(self, stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint_dir: str, marks: Callable[[], DataFrame] | DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None, **trigger) -> Subscription:
         """One subscription at a time. The same stages as run_batch on each micro-batch: sink, then record and flush: at least once, in order by shard.
 
-        marks is asked for at each micro-batch. Rows that the gate holds are kept beside
-        the stream's checkpoint and come again with the next micro-batch, or on drain().
-        A document of an unknown collection stops the stream after the rows before it.
+        marks (shard, watermark, and if known changed and error) is asked for at each
+        micro-batch. Rows that the gate holds are kept beside the stream's checkpoint and
+        come again with the next micro-batch, on drain() or while wait() waits; after the
+        stall time, or where `changed`, they fail the stream. A violation of order or a
+        document of an unknown collection fails it too. In any case what lies before is
+        delivered and recorded first.
         """
-        from tidelog.streaming import held as waiting
-        from tidelog.streaming import order as streamed
+        from tidelog.streaming import held as carried
 
         if self.subscription is not None:
             raise StreamError("the engine has a subscription already")
-        held = waiting.HeldRows(self.spark, f"{checkpoint_dir.rstrip('/')}-held") if marks is not None and self.config.mitigation.enabled else None
+        base = checkpoint_dir.rstrip("/")
+        held = carried.HeldRows(self.spark, f"{base}-held") if marks is not None and self.config.mitigation.enabled else None
+        ordered = carried.CarriedOrder(self.spark, f"{base}-order", starts)
+        self.failure, self.holding, self.stopped = None, 0, {}
 
         def take(new: DataFrame | None, epoch: int) -> None:
-            x = new.where("violation IS NULL AND NOT unreached") if new is not None else None
+            with self._busy:
+                try:
+                    deliver(new, epoch)
+                except Exception as e:
+                    self.failure = e
+                    raise
+
+        def deliver(new: DataFrame | None, epoch: int) -> None:
+            labelled = ordered.labelled(new, epoch).persist() if new is not None else None
+            x = labelled.where("violation IS NULL AND NOT unreached") if labelled is not None else None
             if held is not None:
                 x = held.with_new(x, epoch)
             if x is None:
                 return
-            x = passed(self._with_manifests(x), self.config, marks() if callable(marks) else marks, dim).persist()
+            at = marks() if callable(marks) else marks
+            x = passed(self._with_manifests(x), self.config, at, dim).persist()
             try:
-                sink(x.where("delivered").drop("_before"), epoch)
-                done = x.where("seqno IS NOT NULL AND (delivered OR acked)")
+                sink(x.where("delivered").drop("_before", "_since"), epoch)
                 if held is not None:
-                    held.keep(x.where("NOT delivered AND NOT acked AND violation IS NULL AND NOT unreached"), epoch)
-                self.record(done)
+                    waiting = x.where("NOT delivered AND NOT acked AND violation IS NULL AND NOT unreached")
+                    held.keep(waiting, epoch)
+                if labelled is not None:
+                    ordered.keep(labelled, epoch)
+                self.record(x.where("seqno IS NOT NULL AND (delivered OR acked)"))
                 self._flush_if_due()
-                lost = x.where("violation IS NOT NULL").orderBy("shard", "arrival").first()
-                if lost is not None:
-                    raise CollectionError(f"shard {lost['shard']}: {lost['violation']} {lost['collection_id']}")
+                stalled = self._stalled(waiting, at) if held is not None else None
+                wrong = self._violations(x) or (self._violations(labelled) if labelled is not None else None)
+                if error := wrong or stalled:
+                    raise error
             finally:
                 x.unpersist()
+                if labelled is not None:
+                    labelled.unpersist()
 
         trigger = trigger or ({"availableNow": True} if self.config.mode == "finite" else {"processingTime": "1 second"})
-        query = streamed.check_order(stream, starts).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir).trigger(**trigger).start()
-        self.subscription = Subscription(self, query, lambda: take(None, -1))
+        ends = {r["shard"]: r["end_seqno"] for r in starts.where("end_seqno > start_seqno").select("shard", "end_seqno").collect()} if starts is not None else {}
+        query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir).trigger(**trigger).start()
+        self.subscription = Subscription(self, query, lambda: take(None, -1), ends)
         return self.subscription
 
+    def _stalled(self, waiting: DataFrame, marks: DataFrame) -> PersistenceError | None:
+        """Counts what the gate holds; an error if a held shard's branch has changed, or if one has waited longer than the stall time."""
+        known = [c for c in ("changed", "error") if c in marks.columns]
+        first = waiting.groupBy("shard").agg(F.count("*").alias("n"), F.min("_since").alias("since"), F.min("seqno").alias("seqno"))
+        rows = first.join(F.broadcast(marks.select("shard", *known)), "shard", "left").orderBy("shard").collect()  # a row per shard
+        self.holding = sum(r["n"] for r in rows)
+        limit = self.config.mitigation.stall_s
+        for r in rows:
+            said = r.asDict()
+            if said.get("changed"):
+                return PersistenceError(f"shard {r['shard']}: the branch has changed while seqno {r['seqno']} was waiting")
+            if time.time() - r["since"] > limit:
+                return PersistenceError(f"shard {r['shard']}: not safe within {limit} s: {said.get('error') or f'the persisted seqno did not reach {r.seqno}'}")
+        return None
+
     def _with_manifests(self, x: DataFrame) -> DataFrame:
         """x with the manifest that each shard had before the batch, as `_before`."""
         if "manifest_uid" not in x.columns:
