@@ -1,6 +1,8 @@
 """Streams with state: acknowledgement by event, sources with offsets, live metrics."""
 
+import dataclasses
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -78,3 +80,47 @@ def test_acks_as_a_stream(spark, tmp_path):
     mine = {r[1]: r for r in got if r[0] == 9}
     assert mine[1002][4:9] == (None, None, None, None, 2) and mine[1003][4] == 2 and mine[1003][8] == 0
     assert mine[1006][4] is None and mine[1006][9] == "obsolete"
+
+
+def test_live_metrics_equal_those_of_the_labelled_rows(spark, tmp_path):
+    """After a run the counters are those of metrics.snapshot over the batch's labels; all four states are reached."""
+    from pyspark.sql import functions as F
+    from test_changelog import MARKS, ROW, event, marker
+
+    from tidelog import Config, Engine
+    from tidelog.config import Mitigation
+    from tidelog.errors import PersistenceError
+    from tidelog.operators import metrics
+    from tidelog.plans.engine import stages
+    from tidelog.sources import checkpoints, files
+
+    rows = [marker(0, 1, 9), event(1, 1), event(2, 2, kind="deletion"), marker(0, 1, 9, 1), event(1, 1, 1), event(2, 4, 1, "seqno_advanced"), event(3, 5, 1), (1, 4, "stream_end", None, None, None)]
+    marks = spark.createDataFrame([(0, 9, False, None), (1, 4, False, None)], MARKS)
+    config = Config("b", mode="finite", bucket_uuid="u", mitigation=Mitigation(poll_s=0.1, request_s=0.2, stall_s=60))
+    log = spark.createDataFrame(rows, ROW)
+    files.write_log(log, str(tmp_path / "log"))
+    engine = Engine(spark, config, checkpoints.NoopStore())
+    assert engine.monitor.status == "starting"
+    seen = []
+    sub = engine.subscribe(files.stream(spark, str(tmp_path / "log"), schema=ROW), lambda df, _: seen.append(df.count()), str(tmp_path / "ck"), marks=marks)
+    sub.query.awaitTermination()
+    for _ in range(50):
+        if engine.monitor.status == "healthy":
+            break
+        time.sleep(0.1)
+    assert engine.monitor.status == "healthy" and engine.holding == 2
+    x = stages(log, config, marks)
+    held = ~F.col("delivered") & ~F.col("acked")
+    labelled = x.withColumns({"held": held, "stale": F.lit(False), "failed": F.lit(None).cast("string"), "acked": F.col("delivered") & F.col("seqno").isNotNull()})
+    want = metrics.snapshot(labelled, {"bootstrap_attempts": 1, "bootstrap_successes": 1, "active_connections": 1}).first().asDict()
+    assert engine.monitor.counters == want and want["delivered_events"] == sum(seen) == 6 and want["rollback_mitigation_delays"] == 2
+    engine.config = dataclasses.replace(config, mitigation=Mitigation(poll_s=0.1, request_s=0.2, stall_s=0.5))
+    with pytest.raises(PersistenceError):
+        sub.wait(60)
+    assert engine.monitor.status == "degraded" and engine.monitor.counters["rollback_mitigation_failures"] == 1 and engine.monitor.consecutive_failures >= 1
+    assert {(r.name, r.label): r.value for r in engine.monitor.families(spark).collect()}[("changelog_health_status", "degraded")] == 1
+    with pytest.raises(PersistenceError):
+        sub.close()
+    assert engine.monitor.status == "stopped" and engine.monitor.counters["active_connections"] == 0
+    engine.monitor.add(rollbacks=2**64)
+    assert engine.monitor.counters["rollbacks"] == 2**64 - 1

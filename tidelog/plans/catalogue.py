@@ -455,4 +455,4 @@ def b8_wire_mutations(spark, sf_dir):
     return x.select("event_id", "shard", "kind", "seqno", "rev_seqno", "collection_id", F.col("key").cast("string").alias("key"), "cas")
 
 
-from tidelog.plans import control  # noqa: E402, F401 - registers its queries
+from tidelog.plans import control, streams  # noqa: E402, F401 - they register their queries

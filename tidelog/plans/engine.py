@@ -18,6 +18,7 @@ from tidelog.operators import ack, collections, gate, order, rollback
 from tidelog.schema import DOCUMENTS
 from tidelog.sources import checkpoints as stores
 from tidelog.sources import files
+from tidelog.streaming import monitor as monitoring
 
 
 def stages(log: DataFrame, config: Config, marks: DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
@@ -128,6 +129,8 @@ class Subscription:
             self.flush()
         finally:
             self.engine.subscription = None
+            self.engine.spark.streams.removeListener(self.engine._watch)
+            self.engine.monitor.stopped()
             self._raise_failed()
         if ended and self.engine.config.mode == "finite":
             self._raise_short()
@@ -150,6 +153,9 @@ class Engine:
         self.failure: Exception | None = None
         self.stopped: dict[int, str] = {}
         self.holding = 0
+        #: Counters and health, as long as the engine lives.
+        self.monitor = monitoring.Monitor()
+        self._watch = monitoring.Watch(spark, self.monitor)
         self._busy = threading.RLock()
 
     @property
@@ -205,6 +211,7 @@ class Engine:
         for r in asked:
             self._tries[r["shard"]] = self._tries.get(r["shard"], 0) + 1
             self.rollbacks.append((r["shard"], r["start_seqno"], r["rollback_seqno"]))
+        self.monitor.add(rollbacks=len(asked))
         return back
 
     def roll_back(self, answers: DataFrame, failover: DataFrame) -> None:
@@ -336,9 +343,12 @@ class Engine:
                     deliver(new, epoch)
                 except Exception as e:
                     self.failure = e
+                    self.monitor.failed(str(e))
+                    self.monitor.add(**{"rollback_mitigation_failures" if isinstance(e, PersistenceError) else "stream_errors": 1})
                     raise
 
         def deliver(new: DataFrame | None, epoch: int) -> None:
+            began = time.time()
             labelled = ordered.labelled(new, epoch).persist() if new is not None else None
             x = labelled.where("violation IS NULL AND NOT unreached") if labelled is not None else None
             if held is not None:
@@ -355,6 +365,8 @@ class Engine:
                 if labelled is not None:
                     ordered.keep(labelled, epoch)
                 self.record(x.where("seqno IS NOT NULL AND (delivered OR acked)"))
+                waits = ~F.col("delivered") & ~F.col("acked") & (F.col("_since") >= began) if held is not None else F.lit(False)
+                self.monitor.count(x, waits & F.col("violation").isNull() & ~F.col("unreached"))
                 self._flush_if_due()
                 stalled = self._stalled(waiting, at) if held is not None else None
                 wrong = self._violations(x) or (self._violations(labelled) if labelled is not None else None)
@@ -367,7 +379,12 @@ class Engine:
 
         trigger = trigger or ({"availableNow": True} if self.config.mode == "finite" else {"processingTime": "1 second"})
         ends = {r["shard"]: r["end_seqno"] for r in starts.where("end_seqno > start_seqno").select("shard", "end_seqno").collect()} if starts is not None else {}
+        self.monitor.add(bootstrap_attempts=1)
+        self.monitor.set(assigned_shards=starts.count() if starts is not None else 0, active_connections=1)
+        self.spark.streams.addListener(self._watch)
         query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir).trigger(**trigger).start()
+        self._watch.run_id = str(query.runId)
+        self.monitor.add(bootstrap_successes=1)
         self.subscription = Subscription(self, query, lambda: take(None, -1), ends)
         return self.subscription
 
@@ -396,4 +413,5 @@ class Engine:
     def reopen(self) -> int:
         """A new connection generation: progress stays, rows of older generations are stale."""
         self.generation += 1
+        self.monitor.add(reconnects=1)
         return self.generation

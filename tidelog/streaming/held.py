@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+import tempfile
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.errors import InvalidConfiguration
 from tidelog.operators import order
 
 #: What the stages after the order check add; it is made anew when a held row comes again.
 _MADE = ("delivered", "acked", "checkpoint_manifest", "collection_name", "_before")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder in spark.checkpoint.dir, which all executors share; a temporary one on a local master only."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise InvalidConfiguration("spark.checkpoint.dir must name a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="spark-checkpoint-")
+    return f"{found.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 class Versions:
     """Versions epoch-turn of a table: each micro-batch (or drain) reads the last one and writes the next.
 
