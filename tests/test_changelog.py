@@ -14,7 +14,7 @@ from tidelog import Config, Engine
 from tidelog.config import FlowControl, Mitigation, Selection, parse_seed
 from tidelog.errors import CheckpointError, CheckpointStoreError, CollectionError, InvalidConfiguration, PersistenceError, RollbackRequired, StreamError
 from tidelog.functions import columns, wire
-from tidelog.operators import ack, collections, filters, gate, membership, metrics, order, rollback, topology
+from tidelog.operators import ack, collections, endpoints, filters, gate, membership, metrics, order, rollback, topology
 from tidelog.plans.catalogue import encode_frame, leb128
 from tidelog.sources import checkpoints, files
 from tidelog.streaming.held import Versions
@@ -673,3 +673,29 @@ def test_a_bucket_that_is_another_one(spark):
     routes = lambda *a: topology.parse_routes(spark.createDataFrame([(doc(*a),)], "json string"))
     assert [r.change for r in topology.apply_revisions(routes("u", 1), routes("v", 2), 1).collect()] == ["bucket uuid changed"]
     assert topology.apply_revisions(routes("u", 3), routes("u", 2), 1).count() == 0
+
+
+def test_endpoints_and_networks(spark):
+    """Every branch of the choice of a network; nodes without data, a name, a port or an address; documents that can't be used."""
+    node = lambda i, kv=11210, ssl=11207, **more: {"nodeUUID": f"node-{i}", "hostname": f"10.0.0.{i}", "services": {"kv": kv, "kvSSL": ssl}, "alternateAddresses": {"external": {"hostname": "proxy.test", "ports": {"kv": 31000 + i, "kvSSL": 31100 + i}}}, **more}
+    two, servers = [node(1, serverGroup="g"), node(2)], ["10.0.0.1:11210", "10.0.0.2:11210"]
+    cases = {
+        "inside": (two, servers, "auto", False, "10.0.0.1:11210"), "outside": (two, servers, "auto", True, "proxy.test:31101"), "no outer address": ([node(1), node(2, alternateAddresses=None)], servers, "auto", True, "proxy.test:31101"),
+        "external": (two, servers, "external", False, "10.0.0.1:11210"), "named": (two, servers, "lab", False, "10.0.0.1:11210"), "bad name": (two, servers, "a b", False, "x:1"), "query node first": ([{"hostname": "q", "services": {}}, node(1, hostname=None), node(2)], servers, "default", False, "10.0.0.9:11210"),
+        "v6": ([node(1, hostname="fd00::1"), node(2, hostname="[fd00::2]")], servers, "auto", False, "[FD00::1]:11210"), "no tls port": ([node(1, ssl=0), node(2)], servers, "default", True, "x:1"), "no uuid": ([node(1, nodeUUID=""), node(2, nodeUUID=None)], ["a.lan:1", "[fd00::3]:2"], "default", False, "x:1"),
+        "own ports": ([node(1, alternateAddresses={"external": {"hostname": "e"}}), node(2)], servers, "external", True, "x:1"), "old": ([], servers, "auto", False, "x:1"), "old tls": ([], servers, "auto", True, "x:1"), "old external": ([], servers, "external", False, "x:1"),
+        "few": ([node(1)], servers, "auto", False, "x:1"), "none": (two, [], "auto", False, "x:1"), "odd server": ([], ["fd00::1:11210"], "auto", False, "x:1"), "white": ([node(1, hostname="a b"), node(2)], servers, "default", False, "x:1"),
+    }
+    rows = [(k, json.dumps({"nodesExt": n, "vBucketServerMap": {"serverList": s}}), r, tls, src) for k, (n, s, r, tls, src) in cases.items()]
+    got = {}
+    for r in endpoints.endpoints(spark.createDataFrame(rows, "k string, json string, requested string, tls boolean, source string")).orderBy("k", "server").collect():
+        got.setdefault(r.k, []).append((r.network, r.node, r.address, r.canonical, r.server_group) if r.problem is None else r.problem)
+    assert got["inside"] == [("default", "node-1", "10.0.0.1:11210", "10.0.0.1:11210", "g"), ("default", "node-2", "10.0.0.2:11210", "10.0.0.2:11210", None)]
+    assert got["outside"] == [("external", "node-1", "proxy.test:31101", "10.0.0.1:11207", "g"), ("external", "node-2", "proxy.test:31102", "10.0.0.2:11207", None)]
+    assert [x[0] for x in got["no outer address"]] == ["default", "default"] and [x[2] for x in got["external"]] == ["proxy.test:31001", "proxy.test:31002"]
+    assert got["named"] == ["no address in the network"] * 2 and got["bad name"] == ["bad network name"]
+    assert [x[1:3] for x in got["query node first"]] == [("node-1", "10.0.0.9:11210"), ("node-2", "10.0.0.2:11210")]
+    assert [x[:3] for x in got["v6"]] == [("default", "node-1", "[fd00::1]:11210"), ("default", "node-2", "[fd00::2]:11210")]
+    assert got["no tls port"][0] == "no kvSSL port" and [x[1] for x in got["no uuid"]] == ["a.lan:1", "[fd00::3]:2"] and got["own ports"][0][2] == "e:11207"
+    assert [x[1:3] for x in got["old"]] == [(s, s) for s in servers] and got["old tls"] == ["tls needs nodes"] and got["old external"] == ["the network needs nodes"]
+    assert got["few"] == ["fewer data nodes than servers"] and got["none"] == ["no servers"] and got["odd server"] == ["bad server address"] and got["white"][0] == "bad host name"

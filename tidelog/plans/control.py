@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import columns as C
 from tidelog.functions import wire
-from tidelog.operators import ack, collections, gate, membership, metrics, rollback, topology
+from tidelog.operators import ack, collections, endpoints, gate, membership, metrics, rollback, topology
 from tidelog.plans.catalogue import FAILOVER_SQL, OUTCOME_SQL, STORED_SQL, _assigned, _failover, _log, _marked, _observations, _stored, query
 from tidelog.sources import synth
 
@@ -49,6 +49,41 @@ def h4_region_routes(spark, sf_dir):
     return x.select("bucket", "shard", "active", F.array_join("replicas", ",").alias("replicas"), "problem")
 
 
+_ASKED = "('auto', false, 'n' || lo || '.lan:11210'), ('auto', true, 'proxy.test:31101'), ('external', false, 'proxy.test:31101'), ('lab', false, 'proxy.test:1'), ('default', true, '[fd00::9]:11207'), (' ', false, 'proxy.test:1')"
+
+
+@query(f"""WITH n AS (SELECT n_nationkey AS k, n_regionkey AS r, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS i, min(n_nationkey) OVER (PARTITION BY n_regionkey) AS lo FROM nation),
+q AS (SELECT n.*, requested, tls, source, CASE WHEN source LIKE '[%' THEN 'fd00::9' ELSE split_part(source, ':', 1) END AS src FROM n, LATERAL (VALUES {_ASKED}) v(requested, tls, source)),
+x AS (SELECT *, CASE WHEN k % 7 = 0 THEN src WHEN k % 8 = 2 THEN 'fd00::' || k ELSE 'n' || k || '.lan' END AS host, CASE WHEN tls THEN CASE WHEN k % 9 = 4 THEN 0 ELSE 11207 END ELSE 11210 END AS port,
+  CASE WHEN r = 3 AND i = 1 THEN NULL ELSE 'ext' || k || '.test' END AS ext, CASE WHEN k % 4 = 3 THEN CASE WHEN tls THEN CASE WHEN k % 9 = 4 THEN 0 ELSE 11207 END ELSE 11210 END ELSE CASE WHEN tls THEN 31101 + k ELSE 31001 + k END END AS eport FROM q),
+w AS (SELECT *, CASE WHEN requested <> 'auto' THEN requested WHEN bool_or(lower(host) = lower(src) AND port = split_part(source, ':', -1)::INT AND port <> 0) OVER g THEN 'default' WHEN count(ext) OVER g = count(*) OVER g THEN 'external' ELSE 'default' END AS network FROM x WINDOW g AS (PARTITION BY r, requested, tls)),
+y AS (SELECT *, CASE WHEN port = 0 THEN 'no kvSSL port' WHEN network NOT IN ('default', 'external') OR (network = 'external' AND ext IS NULL) THEN 'no address in the network' WHEN network = 'external' AND eport = 0 THEN 'no kvSSL port' END AS problem FROM w WHERE requested <> ' ')
+SELECT r AS region, requested, tls, network, i::INT AS server, CASE WHEN problem IS NULL THEN CASE WHEN k % 6 = 1 THEN 'old' || k || ':11210' ELSE 'node-' || k END END AS node,
+  CASE WHEN problem IS NULL THEN CASE WHEN network = 'external' THEN ext || ':' || eport WHEN host LIKE '%:%' THEN '[' || host || ']:' || port ELSE host || ':' || port END END AS address,
+  CASE WHEN problem IS NULL THEN CASE WHEN host LIKE '%:%' THEN '[' || host || ']:' || port ELSE host || ':' || port END END AS canonical, CASE WHEN problem IS NULL AND k % 5 <> 2 THEN 'g' || k % 3 END AS server_group, problem FROM y
+UNION ALL SELECT DISTINCT r, requested, tls, network, 0, NULL, NULL, NULL, NULL, 'bad network name' FROM w WHERE requested = ' '""", log=False)
+def h5_region_endpoints(spark, sf_dir):
+    """Each region's document, asked for in six ways: nodes without a name, a port, a uuid, an outer address; v6 hosts; a node that holds no data in front."""
+    k, none = F.col("n_nationkey"), F.lit(None).cast("string")
+    ports = lambda kv, ssl: F.struct(kv.cast("int").alias("kv"), ssl.cast("int").alias("kvSSL"))
+    own = ports(F.lit(11210), F.when(k % 9 != 4, 11207))
+    host = F.when(k % 7 == 0, none).when(k % 8 == 2, F.concat(F.lit("fd00::"), k)).otherwise(F.concat(F.lit("n"), k, F.lit(".lan")))
+    outer = F.struct(F.concat(F.lit("ext"), k, F.lit(".test")).alias("hostname"), F.when(k % 4 != 3, ports(k + 31001, k + 31101)).alias("ports"))
+    lacks = (F.col("n_regionkey") == 3) & (F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_nationkey")) == 2)
+    node = F.struct(
+        F.when(k % 6 != 1, F.concat(F.lit("node-"), k)).alias("nodeUUID"), host.alias("hostname"), F.when(k % 5 != 2, F.concat(F.lit("g"), k % 3)).otherwise("").alias("serverGroup"), own.alias("services"),
+        F.when(~F.col("_lacks"), F.create_map(F.lit("external"), outer)).alias("alternateAddresses"),
+    )
+    x = _table(spark, sf_dir, "nation").withColumn("_lacks", lacks)
+    x = x.groupBy(F.col("n_regionkey").alias("region")).agg(F.array_sort(F.collect_list(F.struct("n_nationkey", node.alias("node"), F.concat(F.lit("old"), k, F.lit(":11210")).alias("old"))), lambda a, b: a["n_nationkey"] - b["n_nationkey"]).alias("n"), F.min("n_nationkey").alias("lo"))
+    front = F.expr("named_struct('nodeUUID', 'query', 'hostname', 'q.lan', 'serverGroup', CAST(NULL AS STRING), 'services', named_struct('kv', CAST(NULL AS INT), 'kvSSL', CAST(NULL AS INT)), 'alternateAddresses', CAST(NULL AS MAP<STRING, STRUCT<hostname: STRING, ports: STRUCT<kv: INT, kvSSL: INT>>>))")
+    doc = F.to_json(F.struct(F.concat(F.array(front), F.transform("n", lambda r: r["node"])).alias("nodesExt"), F.struct(F.transform("n", lambda r: r["old"]).alias("serverList")).alias("vBucketServerMap")))
+    asked = [("auto", False, F.concat(F.lit("n"), F.col("lo"), F.lit(".lan:11210"))), ("auto", True, F.lit("proxy.test:31101")), ("external", False, F.lit("proxy.test:31101")), ("lab", False, F.lit("proxy.test:1")), ("default", True, F.lit("[fd00::9]:11207")), (" ", False, F.lit("proxy.test:1"))]
+    rows = F.array(*[F.struct(F.lit(a).alias("requested"), F.lit(b).alias("tls"), c.alias("source")) for a, b, c in asked])
+    docs = x.select("region", doc.alias("json"), F.explode(rows).alias("a")).select("region", "json", "a.*")
+    return endpoints.endpoints(docs).drop("source")
+
+
 @query(f"WITH {REGION_SQL} SELECT node, shard FROM was GROUP BY node, shard", log=False)
 def h3_region_nodes(spark, sf_dir):
     x = topology.shards_by_node(topology.parse_routes(_region_documents(spark, sf_dir, 0, F.lit(5))), with_replicas=True)
