@@ -27,20 +27,20 @@ def balanced(spark: SparkSession, shards: int, members: int, generation: int = 1
     return x.select(F.lit(generation).cast("bigint").alias("generation"), "shard", owner(F.col("shard"), shards, members).alias("member"))
 
 
-def member_numbers(members: DataFrame, ranges: int = 64) -> DataFrame:
-    """members with member_number, in order of (joined_at, member_id).
+def member_numbers(members: DataFrame, ranges: int = 64, by: tuple[str, ...] = ("joined_at", "member_id")) -> DataFrame:
+    """members with member_number, in order of the columns `by`, which have no nulls.
 
     A sample of at most about 16 rows per range gives the ranges' bounds; each range
     is numbered by itself, from the count of all before it (a row per range).
     """
-    at, kind = F.struct("joined_at", "member_id"), {f.name: f.dataType for f in members.schema.fields}
+    at, kind = F.struct(*by), {f.name: f.dataType for f in members.schema.fields}
     share = min(1.0, 16 * ranges / max(members.count(), 1))
-    drawn = members.select("joined_at", "member_id").where(F.pmod(F.xxhash64("joined_at", "member_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).orderBy("joined_at", "member_id").collect()
-    bounds = [F.struct(*[F.lit(r[c]).cast(kind[c]).alias(c) for c in ("joined_at", "member_id")]) for r in drawn[:: max(1, len(drawn) // ranges)]]
+    drawn = members.select(*by).where(F.pmod(F.xxhash64(*by), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).orderBy(*by).collect()
+    bounds = [F.struct(*[F.lit(r[c]).cast(kind[c]).alias(c) for c in by]) for r in drawn[:: max(1, len(drawn) // ranges)]]
     part = F.size(F.filter(F.array(*bounds), lambda b: b <= at)) if bounds else F.lit(0)
     x = members.withColumn("_range", part)
     before = x.groupBy("_range").count().withColumn("_before", F.sum("count").over(Window.orderBy("_range")) - F.col("count")).drop("count")
-    number = F.row_number().over(Window.partitionBy("_range").orderBy("joined_at", "member_id"))
+    number = F.row_number().over(Window.partitionBy("_range").orderBy(*by))
     return x.withColumn("_n", number).join(F.broadcast(before), "_range").withColumn("member_number", (F.col("_n") + F.col("_before")).cast("int")).drop("_range", "_n", "_before")
 
 
@@ -85,7 +85,7 @@ def stateful_ordinal(name: Column, prefix: str) -> Column:
 def effective_pods(pods: DataFrame) -> DataFrame:
     """Pods that count, numbered by (created_at, uid, name): running, ready and not terminating."""
     x = pods.where((F.col("phase") == "Running") & F.col("ready") & ~F.col("terminating"))
-    return x.withColumn("member_number", F.row_number().over(Window.orderBy("created_at", "uid", "name")))
+    return member_numbers(x, by=("created_at", "uid", "name"))
 
 
 def assignment_problems(assigned: DataFrame, routes: DataFrame) -> DataFrame:
@@ -114,24 +114,48 @@ def registry_problems(members: DataFrame, schema_version: int, shards: int, stal
     return members.select("key", own.alias("problem")).where("problem IS NOT NULL").union(settings)
 
 
+def _next_mark(rows: DataFrame, marks: DataFrame, name: str, bucket_rows: int = 50_000) -> DataFrame:
+    """rows (cluster, at, ...) with the struct `name` (at, action) of the first mark of their cluster after them, or null.
+
+    Rows meet the marks of their own stretch of time; a stretch without a later mark
+    takes the first one of those after it, found on a row per cluster and stretch. So
+    a cluster of very many rows is spread over tasks.
+    """
+    mark = F.struct("at", "action").alias("m")
+    u = rows.select(F.struct("*").alias("r"), "cluster", "at", F.lit(None).cast("struct<at:bigint,action:string>").alias("m")).union(marks.select(F.lit(None).cast(rows.schema).alias("r"), "cluster", "at", mark))
+    low, high, n = u.agg(F.min("at"), F.max("at"), F.count("*")).first()
+    width = max(1, -(-((high or 0) - (low or 0) + 1) // max(1, -(-n // bucket_rows))))
+    u = u.withColumn("stretch", F.floor((F.col("at") - F.lit(low or 0)) / F.lit(width)))
+    back = Window.partitionBy("cluster", "stretch").orderBy(F.desc("at"), F.col("m").isNotNull())
+    u = u.withColumn("own", F.last("m", ignorenulls=True).over(back))
+    heads = u.groupBy("cluster", "stretch").agg(F.min("m").alias("head"))
+    after = Window.partitionBy("cluster").orderBy(F.desc("stretch")).rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.select("cluster", "stretch", F.last("head", ignorenulls=True).over(after).alias("later"))
+    return u.where("r IS NOT NULL").join(heads, ["cluster", "stretch"]).select("r.*", F.coalesce("own", "later").alias(name))
+
+
 def pod_timeline(events: DataFrame) -> DataFrame:
     """What each watch event does to each pod's place among the effective pods: cluster, at, pod, uid (null: none) and changed.
 
     events: cluster, at, action (init, init_apply, init_done, apply, delete), pod, uid,
     effective. A relist takes effect at its init_done, for all pods at once: those not
-    in the list go. A delete counts only for the uid that is there. One window over a
-    pod's events; a relist makes a row for every pod of its cluster.
+    in the list go. A delete counts only for the uid that is there.
+
+    A pod has a row for each event of its own, and one for the first list after it that
+    the pod is not in: later lists without it change nothing. So there are at most twice
+    as many rows as events, however many pods and lists a cluster has.
     """
-    order = Window.partitionBy("cluster").orderBy("at")
-    x = events.withColumn("list", F.last(F.when(F.col("action") == "init", F.col("at")), ignorenulls=True).over(order))
-    done = x.where("action = 'init_done'").select("cluster", F.col("at").alias("done"), "list")
-    pods = x.where("pod IS NOT NULL").select("cluster", "pod").distinct()
-    listed = x.where("action = 'init_apply' AND effective").select("cluster", "list", "pod", "uid")
-    relists = done.join(pods, "cluster").join(listed, ["cluster", "list", "pod"], "left").select("cluster", F.col("done").alias("at"), "pod", "uid", F.lit("set").alias("does"))
-    single = x.where("action IN ('apply', 'delete')").select("cluster", "at", "pod", F.when((F.col("action") == "delete") | F.col("effective"), F.col("uid")).alias("uid"), F.when(F.col("action") == "delete", "remove").otherwise("set").alias("does"))
+    lists, dones = (events.where(F.col("action").isin(*kinds)).select("cluster", "at", "action") for kinds in (("init", "init_done"), ("init_done",)))
+    listed = _next_mark(events.where("action = 'init_apply' AND effective").select("cluster", "at", "pod", "uid"), lists, "ends").where("ends.action = 'init_done'")
+    listed = listed.select("cluster", F.col("ends.at").alias("at"), "pod", "uid", F.lit("set").alias("does"))
+    single = events.where("action IN ('apply', 'delete')").select("cluster", "at", "pod", F.when((F.col("action") == "delete") | F.col("effective"), F.col("uid")).alias("uid"), F.when(F.col("action") == "delete", "remove").otherwise("set").alias("does"))
+    own = listed.union(single)
     by_pod = Window.partitionBy("cluster", "pod").orderBy("at")
+    seen = _next_mark(own.withColumn("next", F.lead("at").over(by_pod)), dones, "list")
+    mine = F.struct("at", "uid", "does")
+    missed = F.when(F.col("list").isNotNull() & (F.col("next").isNull() | (F.col("next") > F.col("list.at"))), F.struct(F.col("list.at").alias("at"), F.lit(None).cast("string").alias("uid"), F.lit("set").alias("does")))
     before = by_pod.rowsBetween(Window.unboundedPreceding, -1)
-    y = relists.union(single)
+    y = seen.select("cluster", "pod", F.explode(F.array_compact(F.array(mine, missed))).alias("e")).select("cluster", "pod", "e.*")
     y = y.withColumns({"_set": F.last(F.when(F.col("does") == "set", F.struct("at", "uid")), ignorenulls=True).over(before), "_n": F.sum((F.col("does") == "set").cast("int")).over(by_pod)})
     # within a run that begins with a set, the first delete of its uid removes it
     run = Window.partitionBy("cluster", "pod", "_n").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)

@@ -278,7 +278,18 @@ def _pod_events(spark, sf_dir):
     return out
 
 
-@query()
+@query("""WITH e AS (SELECT (user_id % 4)::BIGINT AS c, event_id * 10 + 100 AS t, 'p' || user_id % 40 AS pod, 'u' || event_id % 3 AS uid, event_type AS y FROM events),
+done AS (SELECT c, t + 3 AS ends FROM e WHERE y = 'error' UNION ALL SELECT c::BIGINT, 2 FROM range(4) r(c)),
+own AS (SELECT c, t, pod, CASE WHEN y <> 'view' THEN uid END AS uid, y <> 'purchase' AS sets FROM e WHERE y <> 'error' UNION ALL SELECT c, t + 3, pod, uid, true FROM e WHERE y = 'error' UNION ALL SELECT c, t + 3, 'px', 'ux', true FROM e WHERE y = 'error'),
+seen AS (SELECT o.*, d.ends FROM (SELECT *, lead(t) OVER (PARTITION BY c, pod ORDER BY t) AS nxt FROM own) o ASOF LEFT JOIN done d ON o.c = d.c AND o.t < d.ends),
+y AS (SELECT c, t, pod, uid, sets FROM own UNION ALL SELECT c, ends, pod, NULL, true FROM seen WHERE ends IS NOT NULL AND (nxt IS NULL OR nxt > ends)),
+n AS (SELECT *, count(*) FILTER (WHERE sets) OVER (PARTITION BY c, pod ORDER BY t) AS n FROM y),
+s AS (SELECT *, CASE WHEN n > 0 THEN first_value(uid) OVER (PARTITION BY c, pod, n ORDER BY t) END AS st FROM n),
+g AS (SELECT *, CASE WHEN sets THEN uid WHEN NOT coalesce(bool_or(NOT sets AND uid = st) OVER (PARTITION BY c, pod, n ORDER BY t), false) THEN st END AS now FROM s),
+f AS (SELECT *, now IS DISTINCT FROM lag(now) OVER (PARTITION BY c, pod ORDER BY t) AS changed FROM g),
+gen AS (SELECT c, count(DISTINCT CASE WHEN changed THEN t END) AS generation FROM f GROUP BY c),
+last AS (SELECT c, pod, now FROM f QUALIFY row_number() OVER (PARTITION BY c, pod ORDER BY t DESC) = 1)
+SELECT gen.c AS cluster, generation, pod, now AS uid FROM gen LEFT JOIN (SELECT * FROM last WHERE now IS NOT NULL) l ON gen.c = l.c""", log=False)
 def i13_pods_after(spark, sf_dir):
     pods, generation = membership.pods_after(_pod_events(spark, sf_dir))
     return generation.join(pods, "cluster", "left").select("cluster", "generation", "pod", "uid")
@@ -470,11 +481,11 @@ def g6_legacy_names(spark, sf_dir):
     return collections.decorate(x, _dim(spark), strict=False).select("event_id", "collection_name")
 
 
-@query(STORED_SQL + """, again AS (SELECT *, CASE WHEN shard % 5 = 4 THEN 'other' ELSE 'bucket-id' END AS bucket FROM stored) SELECT shard, seqno, bucket = 'bucket-id' AS ours FROM again""")
+@query(STORED_SQL + """ SELECT shard, CASE WHEN shard % 7 <> 6 THEN seqno END AS seqno, CASE WHEN shard >= 14 THEN 'not asked for' WHEN shard % 7 = 6 THEN 'unreadable' WHEN shard % 5 = 4 THEN 'another bucket' END AS problem FROM stored""")
 def e3_checkpoint_identity(spark, sf_dir):
-    """Stored documents read back, with whether they are of the bucket that is followed."""
-    x = _stored(spark, sf_dir).withColumn("bucket_uuid", F.when(F.col("shard") % 5 == 4, "other").otherwise("bucket-id"))
+    """Stored documents read back: some of another bucket, some broken, some of shards that nobody asked for."""
     from tidelog.sources import checkpoints
 
-    own = F.from_json(checkpoints.document_json(), "checkpoint struct<snapshot:struct<startSeqno:bigint,endSeqno:bigint>,vbuuid:decimal(20,0),seqno:bigint>, bucketUuid string, manifestUid bigint")
-    return x.select("shard", own.alias("d")).select("shard", "d.checkpoint.seqno", (F.col("d.bucketUuid") == "bucket-id").alias("ours"))
+    x = _stored(spark, sf_dir).withColumn("bucket_uuid", F.when(F.col("shard") % 5 == 4, "other").otherwise("bucket-id"))
+    json = F.when(F.col("shard") % 7 == 6, "{").otherwise(checkpoints.document_json())
+    return checkpoints.identities(x.select("shard", json.alias("json")), "bucket-id", spark.range(14).select(F.col("id").cast("int").alias("shard")))

@@ -226,3 +226,18 @@ def load_checked(store: CheckpointStore, bucket_uuid: str, shards: list[int]) ->
         if s not in set(shards) or c["shard"] != s or c["bucket_uuid"] != bucket_uuid:
             raise CheckpointStoreError(f"shard {s}: not the checkpoint asked for")
     return found
+
+
+#: A stored document as Spark reads it.
+DOCUMENT = "checkpoint struct<snapshot:struct<startSeqno:bigint,endSeqno:bigint>,vbuuid:decimal(20,0),seqno:bigint>, bucketUuid string, manifestUid bigint"
+
+
+def identities(stored: DataFrame, bucket_uuid: str, asked: DataFrame) -> DataFrame:
+    """shard, seqno, problem of stored documents (shard, json) for the shards that are asked for (shard), as load_checked has them.
+
+    A document of another bucket, an unreadable one and one that was not asked for
+    are problems; a shard without a document is none. asked has at most 65536 rows.
+    """
+    x = stored.select("shard", F.from_json("json", DOCUMENT).alias("d")).join(F.broadcast(asked.select("shard", F.lit(True).alias("_asked"))), "shard", "left")
+    problem = F.when(F.col("_asked").isNull(), "not asked for").when(F.col("d.checkpoint.seqno").isNull(), "unreadable").when(~F.col("d.bucketUuid").eqNullSafe(bucket_uuid), "another bucket")
+    return x.select("shard", F.col("d.checkpoint.seqno").alias("seqno"), problem.alias("problem"))
