@@ -15,13 +15,31 @@ from tidelog.config import FlowControl, Mitigation, Selection, parse_seed
 from tidelog.errors import CheckpointError, CheckpointStoreError, CollectionError, InvalidConfiguration, PersistenceError, RollbackRequired, StreamError
 from tidelog.functions import columns, wire
 from tidelog.operators import ack, collections, endpoints, filters, gate, membership, metrics, order, rollback, topology
-from tidelog.plans.catalogue import encode_frame, leb128
 from tidelog.sources import checkpoints, files
 from tidelog.streaming.held import Versions
 
 ROW = "shard int, arrival bigint, kind string, seqno bigint, snap_start bigint, snap_end bigint"
 
 
+def encode_frame(opcode: int, extras: bytes = b"", key: bytes = b"", value: bytes = b"", target: int = 0, cas: int = 0, datatype: int = 0, magic: int = wire.REQUEST, opaque: int = 0, framing: bytes = b"") -> bytes:
+    """A wire frame: the inverse of wire.decode_frames, for fixtures."""
+    body = framing + extras + key + value
+    if magic in (wire.ALT_REQUEST, wire.ALT_RESPONSE):
+        head = struct.pack(">BBBBBBHIIQ", magic, opcode, len(framing), len(key), len(extras), datatype, target, len(body), opaque, cas)
+    else:
+        head = struct.pack(">BBHBBHIIQ", magic, opcode, len(key), len(extras), datatype, target, len(body), opaque, cas)
+    return head + body
+
+
+def leb128(n: int) -> bytes:
+    out = b""
+    while True:
+        n, low = n >> 7, n & 127
+        out += bytes([low | (128 if n else 0)])
+        if not n:
+            return out
+
+
 def marker(at, s, e, shard=0):
     return (shard, at, "snapshot_marker", None, s, e)
 
@@ -699,3 +717,18 @@ def test_endpoints_and_networks(spark):
     assert got["no tls port"][0] == "no kvSSL port" and [x[1] for x in got["no uuid"]] == ["a.lan:1", "[fd00::3]:2"] and got["own ports"][0][2] == "e:11207"
     assert [x[1:3] for x in got["old"]] == [(s, s) for s in servers] and got["old tls"] == ["tls needs nodes"] and got["old external"] == ["the network needs nodes"]
     assert got["few"] == ["fewer data nodes than servers"] and got["none"] == ["no servers"] and got["odd server"] == ["bad server address"] and got["white"][0] == "bad host name"
+
+
+def test_encoding_is_the_inverse_of_decoding(spark):
+    """Column-wise frames equal the ones put together byte by byte, for every kind, both magics and all lengths of a collection's number."""
+    big = 2**64 - 1
+    made = [(0x57, b"e" * 28, leb128(n) + b"key", b"value", 9, big, 3, wire.REQUEST, b"") for n in (0, 127, 128, 16383, 16384, 2**21, 2**28, 2**32 - 1)]
+    made += [(op, b"x" * 20, leb128(300) + b"k" if op in wire.KEYED else b"plain", b"", 1023, 2**63, 1, wire.ALT_REQUEST, bytes([0x22, 0, 7])) for op in wire.OPCODES]
+    made += [(0x57, b"", b"", b"v" * 100_000, 0, 0, 0, m, b"") for m in (wire.RESPONSE, wire.ALT_RESPONSE)]
+    raw = [encode_frame(op, ex, key, value, target=t, cas=c, datatype=d, magic=m, framing=f) for op, ex, key, value, t, c, d, m, f in made]
+    decoded = wire.decode_frames(spark.createDataFrame([(i, bytearray(f)) for i, f in enumerate(raw)], "i int, frame binary"))
+    got = wire.encode_frames(decoded.drop("frame")).orderBy("i").collect()
+    assert [bytes(r.frame) for r in got] == raw and not any(r.problem for r in got)
+    rows = [(1, 0x80, 87, bytearray(b"k" * 65_535), None, None), (2, 0x80, 87, bytearray(b"k" * 65_536), None, None), (3, 0x08, 87, bytearray(b"k" * 256), None, None), (4, 0x80, 87, bytearray(b"k"), 2**32, None), (5, 0x80, 87, bytearray(b"k"), None, bytearray(b"f")), (6, 0x08, 87, bytearray(b"k"), None, bytearray(b"f" * 256))]
+    bad = {r.i: r.problem for r in wire.encode_frames(spark.createDataFrame(rows, "i int, magic int, opcode int, key binary, collection_id bigint, framing binary")).collect()}
+    assert bad == {1: None, 2: "key too long", 3: "key too long", 4: "collection id too large", 5: "framing extras need the other magic", 6: "framing extras too long"}

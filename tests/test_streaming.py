@@ -200,3 +200,55 @@ def test_shard_source_goes_on_at_each_shards_seqno(spark, tmp_path):
     append(spark, [(s, 1000 + i, "mutation", 41 + i, None, None) for s in (0, 1) for i in range(3)], path)
     run(frozen=str(tmp_path / "ends.json"))
     assert len(got) == len(rows)
+
+
+def test_rows_of_other_streams_fail_the_subscription(spark, tmp_path):
+    """A row of another opaque, stream id or shard than the open streams' ends it, after what lies before."""
+    from test_changelog import ROW, event, marker
+
+    from tidelog import Config, Engine
+    from tidelog.errors import StreamError
+    from tidelog.sources import checkpoints, files
+
+    opened = spark.createDataFrame([(0, None, 5), (1, 7, 6)], "shard int, stream_id int, opaque bigint")
+    full = ROW + ", stream_id int, opaque bigint"
+    good = [(*marker(1, 1, 9), None, 5), (*event(2, 1), None, 5), (*marker(1, 1, 9, 1), 7, 6), (*event(2, 1, 1), 7, 6)]
+    cases = {"other_opaque": [(*event(3, 2), None, 4), (*event(4, 3), None, 5)], "other_stream": [(*event(3, 2, 1), None, 6)], "not_open": [(*marker(1, 1, 9, 2), None, 5)]}
+    for k, (label, bad) in enumerate(cases.items()):
+        files.write_log(spark.createDataFrame(good + bad, full), str(tmp_path / f"log{k}"))
+        got, engine = [], Engine(spark, Config("b", mode="finite", bucket_uuid="u"), checkpoints.NoopStore())
+        sub = engine.subscribe(files.stream(spark, str(tmp_path / f"log{k}"), schema=full), lambda df, _: got.extend((r.shard, r.seqno) for r in df.collect() if r.seqno), str(tmp_path / f"ck{k}"), opened=opened)  # noqa: B023
+        with pytest.raises(StreamError, match=label):
+            sub.wait(120)
+        with pytest.raises(StreamError):
+            sub.close()
+        assert sorted(got) == [(0, 1), (1, 1)] and list(engine.stopped.values()) == [label]
+
+
+def test_closing_one_shard(spark, tmp_path):
+    """Its rows, held ones too, are passed over, the sink gets its end, the others go on; a shard that isn't active can't be closed."""
+    from test_changelog import MARKS, ROW, event, marker
+
+    from tidelog import Config, Engine
+    from tidelog.config import Mitigation
+    from tidelog.errors import StreamError
+    from tidelog.sources import checkpoints, files
+
+    got, path = [], str(tmp_path / "log")
+    append(spark, [marker(1, 1, 9, s) for s in (0, 1)] + [event(1 + i, i, s) for s in (0, 1) for i in (1, 2)], path)
+    engine = Engine(spark, Config("b", bucket_uuid="u", mitigation=Mitigation(poll_s=0.1, request_s=0.2, stall_s=60)), checkpoints.NoopStore())
+    marks = {"now": [(0, 1, False, None), (1, 9, False, None)]}
+    sub = engine.subscribe(files.stream(spark, path, schema=ROW), lambda df, _: got.extend((r.shard, r.kind, r.seqno) for r in df.collect()), str(tmp_path / "ck"), marks=lambda: spark.createDataFrame(marks["now"], MARKS))
+    sub.query.processAllAvailable()
+    assert engine.holding == 1
+    sub.close_shard(0)
+    for shard in (0, 5):
+        with pytest.raises(StreamError, match="not active"):
+            sub.close_shard(shard)
+    marks["now"] = [(0, 9, False, None), (1, 9, False, None)]
+    append(spark, [event(5, 3, s) for s in (0, 1)], path)
+    sub.query.processAllAvailable()
+    sub.drain()
+    sub.close()
+    assert [g for g in got if g[0] == 0] == [(0, "snapshot_marker", None), (0, "mutation", 1), (0, "stream_end", None)]
+    assert {g[2] for g in got if g[0] == 1} == {None, 1, 2, 3} and engine.statuses()[0]["processed"] == 1

@@ -81,6 +81,49 @@ def decode_frames(frames: DataFrame, collections: bool = True) -> DataFrame:
     }).drop("_head", "_id", "_keyed", "_malformed", "_response")
 
 
+def be(number: Column, size: int) -> Column:
+    """An unsigned number as big-endian bytes; up to 64 bits."""
+    return F.unhex(F.lpad(F.conv(number.cast("string"), 10, 16), 2 * size, "0"))
+
+
+def leb128(number: Column) -> Column:
+    """An unsigned number of at most 32 bits as LEB128: the inverse of uleb128."""
+    n = number.cast("bigint")
+    byte = lambda i: F.shiftrightunsigned(n, 7 * i).bitwiseAND(F.lit(0x7F))
+    size = F.lit(1)
+    for i in range(1, 5):
+        size = size + (n >= (1 << 7 * i)).cast("int")
+    digits = [F.when(size > i, F.lpad(F.hex(byte(i) + F.when(size > i + 1, 128).otherwise(0)), 2, "0")).otherwise("") for i in range(5)]
+    return F.unhex(F.concat(*digits))
+
+
+def encode_frames(decoded: DataFrame) -> DataFrame:
+    """decoded with `frame`, the inverse of decode_frames, and `problem`, with which there is no frame.
+
+    Needs opcode; takes magic (a request without), framing, extras, key, value, collection_id
+    (put before the key), datatype, shard or status, opaque and cas; a missing or null
+    number is 0, missing bytes are none.
+    """
+    there = set(decoded.columns)
+    data = lambda c: F.coalesce(F.col(c), F.lit(b"")) if c in there else F.lit(b"")
+    number = lambda c, other=0: F.coalesce(F.col(c), F.lit(other)) if c in there else F.lit(other)
+    prefix = F.when(F.col("collection_id").isNotNull() & F.col("opcode").isin(*KEYED), leb128(F.col("collection_id"))).otherwise(F.lit(b"")) if "collection_id" in there else F.lit(b"")
+    x = decoded.withColumns({"_magic": number("magic", REQUEST), "_framing": data("framing"), "_extras": data("extras"), "_value": data("value"), "_key": F.concat(prefix, data("key"))})
+    alt, response = F.col("_magic").isin(ALT_REQUEST, ALT_RESPONSE), F.col("_magic").isin(RESPONSE, ALT_RESPONSE)
+    fl, el, kl, vl = (F.length(c) for c in ("_framing", "_extras", "_key", "_value"))
+    body = fl + el + kl + vl
+    large = F.coalesce(F.col("collection_id") >= 2**32, F.lit(False)) if "collection_id" in there else F.lit(False)
+    problem = (
+        F.when(~F.col("_magic").isin(REQUEST, ALT_REQUEST, RESPONSE, ALT_RESPONSE), "unknown magic").when(large, "collection id too large").when(~alt & (fl > 0), "framing extras need the other magic").when(fl > 255, "framing extras too long")
+        .when(kl > F.when(alt, 255).otherwise(65_535), "key too long").when(el > 255, "extras too long").when(body > LARGEST_BODY, "body too large")
+    )
+    x = x.withColumn("problem", problem)
+    lengths = F.when(alt, F.concat(be(fl, 1), be(kl, 1))).otherwise(be(kl, 2))
+    target = F.when(response, number("status")).otherwise(number("shard"))
+    head = F.concat(be(F.col("_magic"), 1), be(F.col("opcode"), 1), lengths, be(el, 1), be(number("datatype"), 1), be(target, 2), be(body, 4), be(number("opaque"), 4), be(number("cas"), 8))
+    return x.withColumn("frame", F.when(F.col("problem").isNull(), F.concat(head, "_framing", "_extras", "_key", "_value"))).drop("_magic", "_framing", "_extras", "_key", "_value")
+
+
 def stream_id(framing: Column) -> Column:
     """The 2-byte stream id (frame info 2) of framing extras; the last one wins. Info ids and sizes of 15 and more take a further byte."""
     byte = lambda i: F.conv(F.hex(F.substring(framing, i + 1, F.lit(1))), 16, 10).cast("int")

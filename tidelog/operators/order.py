@@ -60,6 +60,17 @@ def check_order(log: DataFrame, start_seqno=None, stream_end=None, carried: bool
     return x
 
 
+def fence(log: DataFrame, opened: DataFrame) -> DataFrame:
+    """log with `fenced`: why a row is not of its shard's open stream, or null.
+
+    opened: shard, stream_id (null: none), opaque of the streams that are open, a row per
+    shard, at most 65536. log: stream_id and opaque as they came.
+    """
+    at = F.broadcast(opened.select("shard", F.col("stream_id").alias("_sid"), F.col("opaque").alias("_opaque"), F.lit(True).alias("_open")))
+    why = F.when(F.col("_open").isNull(), "not_open").when(~F.col("opaque").eqNullSafe(F.col("_opaque")), "other_opaque").when(~F.col("stream_id").eqNullSafe(F.col("_sid")), "other_stream")
+    return log.join(at, "shard", "left").withColumn("fenced", why).drop("_sid", "_opaque", "_open")
+
+
 def stop_after(x: DataFrame) -> DataFrame:
     """x with `unreached`: rows after a shard's first violation or after its stream end."""
     stopped = F.col("violation").isNotNull() | (F.col("kind") == "stream_end")

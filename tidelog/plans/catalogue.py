@@ -352,25 +352,6 @@ def x2_drop_replays(spark, sf_dir):
     return ack.drop_replays(log.union(again)).select("event_id", "shard", "seqno")
 
 
-def encode_frame(opcode: int, extras: bytes = b"", key: bytes = b"", value: bytes = b"", target: int = 0, cas: int = 0, datatype: int = 0, magic: int = wire.REQUEST, opaque: int = 0, framing: bytes = b"") -> bytes:
-    """A wire frame: the inverse of wire.decode_frames, for fixtures."""
-    body = framing + extras + key + value
-    if magic in (wire.ALT_REQUEST, wire.ALT_RESPONSE):
-        head = struct.pack(">BBBBBBHIIQ", magic, opcode, len(framing), len(key), len(extras), datatype, target, len(body), opaque, cas)
-    else:
-        head = struct.pack(">BBHBBHIIQ", magic, opcode, len(key), len(extras), datatype, target, len(body), opaque, cas)
-    return head + body
-
-
-def leb128(n: int) -> bytes:
-    out = b""
-    while True:
-        n, low = n >> 7, n & 127
-        out += bytes([low | (128 if n else 0)])
-        if not n:
-            return out
-
-
 @query("SELECT event_id, shard, 'mutation' AS kind, seqno, rev_seqno, collection_id, key, cas::DECIMAL(20,0) AS cas FROM log WHERE kind = 'mutation'")
 def b8_wire_mutations(spark, sf_dir):
     """Frames put together with Column expressions, then decoded again."""

@@ -107,13 +107,16 @@ class Subscription:
     def short(self) -> dict[int, tuple[int, int]]:
         """Shards of a finite stream that is at its end: processed seqno and the end that was not reached."""
         done = {s: c["seqno"] for s, c in self.engine.processed.items()}
-        return {s: (done.get(s, 0), e) for s, e in self.ends.items() if done.get(s, 0) < e}
+        return {s: (done.get(s, 0), e) for s, e in self.ends.items() if done.get(s, 0) < e and s not in self.engine.closed}
 
     def _raise_short(self) -> None:
         if short := self.short():
             shard, (at, end) = min(short.items())
             raise StreamError(f"shard {shard} ended at {at} of {end} ({len(short)} shards fell short)")
 
+    def close_shard(self, shard: int) -> None:
+        self.engine.close_shard(shard)
+
     def flush(self) -> int:
         return self.engine.flush()
 
@@ -153,6 +156,7 @@ class Engine:
         self.failure: Exception | None = None
         self.stopped: dict[int, str] = {}
         self.holding = 0
+        self.closed: set[int] = set()
         #: Counters and health, as long as the engine lives.
         self.monitor = monitoring.Monitor()
         self._watch = monitoring.Watch(spark, self.monitor)
@@ -318,7 +322,7 @@ class Engine:
         if plan.automatic and (self.config.mode == "finite" or time.monotonic() - self._flushed_at >= plan.interval_s):
             self.flush()
 
-    def subscribe(self, stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint_dir: str, marks: Callable[[], DataFrame] | DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None, **trigger) -> Subscription:
+    def subscribe(self, stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint_dir: str, marks: Callable[[], DataFrame] | DataFrame | None = None, dim: DataFrame | None = None, starts: DataFrame | None = None, opened: DataFrame | None = None, **trigger) -> Subscription:
         """One subscription at a time. The same stages as run_batch on each micro-batch: sink, then record and flush: at least once, in order by shard.
 
         marks (shard, watermark, and if known changed and error) is asked for at each
@@ -326,7 +330,8 @@ class Engine:
         come again with the next micro-batch, on drain() or while wait() waits; after the
         stall time, or where `changed`, they fail the stream. A violation of order or a
         document of an unknown collection fails it too. In any case what lies before is
-        delivered and recorded first.
+        delivered and recorded first. opened (shard, stream_id, opaque): rows of other
+        streams than the open ones are violations as well.
         """
         from tidelog.streaming import held as carried
 
@@ -334,8 +339,9 @@ class Engine:
             raise StreamError("the engine has a subscription already")
         base = checkpoint_dir.rstrip("/")
         held = carried.HeldRows(self.spark, f"{base}-held") if marks is not None and self.config.mitigation.enabled else None
-        ordered = carried.CarriedOrder(self.spark, f"{base}-order", starts)
-        self.failure, self.holding, self.stopped = None, 0, {}
+        ordered = carried.CarriedOrder(self.spark, f"{base}-order", starts, opened)
+        self.failure, self.holding, self.stopped, self.closed = None, 0, {}, set()
+        self._ended = lambda shard: sink(self._stream_end(stream, shard), -1)
 
         def take(new: DataFrame | None, epoch: int) -> None:
             with self._busy:
@@ -348,13 +354,15 @@ class Engine:
                     raise
 
         def deliver(new: DataFrame | None, epoch: int) -> None:
-            began = time.time()
+            began, open_ = time.time(), ~F.col("shard").isin(*self.closed)
+            new = new.where(open_) if new is not None and self.closed else new
             labelled = ordered.labelled(new, epoch).persist() if new is not None else None
             x = labelled.where("violation IS NULL AND NOT unreached") if labelled is not None else None
             if held is not None:
                 x = held.with_new(x, epoch)
             if x is None:
                 return
+            x = x.where(open_) if self.closed else x
             at = marks() if callable(marks) else marks
             x = passed(self._with_manifests(x), self.config, at, dim).persist()
             try:
@@ -388,6 +396,21 @@ class Engine:
         self.subscription = Subscription(self, query, lambda: take(None, -1), ends)
         return self.subscription
 
+    def close_shard(self, shard: int) -> None:
+        """Ends one shard of the running subscription: its rows, held ones too, are passed over from now on, and the sink gets a stream end of the reason `closed`. Its progress stays."""
+        with self._busy:
+            if self.subscription is None or shard in self.closed or shard in self.stopped or shard not in {*self.processed, *self.subscription.ends}:
+                raise StreamError(f"shard {shard}: cannot close a stream that is not active")
+            self.closed.add(shard)
+            self._ended(shard)
+            self.monitor.add(delivered_events=1, stream_ends=1)
+
+    def _stream_end(self, stream: DataFrame, shard: int) -> DataFrame:
+        """The row that stands for the end of a closed shard, with the columns of the stream and its labels."""
+        given = {"shard": shard, "kind": "stream_end", "end_reason": "closed"}
+        row = self.spark.range(1).select(*[F.lit(given.get(f.name)).cast(f.dataType).alias(f.name) for f in stream.schema.fields])
+        return row.withColumns({"violation": F.lit(None).cast("string"), "unreached": F.lit(False), "delivered": F.lit(True), "acked": F.lit(False)})
+
     def _stalled(self, waiting: DataFrame, marks: DataFrame) -> PersistenceError | None:
         """Counts what the gate holds; an error if a held shard's branch has changed, or if one has waited longer than the stall time."""
         known = [c for c in ("changed", "error") if c in marks.columns]

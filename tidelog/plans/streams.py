@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tidelog import errors
 from tidelog.config import Config
+from tidelog.functions import wire
+from tidelog.operators import order
 from tidelog.plans.catalogue import _log, _marked, query
 from tidelog.plans.engine import Engine
-from tidelog.sources import checkpoints, files
+from tidelog.sources import checkpoints, files, synth
 from tidelog.streaming import acks, held
 
 _MARKED = "shard int, arrival bigint, kind string, seqno bigint, snap_start bigint, snap_end bigint, collection_id bigint, cas bigint"
@@ -52,3 +54,49 @@ def k1_ack_stream(spark, sf_dir):
         part.write.mode("append").parquet(f"{base}/control")
         acks.run(spark, spark.readStream.schema(acks.CONTROL).parquet(f"{base}/control"), f"{base}/out", f"{base}/checkpoint")
     return spark.read.schema(acks.OUTCOME).parquet(f"{base}/out").select("shard", F.col("token").alias("seqno"), "pending", "advanced_to")
+
+
+@query("""AND x AS (SELECT event_id, shard, CASE WHEN shard = 15 THEN 'not_open' WHEN event_id % 13 = 5 THEN 'other_opaque' WHEN event_id % 17 = 4 OR shard % 3 = 2 AND event_id % 11 = 1 THEN 'other_stream' END AS fenced FROM log)
+SELECT event_id, fenced FROM x""")
+def c10_stream_fence(spark, sf_dir):
+    """Rows of the open streams, of older ones (another opaque or stream id) and of a shard without a stream."""
+    i, shard = F.col("event_id"), F.col("shard")
+    sid = F.when(shard % 3 == 2, None).otherwise(shard)
+    x = _log(spark, sf_dir).withColumns({"opaque": shard * 10 + (i % 13 == 5).cast("int"), "stream_id": F.when(i % 17 == 4, 999).when((shard % 3 == 2) & (i % 11 == 1), 7).otherwise(sid)})
+    opened = spark.range(15).select(F.col("id").cast("int").alias("shard")).select("shard", F.when(shard % 3 == 2, None).otherwise(shard).alias("stream_id"), (shard * 10).alias("opaque"))
+    return order.fence(x, opened).select("event_id", "fenced")
+
+
+@query("""AND half AS (SELECT shard, max(seqno) // 2 AS h FROM log GROUP BY shard)
+SELECT l.shard, count(*) FILTER (WHERE l.shard % 5 <> 2 OR seqno <= h) AS events, max(CASE WHEN l.shard % 5 <> 2 OR seqno <= h THEN seqno END)::BIGINT AS processed, (CASE WHEN l.shard % 5 = 2 THEN 1 ELSE 0 END)::BIGINT AS closed FROM log l JOIN half ON l.shard = half.shard GROUP BY l.shard""")
+def k16_closed_shards(spark, sf_dir):
+    """A running subscription of which some shards are closed between two parts of the log."""
+    base = held.shared_dir(spark)
+    log = _log(spark, sf_dir)
+    x = synth.with_markers(log.withColumn("event_id", F.col("event_id") + 1), 1 << 40).drop("event_id").join(F.broadcast(log.groupBy("shard").agg(F.floor(F.max("seqno") / 2).alias("h"))), "shard").withColumn("late", F.col("arrival") > F.col("h") * 4).drop("h")
+    engine = Engine(spark, Config("b", bucket_uuid="u"), checkpoints.NoopStore())
+    files.write_log(x.where("NOT late").drop("late"), f"{base}/log")
+    sink = lambda df, _: df.select("shard", "kind", "seqno").write.mode("append").parquet(f"{base}/out")
+    sub = engine.subscribe(files.stream(spark, f"{base}/log", schema=_MARKED), sink, f"{base}/checkpoint", processingTime="0 seconds")
+    sub.query.processAllAvailable()
+    for shard in [s for s in engine.processed if s % 5 == 2]:
+        sub.close_shard(shard)
+    files.write_log(x.where("late").drop("late"), f"{base}/log")
+    sub.query.processAllAvailable()
+    sub.close()
+    out = spark.read.parquet(f"{base}/out")
+    return out.groupBy("shard").agg(F.count("seqno").alias("events"), F.max("seqno").alias("processed"), F.count_if(F.col("kind") == "stream_end").alias("closed"))
+
+
+@query("SELECT event_id, true AS same, NULL::VARCHAR AS problem FROM log")
+def b2_encoded_frames(spark, sf_dir):
+    """Frames of each event put together from columns, decoded, and put together again: key with its collection, extras, value, framing extras."""
+    i, magic = F.col("event_id"), F.when(F.col("event_id") % 2 == 0, wire.REQUEST).otherwise(wire.ALT_REQUEST)
+    opcode = F.element_at(F.array(*[F.lit(o) for o in wire.KEYED]), F.pmod(i, F.lit(3)).cast("int") + 1)
+    framing = F.when(i % 2 == 1, F.concat(F.unhex(F.lit("22")), wire.be(F.col("shard"), 2))).otherwise(F.lit(b""))
+    extras = F.concat(wire.be(F.col("seqno"), 8), wire.be(F.col("rev_seqno"), 8), F.unhex(F.lit("00" * 12)))
+    x = _log(spark, sf_dir).select("event_id", "shard", magic.alias("magic"), opcode.alias("opcode"), framing.alias("framing"), extras.alias("extras"), F.col("key").cast("binary").alias("key"), F.repeat("key", 3).cast("binary").alias("value"), (i * 524287 % 2**32).alias("collection_id"), "cas", i.alias("opaque"))
+    first = wire.encode_frames(x)
+    again = wire.encode_frames(wire.decode_frames(first.select("event_id", "frame")).withColumnRenamed("frame", "was").drop("problem"))
+    parts = F.col("was").isNotNull() & (F.col("was") == F.col("frame")) & (F.col("collection_id") == i * 524287 % 2**32)
+    return again.select("event_id", F.coalesce(parts, F.lit(False)).alias("same"), F.coalesce("malformed", "problem").alias("problem"))

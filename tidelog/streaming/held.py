@@ -85,15 +85,23 @@ class CarriedOrder:
 
     SEEDS = "shard int, c_start bigint, c_end bigint, c_last bigint, c_stopped boolean"
 
-    def __init__(self, spark: SparkSession, folder: str, starts: DataFrame | None):
-        self.spark, self.versions, self.starts = spark, Versions(spark, folder), starts
+    def __init__(self, spark: SparkSession, folder: str, starts: DataFrame | None, opened: DataFrame | None = None):
+        self.spark, self.versions, self.starts, self.opened = spark, Versions(spark, folder), starts, opened
 
     def _seeds(self, epoch: int) -> DataFrame:
         found = self.versions.before(epoch)
         return self.spark.createDataFrame([], self.SEEDS) if found is None else found
 
     def labelled(self, new: DataFrame, epoch: int) -> DataFrame:
-        """new with the snapshot attached, violation and unreached."""
+        """new with the snapshot attached, violation and unreached; rows that are not of their shard's open stream are violations."""
+        if self.opened is None:
+            return self._ordered(new, epoch)
+        x = self._ordered(order.fence(new, self.opened), epoch)
+        stopped = F.col("unreached") & F.col("fenced").isNull()  # by what came before
+        x = order.stop_after(x.withColumns({"_was": stopped, "violation": F.coalesce("fenced", "violation")}))
+        return x.withColumn("unreached", F.col("unreached") | F.col("_was")).drop("fenced", "_was")
+
+    def _ordered(self, new: DataFrame, epoch: int) -> DataFrame:
         x = new.join(F.broadcast(self._seeds(epoch)), "shard", "left")
         if self.starts is not None:
             x = x.join(F.broadcast(self.starts.select("shard", F.col("start_seqno").alias("_start"), F.col("end_seqno").alias("_stop"))), "shard", "left")
