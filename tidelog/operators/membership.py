@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.errors import InvalidConfiguration
 from tidelog.functions.columns import is_identifier
+from tidelog.operators import order
 
 MOST_SHARDS = 65536
 
@@ -57,23 +59,22 @@ def fold_registry(events: DataFrame, stale_after: int) -> DataFrame:
 
     Of each member the last join that took effect counts: the same incarnation
     joins again as a heartbeat; another one is refused while the first is live.
-    Per member, one short array in order of time.
+    A member's events are sorted by Spark, which can spill, and folded in batches with
+    the state carried on, so a long history needs no more memory than a short one.
     """
-    rows = F.sort_array(F.collect_list(F.struct("at", "action", "incarnation")))
-    none = F.lit(None).cast("struct<incarnation:string,joined_at:bigint,heartbeat_at:bigint>")
-
-    def step(m, e):
-        mine = m.isNotNull() & (m["incarnation"] == e["incarnation"])
-        beat = F.struct(m["incarnation"].alias("incarnation"), m["joined_at"].alias("joined_at"), F.greatest(m["heartbeat_at"], e["at"]).alias("heartbeat_at"))
-        joined = F.struct(e["incarnation"].alias("incarnation"), e["at"].alias("joined_at"), e["at"].alias("heartbeat_at"))
-        free = m.isNull() | is_stale(e["at"], m["heartbeat_at"], stale_after)
-        return (
-            F.when(mine & e["action"].isin("join", "heartbeat"), beat).when((e["action"] == "join") & free, joined)
-            .when(mine & (e["action"] == "leave"), none).otherwise(m)
-        )
-
-    x = events.groupBy("member_id").agg(rows.alias("rows")).select("member_id", F.aggregate("rows", none, step).alias("m"))
-    return x.where("m IS NOT NULL").select("member_id", "m.*")
+
+    def step(m: tuple, rows: pd.DataFrame) -> tuple:
+        for at, action, incarnation in zip(rows["at"].tolist(), rows["action"], rows["incarnation"]):
+            if m and incarnation is not None and m[0] == incarnation:
+                m = () if action == "leave" else (incarnation, m[1], max(m[2], at)) if action in ("join", "heartbeat") else m
+            elif action == "join" and (not m or max(at - m[2], 0) >= stale_after):
+                m = (incarnation, at, at)
+        return m
+
+    rows = events.select(F.col("member_id").alias("shard"), "at", "action", "incarnation")
+    kind = events.schema["member_id"].dataType.simpleString()
+    out = order.fold_shards(rows, ["at", "action", "incarnation"], step, (), lambda m: m or (None, None, None), f"shard {kind}, incarnation string, joined_at bigint, heartbeat_at bigint")
+    return out.where("joined_at IS NOT NULL").withColumnRenamed("shard", "member_id")
 
 
 def stateful_ordinal(name: Column, prefix: str) -> Column:

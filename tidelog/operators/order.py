@@ -86,16 +86,25 @@ def fold_shards(rows: DataFrame, order: list[str], step, zero, result, schema: s
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, shard, state = [c.split()[0] for c in schema.split(", ")], None, None
+        done: list[tuple] = []
+
+        def frame() -> pd.DataFrame:
+            made = pd.DataFrame(done, columns=names, dtype=object)  # else integers beside nulls would become floats
+            done.clear()
+            return made
+
         for b in batches:
             at = b["shard"].to_numpy()
             cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1), len(b)] if len(b) else [0]
             for i, j in zip(cuts[:-1], cuts[1:]):
                 if state is None or at[i] != shard:
                     if state is not None:
-                        yield pd.DataFrame([(shard, *result(state))], columns=names)
+                        done.append((shard, *result(state)))
                     shard, state = at[i], zero
                 state = step(state, b.iloc[i:j])
+            yield frame()
         if state is not None:
-            yield pd.DataFrame([(shard, *result(state))], columns=names)
+            done.append((shard, *result(state)))
+            yield frame()
 
     return rows.repartition("shard").sortWithinPartitions("shard", *order).mapInPandas(run, schema)
