@@ -124,6 +124,16 @@ def a12_nation_manifest(spark, sf_dir):
     return collections.parse_manifest(scopes.agg(F.collect_list("s").alias("scopes")).select(F.to_json(F.struct(F.lit("2a").alias("uid"), "scopes")).alias("json")))
 
 
+@query("SELECT n_name AS collection, n_nationkey::BIGINT + 16 AS collection_id, NULL::BIGINT AS scope_id FROM nation WHERE n_name IN ('NATION_12', 'NATION_2') UNION ALL SELECT NULL, NULL, r_regionkey::BIGINT + 8 FROM region WHERE r_name = 'EUROPE'", log=False)
+def a13_resolved_collections(spark, sf_dir):
+    """Two collections of a scope by their names, and a whole scope."""
+    dim = a12_nation_manifest(spark, sf_dir)
+    names = ("NATION_2", "NATION_12")
+    _, ids = collections.resolve(dim, "ASIA", names)
+    scope, _ = collections.resolve(dim, "EUROPE", ())
+    return spark.createDataFrame([*zip(names, ids, (None, None)), (None, None, scope)], "collection string, collection_id bigint, scope_id bigint")
+
+
 @query("""WITH d AS (SELECT r_regionkey AS scope_id, r_name AS scope, n_nationkey % 22 AS collection_id, substr(n_name, 1, 1) AS collection FROM region JOIN nation ON n_regionkey = r_regionkey)
 SELECT 'collection id' AS problem, collection_id::VARCHAR AS what, count(*) AS n FROM d GROUP BY collection_id HAVING count(*) > 1
 UNION ALL SELECT 'collection name', scope || '/' || collection, count(*) FROM d GROUP BY scope, collection HAVING count(*) > 1""", log=False)
@@ -177,6 +187,27 @@ def a10_failover_decode(spark, sf_dir):
     return x.select("shard", F.posexplode(wire.failover_list(value)).alias("pos", "r")).select("shard", "pos", "r.branch", "r.seqno")
 
 
+@query("SELECT shard, max(seqno)::DECIMAL(20,0) AS seqno FROM log GROUP BY shard")
+def b18_seqno_list(spark, sf_dir):
+    """One answer with the last seqno of every shard, put together and read."""
+    record = F.struct("shard", F.concat(be(F.col("shard"), 2), be(F.col("high_seqno"), 8)).alias("bytes"))
+    x = rollback.high_seqnos(_log(spark, sf_dir)).agg(F.array_sort(F.collect_list(record)).alias("e"))
+    value = F.aggregate("e", F.lit(b""), lambda a, b: F.concat(a, b["bytes"]))
+    return x.select(F.explode(wire.seqno_list(value)).alias("r")).select(F.col("r.shard").cast("int").alias("shard"), "r.seqno")
+
+
+@query(FAILOVER_SQL + """ SELECT shard, CASE WHEN shard % 3 = 0 THEN max(seqno) END::DECIMAL(20,0) AS rollback, CASE WHEN shard % 3 = 1 THEN count(*) END AS entries, CASE WHEN shard % 3 = 1 THEN min_by(branch, pos) END::DECIMAL(20,0) AS newest FROM f GROUP BY shard""")
+def b20_stream_responses(spark, sf_dir):
+    """Answers to stream requests by shard: a rollback, a failover log, an error."""
+    entry = F.struct("pos", F.concat(be(F.col("branch"), 8), be(F.col("seqno"), 8)).alias("bytes"))
+    x = _failover(_log(spark, sf_dir)).groupBy("shard").agg(F.array_sort(F.collect_list(entry)).alias("e"), F.max("seqno").alias("high"))
+    k = F.col("shard") % 3
+    value = F.when(k == 0, be(F.col("high"), 8)).when(k == 1, F.aggregate("e", F.lit(b""), lambda a, b: F.concat(a, b["bytes"]))).otherwise(F.lit(b""))
+    y = x.select("shard", wire.stream_response(F.when(k == 0, 0x23).when(k == 1, 0).otherwise(0x24), value).alias("r"))
+    log = F.col("r.log")
+    return y.select("shard", "r.rollback", F.when(log.isNotNull(), F.size(log)).cast("bigint").alias("entries"), F.get(log["branch"], F.lit(0)).alias("newest"))
+
+
 @query(OUTCOME_SQL + """SELECT shard, cycle, k, h % 41 = 8 AS did_failover, CASE WHEN h % 29 = 4 THEN 1 ELSE 99 END::DECIMAL(20,0) AS branch, greatest(p, 0)::DECIMAL(20,0) AS persisted, hi::DECIMAL(20,0) AS current,
   CASE WHEN h % 41 = 8 THEN 7::DECIMAL(20,0) END AS old_branch FROM ob""")
 def a14_observe_decode(spark, sf_dir):
