@@ -72,7 +72,10 @@ def store(documents: DataFrame) -> DataFrame:
 
 
 def describe(stored: DataFrame) -> DataFrame:
-    """One row per digest, from the stored bytes: digest, copies (rows that have it), n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
+    """One row per digest, from the stored bytes: digest, copies (rows that have it), n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
+
+    Repeated payloads are one row with their number; an empty store gives no rows.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -176,6 +179,7 @@ def resolve(items: DataFrame, described: DataFrame) -> DataFrame:
 
     Positions and captions stay as they were. Texts don't go through the join; a
     digest that very many items refer to is broadcast. described is materialised.
+    Repeated items stay as often as they are there; null references are texts.
     """
     x = items.withColumn("digest", F.when(F.col("ref").startswith("media:"), F.substring("ref", 7, 64)))
     found = hot_join(x.where("digest IS NOT NULL"), described, ["digest"], "copies", "left", BROADCAST_PAYLOADS).drop("copies")

@@ -192,7 +192,11 @@ class ToxicityModel:
         return self.trees.transform(x).withColumn("p", vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
 
     def score(self, documents: DataFrame) -> DataFrame:
-        """documents with `score`: 0 to 1, the calibrated chance of the toxic label. Columns of that name are replaced."""
+        """documents with `score`: 0 to 1, the calibrated chance of the toxic label. Columns of that name are replaced.
+
+        Null and empty texts are scored on zero features, very long ones whole; repeated
+        rows get equal scores; an empty table gives no rows; other columns stay as they are.
+        """
         docs = documents.drop("score")
         if self.trees is None:
             return docs.withColumn("score", F.lit(float(self.rate)))

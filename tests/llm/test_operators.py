@@ -308,6 +308,14 @@ def test_url_branches_merge_at_every_level(spark):
     assert {r.verdict for r in got if r.path.startswith("/b/y/2")} == {"block"} and {r.verdict for r in got if r.path.startswith("/b/z/")} == {"allow"}
 
 
+def test_url_rules_of_one_length(spark):
+    """Of two rules that fit and are equally long the later one by name holds, in whatever order they are given."""
+    rules = [("block", "a.io", "/x"), ("allow", "io", "/x/ab"), ("block", "b.a.io", "/")]
+    urls = spark.createDataFrame([(1, "https://b.a.io/x"), (2, "https://b.a.io/x/ab"), (3, "https://c.a.io/x/ab")], "page_id long, url string")
+    for given in (rules, rules[::-1]):
+        assert {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(urls, given).collect()} == {1: ("b.a.io/", "block"), 2: ("io/x/ab", "allow"), 3: ("io/x/ab", "allow")}
+
+
 def test_url_levels_have_no_bound(spark, monkeypatch):
     """What is done at the first level is done at the eighteenth and the fortieth, also beside a path of thousands of segments."""
     slug = lambda i: "".join(chr(103 + int(c)) for c in f"{i:03d}")
