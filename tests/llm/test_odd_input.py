@@ -86,3 +86,18 @@ def test_mixing(spark, broadcast_rows, monkeypatch):
     out = mixing.repeat(d)
     assert out.columns == d.columns and not plain(out) - Counter({k: 2 * n for k, n in plain(d).items()})
     assert mixing.repeat(d.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_join_is_bounded_in_bytes(spark, monkeypatch, tmp_path, how):
+    """Few rows with long strings are not broadcast whole; a hot row that is too wide is shuffled like the others."""
+    monkeypatch.setattr(_common, "BROADCAST_BYTES", 2000)
+    monkeypatch.setattr(_common, "HOT_KEYS", 4)
+    rows = spark.createDataFrame([(k, i) for k, n in ((1, 40), (2, 40), (3, 3), (4, 1)) for i in range(n)], "k long, i long")
+    spark.createDataFrame([(1, 40, "short"), (2, 40, "w" * 1500), (3, 3, "x" * 900)], "k long, size long, s string").write.parquet(str(tmp_path / "g"))
+    groups = spark.read.parquet(str(tmp_path / "g"))
+    joined = _common.hot_join(rows, groups, ["k"], "size", how)
+    assert Counter(joined.collect()) == Counter(rows.join(groups, "k", how).collect())
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2
+    assert _common.hot_join(rows, groups, ["k"], "size", how, total=84)._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 1
