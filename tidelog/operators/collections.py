@@ -67,7 +67,8 @@ def name_versions(dim: DataFrame, changes: DataFrame, scope_id: int | None = Non
     changes: manifest_uid, sys_kind, collection_id, name (and scope_id, if given).
     Only events above the manifest take effect, and only those of the scope. Creates
     count for a selection of the whole scope; a drop closes the name; a dropped scope
-    closes all of its names. Tables of a row per collection and change.
+    closes all of its own names (all names, where changes don't tell scopes). Tables of
+    a row per collection and change; a scope's names meet its drops by its id.
     """
     base = dim.where("collection_id IS NOT NULL").select("collection_id", F.col("collection").alias("name"), F.col("manifest_uid").alias("from_uid"), F.lit(True).alias("live"))
     first = dim.agg(F.max("manifest_uid").alias("_first"))  # one row
@@ -77,8 +78,11 @@ def name_versions(dim: DataFrame, changes: DataFrame, scope_id: int | None = Non
     made = later.where((F.col("sys_kind") == "create_collection") & F.lit(whole_scope)).select("collection_id", "name", F.col("manifest_uid").alias("from_uid"), F.lit(True).alias("live"))
     none = F.lit(None).cast("string")
     gone = later.where("sys_kind = 'drop_collection'").select("collection_id", none.alias("name"), F.col("manifest_uid").alias("from_uid"), F.lit(False).alias("live"))
-    ids = base.select("collection_id").union(made.select("collection_id")).distinct()
-    cleared = ids.join(later.where("sys_kind = 'drop_scope'").select(F.col("manifest_uid").alias("from_uid"))).select("collection_id", none.alias("name"), "from_uid", F.lit(False).alias("live"))
+    scope = F.col("scope_id") if "scope_id" in changes.columns else F.lit(0).cast("bigint")
+    ids = dim.where("collection_id IS NOT NULL").select("collection_id", scope.alias("_scope"))
+    ids = ids.union(later.where((F.col("sys_kind") == "create_collection") & F.lit(whole_scope)).select("collection_id", scope.alias("_scope"))).distinct()
+    dropped = later.where("sys_kind = 'drop_scope'").select(scope.alias("_scope"), F.col("manifest_uid").alias("from_uid"))
+    cleared = ids.join(dropped, "_scope").select("collection_id", none.alias("name"), "from_uid", F.lit(False).alias("live"))
     w = Window.partitionBy("collection_id").orderBy("from_uid")
     x = base.union(made).union(gone).union(cleared).withColumn("to_uid", F.lead("from_uid").over(w))
     return x.where("live").drop("live")
