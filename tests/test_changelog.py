@@ -504,7 +504,8 @@ def test_batch_is_lossless(spark, tmp_path):
     marks, dim = case_tables(spark)
     store, got = checkpoints.FileStore(str(tmp_path / "c.json")), []
     engine = Engine(spark, Config("b", bucket_uuid="u", skip_until_ns=6 * 10**9), store)
-    engine.run_batch(doc_log(spark, case_rows()), lambda df: got.extend((r.shard, r.seqno, r.collection_name) for r in df.collect() if r.seqno), marks, dim)
+    with pytest.raises(CollectionError, match="shard 1: unmapped_collection 9"):
+        engine.run_batch(doc_log(spark, case_rows()), lambda df: got.extend((r.shard, r.seqno, r.collection_name) for r in df.collect() if r.seqno), marks, dim)
     assert sorted(got, key=str) == sorted(CASE_WANT, key=str)
     saved = store.load("u", [0, 1, 2])
     assert {s: (c["seqno"], c["manifest_uid"]) for s, c in saved.items()} == {0: (4, 2), 1: (2, None), 2: (1, None)}
@@ -576,7 +577,7 @@ def test_rebase_and_repeated_rollbacks(spark, tmp_path):
     log = spark.createDataFrame([(s, 0, 20, 30) for s in (0, 1)] + [(0, 1, 10, 0)], "shard int, pos int, branch bigint, seqno bigint")
     engine = Engine(spark, Config("b", bucket_uuid="u", start_from="checkpoint", rollback_policy="rewind_and_replay"), store)
     engine.starts([0, 1], highs, log)
-    assert engine.statuses()[0] == {"processed": 50, "durable": 50, "dirty": False}
+    assert engine.statuses()[0] == {"processed": 50, "durable": 50, "dirty": False, "stopped": None}
     answer = lambda at, shard=0: spark.createDataFrame([(shard, at)], "shard int, rollback_seqno bigint")
     engine.roll_back(answer(40), log)
     engine.roll_back(answer(20), log)
