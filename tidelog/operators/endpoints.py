@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SERVICES = "struct<kv:int,kvSSL:int>"
-DOCUMENT = (
-    f"nodesExt array<struct<nodeUUID:string,hostname:string,serverGroup:string,services:{_SERVICES},alternateAddresses:map<string,struct<hostname:string,ports:{_SERVICES}>>>>, "
-    "vBucketServerMap struct<serverList:array<string>>"
-)
+_NODES = f"array<struct<nodeUUID:string,hostname:string,serverGroup:string,services:{_SERVICES},alternateAddresses:map<string,struct<hostname:string,ports:{_SERVICES}>>>>"
+DOCUMENT = f"nodesExt {_NODES}, vBucketServerMap struct<serverList:array<string>>"
 
 
 def split_endpoint(address: Column) -> Column:
@@ -52,7 +50,7 @@ def endpoints(docs: DataFrame) -> DataFrame:
     A document that can't be used is one row with its problem.
     """
     x = docs.withColumn("_d", F.from_json("json", DOCUMENT))
-    nodes = F.coalesce(F.col("_d.nodesExt"), F.array().cast(DOCUMENT.split(", vBucket")[0].split(" ", 1)[1]))
+    nodes = F.coalesce(F.col("_d.nodesExt"), F.array().cast(_NODES))
     x = x.withColumns({"_nodes": nodes, "_servers": F.coalesce(F.col("_d.vBucketServerMap.serverList"), F.array().cast("array<string>"))})
     x = x.withColumns({"_data": F.filter("_nodes", _is_data), "_s": split_endpoint(F.col("source"))})
     x = x.withColumns({"_host": F.col("_s.host"), "_source": format_endpoint(F.col("_s.host"), F.col("_s.port"))})
