@@ -82,6 +82,36 @@ def test_acks_as_a_stream(spark, tmp_path):
     assert mine[1006][4] is None and mine[1006][9] == "obsolete"
 
 
+def test_acks_in_windows_equal_the_fold_and_leave_python_out(spark):
+    """One shard's rows of one micro-batch and what waited before them go through no worker of Python: windows that can spill."""
+    for seed in range(4):
+        rows = [r for r in random_control(seed, 200, 1) if r[2] != "rebase"]
+        made = spark.createDataFrame(rows, acks.CONTROL).selectExpr("*", "CAST(null AS BOOLEAN) AS acked")
+        out = acks.settled(spark.createDataFrame(made.collect(), made.schema))
+        left, _, want = acks.fold(np.zeros((0, 6), np.int64), pd.DataFrame([tuple(-1 if v is None else v for v in r) for r in rows], columns=NAMES))
+        got = out.orderBy("at").collect()
+        assert [(r["at"], r["token"], None if r["advanced_to"] is None else [-1 if r[c] is None else r[c] for c in ("advanced_to", "snap_start", "snap_end", "manifest_uid")], r["pending"], r["problem"]) for r in got if r["waits"] == 0] == want
+        assert [(r["token"], r["advanced_to"], r["pending"]) for r in got if r["waits"] == 1] == [(t[0], t[1], t[5]) for t in left.tolist()]
+    plan = acks.settled(spark.range(9).selectExpr("0 AS shard", "id AS at", "'ack' AS action", *[f"id AS {c}" for c in NAMES[3:]], "CAST(null AS BOOLEAN) AS acked"))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Python" not in plan and "Pandas" not in plan
+
+
+def test_acks_of_a_repeated_micro_batch_are_there_once(spark, tmp_path):
+    """A stream that failed after its outcomes were in place and before its commit does the micro-batch again; one without rows changes nothing."""
+    given = [(0, s, "deliver", s, s, 1, 9, None) for s in (1, 2, 3, 4)]
+    parts = [[*given, (0, 5, "ack", 2, *[None] * 4)], [(1, 5, "later", 0, *[None] * 4)], [(0, 6, "ack", 1, *[None] * 4), (0, 7, "ack", 4, *[None] * 4), (0, 8, "ack", 2, *[None] * 4)]]
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, acks.CONTROL).write.mode("append").parquet(str(tmp_path / "in"))
+        control = spark.readStream.schema(acks.CONTROL).parquet(str(tmp_path / "in")).where("action <> 'later'")
+        acks.run(spark, control, str(tmp_path / "out"), str(tmp_path / "ck"))
+        if n == 2:
+            for name in (f"commits/{n}", f"commits/.{n}.crc"):
+                (tmp_path / "ck" / name).unlink(missing_ok=True)
+            acks.run(spark, control, str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = sorted((r["at"], r["token"], r["advanced_to"], r["pending"], r["problem"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(5, 2, None, 4, None), (6, 1, 2, 2, None), (7, 4, None, 2, None), (8, 2, None, 2, "obsolete")]
+
+
 def test_live_metrics_equal_those_of_the_labelled_rows(spark, tmp_path):
     """After a run the counters are those of metrics.snapshot over the batch's labels; all four states are reached."""
     from pyspark.sql import functions as F

@@ -1,18 +1,19 @@
 """Acknowledgement by event, as a stream: tokens in any order, progress in the order of delivery.
 
-State per shard: the deliveries that are not processed yet, in order, and the progress.
-A token is void once its event is processed, and a rebase makes all earlier ones void.
+Carried from one micro-batch to the next: the deliveries that are not processed yet, as
+versions of a table beside the stream's checkpoint. A token is void once its event is
+processed, and a rebase makes all earlier ones void.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
+
+from tidelog.errors import StreamError
+from tidelog.streaming.held import Versions
 
 #: at orders a shard's rows. deliver: token and checkpoint of an event; ack: token; rebase: checkpoint.
 CONTROL = "shard int, at bigint, action string, token bigint, seqno bigint, snap_start bigint, snap_end bigint, manifest_uid bigint"
@@ -20,14 +21,18 @@ CONTROL = "shard int, at bigint, action string, token bigint, seqno bigint, snap
 OUTCOME = "shard int, at bigint, action string, token bigint, advanced_to bigint, snap_start bigint, snap_end bigint, manifest_uid bigint, pending bigint, problem string"
 _CHECKPOINT = ["seqno", "snap_start", "snap_end", "manifest_uid"]
 _PENDING = ["token", *_CHECKPOINT, "acked"]
-_NEVER, _NULL = np.iinfo(np.int64).max, -1
-#: Rows of state that go to Python at once.
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_NEVER = np.iinfo(np.int64).max
+_NAMES = [c.split()[0] for c in CONTROL.split(", ")]
+#: A version of what is carried. waits 0: outcomes; 1: deliveries that wait, advanced_to their seqno, pending 1 if their acknowledgement was there.
+_VERSION = f"{OUTCOME}, waits int"
+#: Beyond all rows of a shard.
+_LATER = 2**62
 
 
 def fold(pending: np.ndarray, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray | None, list]:
     """One run of deliver and ack rows, in order: what still waits, the last checkpoint that was reached, and an outcome per ack.
 
+    For the few rows of one shard, in memory; a stream has settled(), which the tests hold to this.
     pending: a row of _PENDING per waiting delivery. An event is processed when all up
     to it are acknowledged: at the running maximum of the times of acknowledgement.
     """
@@ -57,60 +62,63 @@ def fold(pending: np.ndarray, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarra
     return left, items[n - 1, 1:5] if n else None, out
 
 
-class _Acks(StatefulProcessor):
-    def init(self, handle):
-        self.pending = handle.getListState("pending", ", ".join(f"{c} bigint" for c in _PENDING))
-        self.processed = handle.getValueState("processed", ", ".join(f"{c} bigint" for c in _CHECKPOINT))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        x = pd.concat(list(rows)).sort_values("at", kind="stable").reset_index(drop=True)  # a shard's narrow rows of one micro-batch
-        waiting = list(self.pending.get()) if self.pending.exists() else []
-        pending = np.array([tuple(w) for w in waiting], np.int64).reshape(-1, len(_PENDING))
-        last, out = None, []
-        run = (x["action"] == "rebase").cumsum()
-        for _, own in x.groupby(run, sort=True):
-            if own["action"].iloc[0] == "rebase":
-                r = own.iloc[0]
-                last, pending = own[_CHECKPOINT].to_numpy(np.int64)[0], pending[:0]
-                out.append((key[0], int(r["at"]), "rebase", None, *last.tolist(), 0, None))
-                own = own.iloc[1:]
-            pending, reached, told = fold(pending, own.reset_index(drop=True))
-            last = last if reached is None else reached
-            out += [(key[0], t, "ack", token, *(to or [None] * 4), n, problem) for t, token, to, n, problem in told]
-        if len(pending):
-            self.pending.put([tuple(int(v) for v in p) for p in pending])
-        else:
-            self.pending.clear()
-        if last is not None:
-            self.processed.update(tuple(int(v) for v in last))
-        names = [c.split()[0] for c in OUTCOME.split(", ")]
-        frame = pd.DataFrame(out, columns=names)
-        for c in names:
-            if c not in ("action", "problem"):
-                frame[c] = frame[c].astype("Int64")
-        frame.loc[frame["manifest_uid"] == _NULL, "manifest_uid"] = pd.NA
-        yield frame
-
-    def close(self):
-        pass
-
-
-def acknowledged(control: DataFrame) -> DataFrame:
-    """The outcome (OUTCOME) of every ack and rebase of a stream of CONTROL rows, which has a shard's rows in order over micro-batches.
+def settled(rows: DataFrame) -> DataFrame:
+    """The outcomes of rows and the deliveries that still wait after them, as _VERSION has both.
 
-    A token that is unknown, processed or void gives the problem `obsolete` and moves
-    nothing. The session must use a state store that the processor can use (run()).
+    rows: CONTROL with `acked`, null in new rows, else of a delivery that waited before
+    them. fold() by windows, which Spark sorts and can spill: a shard's rows are never in
+    one worker's memory, however many come at once or wait. A rebase begins a new run.
     """
-    x = control.select("shard", "at", "action", *[F.coalesce(c, F.lit(_NULL)).alias(c) for c in ("token", *_CHECKPOINT)])
-    return x.groupBy("shard").transformWithStateInPandas(_Acks(), OUTCOME, "append", "none")
+    deliver, ack, rebase = (F.col("action") == a for a in ("deliver", "ack", "rebase"))
+    by_shard = Window.partitionBy("shard").orderBy(F.col("acked").isNull(), "at", F.desc("action"), "token")  # of one moment: rebase, deliver, ack
+    so_far, whole = (Window.unboundedPreceding, Window.currentRow), (Window.unboundedPreceding, Window.unboundedFollowing)
+    began = F.count_if(rebase)
+    x = rows.withColumns({"i": F.count(F.lit(1)).over(by_shard.rowsBetween(*so_far)), "given": F.count_if(deliver).over(by_shard.rowsBetween(*so_far)), "run": began.over(by_shard.rowsBetween(*so_far)), "runs": began.over(by_shard.rowsBetween(*whole))})
+    of_token = Window.partitionBy("shard", "run", "token")
+    x = x.withColumn("first", F.min(F.when(deliver, F.col("i"))).over(of_token))
+    x = x.withColumn("at_first", F.min(F.when(ack & (F.col("i") > F.col("first")), F.col("i"))).over(of_token))
+    told = F.when(F.col("acked"), 0).when(F.col("i") == F.col("first"), F.col("at_first"))
+    x = x.withColumn("told", F.when(deliver, told))
+    # processed when all up to it are acknowledged: it is put there, before the row that did it
+    by_run = Window.partitionBy("shard", "run").orderBy("i").rowsBetween(*so_far)
+    x = x.withColumn("done", F.max(F.when(deliver, F.coalesce("told", F.lit(_LATER)))).over(by_run))
+    x = x.withColumn("spot", F.when(deliver, F.col("done")).otherwise(F.col("i")))
+    in_turn = Window.partitionBy("shard", "run").orderBy("spot", ack, "i").rowsBetween(*so_far)
+    x = x.withColumn("last", F.last(F.when(~ack, F.struct("spot", "i", "given", *_CHECKPOINT)), ignorenulls=True).over(in_turn))
+    moved = F.coalesce(F.col("last.spot") == F.col("i"), F.lit(False))
+    known = F.coalesce(F.col("first") < F.col("i"), F.lit(False)) & (moved | F.coalesce(F.col("last.i") < F.col("first"), F.lit(True)))
+    waits = deliver & (F.col("done") == _LATER) & (F.col("run") == F.col("runs"))
+    x = x.where(~deliver | waits)
+    seqno, *rest = [F.when(ack & ~moved, None).when(ack, F.col(f"last.{c}")).otherwise(F.col(c)).alias(c) for c in _CHECKPOINT]
+    pending = F.when(deliver, F.col("told").isNotNull().cast("bigint")).otherwise(F.col("given") - F.coalesce("last.given", F.lit(0)))
+    return x.select("shard", "at", "action", F.when(~rebase, F.col("token")).alias("token"), seqno.alias("advanced_to"), *rest, pending.alias("pending"), F.when(ack & ~known, "obsolete").alias("problem"), deliver.cast("int").alias("waits"))
+
+
+def _publish(spark: SparkSession, made: str, out: str, epoch: int) -> None:
+    """A micro-batch's outcomes become files of `out` that begin with its number; those of an earlier try at it go first."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(out).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(Path(out))
+    for old in fs.globStatus(Path(f"{out}/{epoch}-*")):
+        fs.delete(old.getPath(), False)
+    for new in fs.globStatus(Path(f"{made}/waits=0/part-*")) or []:
+        to = Path(f"{out}/{epoch}-{new.getPath().getName()}")
+        if not fs.rename(new.getPath(), to):
+            raise StreamError(f"the outcome {to} could not be put in its place")
 
 
 def run(spark: SparkSession, control: DataFrame, out: str, checkpoint_dir: str) -> None:
-    """Follows the control stream to its present end and adds the outcomes to the folder `out`."""
-    name, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set(name, _ROCKS)
-    try:
-        query = acknowledged(control).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        spark.conf.set(name, before)
+    """Follows the control stream, which has a shard's rows in order over micro-batches, to its present end; the outcomes are added to the folder `out`.
+
+    A token that is unknown, processed or void gives the problem `obsolete` and moves
+    nothing. Outcomes are there once, also after a restart.
+    """
+    state = Versions(spark, f"{checkpoint_dir.rstrip('/')}-waiting", _VERSION)
+
+    def take(new: DataFrame, epoch: int) -> None:
+        x, before = new.select(*_NAMES, F.lit(None).cast("boolean").alias("acked")), state.before(epoch)
+        if before is not None:
+            x = x.unionByName(before.where("waits = 1").withColumn("acked", F.col("pending") == 1).withColumnRenamed("advanced_to", "seqno").select(*x.columns))
+        _publish(spark, state.write(settled(x), epoch, "waits"), out, epoch)
+
+    control.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start().awaitTermination()

@@ -34,8 +34,8 @@ class Versions:
     kept, which is all that a repetition can ask for.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, schema: str | None = None):
+        self.spark, self.folder, self.schema = spark, folder.rstrip("/"), schema
 
     def _path(self, name: str = ""):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
@@ -49,15 +49,19 @@ class Versions:
     def before(self, epoch: int) -> DataFrame | None:
         """The last version of an earlier epoch (-1: of any)."""
         found = [v for v in self.numbers() if epoch < 0 or v[0] < epoch]
-        return self.spark.read.parquet("{}/{}-{}".format(self.folder, *found[-1])) if found else None
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return reader.parquet("{}/{}-{}".format(self.folder, *found[-1])) if found else None
 
-    def write(self, rows: DataFrame, epoch: int) -> None:
+    def write(self, rows: DataFrame, epoch: int, *by: str) -> str:
+        """Gives the version's folder, with folders by the columns `by` in it."""
         found = self.numbers()
         at = (epoch, 0) if epoch >= 0 else (found[-1][0], found[-1][1] + 1) if found else (0, 0)
-        rows.write.mode("overwrite").parquet("{}/{}-{}".format(self.folder, *at))
+        made = "{}/{}-{}".format(self.folder, *at)
+        rows.write.mode("overwrite").partitionBy(*by).parquet(made)
         for old in [v for v in found if v[0] < at[0]][:-1] + [v for v in found if v[0] == at[0] and v[1] < at[1] - 1]:
             fs, path = self._path("{}-{}".format(*old))
             fs.delete(path, True)
+        return made
 
 
 class HeldRows:
