@@ -82,9 +82,10 @@ def test_acks_as_a_stream(spark, tmp_path):
     assert mine[1006][4] is None and mine[1006][9] == "obsolete"
 
 
-def test_acks_in_windows_equal_the_fold_and_leave_python_out(spark):
-    """One shard's rows of one micro-batch and what waited before them go through no worker of Python: windows that can spill."""
+def test_acks_in_windows_equal_the_fold_and_leave_python_out(spark, monkeypatch):
+    """One shard's rows of one micro-batch and what waited before them go through no worker of Python: windows over blocks, of any size."""
     for seed in range(4):
+        monkeypatch.setattr(acks, "BLOCK_ROWS", (7, 40, 90, 500)[seed])
         rows = [r for r in random_control(seed, 200, 1) if r[2] != "rebase"]
         made = spark.createDataFrame(rows, acks.CONTROL).selectExpr("*", "CAST(null AS BOOLEAN) AS acked")
         out = acks.settled(spark.createDataFrame(made.collect(), made.schema))
@@ -96,6 +97,16 @@ def test_acks_in_windows_equal_the_fold_and_leave_python_out(spark):
     assert "Window" in plan and "Python" not in plan and "Pandas" not in plan
 
 
+def test_acks_in_small_blocks(spark, tmp_path, monkeypatch):
+    """Rebases, waiting deliveries and acknowledgements over the borders of blocks and micro-batches."""
+    monkeypatch.setattr(acks, "BLOCK_ROWS", 9)
+    rows = random_control(5, 240, 2)
+    for part in np.array_split(np.arange(len(rows)), 2):
+        spark.createDataFrame([rows[i] for i in part], acks.CONTROL).write.mode("append").parquet(str(tmp_path / "in"))
+        acks.run(spark, spark.readStream.schema(acks.CONTROL).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()), key=lambda r: (r[0], r[1])) == sorted(plain_acks(rows), key=lambda r: (r[0], r[1]))
+
+
 def test_acks_of_a_repeated_micro_batch_are_there_once(spark, tmp_path):
     """A stream that failed after its outcomes were in place and before its commit does the micro-batch again; one without rows changes nothing."""
     given = [(0, s, "deliver", s, s, 1, 9, None) for s in (1, 2, 3, 4)]

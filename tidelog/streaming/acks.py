@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +26,10 @@ _NEVER = np.iinfo(np.int64).max
 _NAMES = [c.split()[0] for c in CONTROL.split(", ")]
 #: A version of what is carried. waits 0: outcomes; 1: deliveries that wait, advanced_to their seqno, pending 1 if their acknowledgement was there.
 _VERSION = f"{OUTCOME}, waits int"
-#: Beyond all rows of a shard.
-_LATER = 2**62
+#: Rows of a shard that a window takes at once.
+BLOCK_ROWS = 500_000
+#: A row's place in its shard is its block times _BLOCK and its number there; _LATER is beyond all. (_BLOCK is a power of two, blocks stay below 2^26.)
+_BLOCK, _LATER = 2**36, 2**62
 
 
 def fold(pending: np.ndarray, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray | None, list]:
@@ -62,35 +65,65 @@ def fold(pending: np.ndarray, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarra
     return left, items[n - 1, 1:5] if n else None, out
 
 
-def settled(rows: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows with their block: stretches of a shard of some BLOCK_ROWS in order, those that waited before new ones."""
+    n = rows.groupBy("shard").count().agg(F.max("count")).first()[0] or 0
+    k, new = n // BLOCK_ROWS + 1, F.col("acked").isNull().cast("bigint")
+    if k == 1:
+        return rows.withColumn("block", new)
+    cuts = rows.groupBy("shard").agg(F.percentile_approx("at", [j / k for j in range(1, k)], 1000).alias("cuts"))
+    return rows.join(F.broadcast(cuts), "shard").withColumn("block", new * k + F.size(F.filter("cuts", lambda c: c < F.col("at")))).drop("cuts")
+
+
+def settled(rows: DataFrame, kept: list[DataFrame] | None = None) -> DataFrame:
     """The outcomes of rows and the deliveries that still wait after them, as _VERSION has both.
 
     rows: CONTROL with `acked`, null in new rows, else of a delivery that waited before
-    them. fold() by windows, which Spark sorts and can spill: a shard's rows are never in
-    one worker's memory, however many come at once or wait. A rebase begins a new run.
+    them. It is fold() by windows over blocks of a shard; what a block begins with comes from
+    a row per block before it, so a task's memory grows neither with a shard's rows nor with
+    what waits. A rebase begins a new run. kept: gets the tables that are kept on disk
+    as they are read twice, to be let go by the caller; without it they are made twice.
     """
     deliver, ack, rebase = (F.col("action") == a for a in ("deliver", "ack", "rebase"))
-    by_shard = Window.partitionBy("shard").orderBy(F.col("acked").isNull(), "at", F.desc("action"), "token")  # of one moment: rebase, deliver, ack
-    so_far, whole = (Window.unboundedPreceding, Window.currentRow), (Window.unboundedPreceding, Window.unboundedFollowing)
-    began = F.count_if(rebase)
-    x = rows.withColumns({"i": F.count(F.lit(1)).over(by_shard.rowsBetween(*so_far)), "given": F.count_if(deliver).over(by_shard.rowsBetween(*so_far)), "run": began.over(by_shard.rowsBetween(*so_far)), "runs": began.over(by_shard.rowsBetween(*whole))})
+    so_far, earlier = (Window.unboundedPreceding, Window.currentRow), (Window.unboundedPreceding, -1)
+
+    def twice(x: DataFrame) -> DataFrame:
+        if kept is not None:
+            kept.append(x := x.persist(StorageLevel.DISK_ONLY))
+        return x
+
+    x = _dealt(rows)
+    blocks = Window.partitionBy("shard").orderBy("block").rowsBetween(*earlier)
+    n = x.groupBy("shard", "block").agg(F.count_if(deliver).alias("d"), F.count_if(rebase).alias("r"))
+    base = n.select("shard", "block", F.coalesce(F.sum("d").over(blocks), F.lit(0)).alias("d"), F.coalesce(F.sum("r").over(blocks), F.lit(0)).alias("r"), F.sum("r").over(Window.partitionBy("shard")).alias("runs"))
+    inside = Window.partitionBy("shard", "block").orderBy("at", F.desc("action"), "token").rowsBetween(*so_far)  # of one moment: rebase, deliver, ack
+    x = x.join(F.broadcast(base), ["shard", "block"])
+    x = x.withColumns({"i": F.col("block") * _BLOCK + F.count(F.lit(1)).over(inside), "given": F.col("d") + F.count_if(deliver).over(inside), "run": F.col("r") + F.count_if(rebase).over(inside)}).drop("d", "r")
+
     of_token = Window.partitionBy("shard", "run", "token")
     x = x.withColumn("first", F.min(F.when(deliver, F.col("i"))).over(of_token))
     x = x.withColumn("at_first", F.min(F.when(ack & (F.col("i") > F.col("first")), F.col("i"))).over(of_token))
     told = F.when(F.col("acked"), 0).when(F.col("i") == F.col("first"), F.col("at_first"))
-    x = x.withColumn("told", F.when(deliver, told))
-    # processed when all up to it are acknowledged: it is put there, before the row that did it
-    by_run = Window.partitionBy("shard", "run").orderBy("i").rowsBetween(*so_far)
-    x = x.withColumn("done", F.max(F.when(deliver, F.coalesce("told", F.lit(_LATER)))).over(by_run))
-    x = x.withColumn("spot", F.when(deliver, F.col("done")).otherwise(F.col("i")))
-    in_turn = Window.partitionBy("shard", "run").orderBy("spot", ack, "i").rowsBetween(*so_far)
-    x = x.withColumn("last", F.last(F.when(~ack, F.struct("spot", "i", "given", *_CHECKPOINT)), ignorenulls=True).over(in_turn))
+    x = twice(x.withColumn("told", F.when(deliver, F.coalesce(told, F.lit(_LATER)))).drop("acked", "at_first"))
+
+    # a delivery is processed when all up to it in its run are acknowledged: it is put there, before the row that did it
+    high = x.groupBy("shard", "block").agg(F.max(F.struct("run", F.coalesce("told", F.lit(0)).alias("told"))).alias("h"))
+    x = x.join(F.broadcast(high.select("shard", "block", F.max("h").over(blocks).alias("h"))), ["shard", "block"])
+    in_run = Window.partitionBy("shard", "block", "run").orderBy("i").rowsBetween(*so_far)
+    done = F.greatest(F.max("told").over(in_run), F.when(F.col("h.run") == F.col("run"), F.col("h.told")))
+    x = x.withColumn("spot", F.when(deliver, done).otherwise(F.col("i"))).drop("h").where(~deliver | (F.col("spot") < _LATER) | (F.col("run") == F.col("runs")))
+    waits = F.col("spot") == _LATER
+    x = twice(x.withColumn("block", F.when(waits, F.col("block")).otherwise(F.shiftright("spot", 36))).drop("run", "runs"))
+
+    reached = F.when(~ack & ~waits, F.struct("spot", "i", "given", *_CHECKPOINT))
+    last = x.groupBy("shard", "block").agg(F.max(reached).alias("l"))
+    x = x.join(F.broadcast(last.select("shard", "block", F.max("l").over(blocks).alias("l"))), ["shard", "block"])
+    in_turn = Window.partitionBy("shard", "block").orderBy("spot", ack, "i").rowsBetween(*so_far)
+    x = x.withColumn("last", F.coalesce(F.last(reached, ignorenulls=True).over(in_turn), F.col("l"))).where(~deliver | waits)
     moved = F.coalesce(F.col("last.spot") == F.col("i"), F.lit(False))
     known = F.coalesce(F.col("first") < F.col("i"), F.lit(False)) & (moved | F.coalesce(F.col("last.i") < F.col("first"), F.lit(True)))
-    waits = deliver & (F.col("done") == _LATER) & (F.col("run") == F.col("runs"))
-    x = x.where(~deliver | waits)
     seqno, *rest = [F.when(ack & ~moved, None).when(ack, F.col(f"last.{c}")).otherwise(F.col(c)).alias(c) for c in _CHECKPOINT]
-    pending = F.when(deliver, F.col("told").isNotNull().cast("bigint")).otherwise(F.col("given") - F.coalesce("last.given", F.lit(0)))
+    pending = F.when(deliver, (F.col("told") < _LATER).cast("bigint")).otherwise(F.col("given") - F.coalesce("last.given", F.lit(0)))
     return x.select("shard", "at", "action", F.when(~rebase, F.col("token")).alias("token"), seqno.alias("advanced_to"), *rest, pending.alias("pending"), F.when(ack & ~known, "obsolete").alias("problem"), deliver.cast("int").alias("waits"))
 
 
@@ -119,6 +152,11 @@ def run(spark: SparkSession, control: DataFrame, out: str, checkpoint_dir: str)
         x, before = new.select(*_NAMES, F.lit(None).cast("boolean").alias("acked")), state.before(epoch)
         if before is not None:
             x = x.unionByName(before.where("waits = 1").withColumn("acked", F.col("pending") == 1).withColumnRenamed("advanced_to", "seqno").select(*x.columns))
-        _publish(spark, state.write(settled(x), epoch, "waits"), out, epoch)
+        kept: list[DataFrame] = []
+        try:
+            _publish(spark, state.write(settled(x, kept), epoch, "waits"), out, epoch)
+        finally:
+            for made in kept:
+                made.unpersist()
 
     control.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start().awaitTermination()
